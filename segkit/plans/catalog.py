@@ -211,3 +211,467 @@ def q_scaled_metrics(spark, sf):
                     S.fixed_round(S.min_max_scaled("satisfaction_score", 0, 5), 6).alias("score_scaled"),
                     S.fixed_round(1 - S.indicator("loan_applied", "Yes"), 6).alias("no_loan"),
                     S.threshold_flag("satisfaction_score", 3.5).alias("score_band"))
+
+
+# ───────────────────────── filters / slicer (F1-F9) ─────────────────────────
+
+SLICE = {"cohort_label": ["HOUSEHOLD", "MACHINERY", "BUILDING"], "country": [],
+         "client_type": "All", "referral_channel": "Digital"}
+SLICE_SQL = "cohort_label IN ('HOUSEHOLD', 'MACHINERY', 'BUILDING') AND referral_channel = 'Digital'"
+OPTION_DIMS = ["cohort_label", "country", "client_type", "referral_channel"]
+CHOSEN_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3"]
+MAIN_COHORTS = ["HOUSEHOLD", "MACHINERY"]
+
+
+@query("slice_all_dims", O.with_clean(
+    f"SELECT client_id, cohort_label, country, referral_channel FROM b WHERE {SLICE_SQL}"))
+def q_slice_all_dims(spark, sf):
+    return SL.slice_rows(B(spark, sf), SLICE).select("client_id", "cohort_label", "country", "referral_channel")
+
+
+@query("slice_share", O.with_clean(f"""
+SELECT count(*) FILTER (WHERE {SLICE_SQL}) AS selected, count(*) AS total,
+       {O.rnd(f'count(*) FILTER (WHERE {SLICE_SQL}) * 100.0 / count(*)', 1)} AS selected_pct FROM b"""))
+def q_slice_share(spark, sf):
+    return SL.slice_share(B(spark, sf), SLICE)
+
+
+@query("filter_options", O.with_clean(" UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS dimension, CAST({c} AS varchar) AS value FROM b WHERE {c} IS NOT NULL"
+    for c in OPTION_DIMS)))
+def q_filter_options(spark, sf):
+    return SL.filter_options(B(spark, sf), OPTION_DIMS)
+
+
+@query("cascade_options", O.with_clean(
+    "SELECT DISTINCT country, region FROM b WHERE country IN ('NATION_1', 'NATION_2', 'NATION_3') "
+    "AND region IS NOT NULL"))
+def q_cascade_options(spark, sf):
+    return SL.cascade_options(B(spark, sf), "country", "region", CHOSEN_COUNTRIES)
+
+
+@query("cohort_mask", O.with_clean(f"""
+SELECT cohort_label, count(*) AS n, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score
+FROM b WHERE cohort_label IN ('HOUSEHOLD', 'MACHINERY') GROUP BY cohort_label"""))
+def q_cohort_mask(spark, sf):
+    b = SL.slice_rows(B(spark, sf), {"cohort_label": MAIN_COHORTS})
+    return b.groupBy("cohort_label").agg(F.count(F.lit(1)).alias("n"),
+                                         S.fixed_round(F.avg("satisfaction_score"), 2).alias("avg_score"))
+
+
+# ───────────────────────── joins (J1-J6) ─────────────────────────
+
+TOP10_COUNTRIES_SQL = ("(SELECT country FROM b GROUP BY country ORDER BY count(*) DESC, country LIMIT 10)")
+
+
+@query("topn_semi_join", O.with_clean(f"""
+SELECT country, cohort_label, count(*) AS n FROM b
+WHERE country IN {TOP10_COUNTRIES_SQL} GROUP BY country, cohort_label"""))
+def q_topn_semi_join(spark, sf):
+    from segkit.operators.joins import semi_join
+    b = B(spark, sf)
+    top = P.top_values(b, "country", 10).select("country")
+    return P.crosstab(semi_join(b, top, on="country"), "country", "cohort_label")
+
+
+@query("dim_lookup", f"""
+SELECT n_name, count(*) AS n_orders, {O.rnd('sum(o_totalprice)', 2)} AS revenue
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_name""")
+def q_dim_lookup(spark, sf):
+    o = T(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    c = T(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    n = T(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    j = lookup_join(lookup_join(o, c, on="o_custkey", how="inner"), n, on="c_nationkey", how="inner")
+    return j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_orders"),
+                                   S.fixed_round(F.sum("o_totalprice"), 2).alias("revenue"))
+
+
+@query("anti_domain", O.with_clean("""
+SELECT client_id, referral_channel FROM b WHERE referral_channel NOT IN ('Agent', 'Digital')"""))
+def q_anti_domain(spark, sf):
+    from segkit.operators.joins import anti_join, values_frame
+    allowed = values_frame(spark, "referral_channel", ["Agent", "Digital"])
+    return anti_join(B(spark, sf).select("client_id", "referral_channel"), allowed, on="referral_channel")
+
+
+@query("profile_with_top", O.with_clean(f"""
+SELECT p.*, t.top_country FROM (
+  SELECT cohort_label, count(*) AS size, {O.rnd('avg(age)', 1)} AS avg_age,
+         {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+         {O.rnd("avg(CAST(coalesce(client_type = 'Corporate', false) AS integer)) * 100", 1)} AS corporate_pct,
+         {O.rnd("avg(CAST(coalesce(acquisition_purpose = 'Investment', false) AS integer)) * 100", 1)} AS investment_pct,
+         {O.rnd("avg(CAST(coalesce(loan_applied = 'Yes', false) AS integer)) * 100", 1)} AS loan_pct
+  FROM b GROUP BY cohort_label) p
+LEFT JOIN (SELECT cohort_label, country AS top_country FROM (
+     SELECT cohort_label, country, row_number() OVER (PARTITION BY cohort_label ORDER BY count(*) DESC, country) AS rk
+     FROM b GROUP BY cohort_label, country) WHERE rk = 1) t USING (cohort_label)"""))
+def q_profile_with_top(spark, sf):
+    return P.profile_with_top(B(spark, sf), "cohort_label", "country")
+
+
+# ───────────────────────── dedup / set ops (U1-U4) ─────────────────────────
+
+@query("dedup_full", O.with_raw("""
+SELECT client_id, min(cohort_label) AS cohort_label, client_type, gender, country, region, date_of_birth,
+       acquisition_purpose, loan_applied, referral_channel, satisfaction_score FROM r GROUP BY ALL"""))
+def q_dedup_full(spark, sf):
+    return dedup.dedup_full(buyers_raw(spark, sf), exclude=[LABEL])
+
+
+def _seq_sql():
+    cols = O.RAW_COLS
+    return f"""WITH bb AS ({O.buyers_base_sql()}),
+s AS (SELECT {cols}, 0 AS seq FROM bb
+      UNION ALL
+      SELECT client_id, cohort_label, client_type, gender, country, region, date_of_birth, acquisition_purpose,
+             loan_applied, referral_channel, CAST(satisfaction_score % 5 + 1 AS integer), 1 FROM bb WHERE is_dup)
+SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY client_id, date_of_birth ORDER BY seq) AS rn FROM s)
+WHERE rn = 1"""
+
+
+@query("dedup_key_first", _seq_sql())
+def q_dedup_key_first(spark, sf):
+    return dedup.dedup_keep_first(buyers_seq(spark, sf), DEDUP_KEYS, order_by=["seq"]).drop("seq")
+
+
+@query("dedup_two_pass", O.with_dedup(f"SELECT {O.RAW_COLS} FROM d"))
+def q_dedup_two_pass(spark, sf):
+    return dedup_buyers(buyers_raw(spark, sf))
+
+
+@query("union_all", """
+SELECT c_custkey, c_mktsegment, 'non_negative' AS part FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT c_custkey, c_mktsegment, 'negative' FROM customer WHERE c_acctbal < 0""")
+def q_union_all(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return dedup.union_all(
+        c.where("c_acctbal >= 0").select("c_custkey", "c_mktsegment", F.lit("non_negative").alias("part")),
+        c.where("c_acctbal < 0").select("c_custkey", "c_mktsegment", F.lit("negative").alias("part")))
+
+
+# ───────────────────────── imputation (I1-I4) ─────────────────────────
+
+@query("impute_rule", O.with_dedup("""
+SELECT client_id, CASE WHEN gender IS NULL AND client_type = 'Corporate' THEN 'Not Applicable'
+                       ELSE gender END AS gender FROM d"""))
+def q_impute_rule(spark, sf):
+    d = dedup_buyers(buyers_raw(spark, sf))
+    model = fit_imputer(d, rules=[Rule("gender", F.col("client_type") == "Corporate", "Not Applicable")])
+    return model.transform(d).select("client_id", "gender")
+
+
+@query("impute_cond_mode", O.with_imputed("SELECT client_id, gender FROM i"))
+def q_impute_cond_mode(spark, sf):
+    d = dedup_buyers(buyers_raw(spark, sf))
+    model = fit_imputer(d, rules=[Rule("gender", F.col("client_type") == "Corporate", "Not Applicable")],
+                        conditional=[ConditionalMode("gender", F.col("client_type") == "Individual")])
+    return model.transform(d).select("client_id", "gender")
+
+
+@query("impute_mode", O.with_imputed(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM d WHERE {c} IS NULL) AS nulls, 'mode' AS method, {m} AS value FROM m"
+    for c, m in [("region", "m_region"), ("referral_channel", "m_channel"),
+                 ("acquisition_purpose", "m_purpose"), ("loan_applied", "m_loan")])))
+def q_impute_mode(spark, sf):
+    d = dedup_buyers(buyers_raw(spark, sf))
+    model = fit_imputer(d, mode_columns=MODE_COLUMNS)
+    return model.report_frame(spark)
+
+
+@query("impute_full", O.with_clean("SELECT * FROM b"))
+def q_impute_full(spark, sf):
+    return B(spark, sf)
+
+
+# ───────────────────────── aggregations (A1-A20) ─────────────────────────
+
+def _ind(col, v):
+    return f"CAST(coalesce({col} = '{v}', false) AS integer)"
+
+
+@query("group_size", O.with_clean("SELECT country, count(*) AS n FROM b GROUP BY country"))
+def q_group_size(spark, sf):
+    return P.group_size(B(spark, sf), "country")
+
+
+@query("crosstab", O.with_clean(
+    "SELECT cohort_label, acquisition_purpose, count(*) AS n FROM b GROUP BY ALL"))
+def q_crosstab(spark, sf):
+    return P.crosstab(B(spark, sf), "cohort_label", "acquisition_purpose")
+
+
+@query("segment_profile", O.with_clean(f"""
+SELECT referral_channel, count(*) AS size, {O.rnd('avg(age)', 1)} AS avg_age,
+       {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+       {O.rnd(f"avg({_ind('client_type', 'Corporate')}) * 100", 1)} AS corporate_pct,
+       {O.rnd(f"avg({_ind('acquisition_purpose', 'Investment')}) * 100", 1)} AS investment_pct,
+       {O.rnd(f"avg({_ind('loan_applied', 'Yes')}) * 100", 1)} AS loan_pct
+FROM b GROUP BY referral_channel"""))
+def q_segment_profile(spark, sf):
+    return P.segment_profile(B(spark, sf), "referral_channel")
+
+
+@query("group_mode", O.with_clean("""
+SELECT cohort_label, region AS top_region, n AS top_region_n FROM (
+  SELECT cohort_label, region, count(*) AS n,
+         row_number() OVER (PARTITION BY cohort_label ORDER BY count(*) DESC, region) AS rk
+  FROM b GROUP BY cohort_label, region) WHERE rk = 1"""))
+def q_group_mode(spark, sf):
+    return P.group_mode(B(spark, sf), "cohort_label", "region")
+
+
+@query("indicator_rate", O.with_clean(f"""
+SELECT cohort_label, {O.rnd(f"avg({_ind('acquisition_purpose', 'Investment')}) * 100", 1)} AS rate_pct
+FROM b GROUP BY cohort_label"""))
+def q_indicator_rate(spark, sf):
+    return P.indicator_rate(B(spark, sf), "cohort_label", "acquisition_purpose", "Investment")
+
+
+@query("share_within", O.with_clean(f"""
+SELECT cohort_label, referral_channel, count(*) AS n,
+       {O.rnd('count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY cohort_label)', 1)} AS share_pct
+FROM b GROUP BY cohort_label, referral_channel"""))
+def q_share_within(spark, sf):
+    return P.share_within(B(spark, sf), "cohort_label", "referral_channel")
+
+
+@query("share_total", O.with_clean(f"""
+SELECT cohort_label, count(*) AS n, {O.rnd('count(*) * 100.0 / (SELECT count(*) FROM b)', 1)} AS share_pct
+FROM b GROUP BY cohort_label"""))
+def q_share_total(spark, sf):
+    return P.share_total(B(spark, sf), "cohort_label")
+
+
+@query("kpi_row", O.with_clean(f"""
+SELECT count(*) AS rows, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+       {O.rnd(f"sum({_ind('loan_applied', 'Yes')}) * 100.0 / count(*)", 1)} AS flag_pct,
+       (SELECT cohort_label FROM b GROUP BY cohort_label ORDER BY count(*) DESC, cohort_label LIMIT 1) AS dominant,
+       {O.rnd('(SELECT max(c) FROM (SELECT count(*) AS c FROM b GROUP BY cohort_label)) * 100.0 / count(*)', 1)}
+         AS dominant_pct
+FROM b"""))
+def q_kpi_row(spark, sf):
+    return P.kpi_row(B(spark, sf), "cohort_label")
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _pivot_sql(row: str, col: str, values, src: str = "b", where: str = "TRUE") -> str:
+    cells = ", ".join(f"count(*) FILTER (WHERE {col} = '{v}') AS \"{v}\"" for v in values)
+    return f"SELECT {row}, {cells} FROM {src} WHERE {where} AND {row} IS NOT NULL AND {col} IS NOT NULL GROUP BY {row}"
+
+
+@query("pivot_zero", O.with_clean(_pivot_sql("country", "cohort_label", SEGMENTS)))
+def q_pivot_zero(spark, sf):
+    return P.pivot_zero(B(spark, sf), "country", "cohort_label", SEGMENTS)
+
+
+@query("heat_topn", O.with_clean(_pivot_sql("country", "client_type", ["Corporate", "Individual"],
+                                            where=f"country IN {TOP10_COUNTRIES_SQL}")))
+def q_heat_topn(spark, sf):
+    return P.heat_topn(B(spark, sf), "country", "client_type", 10, ["Corporate", "Individual"])
+
+
+@query("hierarchy_rollup", O.with_clean("""
+SELECT country, region, 2 AS depth, count(*) AS n FROM b GROUP BY country, region
+UNION ALL SELECT country, NULL, 1, count(*) FROM b GROUP BY country"""))
+def q_hierarchy_rollup(spark, sf):
+    return P.hierarchy_rollup(B(spark, sf), "country", "region")
+
+
+@query("five_number", O.with_clean(f"""
+SELECT cohort_label, CAST(min(age) AS double) AS min_value,
+       {O.rnd('quantile_cont(age, 0.25)', 4)} AS q1, {O.rnd('quantile_cont(age, 0.5)', 4)} AS median,
+       {O.rnd('quantile_cont(age, 0.75)', 4)} AS q3, CAST(max(age) AS double) AS max_value, count(*) AS n
+FROM b GROUP BY cohort_label"""))
+def q_five_number(spark, sf):
+    return P.five_number(B(spark, sf), "cohort_label", "age")
+
+
+@query("histogram", O.with_clean("""
+SELECT g.cohort_label, CAST(k.bin AS integer) AS bin, 0.5 + k.bin AS bin_start,
+       count(b.client_id) AS n
+FROM (SELECT DISTINCT cohort_label FROM b) g CROSS JOIN range(5) k(bin)
+LEFT JOIN b ON b.cohort_label = g.cohort_label
+           AND least(greatest(floor((b.satisfaction_score - 0.5) / 1.0), 0), 4) = k.bin
+GROUP BY g.cohort_label, k.bin"""))
+def q_histogram(spark, sf):
+    return P.histogram(B(spark, sf), "cohort_label", "satisfaction_score", 0.5, 1.0, 5)
+
+
+def radar_metrics():
+    return {
+    "age_norm": (F.col("age") - 20) / 55.0,
+    "score_norm": F.col("satisfaction_score") / 5.0,
+    "investor": S.indicator("acquisition_purpose", "Investment"),
+    "loan": S.indicator("loan_applied", "Yes"),
+    "individual": 1 - S.indicator("client_type", "Corporate"),
+    }
+
+
+RADAR_SQL = {
+    "age_norm": "(age - 20) / 55.0", "score_norm": "satisfaction_score / 5.0",
+    "investor": _ind("acquisition_purpose", "Investment"), "loan": _ind("loan_applied", "Yes"),
+    "individual": f"1 - {_ind('client_type', 'Corporate')}",
+}
+
+
+@query("radar_long", O.with_clean(" UNION ALL ".join(
+    f"SELECT cohort_label, '{m}' AS metric, {O.rnd(f'avg({e})', 4)} AS value FROM b GROUP BY cohort_label"
+    for m, e in RADAR_SQL.items())))
+def q_radar_long(spark, sf):
+    return P.radar_long(B(spark, sf), "cohort_label", radar_metrics())
+
+
+FIXED_GROUPS = SEGMENTS + ["UNKNOWN"]
+
+
+@query("fixed_groups_zero", O.with_clean(f"""
+SELECT g.cohort_label, coalesce(s.n, 0) AS n, coalesce(s.avg_score, 0.0) AS avg_score
+FROM (VALUES {", ".join(f"('{g}')" for g in FIXED_GROUPS)}) g(cohort_label)
+LEFT JOIN (SELECT cohort_label, count(*) AS n, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score
+           FROM b GROUP BY cohort_label) s USING (cohort_label)"""))
+def q_fixed_groups_zero(spark, sf):
+    return P.fixed_groups_stats(B(spark, sf), "cohort_label", FIXED_GROUPS)
+
+
+@query("distinct_count", O.with_clean(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values FROM b"
+    for c in ["country", "region", "referral_channel", "client_id"])))
+def q_distinct_count(spark, sf):
+    return P.distinct_counts(B(spark, sf), ["country", "region", "referral_channel", "client_id"])
+
+
+@query("cluster_sizes", """
+SELECT CAST(k.id AS integer) AS label, coalesce(s.n, 0) AS n
+FROM range(12) k(id) LEFT JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY label) s ON s.label = k.id""")
+def q_cluster_sizes(spark, sf):
+    return P.cluster_sizes(T(spark, sf, "embeddings"), "label", 12)
+
+
+@query("purity", "WITH " + O.clean_ctes() + """,
+c AS (SELECT satisfaction_score, cohort_label, count(*) AS n FROM b GROUP BY ALL),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY satisfaction_score ORDER BY n DESC, cohort_label) AS rk FROM c),
+t AS (SELECT satisfaction_score, sum(n) AS size FROM c GROUP BY satisfaction_score)
+SELECT t.satisfaction_score, CAST(t.size AS bigint) AS size, a.cohort_label AS dominant,
+       """ + O.rnd("a.n / t.size", 4) + """ AS purity, z.cohort_label AS runner_up,
+       """ + O.rnd("z.n / t.size", 4) + """ AS runner_up_share
+FROM t JOIN r2 a ON a.satisfaction_score = t.satisfaction_score AND a.rk = 1
+LEFT JOIN r2 z ON z.satisfaction_score = t.satisfaction_score AND z.rk = 2""")
+def q_purity(spark, sf):
+    return P.purity(B(spark, sf), "satisfaction_score", "cohort_label")
+
+
+@query("contingency", O.with_clean(
+    "SELECT cohort_label, satisfaction_score, count(*) AS n FROM b GROUP BY ALL"))
+def q_contingency(spark, sf):
+    return P.crosstab(B(spark, sf), "cohort_label", "satisfaction_score")
+
+
+# ───────────────────────── sort / top-k / sampling (O1-O6) ─────────────────────────
+
+@query("sort_groups", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
+def q_sort_groups(spark, sf):
+    return P.sort_groups(T(spark, sf, "orders"), "o_orderpriority")
+
+
+@query("top_n", """
+SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 10""")
+def q_top_n(spark, sf):
+    return P.top_values(T(spark, sf, "lineitem"), "l_partkey", 10)
+
+
+@query("fixed_sample", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY md5('sample:' || CAST(o_orderkey AS varchar)), o_orderkey LIMIT 1500""")
+def q_fixed_sample(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return P.fixed_sample(o, "o_orderkey", 1500, "sample")
+
+
+@query("hash_shuffle", "SELECT c_custkey, md5('shuffle:' || CAST(c_custkey AS varchar)) AS sort_key FROM customer")
+def q_hash_shuffle(spark, sf):
+    return P.hash_order(T(spark, sf, "customer").select("c_custkey"), "c_custkey", "shuffle")
+
+
+@query("rank_candidates", """
+SELECT p_size AS k, cnt AS score FROM (SELECT p_size, count(*) AS cnt FROM part GROUP BY p_size)
+ORDER BY cnt DESC, p_size LIMIT 2""")
+def q_rank_candidates(spark, sf):
+    return (P.group_size(T(spark, sf, "part"), "p_size").select(F.col("p_size").alias("k"), F.col("n").alias("score"))
+            .orderBy(F.desc("score"), "k").limit(2))
+
+
+# ───────────────────────── fixture-table operators (Y1-Y7) ─────────────────────────
+
+CHANNEL_WEIGHTS = [0.5, 0.25, 0.125, 0.125]
+
+
+@query("weighted_assign", f"""
+SELECT c_custkey, CASE WHEN {O.u('chw')} < 0.5 THEN 'Agent' WHEN {O.u('chw')} < 0.75 THEN 'Digital'
+                       WHEN {O.u('chw')} < 0.875 THEN 'Direct' ELSE 'Friend Referral' END AS channel
+FROM customer""")
+def q_weighted_assign(spark, sf):
+    from segkit.sources.fixtures import CHANNELS
+    return T(spark, sf, "customer").select(
+        "c_custkey", assign.weighted_choice("chw", "c_custkey", CHANNELS, CHANNEL_WEIGHTS).alias("channel"))
+
+
+@query("uniform_assign", f"""
+SELECT c_custkey, CASE {O.h('gender', 3)} WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END AS gender
+FROM customer""")
+def q_uniform_assign(spark, sf):
+    from segkit.sources.fixtures import GENDERS
+    return T(spark, sf, "customer").select("c_custkey", assign.uniform_choice("gender", "c_custkey", GENDERS).alias("gender"))
+
+
+@query("conditional_assign", f"""
+SELECT c_custkey, CASE WHEN {O.u('ct')} < {O.by_segment({'MACHINERY': 1.0, 'HOUSEHOLD': 0.03}, 0.42)}
+                       THEN 'Corporate' ELSE 'Individual' END AS client_type FROM customer""")
+def q_conditional_assign(spark, sf):
+    from segkit.sources.fixtures import CORPORATE_RATE, CORPORATE_RATE_OTHER, _by_segment
+    c = T(spark, sf, "customer")
+    return c.select("c_custkey", F.when(assign.bernoulli("ct", "c_custkey", _by_segment(CORPORATE_RATE, CORPORATE_RATE_OTHER)),
+                                        F.lit("Corporate")).otherwise(F.lit("Individual")).alias("client_type"))
+
+
+@query("dependent_assign", f"""
+SELECT c_custkey, n_name AS country, concat(n_name, '/', CAST({O.h('reg', 4)} AS varchar)) AS region
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def q_dependent_assign(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = T(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    j = lookup_join(c, n, on="c_nationkey", how="inner")
+    return j.select("c_custkey", F.col("n_name").alias("country"),
+                    assign.child_of("n_name", "reg", "c_custkey", 4).alias("region"))
+
+
+@query("date_in_window", f"""
+SELECT c_custkey, CAST(date '1950-01-01' + CAST({O.h('dob', 15000)} AS integer) AS varchar) AS dob FROM customer""")
+def q_date_in_window(spark, sf):
+    return T(spark, sf, "customer").select(
+        "c_custkey", assign.date_in_window("dob", "c_custkey", "1950-01-01", 15000).cast("string").alias("dob"))
+
+
+@query("null_mask", f"""
+SELECT c_custkey, CASE WHEN {O.u('null:c_name')} < 0.05 THEN NULL ELSE c_name END AS c_name,
+       CASE WHEN {O.u('null:c_mktsegment')} < 0.05 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def q_null_mask(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return assign.mask_nulls(c, ["c_name", "c_mktsegment"], "c_custkey", 0.05)
+
+
+@query("append_duplicates", f"""
+SELECT c_mktsegment, count(*) AS n FROM (
+  SELECT c_custkey, c_mktsegment FROM customer
+  UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE {O.u('dup')} < 0.01) GROUP BY c_mktsegment""")
+def q_append_duplicates(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    out = assign.append_copies(c, assign.bernoulli("dup", "c_custkey", 0.01))
+    return P.group_size(out, "c_mktsegment")
+
+
+@query("buyers_fixture", O.with_raw(f"SELECT {O.RAW_COLS} FROM r"))
+def q_buyers_fixture(spark, sf):
+    return buyers_raw(spark, sf)
