@@ -70,7 +70,7 @@ class FeatureModel:
         rows = [(c, 0, 1) for c in self.numeric]
         rows += [(c, len(self.categories[c]), 1 if len(self.categories[c]) == 2 else len(self.categories[c]))
                  for c in self.categorical]
-        return spark.createDataFrame(rows, "column string, n_categories int, n_outputs int")
+        return spark.createDataFrame(rows, "column string, n_categories bigint, n_outputs bigint")
 
     def to_json(self) -> str:
         return json.dumps(dict(numeric=self.numeric, categorical=self.categorical, means=self.means,

@@ -254,3 +254,24 @@ def collect_centers(df_long: DataFrame, group: str, max_groups: int = 10_000) ->
         raise ValueError("too many centres")
     d = max(len(v) for v in mat.values())
     return groups, np.array([[mat[g][i] for i in range(d)] for g in groups])
+
+
+def center_arrays(long: DataFrame, group: str) -> DataFrame:
+    """(group, dim, value) → (group, center array) ordered by dim; one row per group."""
+    return long.groupBy(group).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda s: s["value"]).alias("center"))
+
+
+def squared_distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def wcss_by_label(df: DataFrame, features: str, label: str) -> DataFrame:
+    """K3 for given labels: centroid per label (Spark aggregate), then the sum of
+    squared distances of each row to its own centroid.  Centroids are joined
+    back on the label (one row per label, broadcast when their count is small)."""
+    from segkit.operators.joins import lookup_join
+    cents = center_arrays(array_mean_by(df, label, features), label)
+    joined = lookup_join(df.select(label, F.col(features).cast("array<double>").alias(features)), cents, on=label)
+    return joined.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum(squared_distance(F.col(features), F.col("center"))).alias("wcss"))

@@ -490,7 +490,7 @@ def q_five_number(spark, sf):
 
 
 @query("histogram", O.with_clean("""
-SELECT g.cohort_label, CAST(k.bin AS integer) AS bin, 0.5 + k.bin AS bin_start,
+SELECT g.cohort_label, CAST(k.bin AS integer) AS bin, CAST(0.5 + k.bin AS double) AS bin_start,
        count(b.client_id) AS n
 FROM (SELECT DISTINCT cohort_label FROM b) g CROSS JOIN range(5) k(bin)
 LEFT JOIN b ON b.cohort_label = g.cohort_label
@@ -675,3 +675,233 @@ def q_append_duplicates(spark, sf):
 @query("buyers_fixture", O.with_raw(f"SELECT {O.RAW_COLS} FROM r"))
 def q_buyers_fixture(spark, sf):
     return buyers_raw(spark, sf)
+
+
+# ───────────────────────── features (E1-E7) ─────────────────────────
+
+from segkit.operators import kmeans as KM  # noqa: E402
+from segkit.operators import modelsel as MS  # noqa: E402
+from segkit.operators import validate as V  # noqa: E402
+from segkit.operators.features import fit_features, squared_norm  # noqa: E402
+from segkit.plans.segmentation import CATEGORICAL, NUMERIC  # noqa: E402
+
+BINARY = ["client_type", "acquisition_purpose", "loan_applied"]
+MULTI = ["gender", "country", "region", "referral_channel"]
+
+
+def _encoded(spark, sf):
+    b = B(spark, sf)
+    return fit_features(b, NUMERIC, CATEGORICAL), b
+
+
+def _onehot_sql():
+    parts = [f"SELECT client_id, '{c}_' || {c} AS feature, CAST(1.0 AS double) AS value FROM b WHERE {c} = (SELECT max({c}) FROM b)"
+             for c in BINARY]
+    parts += [f"SELECT client_id, '{c}_' || {c} AS feature, CAST(1.0 AS double) AS value FROM b WHERE {c} IS NOT NULL"
+              for c in MULTI]
+    return O.with_clean(" UNION ALL ".join(parts))
+
+
+@query("onehot_long", _onehot_sql())
+def q_onehot_long(spark, sf):
+    fm, b = _encoded(spark, sf)
+    names = [n for _, _, n in fm.onehot_slots()]
+    wide = fm.wide(b, keep=["client_id"]).select("client_id", *[F.col(f"`{n}`") for n in names])
+    return wide.unpivot(["client_id"], names, "feature", "value").where(F.col("value") != 0)
+
+
+@query("binary_encode", O.with_clean("""
+SELECT client_id, CAST(client_type = 'Individual' AS double) AS "client_type_Individual",
+       CAST(acquisition_purpose = 'Personal Use' AS double) AS "acquisition_purpose_Personal Use",
+       CAST(loan_applied = 'Yes' AS double) AS "loan_applied_Yes" FROM b"""))
+def q_binary_encode(spark, sf):
+    fm, b = _encoded(spark, sf)
+    names = [n for c, _, n in fm.onehot_slots() if c in BINARY]
+    return fm.wide(b, keep=["client_id"]).select("client_id", *[F.col(f"`{n}`") for n in names])
+
+
+@query("standardize", O.with_clean(f"""
+SELECT client_id, {O.rnd('(age - avg(age) OVER ()) / stddev_pop(age) OVER ()', 6)} AS age_z,
+       {O.rnd('(satisfaction_score - avg(satisfaction_score) OVER ()) / stddev_pop(satisfaction_score) OVER ()', 6)}
+         AS score_z FROM b"""))
+def q_standardize(spark, sf):
+    fm, b = _encoded(spark, sf)
+    z = fm.numeric_exprs()
+    return b.select("client_id", S.fixed_round(z[0], 6).alias("age_z"), S.fixed_round(z[1], 6).alias("score_z"))
+
+
+def _inventory_sql():
+    parts = [f"SELECT '{c}' AS \"column\", CAST(0 AS bigint) AS n_categories, CAST(1 AS bigint) AS n_outputs"
+             for c in NUMERIC]
+    parts += [f"SELECT '{c}', count(DISTINCT {c}), CASE WHEN count(DISTINCT {c}) = 2 THEN 1 "
+              f"ELSE count(DISTINCT {c}) END FROM b" for c in CATEGORICAL]
+    return O.with_clean(" UNION ALL ".join(parts))
+
+
+@query("encoding_inventory", _inventory_sql())
+def q_encoding_inventory(spark, sf):
+    fm, _ = _encoded(spark, sf)
+    return fm.inventory(spark)
+
+
+def _norm_sql():
+    width = ("(SELECT 2 + 3 + count(DISTINCT gender) + count(DISTINCT country) + count(DISTINCT region)"
+             " + count(DISTINCT referral_channel) FROM b)")
+    zs = ("pow((age - avg(age) OVER ()) / stddev_pop(age) OVER (), 2) + "
+          "pow((satisfaction_score - avg(satisfaction_score) OVER ()) / stddev_pop(satisfaction_score) OVER (), 2)")
+    ones = " + ".join([f"CAST({c} = (SELECT max({c}) FROM b) AS integer)" for c in BINARY] +
+                      [f"CAST({c} IS NOT NULL AS integer)" for c in MULTI])
+    return O.with_clean(f"SELECT client_id, CAST({width} AS integer) AS width, "
+                        f"{O.rnd(f'{zs} + {ones}', 6)} AS sq_norm FROM b")
+
+
+@query("feature_vector_norm", _norm_sql())
+def q_feature_vector_norm(spark, sf):
+    fm, b = _encoded(spark, sf)
+    x = fm.transform(b)
+    return x.select("client_id", F.size("features").alias("width"), S.fixed_round(squared_norm("features"), 6).alias("sq_norm"))
+
+
+# ───────────────────────── scoring, Lloyd step, WCSS (K3, K9) ─────────────────────────
+
+EMB_CTES = """e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ex AS (SELECT vec_id, label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM e),
+c AS (SELECT label AS cl, dim, avg(x) AS cx FROM ex GROUP BY label, dim),
+dd AS (SELECT ex.vec_id, ex.label, c.cl, sum((ex.x - c.cx) * (ex.x - c.cx)) AS d2
+       FROM ex JOIN c ON ex.dim = c.dim GROUP BY ex.vec_id, ex.label, c.cl),
+nn AS (SELECT vec_id, label, cl AS nearest_label FROM (
+         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cl) AS rk FROM dd) WHERE rk = 1)"""
+
+
+def _embeddings(spark, sf):
+    return T(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def _nearest(spark, sf):
+    e = _embeddings(spark, sf)
+    groups, centers = KM.collect_centers(KM.array_mean_by(e, "label", "v"), "label")
+    out = KM.assign(e, centers, "v", "_idx")
+    names = F.array(*[F.lit(g) for g in groups])
+    return out.withColumn("nearest_label", F.element_at(names, F.col("_idx") + 1)).drop("_idx")
+
+
+@query("nearest_centroid", f"WITH {EMB_CTES} SELECT vec_id, label, nearest_label FROM nn")
+def q_nearest_centroid(spark, sf):
+    return _nearest(spark, sf).select("vec_id", "label", "nearest_label")
+
+
+@query("lloyd_step", f"""WITH {EMB_CTES}
+SELECT nn.nearest_label AS nearest_label, ex.dim AS dim, {O.rnd('avg(ex.x)', 6)} AS value
+FROM ex JOIN nn USING (vec_id) GROUP BY nn.nearest_label, ex.dim""")
+def q_lloyd_step(spark, sf):
+    long = KM.array_mean_by(_nearest(spark, sf), "nearest_label", "v")
+    return long.select("nearest_label", F.col("dim").cast("bigint").alias("dim"), S.fixed_round("value", 6).alias("value"))
+
+
+@query("wcss", f"""WITH {EMB_CTES}
+SELECT label, count(*) AS n, {O.rnd('sum(d2)', 6)} AS wcss FROM dd WHERE cl = label GROUP BY label""")
+def q_wcss(spark, sf):
+    w = KM.wcss_by_label(_embeddings(spark, sf), "v", "label")
+    return w.select("label", "n", S.fixed_round("wcss", 6).alias("wcss"))
+
+
+# ───────────────────────── model choice (K5, K6) ─────────────────────────
+
+KT_SQL = f"""kt AS (SELECT p_size AS k, {O.rnd('avg(p_retailprice) / 1000.0', 6)} AS silhouette,
+                     sum(p_retailprice) AS inertia FROM part GROUP BY p_size),
+nrm AS (SELECT k, inertia / first_value(inertia) OVER (ORDER BY k) AS norm FROM kt),
+df1 AS (SELECT k, norm - lag(norm) OVER (ORDER BY k) AS d1 FROM nrm),
+df2 AS (SELECT k, d1 - lag(d1) OVER (ORDER BY k) AS d2 FROM df1),
+el AS (SELECT CAST(CASE WHEN (SELECT count(*) FROM kt) < 4 THEN 4
+                   ELSE (SELECT k FROM df2 WHERE d2 IS NOT NULL ORDER BY d2 DESC, k LIMIT 1) END AS integer) AS elbow_k)"""
+
+
+def _k_table(spark, sf):
+    return (T(spark, sf, "part").groupBy("p_size")
+            .agg(S.fixed_round(F.avg("p_retailprice") / 1000.0, 6).alias("silhouette"),
+                 F.sum("p_retailprice").alias("inertia"))
+            .withColumnRenamed("p_size", "k"))
+
+
+@query("knee_point", f"WITH {KT_SQL} SELECT elbow_k FROM el")
+def q_knee_point(spark, sf):
+    return MS.knee_point(_k_table(spark, sf))
+
+
+@query("choose_k", f"""WITH {KT_SQL},
+rr AS (SELECT k, silhouette, row_number() OVER (ORDER BY silhouette DESC, k) AS rk FROM kt),
+t AS (SELECT max(CASE WHEN rk = 1 THEN k END) AS w, max(CASE WHEN rk = 2 THEN k END) AS ru,
+             max(CASE WHEN rk = 1 THEN silhouette END) AS s1, max(CASE WHEN rk = 2 THEN silhouette END) AS s2 FROM rr)
+SELECT CAST(CASE WHEN s1 - s2 < 0.02 THEN 4 ELSE w END AS integer) AS k, CAST(w AS integer) AS winner,
+       CAST(ru AS integer) AS runner_up, s1 - s2 AS gap, elbow_k,
+       CASE WHEN s1 - s2 < 0.02 THEN 'ambiguous' WHEN w = elbow_k THEN 'agree' ELSE 'silhouette' END AS decision
+FROM t, el""")
+def q_choose_k(spark, sf):
+    return MS.choose_k(_k_table(spark, sf))
+
+
+# ───────────────────────── validation (V1-V5) ─────────────────────────
+
+def _sil_sql(squared: bool) -> str:
+    dist = "pow(list_distance(a.v, b.v), 2)" if squared else "list_distance(a.v, b.v)"
+    return f"""WITH e AS (SELECT vec_id, CAST(label AS varchar) AS label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.vec_id, a.label AS own, b.label AS cl, sum({dist}) AS dsum, count(*) AS cnt
+      FROM e a CROSS JOIN e b GROUP BY a.vec_id, a.label, b.label),
+s AS (SELECT vec_id, max(CASE WHEN cl = own AND cnt > 1 THEN dsum / (cnt - 1) END) AS a,
+             max(CASE WHEN cl = own THEN cnt END) AS oc, min(CASE WHEN cl <> own THEN dsum / cnt END) AS b
+      FROM p GROUP BY vec_id)
+SELECT 'label' AS labelling,
+       {O.rnd('avg(CASE WHEN oc <= 1 OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 6)} AS silhouette
+FROM s"""
+
+
+@query("silhouette_exact", _sil_sql(False))
+def q_silhouette_exact(spark, sf):
+    e = T(spark, sf, "embeddings")
+    s = V.silhouette_exact(e, "embedding", ["label"], "vec_id", block_rows=128)
+    return s.select("labelling", S.fixed_round("silhouette", 6).alias("silhouette"))
+
+
+@query("silhouette_sq", _sil_sql(True))
+def q_silhouette_sq(spark, sf):
+    val = V.silhouette_squared(T(spark, sf, "embeddings"), "embedding", "label")
+    return spark.createDataFrame([("label", val)], "labelling string, silhouette double").select(
+        "labelling", S.fixed_round("silhouette", 6).alias("silhouette"))
+
+
+def _ari_nmi_sql(truth: str, pred: str) -> str:
+    return f"""c AS (SELECT {truth} AS t, {pred} AS p, count(*) AS n FROM b
+           WHERE {truth} IS NOT NULL AND {pred} IS NOT NULL GROUP BY ALL),
+x AS (SELECT sum(n * (n - 1) / 2.0) AS S, sum(n) AS N FROM c),
+ta AS (SELECT t, sum(n) AS a FROM c GROUP BY t), pb AS (SELECT p, sum(n) AS b FROM c GROUP BY p),
+aa AS (SELECT sum(a * (a - 1) / 2.0) AS A, count(*) AS kt FROM ta),
+bb2 AS (SELECT sum(b * (b - 1) / 2.0) AS B, count(*) AS kp FROM pb),
+mi AS (SELECT sum(c.n / x.N * ln(c.n * x.N / (ta.a * pb.b))) AS mi FROM c JOIN ta USING (t) JOIN pb USING (p), x),
+ht AS (SELECT -sum(a / x.N * ln(a / x.N)) AS h FROM ta, x), hp AS (SELECT -sum(b / x.N * ln(b / x.N)) AS h FROM pb, x),
+res AS (SELECT CASE WHEN (A + B) / 2.0 - A * B / (N * (N - 1) / 2.0) = 0 THEN 1.0
+                    ELSE (S - A * B / (N * (N - 1) / 2.0)) / ((A + B) / 2.0 - A * B / (N * (N - 1) / 2.0)) END AS ari,
+               CASE WHEN kt = 1 AND kp = 1 THEN 1.0 WHEN abs(mi) <= 1e-15 THEN 0.0
+                    ELSE greatest(mi, 0.0) / ((ht.h + hp.h) / 2.0) END AS nmi
+        FROM x, aa, bb2, mi, ht, hp)"""
+
+
+@query("ari", "WITH " + O.clean_ctes() + ", " + _ari_nmi_sql("cohort_label", "loan_applied")
+       + f" SELECT {O.rnd('ari', 6)} AS ari FROM res")
+def q_ari(spark, sf):
+    return V.ari_nmi(B(spark, sf), "cohort_label", "loan_applied").select(S.fixed_round("ari", 6).alias("ari"))
+
+
+@query("nmi", "WITH " + O.clean_ctes() + ", " + _ari_nmi_sql("cohort_label", "loan_applied")
+       + f" SELECT {O.rnd('nmi', 6)} AS nmi FROM res")
+def q_nmi(spark, sf):
+    return V.ari_nmi(B(spark, sf), "cohort_label", "loan_applied").select(S.fixed_round("nmi", 6).alias("nmi"))
+
+
+COMPARED = {"client_type": "client_type", "loan_applied": "loan_applied", "referral_channel": "referral_channel"}
+
+
+@query("model_comparison", "WITH " + O.clean_ctes() + ", " + " UNION ALL ".join(
+    f"SELECT * FROM (WITH {_ari_nmi_sql('cohort_label', c)} SELECT '{name}' AS model, {O.rnd('ari', 6)} AS ari, "
+    f"{O.rnd('nmi', 6)} AS nmi FROM res)" for name, c in COMPARED.items()).join(["SELECT * FROM (", ")"]))
+def q_model_comparison(spark, sf):
+    return V.model_comparison(B(spark, sf), "cohort_label", COMPARED)

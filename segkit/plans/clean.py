@@ -56,3 +56,15 @@ def clean_buyers(raw: DataFrame, imputer: ImputeModel | None = None, order_by=()
     if order_by:
         out = out.drop(*order_by)
     return CleanResult(out, model)
+
+
+def imputer_fill_dict(model: ImputeModel) -> dict:
+    """Fitted fill values in a plain dict (for persistence and the streaming scorer)."""
+    out = dict(model.global_fills)
+    for r in model.rules:
+        if r.target == "gender":
+            out["gender_corporate"] = r.value
+    for target, _w, v in model.conditional:
+        if target == "gender":
+            out["gender_individual"] = v
+    return out
