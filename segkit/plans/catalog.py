@@ -905,3 +905,122 @@ COMPARED = {"client_type": "client_type", "loan_applied": "loan_applied", "refer
     f"{O.rnd('nmi', 6)} AS nmi FROM res)" for name, c in COMPARED.items()).join(["SELECT * FROM (", ")"]))
 def q_model_comparison(spark, sf):
     return V.model_comparison(B(spark, sf), "cohort_label", COMPARED)
+
+
+# ───────────────────────── clustering, persistence, streaming (rows-only) ─────────────────────────
+
+from segkit.plans import segmentation as SG  # noqa: E402
+
+FINAL_K = 4
+
+
+def _features_table(spark, sf):
+    clean = clean_buyers(buyers_raw(spark, sf))
+    fm, X = SG.encode(clean.df)
+    return fm, SG.materialise(X), clean.imputer
+
+
+@query("kmeans_fit")
+def q_kmeans_fit(spark, sf):
+    """K1: best of 20 restarts at k=4; labelled rows."""
+    _fm, X, _ = _features_table(spark, sf)
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=20, max_iter=500)[FINAL_K]
+    return KM.assign(X, run.centers, "features", "kmeans_cluster").select(SG.KEY, SG.LABEL, "kmeans_cluster")
+
+
+@query("kmeans_convergence")
+def q_kmeans_convergence(spark, sf):
+    """K4: iterations, cost and size per cluster of the chosen run."""
+    _fm, X, _ = _features_table(spark, sf)
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=10, max_iter=500)[FINAL_K]
+    rows = [(c, int(n), float(run.cost), int(run.n_iter), bool(run.converged)) for c, n in enumerate(run.sizes)]
+    return spark.createDataFrame(rows, "cluster int, size bigint, cost double, n_iter int, converged boolean")
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf):
+    """K2 + V1: k = 2..8, 10 restarts each, exact silhouette for all k in one job."""
+    _fm, X, _ = _features_table(spark, sf)
+    _runs, table = SG.k_sweep(X, range(2, 9), n_init=10, max_iter=300)
+    return spark.createDataFrame([(int(k), float(s), float(i), int(n), m) for k, s, i, n, m in table],
+                                 "k int, silhouette double, inertia double, n_iter int, metric string")
+
+
+@query("ward_micro")
+def q_ward_micro(spark, sf):
+    """K7: Ward over micro-clusters, cut at k=4; labelled rows."""
+    _fm, X, _ = _features_table(spark, sf)
+    from segkit.operators.ward import fit_ward
+    w = fit_ward(X, "features", SG.KEY, FINAL_K)
+    return w.transform(X, "features", "agglomerative_cluster").select(SG.KEY, SG.LABEL, "agglomerative_cluster")
+
+
+@query("linkage")
+def q_linkage(spark, sf):
+    """K8: merge table (step, left, right, distance, size)."""
+    _fm, X, _ = _features_table(spark, sf)
+    from segkit.operators.ward import fit_ward
+    return fit_ward(X, "features", SG.KEY, FINAL_K).linkage_frame(spark)
+
+
+@query("bisecting")
+def q_bisecting(spark, sf):
+    """Pure-ML divisive alternative: Spark ML BisectingKMeans at k=4."""
+    from pyspark.ml.clustering import BisectingKMeans
+    from segkit.operators.features import to_vector
+    _fm, X, _ = _features_table(spark, sf)
+    vec = to_vector(X, "features", "fv")
+    model = BisectingKMeans(k=FINAL_K, seed=42, featuresCol="fv", predictionCol="bisecting_cluster").fit(vec)
+    return model.transform(vec).select(SG.KEY, SG.LABEL, "bisecting_cluster")
+
+
+@query("save_load_score")
+def q_save_load_score(spark, sf):
+    """S5 + S6 + K9: save artefacts, load them back, score; ``same`` checks the round trip."""
+    from segkit.plans.clean import imputer_fill_dict
+    from segkit.sources.artifacts import load_models, save_models
+    from segkit.streaming.scoring import score
+    fm, X, imp = _features_table(spark, sf)
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=5, max_iter=300)[FINAL_K]
+    path = scratch_path(spark, "models")
+    save_models(spark, path, fm, run, imputer_fills=imputer_fill_dict(imp))
+    loaded = load_models(spark, path)
+    before = KM.assign(X, run.centers, "features", "before").select(SG.KEY, "before")
+    raw_new = dedup_buyers(buyers_raw(spark, sf))
+    after = score(raw_new, loaded["features"], loaded["kmeans"], loaded["imputer"])
+    return after.join(before, SG.KEY).select(SG.KEY, "cluster", (F.col("cluster") == F.col("before")).alias("same"))
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Structured Streaming scorer over new buyer files (availableNow trigger)."""
+    from segkit.plans.clean import imputer_fill_dict
+    from segkit.streaming.scoring import score_stream
+    fm, X, imp = _features_table(spark, sf)
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=5, max_iter=300)[FINAL_K]
+    incoming = scratch_path(spark, "incoming")
+    new_rows = dedup_buyers(buyers_raw(spark, sf))
+    new_rows.repartition(4).write.mode("overwrite").parquet(incoming)
+    sink, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored-ckpt")
+    q = score_stream(spark, incoming, new_rows.schema, fm, run, sink, ckpt, imputer_fill_dict(imp),
+                     max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+@query("segmentation_report")
+def q_segmentation_report(spark, sf):
+    """V6: full run (k sweep → choice → k-means + Ward); k-means cluster profile with top country."""
+    seg = SG.segment(buyers_raw(spark, sf))
+    return SG.cluster_report(seg, "kmeans_cluster")
+
+
+@query("export_labelled")
+def q_export_labelled(spark, sf):
+    """Labelled table (clean columns + truth + both model labels) to CSV and back."""
+    seg = SG.segment(buyers_raw(spark, sf), n_init_sweep=3, n_init_final=5)
+    cols = [c for c in seg.labelled.columns if c != "features"]
+    path = scratch_path(spark, "labelled")
+    csv_io.write_csv(seg.labelled.select(*cols), path)
+    schema = seg.labelled.select(*cols).schema
+    return csv_io.read_csv(spark, path, schema)
