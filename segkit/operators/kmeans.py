@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from segkit.operators.profile import fixed_sample
 
 INIT_SAMPLE_ROWS = 20_000
-EXPR_MAX_CELLS = 4096  # k*d above this → Arrow/numpy assignment instead of an expression
+EXPR_MAX_CELLS = 1024  # k*d above this → Arrow/numpy assignment instead of an expression
 
 
 @dataclass
@@ -50,21 +50,46 @@ def sample_rows(df: DataFrame, features: str, key: str, n: int = INIT_SAMPLE_ROW
 
 
 def kmeanspp(X: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding on a local (bounded) sample."""
+    """k-means++ seeding on a local (bounded) sample; distances via one mat-vec per step."""
     n = X.shape[0]
-    centers = [X[rng.integers(n)]]
-    d2 = ((X - centers[0]) ** 2).sum(1)
+    xn = (X ** 2).sum(1)
+    idx = [int(rng.integers(n))]
+    d2 = np.maximum(xn - 2.0 * (X @ X[idx[0]]) + xn[idx[0]], 0.0)
     for _ in range(1, k):
         total = d2.sum()
-        idx = rng.integers(n) if total <= 0 else int(np.searchsorted(np.cumsum(d2), rng.random() * total))
-        idx = min(idx, n - 1)
-        centers.append(X[idx])
-        d2 = np.minimum(d2, ((X - X[idx]) ** 2).sum(1))
-    return np.array(centers)
+        i = int(rng.integers(n)) if total <= 0 else int(np.searchsorted(np.cumsum(d2), rng.random() * total))
+        i = min(i, n - 1)
+        idx.append(i)
+        d2 = np.minimum(d2, np.maximum(xn - 2.0 * (X @ X[i]) + xn[i], 0.0))
+    return X[idx].copy()
+
+
+def arrow_matrix(col, d: int | None = None) -> np.ndarray:
+    """(n, d) float64 matrix from an Arrow list<double/float> column (no per-row objects)."""
+    import pyarrow as pa
+    if isinstance(col, pa.ChunkedArray):
+        col = pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, d or 0))
+    if col.null_count:
+        raise ValueError("null feature vector")
+    offsets = col.offsets.to_numpy()
+    width = int(offsets[1] - offsets[0])
+    if not np.all(np.diff(offsets) == width):
+        raise ValueError("feature vectors differ in length")
+    values = col.values.slice(int(offsets[0]), n * width).to_numpy(zero_copy_only=False)
+    return values.astype(np.float64, copy=False).reshape(n, width)
 
 
 def _partial_sums_fn(run_centers: list, features: str, d: int):
-    """mapInPandas body: per-partition (run, cluster) sums, counts and costs."""
+    """mapInArrow body: per-partition (run, cluster) sums, counts and costs.
+
+    One distance matrix for all runs' centres, one 0/1 assignment matrix, one
+    matrix product for the sums — the only Python loop is an argmin per run.
+    """
+    import pyarrow as pa
+
     all_c = np.vstack([c for _, c in run_centers]) if run_centers else np.zeros((0, d))
     bounds, a = [], 0
     for rid, c in run_centers:
@@ -77,29 +102,26 @@ def _partial_sums_fn(run_centers: list, features: str, d: int):
         acc_s = np.zeros((tot, d))
         acc_n = np.zeros(tot, dtype=np.int64)
         acc_cost = np.zeros(tot)
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            X = _stack(pdf[features])
+            X = arrow_matrix(batch.column(0), d)
             G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
+            n = X.shape[0]
+            rows = np.arange(n)
+            A = np.zeros((n, tot))
             for _, lo, hi in bounds:
-                j = np.argmin(G[:, lo:hi], axis=1)
-                diff = X - all_c[lo:hi][j]
-                dist = (diff * diff).sum(1)
-                kk = hi - lo
-                acc_n[lo:hi] += np.bincount(j, minlength=kk)
-                acc_cost[lo:hi] += np.bincount(j, weights=dist, minlength=kk)
-                onehot = np.zeros((X.shape[0], kk))
-                onehot[np.arange(X.shape[0]), j] = 1.0
-                acc_s[lo:hi] += onehot.T @ X
+                A[rows, lo + np.argmin(G[:, lo:hi], axis=1)] = 1.0
+            acc_n += A.sum(0).astype(np.int64)
+            acc_cost += (A * np.maximum(G, 0.0)).sum(0)
+            acc_s += A.T @ X
         run_ids = np.concatenate([np.full(hi - lo, rid, dtype=np.int32) for rid, lo, hi in bounds])
         clusters = np.concatenate([np.arange(hi - lo, dtype=np.int32) for _, lo, hi in bounds])
-        cols = {"run": run_ids, "cluster": clusters, "n": acc_n, "cost": acc_cost}
-        cols.update({f"s{i}": acc_s[:, i] for i in range(d)})
-        out = pd.DataFrame(cols)
-        out = out[out["n"] > 0]
-        if len(out):
-            yield out
+        keep = acc_n > 0
+        cols = {"run": run_ids[keep], "cluster": clusters[keep], "n": acc_n[keep], "cost": acc_cost[keep]}
+        cols.update({f"s{i}": acc_s[keep, i] for i in range(d)})
+        if keep.any():
+            yield pa.RecordBatch.from_pydict(cols)
     return fn
 
 
@@ -117,7 +139,8 @@ DIRECT_REDUCE_ROWS = 50_000
 
 def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int) -> dict:
     """One distributed assignment pass: {run: (sums k×d, counts k, costs k)}."""
-    partial = df.select(features).mapInPandas(_partial_sums_fn(run_centers, features, d), _partial_schema(d))
+    partial = (df.select(F.col(features).cast("array<double>").alias(features))
+                 .mapInArrow(_partial_sums_fn(run_centers, features, d), _partial_schema(d)))
     out = {rid: (np.zeros((c.shape[0], d)), np.zeros(c.shape[0], dtype=np.int64), np.zeros(c.shape[0]))
            for rid, c in run_centers}
     total_k = sum(c.shape[0] for _, c in run_centers)
@@ -142,12 +165,24 @@ def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int) -> dict:
 
 
 def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, max_iter: int = 300,
-                 tol: float = 1e-4, seed: int = 42, init_rows: int = INIT_SAMPLE_ROWS) -> dict:
+                 tol: float = 1e-4, seed: int = 42, init_rows: int | None = None) -> dict:
     """Fit every k in ``ks`` with ``n_init`` restarts; return {k: best KMeansRun}.
 
     ``df`` should be persisted by the caller (it is scanned once per iteration).
     """
-    ks = list(ks)
+    return kmeans_specs(df, features, key, [(k, n_init, max_iter) for k in ks], tol, seed, init_rows)
+
+
+def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42,
+                 init_rows: int | None = None) -> dict:
+    """Like ``kmeans_multi`` but each k has its own (restarts, max_iter): ``[(k, n_init, max_iter)]``.
+
+    All runs of all specs share the same passes over the data.
+    """
+    specs = [(int(k), int(r), int(m)) for k, r, m in specs]
+    ks = [k for k, _, _ in specs]
+    # k-means++ seeding sample: bounded; ~32 rows per centre for large k
+    init_rows = init_rows or min(INIT_SAMPLE_ROWS, max(4096, 32 * max(ks)))
     sample = sample_rows(df, features, key, init_rows)
     if sample.shape[0] == 0:
         raise ValueError("no rows to cluster")
@@ -155,15 +190,17 @@ def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, m
     tol_abs = tol * float(np.mean(np.var(sample, axis=0))) if sample.shape[0] > 1 else tol
     runs = {}
     rid = 0
-    for k in ks:
+    for k, n_init, max_iter in specs:
         if k > sample.shape[0]:
             raise ValueError(f"k={k} exceeds the number of sampled rows")
         for r in range(n_init):
             rng = np.random.default_rng(seed + 1000 * k + r)
-            runs[rid] = dict(k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0, converged=False)
+            runs[rid] = dict(k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0, converged=False,
+                             max_iter=max_iter)
             rid += 1
-    for _ in range(max_iter):
-        active = [(i, v["centers"]) for i, v in runs.items() if not v["converged"]]
+    while True:
+        active = [(i, v["centers"]) for i, v in runs.items()
+                  if not v["converged"] and v["n_iter"] < v["max_iter"]]
         if not active:
             break
         sums = lloyd_pass(df, features, active, d)
@@ -223,6 +260,32 @@ def nearest_center_udf(centers: np.ndarray):
     return nearest
 
 
+def assign_many(df: DataFrame, center_sets: dict, features: str = "features") -> DataFrame:
+    """Label rows against several centre sets in ONE Arrow-batched pass.
+
+    ``center_sets`` maps output column → centres; the distances to all centres
+    come from a single matrix product per batch.
+    """
+    names = list(center_sets)
+    mats = [np.asarray(center_sets[n], dtype=np.float64) for n in names]
+    all_c = np.vstack(mats)
+    cn = (all_c ** 2).sum(1)
+    bounds = np.cumsum([0] + [m.shape[0] for m in mats])
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def nearest_all(col: pd.Series) -> pd.Series:
+        X = _stack(col)
+        if X.shape[0] == 0:
+            return pd.Series([], dtype=object)
+        G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
+        lab = np.stack([np.argmin(G[:, bounds[i]:bounds[i + 1]], axis=1) for i in range(len(names))], axis=1)
+        return pd.Series(list(lab.astype(np.int32)))
+
+    tmp = "_labels"
+    out = df.withColumn(tmp, nearest_all(F.col(features)))
+    return out.withColumns({n: F.col(tmp)[i] for i, n in enumerate(names)}).drop(tmp)
+
+
 def assign(df: DataFrame, centers: np.ndarray, features: str = "features", output: str = "prediction") -> DataFrame:
     """Label each row with its nearest centre."""
     c = np.asarray(centers)

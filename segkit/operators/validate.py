@@ -27,29 +27,41 @@ BLOCK_ROWS = 2048
 EXACT_MAX_ROWS = 200_000
 
 
-def _block_fn(key: str, features: str, labels: list):
+def _block_fn(key: str, features: str, labels: list, label_type: str):
+    """Cogroup body for one (left block, right block) pair.
+
+    Left rows are identified by their position in the key-sorted left block, which
+    is the same for every right block, so no key text travels through Arrow.
+    """
     import pandas as pd
 
+    cast = np.int64 if label_type == "bigint" else str
+
     def fn(_k, left: pd.DataFrame, right: pd.DataFrame):
         if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"key": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []})
+            return pd.DataFrame({"lb": [], "i": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []})
+        left = left.sort_values(key, kind="stable")
+        lb = int(_k[0])
         XL, XR = _stack(left[features]), _stack(right[features])
         g = (XL ** 2).sum(1)[:, None] + (XR ** 2).sum(1)[None, :] - 2.0 * (XL @ XR.T)
         D = np.sqrt(np.clip(g, 0.0, None))
+        nl = XL.shape[0]
+        idx = np.arange(nl, dtype=np.int32)
         parts = []
         for j, lab in enumerate(labels):
-            rl = right[lab].astype(str).to_numpy()
+            rl = right[lab].to_numpy().astype(cast)
             uniq, inv = np.unique(rl, return_inverse=True)
             onehot = np.zeros((len(rl), len(uniq)))
             onehot[np.arange(len(rl)), inv] = 1.0
             sums = D @ onehot
             cnts = onehot.sum(0).astype(np.int64)
-            nl = XL.shape[0]
+            u = len(uniq)
             parts.append(pd.DataFrame({
-                "key": np.repeat(left[key].to_numpy(), len(uniq)),
-                "j": np.full(nl * len(uniq), j, dtype=np.int32),
+                "lb": np.full(nl * u, lb, dtype=np.int32),
+                "i": np.repeat(idx, u),
+                "j": np.full(nl * u, j, dtype=np.int32),
                 "cluster": np.tile(uniq, nl),
-                "own": np.repeat(left[lab].astype(str).to_numpy(), len(uniq)),
+                "own": np.repeat(left[lab].to_numpy().astype(cast), u),
                 "dsum": sums.reshape(-1),
                 "cnt": np.tile(cnts, nl)}))
         return pd.concat(parts, ignore_index=True)
@@ -58,29 +70,31 @@ def _block_fn(key: str, features: str, labels: list):
 
 def silhouette_rows(df: DataFrame, features: str, labels, key: str, block_rows: int = BLOCK_ROWS,
                     n_rows: int | None = None) -> DataFrame:
-    """Per-row exact silhouette for every labelling: (key, j, s)."""
+    """Per-row exact silhouette for every labelling: (lb, i, j, s); ``key`` must be unique."""
     labels = list(labels)
     n = n_rows if n_rows is not None else df.count()
     nb = max(1, math.ceil(n / block_rows))
-    key_type = df.schema[key].dataType.simpleString()
+    integral = all(isinstance(df.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+                   for c in labels)
+    label_type = "bigint" if integral else "string"
     base = df.select(key, F.col(features).cast("array<double>").alias(features),
-                     *[F.col(c).cast("string").alias(c) for c in labels],
+                     *[F.col(c).cast(label_type).alias(c) for c in labels],
                      F.pmod(F.xxhash64(key), F.lit(nb)).cast("int").alias("_blk"))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
     left = base.select(F.col("_blk").alias("lb"), blocks.alias("rb"), key, features, *labels)
-    right = base.select(blocks.alias("lb"), F.col("_blk").alias("rb"), key, features, *labels)
-    schema = f"key {key_type}, j int, cluster string, own string, dsum double, cnt bigint"
+    right = base.select(blocks.alias("lb"), F.col("_blk").alias("rb"), features, *labels)
+    schema = (f"lb int, i int, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint")
     sums = (left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
-                .applyInPandas(_block_fn(key, features, labels), schema))
-    per = sums.groupBy("key", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+                .applyInPandas(_block_fn(key, features, labels, label_type), schema))
+    per = sums.groupBy("lb", "i", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("cluster") == F.col("own")
-    pt = per.groupBy("key", "j").agg(
+    pt = per.groupBy("lb", "i", "j").agg(
         F.max(F.when(own, F.try_divide(F.col("dsum"), F.col("cnt") - 1))).alias("a"),
         F.max(F.when(own, F.col("cnt"))).alias("own_cnt"),
         F.min(F.when(~own, F.col("dsum") / F.col("cnt"))).alias("b"))
     s = (F.when(F.col("own_cnt") <= 1, F.lit(0.0))
           .otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))))
-    return pt.select(F.col("key").alias(key), "j", F.coalesce(s, F.lit(0.0)).alias("s"))
+    return pt.select("lb", "i", "j", F.coalesce(s, F.lit(0.0)).alias("s"))
 
 
 def silhouette_exact(df: DataFrame, features: str, labels, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:

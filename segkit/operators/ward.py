@@ -97,16 +97,31 @@ def cut(linkage: list, m: int, k: int) -> np.ndarray:
 
 
 def fit_ward(df: DataFrame, features: str, key: str, k: int, micro: int = MICRO_CLUSTERS,
-             seed: int = 42, max_iter: int = 100) -> WardModel:
+             seed: int = 42, max_iter: int = 30) -> WardModel:
+    """``max_iter`` bounds the micro-cluster k-means: it only summarises the rows."""
+    centers, sizes = micro_summary(df, features, key, micro, seed, max_iter)
+    return ward_from_micro(centers, sizes, k)
+
+
+def micro_summary(df: DataFrame, features: str, key: str, micro: int = MICRO_CLUSTERS, seed: int = 42,
+                  max_iter: int = 30, run: KM.KMeansRun | None = None):
+    """(centres, sizes) of at most ``micro`` weighted micro-clusters.
+
+    ``run`` may carry a micro-cluster k-means fitted elsewhere (e.g. in the same
+    passes as another model); small inputs use their distinct rows exactly.
+    """
     n = df.limit(micro + 1).count()
     if n <= micro:
         pts = df.groupBy(features).agg(F.count(F.lit(1)).alias("n")).collect()
-        centers = np.array([np.asarray(r[features], dtype=np.float64) for r in pts])
-        sizes = np.array([r["n"] for r in pts], dtype=np.float64)
-    else:
+        return (np.array([np.asarray(r[features], dtype=np.float64) for r in pts]),
+                np.array([r["n"] for r in pts], dtype=np.float64))
+    if run is None:
         run = KM.kmeans_multi(df, features, key, [micro], n_init=1, max_iter=max_iter, seed=seed)[micro]
-        keep = np.array(run.sizes) > 0
-        centers, sizes = run.centers[keep], np.array(run.sizes, dtype=np.float64)[keep]
+    keep = np.array(run.sizes) > 0
+    return run.centers[keep], np.array(run.sizes, dtype=np.float64)[keep]
+
+
+def ward_from_micro(centers: np.ndarray, sizes: np.ndarray, k: int) -> WardModel:
     m = centers.shape[0]
     if k > m:
         raise ValueError(f"k={k} exceeds the number of micro-clusters ({m})")

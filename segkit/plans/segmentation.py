@@ -22,7 +22,7 @@ from segkit.operators.features import FeatureModel, fit_features
 from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k
 from segkit.operators.profile import profile_with_top
 from segkit.operators.validate import silhouette_auto
-from segkit.operators.ward import MICRO_CLUSTERS, WardModel, fit_ward
+from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
 from segkit.plans.clean import clean_buyers
 from segkit.session import ensure_checkpoint_dir
 from segkit.sources.fixtures import buyers_raw
@@ -31,6 +31,7 @@ NUMERIC = ["age", "satisfaction_score"]
 CATEGORICAL = ["client_type", "acquisition_purpose", "loan_applied", "gender", "country", "region",
                "referral_channel"]
 KEY = "client_id"
+MICRO_MAX_ITER = 30
 LABEL = "cohort_label"
 
 
@@ -70,10 +71,10 @@ def materialise(df: DataFrame, key: str = KEY, partitions: int | None = None) ->
 def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int = 42,
             features: str = "features", key: str = KEY):
     runs = KM.kmeans_multi(X, features, key, ks, n_init=n_init, max_iter=max_iter, seed=seed)
-    labelled = X.select(key, features)
-    for k, run in runs.items():
-        labelled = KM.assign(labelled, run.centers, features, f"k{k}")
+    labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
+                              features).persist()
     sil, metric = silhouette_auto(labelled, features, [f"k{k}" for k in runs], key)
+    labelled.unpersist()
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
     return runs, table
 
@@ -82,23 +83,39 @@ def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final
             max_iter_sweep: int = 300, max_iter_final: int = 500, default_k: int = DEFAULT_K,
             gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS, seed: int = 42,
             with_ward: bool = True) -> Segmentation:
+    import time
     spark = raw.sparkSession
+    times = {}
+    t0 = time.time()
     clean = clean_buyers(raw)
+    times["clean"] = time.time() - t0
     fm, X = encode(clean.df)
+    times["encode"] = time.time() - t0 - sum(times.values())
     X = materialise(X)
+    times["materialise"] = time.time() - t0 - sum(times.values())
     runs, table = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed)
+    times["sweep"] = time.time() - t0 - sum(times.values())
     kt = spark.createDataFrame([(int(k), float(s), float(i)) for k, s, i, _, _ in table],
                                "k int, silhouette double, inertia double")
     decision = choose_k(kt, default_k=default_k, gap=gap).first().asDict()
     k = int(decision["k"])
-    final = KM.kmeans_multi(X, "features", KEY, [k], n_init=n_init_final, max_iter=max_iter_final,
-                            seed=seed + 7)[k]
+    # the final k-means and the Ward micro-clusters share the same passes over X
+    n_rows = X.limit(micro + 1).count()
+    specs = [(k, n_init_final, max_iter_final)]
+    if with_ward and n_rows > micro and micro != k:
+        specs.append((micro, 1, MICRO_MAX_ITER))
+    times["choose"] = time.time() - t0 - sum(times.values())
+    fitted = KM.kmeans_specs(X, "features", KEY, specs, seed=seed + 7)
+    final = fitted[k]
+    times["final"] = time.time() - t0 - sum(times.values())
     labelled = KM.assign(X, final.centers, "features", "kmeans_cluster")
     ward = None
     if with_ward:
-        ward = fit_ward(X, "features", KEY, k, micro=micro, seed=seed)
+        centers, sizes = micro_summary(X, "features", KEY, micro, run=fitted.get(micro))
+        ward = ward_from_micro(centers, sizes, k)
         labelled = ward.transform(labelled, "features", "agglomerative_cluster")
-    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer)
+    times["ward"] = time.time() - t0 - sum(times.values())
+    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer, extra={"seconds": times})
 
 
 def cluster_report(seg: Segmentation, cluster_col: str = "kmeans_cluster") -> DataFrame:
