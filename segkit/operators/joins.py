@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the side is
-    returned unhinted and Spark plans a shuffle join (AQE may still convert it).
+    ``known_rows`` is a bound proven by construction (e.g. the side is a
+    ``limit(n)``); otherwise a check reads at most ``max_rows + 1`` rows.  Beyond
+    the bound the side is returned unhinted and Spark plans a shuffle join (AQE
+    may still convert it at run time).
     """
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -25,9 +30,10 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
     return df.join(bounded_broadcast(dim, max_rows), on=on, how=how)
 
 
-def semi_join(df: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def semi_join(df: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS,
+              known_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key appears in ``keys``."""
-    return df.join(bounded_broadcast(keys, max_rows), on=on, how="left_semi")
+    return df.join(bounded_broadcast(keys, max_rows, known_rows), on=on, how="left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

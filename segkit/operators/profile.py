@@ -97,10 +97,9 @@ def share_within(df: DataFrame, group: str, col: str, digits: int = 1) -> DataFr
 
 def share_total(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
     """Count of each value and its share of all (non-null) rows (%)."""
-    src = df.where(F.col(col).isNotNull())
-    total = src.select(count_rows()).scalar()
-    return (src.groupBy(col).agg(count_rows().alias(N))
-            .withColumn("share_pct", fixed_round(F.col(N) * 100.0 / total, digits)))
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(count_rows().alias(N))
+    total = counts.select(F.sum(N)).scalar()  # same shuffle as ``counts``: AQE reuses it
+    return counts.withColumn("share_pct", fixed_round(F.col(N) * 100.0 / total, digits))
 
 
 def kpi_row(df: DataFrame, segment: str, score: str = "satisfaction_score",
@@ -150,7 +149,7 @@ def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 def heat_topn(df: DataFrame, row: str, col: str, n: int = 10, values=None) -> DataFrame:
     """Restrict to the top-n ``row`` values (J1 semi-join), then pivot against ``col``."""
     top = top_values(df, row, n).select(row)
-    return pivot_zero(semi_join(df, top, on=row), row, col, values)
+    return pivot_zero(semi_join(df, top, on=row, known_rows=n), row, col, values)
 
 
 def hierarchy_rollup(df: DataFrame, parent: str, child: str) -> DataFrame:

@@ -43,7 +43,7 @@ def value_share(df: DataFrame, col: str, keep_null=False) -> DataFrame:
     """Q7: value, count and share of non-null rows (%), one aggregate + a scalar subquery."""
     src = df if keep_null else df.where(F.col(col).isNotNull())
     counts = src.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = src.select(F.count(F.lit(1))).scalar()
+    total = counts.select(F.sum("n")).scalar()  # same shuffle as ``counts``: AQE reuses it
     return counts.select(col, "n", fixed_round(F.col("n") * 100.0 / total, 2).alias("share_pct"))
 
 

@@ -271,7 +271,7 @@ def q_topn_semi_join(spark, sf):
     from segkit.operators.joins import semi_join
     b = B(spark, sf)
     top = P.top_values(b, "country", 10).select("country")
-    return P.crosstab(semi_join(b, top, on="country"), "country", "cohort_label")
+    return P.crosstab(semi_join(b, top, on="country", known_rows=10), "country", "cohort_label")
 
 
 @query("dim_lookup", f"""
