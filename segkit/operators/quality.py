@@ -71,3 +71,15 @@ def assert_equal_counts(a: DataFrame, b: DataFrame) -> int:
     if na != nb:
         raise AssertionError(f"row counts differ: {na} vs {nb}")
     return na
+
+
+def group_total_check(df: DataFrame, group: str, expected_total: int | None = None) -> DataFrame:
+    """Q6: group sizes must add up to the row total (or to ``expected_total``).
+
+    One shuffle: per-group counts, then their sum; returns
+    ``(n_groups, total, expected, matches)``.
+    """
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    out = sizes.agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n").cast("bigint").alias("total"))
+    exp = F.lit(expected_total).cast("bigint") if expected_total is not None else df.select(F.count(F.lit(1))).scalar()
+    return out.select("n_groups", "total", exp.alias("expected"), (F.col("total") == exp).alias("matches"))

@@ -1024,3 +1024,38 @@ def q_export_labelled(spark, sf):
     csv_io.write_csv(seg.labelled.select(*cols), path)
     schema = seg.labelled.select(*cols).schema
     return csv_io.read_csv(spark, path, schema)
+
+
+# ───────────────────────── invariants, dashboard cache, run report (Q6, S7, V6) ─────────────────────────
+
+@query("cohort_size_total", O.with_raw("""
+SELECT CAST(count(*) AS bigint) AS n_groups, CAST(sum(n) AS bigint) AS total,
+       (SELECT count(*) FROM r) AS expected, sum(n) = (SELECT count(*) FROM r) AS matches
+FROM (SELECT cohort_label, count(*) AS n FROM r GROUP BY cohort_label)"""))
+def q_cohort_size_total(spark, sf):
+    return Q.group_total_check(buyers_raw(spark, sf), "cohort_label")
+
+
+@query("dashboard_kpi", O.with_clean(f"""
+SELECT count(*) AS rows, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+       {O.rnd(f"sum({_ind('loan_applied', 'Yes')}) * 100.0 / count(*)", 1)} AS flag_pct,
+       (SELECT 'Segment ' || CAST(referral_channel_rank AS varchar) FROM (
+           SELECT satisfaction_score AS referral_channel_rank, count(*) AS c FROM b
+           WHERE country IN ('NATION_1','NATION_2','NATION_3','NATION_4','NATION_5','NATION_6')
+           GROUP BY satisfaction_score ORDER BY c DESC, 'Segment ' || CAST(satisfaction_score AS varchar) LIMIT 1)) AS dominant,
+       {O.rnd('(SELECT max(c) FROM (SELECT count(*) AS c FROM b WHERE country IN (' + "'NATION_1','NATION_2','NATION_3','NATION_4','NATION_5','NATION_6'" + ') GROUP BY satisfaction_score)) * 100.0 / count(*)', 1)} AS dominant_pct
+FROM b WHERE country IN ('NATION_1','NATION_2','NATION_3','NATION_4','NATION_5','NATION_6')"""))
+def q_dashboard_kpi(spark, sf):
+    """S7 + F3 + A9: cached dashboard table, country selection, overview KPI (score bands as segments)."""
+    from segkit.plans.dashboard import Dashboard
+    dash = Dashboard.load(B(spark, sf), cluster="satisfaction_score")
+    sel = {"country": [f"NATION_{i}" for i in range(1, 7)], "client_type": "All"}
+    return dash.overview(sel)["kpi"]
+
+
+@query("run_report")
+def q_run_report(spark, sf):
+    """V6: validation block of the full run report (ARI, NMI, silhouette per model)."""
+    from segkit.plans.report import run_report
+    seg = SG.segment(buyers_raw(spark, sf), n_init_sweep=3, n_init_final=5)
+    return run_report(seg)["validation"]
