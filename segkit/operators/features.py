@@ -83,15 +83,14 @@ class FeatureModel:
 
 def fit_features(df: DataFrame, numeric, categorical, max_categories: int = 1000) -> FeatureModel:
     """Learn means/σ (population) and sorted category lists."""
+    from concurrent.futures import ThreadPoolExecutor
+
     numeric, categorical = list(numeric), list(categorical)
     means, scales = {}, {}
-    if numeric:
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in numeric],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in numeric]).first()
-        for c in numeric:
-            means[c] = float(row[f"m_{c}"])
-            s = row[f"s_{c}"]
-            scales[c] = float(s) if s not in (None, 0.0) and s > 0.0 else 1.0
+    pool = ThreadPoolExecutor(max_workers=2)  # the two fit jobs are independent: run them concurrently
+    moments = pool.submit(lambda: df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in numeric],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in numeric]).first()) if numeric else None
     categories = {c: [] for c in categorical}
     if categorical:
         long = (df.select(*[F.col(c).cast("string").alias(c) for c in categorical])
@@ -100,12 +99,20 @@ def fit_features(df: DataFrame, numeric, categorical, max_categories: int = 1000
         limit = max_categories * len(categorical) + 1
         rows = long.orderBy("column", "value").limit(limit).collect()
         if len(rows) >= limit:
+            pool.shutdown()
             raise ValueError("too many categories for one-hot encoding")
         for r in rows:
             categories[r["column"]].append(r["value"])
         for c, vals in categories.items():
             if len(vals) > max_categories:
                 raise ValueError(f"{c} has more than {max_categories} categories")
+    if numeric:
+        row = moments.result()
+        for c in numeric:
+            means[c] = float(row[f"m_{c}"])
+            s = row[f"s_{c}"]
+            scales[c] = float(s) if s not in (None, 0.0) and s > 0.0 else 1.0
+    pool.shutdown()
     return FeatureModel(numeric, categorical, means, scales, categories)
 
 

@@ -137,14 +137,15 @@ def _partial_schema(d: int) -> T.StructType:
 DIRECT_REDUCE_ROWS = 50_000
 
 
-def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int) -> dict:
+def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int, n_parts: int | None = None) -> dict:
     """One distributed assignment pass: {run: (sums k×d, counts k, costs k)}."""
     partial = (df.select(F.col(features).cast("array<double>").alias(features))
                  .mapInArrow(_partial_sums_fn(run_centers, features, d), _partial_schema(d)))
     out = {rid: (np.zeros((c.shape[0], d)), np.zeros(c.shape[0], dtype=np.int64), np.zeros(c.shape[0]))
            for rid, c in run_centers}
     total_k = sum(c.shape[0] for _, c in run_centers)
-    if df.rdd.getNumPartitions() * total_k <= DIRECT_REDUCE_ROWS:
+    n_parts = n_parts if n_parts is not None else df.rdd.getNumPartitions()
+    if n_parts * total_k <= DIRECT_REDUCE_ROWS:
         pdf = partial.toPandas()
         g = pdf.groupby(["run", "cluster"], sort=False).sum()
         for (rid, c), r in zip(g.index, g.itertuples(index=False)):
@@ -198,12 +199,13 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
             runs[rid] = dict(k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0, converged=False,
                              max_iter=max_iter)
             rid += 1
+    n_parts = df.rdd.getNumPartitions()
     while True:
         active = [(i, v["centers"]) for i, v in runs.items()
                   if not v["converged"] and v["n_iter"] < v["max_iter"]]
         if not active:
             break
-        sums = lloyd_pass(df, features, active, d)
+        sums = lloyd_pass(df, features, active, d, n_parts)
         for i, _c in active:
             s, n, _cost = sums[i]
             old = runs[i]["centers"]
@@ -215,7 +217,7 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
             runs[i]["n_iter"] += 1
             if shift <= tol_abs:
                 runs[i]["converged"] = True
-    final = lloyd_pass(df, features, [(i, v["centers"]) for i, v in runs.items()], d)
+    final = lloyd_pass(df, features, [(i, v["centers"]) for i, v in runs.items()], d, n_parts)
     best = {}
     for i, v in runs.items():
         _s, n, cost = final[i]

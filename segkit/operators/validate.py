@@ -23,48 +23,60 @@ from pyspark.sql import types as T
 
 from segkit.operators.kmeans import _stack
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)
 EXACT_MAX_ROWS = 200_000
 
 
 def _block_fn(key: str, features: str, labels: list, label_type: str):
-    """Cogroup body for one (left block, right block) pair.
+    """Cogroup body (Arrow tables in/out) for one (left block, right block) pair.
 
     Left rows are identified by their position in the key-sorted left block, which
-    is the same for every right block, so no key text travels through Arrow.
+    is the same for every right block, so no key text is emitted.
     """
-    import pandas as pd
-
-    cast = np.int64 if label_type == "bigint" else str
-
-    def fn(_k, left: pd.DataFrame, right: pd.DataFrame):
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"lb": [], "i": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []})
-        left = left.sort_values(key, kind="stable")
-        lb = int(_k[0])
-        XL, XR = _stack(left[features]), _stack(right[features])
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from segkit.operators.kmeans import arrow_matrix
+
+    def labels_np(tbl, lab):
+        col = tbl.column(lab)
+        return col.to_numpy() if label_type == "bigint" else np.asarray(col.to_pylist(), dtype=object)
+
+    def fn(key_vals, left: pa.Table, right: pa.Table):
+        if left.num_rows == 0 or right.num_rows == 0:
+            return pa.table({"lb": pa.array([], pa.int32()), "i": pa.array([], pa.int32()),
+                             "j": pa.array([], pa.int32()),
+                             "cluster": pa.array([], pa.int64() if label_type == "bigint" else pa.string()),
+                             "own": pa.array([], pa.int64() if label_type == "bigint" else pa.string()),
+                             "dsum": pa.array([], pa.float64()), "cnt": pa.array([], pa.int64())})
+        left = left.take(pc.sort_indices(left, sort_keys=[(key, "ascending")]))
+        lb = int(key_vals[0].as_py())
+        XL, XR = arrow_matrix(left.column(features)), arrow_matrix(right.column(features))
         g = (XL ** 2).sum(1)[:, None] + (XR ** 2).sum(1)[None, :] - 2.0 * (XL @ XR.T)
         D = np.sqrt(np.clip(g, 0.0, None))
         nl = XL.shape[0]
         idx = np.arange(nl, dtype=np.int32)
-        parts = []
+        cols = {"lb": [], "i": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []}
         for j, lab in enumerate(labels):
-            rl = right[lab].to_numpy().astype(cast)
+            rl = labels_np(right, lab)
             uniq, inv = np.unique(rl, return_inverse=True)
             onehot = np.zeros((len(rl), len(uniq)))
             onehot[np.arange(len(rl)), inv] = 1.0
             sums = D @ onehot
             cnts = onehot.sum(0).astype(np.int64)
             u = len(uniq)
-            parts.append(pd.DataFrame({
-                "lb": np.full(nl * u, lb, dtype=np.int32),
-                "i": np.repeat(idx, u),
-                "j": np.full(nl * u, j, dtype=np.int32),
-                "cluster": np.tile(uniq, nl),
-                "own": np.repeat(left[lab].to_numpy().astype(cast), u),
-                "dsum": sums.reshape(-1),
-                "cnt": np.tile(cnts, nl)}))
-        return pd.concat(parts, ignore_index=True)
+            cols["lb"].append(np.full(nl * u, lb, dtype=np.int32))
+            cols["i"].append(np.repeat(idx, u))
+            cols["j"].append(np.full(nl * u, j, dtype=np.int32))
+            cols["cluster"].append(np.tile(uniq, nl))
+            cols["own"].append(np.repeat(labels_np(left, lab), u))
+            cols["dsum"].append(sums.reshape(-1))
+            cols["cnt"].append(np.tile(cnts, nl))
+        out = {c: np.concatenate(v) for c, v in cols.items()}
+        if label_type != "bigint":
+            out["cluster"] = pa.array(out["cluster"].tolist(), pa.string())
+            out["own"] = pa.array(out["own"].tolist(), pa.string())
+        return pa.table(out)
     return fn
 
 
@@ -85,7 +97,7 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str, block_rows:
     right = base.select(blocks.alias("lb"), F.col("_blk").alias("rb"), features, *labels)
     schema = (f"lb int, i int, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint")
     sums = (left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
-                .applyInPandas(_block_fn(key, features, labels, label_type), schema))
+                .applyInArrow(_block_fn(key, features, labels, label_type), schema))
     per = sums.groupBy("lb", "i", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("cluster") == F.col("own")
     pt = per.groupBy("lb", "i", "j").agg(

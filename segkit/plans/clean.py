@@ -48,9 +48,14 @@ def add_age(df: DataFrame, dob: str = "date_of_birth") -> DataFrame:
     return df.withColumn("age", whole_years(safe_date(dob))).drop(dob)
 
 
-def clean_buyers(raw: DataFrame, imputer: ImputeModel | None = None, order_by=()) -> CleanResult:
-    """Full cleaning; pass a fitted ``imputer`` to apply it to new data unchanged."""
-    deduped = dedup_buyers(raw, order_by)
+def clean_buyers(raw: DataFrame, imputer: ImputeModel | None = None, order_by=(),
+                 deduped: DataFrame | None = None) -> CleanResult:
+    """Full cleaning; pass a fitted ``imputer`` to apply it to new data unchanged.
+
+    ``deduped`` may be a persisted result of ``dedup_buyers(raw)`` so that the
+    fit and the later passes do not recompute the dedup shuffles.
+    """
+    deduped = deduped if deduped is not None else dedup_buyers(raw, order_by)
     model = imputer or fit_imputer(deduped, **buyer_imputer_spec())
     out = add_age(model.transform(deduped))
     if order_by:

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from segkit.operators import kmeans as KM
 from segkit.operators.features import FeatureModel, fit_features
-from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k
+from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k_local
 from segkit.operators.profile import profile_with_top
 from segkit.operators.validate import silhouette_auto
 from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
-from segkit.plans.clean import clean_buyers
+from segkit.plans.clean import clean_buyers, dedup_buyers
 from segkit.session import ensure_checkpoint_dir
 from segkit.sources.fixtures import buyers_raw
 
@@ -31,7 +31,7 @@ NUMERIC = ["age", "satisfaction_score"]
 CATEGORICAL = ["client_type", "acquisition_purpose", "loan_applied", "gender", "country", "region",
                "referral_channel"]
 KEY = "client_id"
-MICRO_MAX_ITER = 30
+MICRO_MAX_ITER = 20  # micro-clusters only summarise rows for Ward
 LABEL = "cohort_label"
 
 
@@ -87,17 +87,18 @@ def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final
     spark = raw.sparkSession
     times = {}
     t0 = time.time()
-    clean = clean_buyers(raw)
+    # the deduplicated table feeds three fit jobs and the feature write: compute it once
+    deduped = dedup_buyers(raw).persist()
+    clean = clean_buyers(raw, deduped=deduped)
     times["clean"] = time.time() - t0
     fm, X = encode(clean.df)
     times["encode"] = time.time() - t0 - sum(times.values())
     X = materialise(X)
+    deduped.unpersist()
     times["materialise"] = time.time() - t0 - sum(times.values())
     runs, table = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed)
     times["sweep"] = time.time() - t0 - sum(times.values())
-    kt = spark.createDataFrame([(int(k), float(s), float(i)) for k, s, i, _, _ in table],
-                               "k int, silhouette double, inertia double")
-    decision = choose_k(kt, default_k=default_k, gap=gap).first().asDict()
+    decision = choose_k_local([(k, s, i) for k, s, i, _, _ in table], default_k, gap)
     k = int(decision["k"])
     # the final k-means and the Ward micro-clusters share the same passes over X
     n_rows = X.limit(micro + 1).count()
@@ -118,6 +119,14 @@ def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final
     return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer, extra={"seconds": times})
 
 
+def collect_all(frames: dict, threads: int = 4) -> dict:
+    """Run independent result queries concurrently (one Spark job each, separate threads)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {name: pool.submit(df.collect) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def cluster_report(seg: Segmentation, cluster_col: str = "kmeans_cluster") -> DataFrame:
     """Profile per cluster with the top country (report blocks B/C)."""
     return profile_with_top(seg.labelled, cluster_col, "country")

@@ -141,3 +141,18 @@ def test_entry_smoke(spark):
     out = E.entry(spark)
     rows = out.collect()
     assert len(rows) >= 2 and "top_country" in out.columns and "kmeans_cluster" in out.columns
+
+
+def test_local_choice_matches_spark_operator(spark):
+    from segkit.operators.modelsel import choose_k, choose_k_local
+    rng = np.random.default_rng(3)
+    tables = [[(k, float(rng.random()), float(100 / k + rng.random())) for k in range(2, 9)] for _ in range(5)]
+    tables.append([(2, 0.5, 10.0), (3, 0.49, 9.0), (4, 0.1, 8.0)])
+    tables.append([(2, 0.9, 10.0), (3, 0.1, 5.0), (4, 0.2, 4.0), (5, 0.3, 3.9)])
+    for t in tables:
+        kt = spark.createDataFrame(t, "k int, silhouette double, inertia double")
+        want = choose_k(kt).first().asDict()
+        got = choose_k_local(t)
+        assert {k: got[k] for k in ("k", "winner", "runner_up", "elbow_k", "decision")} == \
+               {k: want[k] for k in ("k", "winner", "runner_up", "elbow_k", "decision")}
+        assert abs(got["gap"] - want["gap"]) < 1e-12
