@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segkit.operators.profile import fixed_sample
 
 INIT_SAMPLE_ROWS = 20_000
 EXPR_MAX_CELLS = 1024  # k*d above this → Arrow/numpy assignment instead of an expression
@@ -43,10 +42,21 @@ def _stack(series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.values]) if len(series) else np.zeros((0, 0))
 
 
-def sample_rows(df: DataFrame, features: str, key: str, n: int = INIT_SAMPLE_ROWS, salt: str = "init") -> np.ndarray:
-    """A bounded deterministic sample of feature rows (top-n by md5 of key)."""
-    rows = fixed_sample(df.select(key, features), key, n, salt).select(features).collect()
-    return np.array([np.asarray(r[0], dtype=np.float64) for r in rows])
+def sample_rows(df: DataFrame, features: str, key: str, n: int = INIT_SAMPLE_ROWS, salt: str = "init",
+                total: int | None = None) -> np.ndarray:
+    """A bounded, deterministic sample of feature rows for seeding.
+
+    Bernoulli by hash of key at rate n/N (no global sort); ``limit(2n)`` bounds
+    what reaches the driver.
+    """
+    from segkit.functions.hashing import h32, uniform
+    N = total if total is not None else df.count()
+    src = df.select(features, key)
+    if N > n:
+        src = src.where(uniform(salt, key) < F.lit(n / N)).limit(2 * n)
+    rows = src.select(h32(salt, key).alias("_h"), F.col(key).cast("string").alias("_k"), features).collect()
+    rows.sort(key=lambda r: (r["_h"], r["_k"]))  # bounded (≤ 2n rows): order independent of partitioning
+    return np.array([np.asarray(r[features], dtype=np.float64) for r in rows])
 
 
 def kmeanspp(X: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:

@@ -107,3 +107,10 @@ def test_fixed_sample_is_partition_independent(spark):
     a = {r[0] for r in P.fixed_sample(o, "o_orderkey", 100).collect()}
     b = {r[0] for r in P.fixed_sample(o.repartition(13), "o_orderkey", 100).collect()}
     assert a == b and len(a) == 100
+
+
+def test_fixed_sample_prefilter_is_exact(spark):
+    o = read_table(spark, "/root/testdata/sf0.01", "orders").select("o_orderkey")
+    plain = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300).collect()]
+    cut = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300, prefilter_rows=1000).collect()]
+    assert plain == cut and len(cut) == 300
