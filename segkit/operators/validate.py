@@ -27,51 +27,42 @@ BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (3
 EXACT_MAX_ROWS = 200_000
 
 
-def _block_fn(key: str, features: str, labels: list, label_type: str):
-    """Cogroup body (Arrow tables in/out) for one (left block, right block) pair.
-
-    Left rows are identified by their position in the key-sorted left block, which
-    is the same for every right block, so no key text is emitted.
-    """
+def _block_fn(features: str, labels: list, label_type: str):
+    """Cogroup body (Arrow tables in/out) for one (left block, right block) pair."""
     import pyarrow as pa
-    import pyarrow.compute as pc
 
     from segkit.operators.kmeans import arrow_matrix
 
+    ltype = pa.int64() if label_type == "bigint" else pa.string()
+
     def labels_np(tbl, lab):
         col = tbl.column(lab)
         return col.to_numpy() if label_type == "bigint" else np.asarray(col.to_pylist(), dtype=object)
 
-    def fn(key_vals, left: pa.Table, right: pa.Table):
+    def fn(_key_vals, left: pa.Table, right: pa.Table):
         if left.num_rows == 0 or right.num_rows == 0:
-            return pa.table({"lb": pa.array([], pa.int32()), "i": pa.array([], pa.int32()),
-                             "j": pa.array([], pa.int32()),
-                             "cluster": pa.array([], pa.int64() if label_type == "bigint" else pa.string()),
-                             "own": pa.array([], pa.int64() if label_type == "bigint" else pa.string()),
+            return pa.table({"rid": pa.array([], pa.int64()), "j": pa.array([], pa.int32()),
+                             "cluster": pa.array([], ltype), "own": pa.array([], ltype),
                              "dsum": pa.array([], pa.float64()), "cnt": pa.array([], pa.int64())})
-        left = left.take(pc.sort_indices(left, sort_keys=[(key, "ascending")]))
-        lb = int(key_vals[0].as_py())
         XL, XR = arrow_matrix(left.column(features)), arrow_matrix(right.column(features))
         g = (XL ** 2).sum(1)[:, None] + (XR ** 2).sum(1)[None, :] - 2.0 * (XL @ XR.T)
         D = np.sqrt(np.clip(g, 0.0, None))
         nl = XL.shape[0]
-        idx = np.arange(nl, dtype=np.int32)
-        cols = {"lb": [], "i": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []}
+        rid = left.column("_rid").to_numpy()
+        cols = {"rid": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []}
         for j, lab in enumerate(labels):
             rl = labels_np(right, lab)
             uniq, inv = np.unique(rl, return_inverse=True)
             onehot = np.zeros((len(rl), len(uniq)))
             onehot[np.arange(len(rl)), inv] = 1.0
             sums = D @ onehot
-            cnts = onehot.sum(0).astype(np.int64)
             u = len(uniq)
-            cols["lb"].append(np.full(nl * u, lb, dtype=np.int32))
-            cols["i"].append(np.repeat(idx, u))
+            cols["rid"].append(np.repeat(rid, u))
             cols["j"].append(np.full(nl * u, j, dtype=np.int32))
             cols["cluster"].append(np.tile(uniq, nl))
             cols["own"].append(np.repeat(labels_np(left, lab), u))
             cols["dsum"].append(sums.reshape(-1))
-            cols["cnt"].append(np.tile(cnts, nl))
+            cols["cnt"].append(np.tile(onehot.sum(0).astype(np.int64), nl))
         out = {c: np.concatenate(v) for c, v in cols.items()}
         if label_type != "bigint":
             out["cluster"] = pa.array(out["cluster"].tolist(), pa.string())
@@ -80,33 +71,40 @@ def _block_fn(key: str, features: str, labels: list, label_type: str):
     return fn
 
 
-def silhouette_rows(df: DataFrame, features: str, labels, key: str, block_rows: int = BLOCK_ROWS,
-                    n_rows: int | None = None) -> DataFrame:
-    """Per-row exact silhouette for every labelling: (lb, i, j, s); ``key`` must be unique."""
+def silhouette_rows(df: DataFrame, features: str, labels, key: str | None = None,
+                    block_rows: int = BLOCK_ROWS, n_rows: int | None = None) -> DataFrame:
+    """Per-row exact silhouette for every labelling: (rid, j, s).
+
+    Every row gets an id before the block copies are made, and blocks are a hash
+    of that id, so blocks are even even when keys repeat.  Each side only needs
+    every row to sit in exactly one block; the two sides need not agree, so the
+    id may be recomputed per side.  ``key`` is accepted for API symmetry only.
+    """
     labels = list(labels)
     n = n_rows if n_rows is not None else df.count()
     nb = max(1, math.ceil(n / block_rows))
     integral = all(isinstance(df.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
                    for c in labels)
     label_type = "bigint" if integral else "string"
-    base = df.select(key, F.col(features).cast("array<double>").alias(features),
-                     *[F.col(c).cast(label_type).alias(c) for c in labels],
-                     F.pmod(F.xxhash64(key), F.lit(nb)).cast("int").alias("_blk"))
+    base = (df.select(F.col(features).cast("array<double>").alias(features),
+                      *[F.col(c).cast(label_type).alias(c) for c in labels])
+              .withColumn("_rid", F.monotonically_increasing_id())
+              .withColumn("_blk", F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int")))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    left = base.select(F.col("_blk").alias("lb"), blocks.alias("rb"), key, features, *labels)
+    left = base.select(F.col("_blk").alias("lb"), blocks.alias("rb"), "_rid", features, *labels)
     right = base.select(blocks.alias("lb"), F.col("_blk").alias("rb"), features, *labels)
-    schema = (f"lb int, i int, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint")
+    schema = f"rid bigint, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint"
     sums = (left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
-                .applyInArrow(_block_fn(key, features, labels, label_type), schema))
-    per = sums.groupBy("lb", "i", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+                .applyInArrow(_block_fn(features, labels, label_type), schema))
+    per = sums.groupBy("rid", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("cluster") == F.col("own")
-    pt = per.groupBy("lb", "i", "j").agg(
+    pt = per.groupBy("rid", "j").agg(
         F.max(F.when(own, F.try_divide(F.col("dsum"), F.col("cnt") - 1))).alias("a"),
         F.max(F.when(own, F.col("cnt"))).alias("own_cnt"),
         F.min(F.when(~own, F.col("dsum") / F.col("cnt"))).alias("b"))
     s = (F.when(F.col("own_cnt") <= 1, F.lit(0.0))
           .otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))))
-    return pt.select("lb", "i", "j", F.coalesce(s, F.lit(0.0)).alias("s"))
+    return pt.select("rid", "j", F.coalesce(s, F.lit(0.0)).alias("s"))
 
 
 def silhouette_exact(df: DataFrame, features: str, labels, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:

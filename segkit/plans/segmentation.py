@@ -58,14 +58,15 @@ def encode(df: DataFrame, model: FeatureModel | None = None):
     return fm, fm.transform(df)
 
 
-def materialise(df: DataFrame, key: str = KEY, partitions: int | None = None) -> DataFrame:
-    """Hash-partition on the key across the cluster's cores, write a reliable
-    checkpoint into the shared folder (cuts lineage), and cache it for the
-    iterative passes."""
+def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread rows evenly over the cluster's cores (round-robin, so a repeated key
+    cannot pile up in one partition; Spark sorts before a round-robin repartition,
+    so retries are deterministic), write a reliable checkpoint into the shared
+    folder (cuts lineage), and cache it for the iterative passes."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(parts, key).checkpoint(eager=True).persist()
+    return df.repartition(parts).checkpoint(eager=True).persist()
 
 
 def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int = 42,
