@@ -156,13 +156,18 @@ def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int, n_parts:
     total_k = sum(c.shape[0] for _, c in run_centers)
     n_parts = n_parts if n_parts is not None else df.rdd.getNumPartitions()
     if n_parts * total_k <= DIRECT_REDUCE_ROWS:
-        pdf = partial.toPandas()
-        g = pdf.groupby(["run", "cluster"], sort=False).sum()
-        for (rid, c), r in zip(g.index, g.itertuples(index=False)):
-            s, n, cost = out[int(rid)]
-            n[c] += r.n
-            cost[c] += r.cost
-            s[c] += np.asarray(r[2:], dtype=np.float64)
+        tbl = partial.toArrow()
+        run = tbl.column("run").to_numpy()
+        clus = tbl.column("cluster").to_numpy()
+        cnt = tbl.column("n").to_numpy()
+        cst = tbl.column("cost").to_numpy()
+        sums = np.stack([tbl.column(f"s{i}").to_numpy() for i in range(d)], axis=1) if tbl.num_rows else None
+        for r in range(tbl.num_rows):
+            s, n, cost = out[int(run[r])]
+            c = int(clus[r])
+            n[c] += cnt[r]
+            cost[c] += cst[r]
+            s[c] += sums[r]
         return out
     total = partial.groupBy("run", "cluster").agg(
         F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(d)])
@@ -186,28 +191,38 @@ def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, m
 
 def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42,
                  init_rows: int | None = None) -> dict:
-    """Like ``kmeans_multi`` but each k has its own (restarts, max_iter): ``[(k, n_init, max_iter)]``.
+    """Fit several models in the same passes over the data.
 
-    All runs of all specs share the same passes over the data.
+    ``specs`` items are ``(k, n_init, max_iter)`` (result keyed by k) or
+    ``(tag, k, n_init, max_iter, seed)`` (result keyed by tag).  Returns the best
+    run (lowest cost over its restarts) per key.
     """
-    specs = [(int(k), int(r), int(m)) for k, r, m in specs]
-    ks = [k for k, _, _ in specs]
+    norm = []
+    for sp in specs:
+        if len(sp) == 3:
+            k, r, m = sp
+            norm.append((int(k), int(k), int(r), int(m), seed))
+        else:
+            tag, k, r, m, sd = sp
+            norm.append((tag, int(k), int(r), int(m), int(sd)))
+    ks = [k for _, k, _, _, _ in norm]
+    total = df.count()
     # k-means++ seeding sample: bounded; ~32 rows per centre for large k
     init_rows = init_rows or min(INIT_SAMPLE_ROWS, max(4096, 32 * max(ks)))
-    sample = sample_rows(df, features, key, init_rows)
+    sample = sample_rows(df, features, key, init_rows, total=total)
     if sample.shape[0] == 0:
         raise ValueError("no rows to cluster")
     d = sample.shape[1]
     tol_abs = tol * float(np.mean(np.var(sample, axis=0))) if sample.shape[0] > 1 else tol
     runs = {}
     rid = 0
-    for k, n_init, max_iter in specs:
+    for tag, k, n_init, max_iter, sd in norm:
         if k > sample.shape[0]:
             raise ValueError(f"k={k} exceeds the number of sampled rows")
         for r in range(n_init):
-            rng = np.random.default_rng(seed + 1000 * k + r)
-            runs[rid] = dict(k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0, converged=False,
-                             max_iter=max_iter)
+            rng = np.random.default_rng(sd + 1000 * k + r)
+            runs[rid] = dict(tag=tag, k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0,
+                             converged=False, max_iter=max_iter)
             rid += 1
     n_parts = df.rdd.getNumPartitions()
     while True:
@@ -231,11 +246,12 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
     best = {}
     for i, v in runs.items():
         _s, n, cost = final[i]
-        total = float(cost.sum())
-        cand = KMeansRun(v["k"], v["run"], v["centers"], total, v["n_iter"], [int(x) for x in n], v["converged"])
-        if v["k"] not in best or total < best[v["k"]].cost:
-            best[v["k"]] = cand
-    return {k: canonical(r) for k, r in best.items()}
+        cost_total = float(cost.sum())
+        cand = KMeansRun(v["k"], v["run"], v["centers"], cost_total, v["n_iter"], [int(x) for x in n],
+                         v["converged"])
+        if v["tag"] not in best or cost_total < best[v["tag"]].cost:
+            best[v["tag"]] = cand
+    return {t: canonical(r) for t, r in best.items()}
 
 
 def canonical(run: KMeansRun) -> KMeansRun:

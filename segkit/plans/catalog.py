@@ -941,7 +941,7 @@ def q_kmeans_convergence(spark, sf):
 def q_k_sweep(spark, sf):
     """K2 + V1: k = 2..8, 10 restarts each, exact silhouette for all k in one job."""
     _fm, X, _ = _features_table(spark, sf)
-    _runs, table = SG.k_sweep(X, range(2, 9), n_init=10, max_iter=300)
+    _runs, table, _ = SG.k_sweep(X, range(2, 9), n_init=10, max_iter=300)
     return spark.createDataFrame([(int(k), float(s), float(i), int(n), m) for k, s, i, n, m in table],
                                  "k int, silhouette double, inertia double, n_iter int, metric string")
 

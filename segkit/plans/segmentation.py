@@ -70,14 +70,24 @@ def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-            features: str = "features", key: str = KEY):
-    runs = KM.kmeans_multi(X, features, key, ks, n_init=n_init, max_iter=max_iter, seed=seed)
+            features: str = "features", key: str = KEY, extra_specs=()):
+    """Fit every k (``n_init`` restarts each) plus any ``extra_specs`` in shared
+    passes, then score the sweep's best runs with one silhouette job."""
+    specs = [(("sweep", k), k, n_init, max_iter, seed) for k in ks] + list(extra_specs)
+    fitted = KM.kmeans_specs(X, features, key, specs)
+    runs = {k: fitted[("sweep", k)] for k in ks}
     labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
                               features).persist()
     sil, metric = silhouette_auto(labelled, features, [f"k{k}" for k in runs], key)
     labelled.unpersist()
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
-    return runs, table
+    extra = {t: r for t, r in fitted.items() if t[0] != "sweep"}
+    return runs, table, extra
+
+
+# When rows × centres of all speculative final fits is below this, per-job latency
+# dominates: the final restarts of every candidate k ride in the sweep's passes.
+SPECULATE_CELLS = 50_000_000
 
 
 def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final: int = 20,
@@ -85,7 +95,6 @@ def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final
             gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS, seed: int = 42,
             with_ward: bool = True) -> Segmentation:
     import time
-    spark = raw.sparkSession
     times = {}
     t0 = time.time()
     # the deduplicated table feeds three fit jobs and the feature write: compute it once
@@ -97,27 +106,35 @@ def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final
     X = materialise(X)
     deduped.unpersist()
     times["materialise"] = time.time() - t0 - sum(times.values())
-    runs, table = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed)
+    ks = list(ks)
+    n_rows = X.count()
+    # Ward's micro-clusters do not depend on the chosen k: they always share the sweep's passes
+    extra = []
+    if with_ward and n_rows > micro:
+        extra.append((("micro", micro), micro, 1, MICRO_MAX_ITER, seed))
+    speculate = n_rows * sum(ks) * n_init_final <= SPECULATE_CELLS
+    if speculate:
+        extra += [(("final", k), k, n_init_final, max_iter_final, seed + 7) for k in ks]
+    runs, table, fitted = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed, extra_specs=extra)
     times["sweep"] = time.time() - t0 - sum(times.values())
     decision = choose_k_local([(k, s, i) for k, s, i, _, _ in table], default_k, gap)
     k = int(decision["k"])
-    # the final k-means and the Ward micro-clusters share the same passes over X
-    n_rows = X.limit(micro + 1).count()
-    specs = [(k, n_init_final, max_iter_final)]
-    if with_ward and n_rows > micro and micro != k:
-        specs.append((micro, 1, MICRO_MAX_ITER))
     times["choose"] = time.time() - t0 - sum(times.values())
-    fitted = KM.kmeans_specs(X, "features", KEY, specs, seed=seed + 7)
-    final = fitted[k]
-    times["final"] = time.time() - t0 - sum(times.values())
+    if ("final", k) in fitted:
+        final = fitted[("final", k)]
+    else:
+        final = KM.kmeans_specs(X, "features", KEY, [(("final", k), k, n_init_final, max_iter_final,
+                                                      seed + 7)])[("final", k)]
     labelled = KM.assign(X, final.centers, "features", "kmeans_cluster")
+    times["final"] = time.time() - t0 - sum(times.values())
     ward = None
     if with_ward:
-        centers, sizes = micro_summary(X, "features", KEY, micro, run=fitted.get(micro))
+        centers, sizes = micro_summary(X, "features", KEY, micro, run=fitted.get(("micro", micro)))
         ward = ward_from_micro(centers, sizes, k)
         labelled = ward.transform(labelled, "features", "agglomerative_cluster")
     times["ward"] = time.time() - t0 - sum(times.values())
-    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer, extra={"seconds": times})
+    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer,
+                        extra={"seconds": times, "speculative_final": speculate})
 
 
 def collect_all(frames: dict, threads: int = 4) -> dict:
