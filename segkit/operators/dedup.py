@@ -46,7 +46,17 @@ def dedup_keep_first(df: DataFrame, keys, order_by=()) -> DataFrame:
 
 
 def dedup_two_pass(df: DataFrame, keys, exclude=(), order_by=()) -> DataFrame:
-    """U1 then U2 (the order the cleaning stage uses)."""
+    """U1 then U2 (the order the cleaning stage uses).
+
+    Without an order column this is ONE aggregation: U2 alone, ordering by the
+    remaining columns, keeps the same row.  Within a U1 group every column but
+    the carried ones is constant, so the struct minimum over the group's rows is
+    the group's minimum carried tuple — exactly what U1 keeps — and the minimum
+    over all rows equals the minimum over the U1 survivors.  (Checked against the
+    two-pass SQL in the oracle query ``dedup_two_pass``.)
+    """
+    if not order_by:
+        return dedup_keep_first(df, keys)
     return dedup_keep_first(dedup_full(df, exclude=exclude), keys, order_by=order_by)
 
 

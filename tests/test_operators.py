@@ -114,3 +114,12 @@ def test_fixed_sample_prefilter_is_exact(spark):
     plain = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300).collect()]
     cut = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300, prefilter_rows=1000).collect()]
     assert plain == cut and len(cut) == 300
+
+
+def test_two_pass_dedup_equals_single_pass_on_near_copies(spark):
+    rows = [("k1", "d", "L2", "x"), ("k1", "d", "L1", "x"), ("k1", "d", "L3", "a"),
+            ("k2", "e", None, "z"), ("k2", "e", "L0", "z"), ("k3", "f", "L9", None)]
+    df = spark.createDataFrame(rows, "id string, dob string, label string, v string").repartition(3)
+    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"]), ["id", "dob"])
+    one = dedup.dedup_two_pass(df, ["id", "dob"], exclude=["label"])
+    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))

@@ -82,3 +82,13 @@ def test_pivot_and_histogram_totals(spark, rows):
     for r in hist:
         per[r["k"]] += r["n"]
     assert dict(per) == dict(Counter(r[0] for r in rows))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.sampled_from(["L1", "L2", None]),
+                          st.sampled_from(["x", "y", None])), min_size=1, max_size=25))
+def test_single_pass_dedup_equals_two_pass(spark, rows):
+    df = spark.createDataFrame(rows, "id string, label string, v string").repartition(4)
+    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"]), ["id"])
+    one = dedup.dedup_two_pass(df, ["id"], exclude=["label"])
+    assert sorted(map(tuple, two.collect()), key=str) == sorted(map(tuple, one.collect()), key=str)
