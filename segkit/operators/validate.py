@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from segkit.operators.kmeans import _stack
 
+R_FEATURES, R_LABEL = "_r_features", "_r_label"
 BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)
 EXACT_MAX_ROWS = 200_000
 
@@ -40,18 +41,20 @@ def _block_fn(features: str, labels: list, label_type: str):
         return col.to_numpy() if label_type == "bigint" else np.asarray(col.to_pylist(), dtype=object)
 
     def fn(_key_vals, left: pa.Table, right: pa.Table):
+        if right.num_rows and R_FEATURES not in right.schema.names:
+            raise RuntimeError(f"cogroup right side lost its columns: {right.schema.names}")
         if left.num_rows == 0 or right.num_rows == 0:
             return pa.table({"rid": pa.array([], pa.int64()), "j": pa.array([], pa.int32()),
                              "cluster": pa.array([], ltype), "own": pa.array([], ltype),
                              "dsum": pa.array([], pa.float64()), "cnt": pa.array([], pa.int64())})
-        XL, XR = arrow_matrix(left.column(features)), arrow_matrix(right.column(features))
+        XL, XR = arrow_matrix(left.column(features)), arrow_matrix(right.column(R_FEATURES))
         g = (XL ** 2).sum(1)[:, None] + (XR ** 2).sum(1)[None, :] - 2.0 * (XL @ XR.T)
         D = np.sqrt(np.clip(g, 0.0, None))
         nl = XL.shape[0]
         rid = left.column("_rid").to_numpy()
         cols = {"rid": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []}
         for j, lab in enumerate(labels):
-            rl = labels_np(right, lab)
+            rl = labels_np(right, f"{R_LABEL}{j}")
             uniq, inv = np.unique(rl, return_inverse=True)
             onehot = np.zeros((len(rl), len(uniq)))
             onehot[np.arange(len(rl)), inv] = 1.0
@@ -86,13 +89,19 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str | None = None
     integral = all(isinstance(df.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
                    for c in labels)
     label_type = "bigint" if integral else "string"
-    base = (df.select(F.col(features).cast("array<double>").alias(features),
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    # The two sides are separate projections of ``df`` with distinct column names,
+    # so the cogroup's children share no attributes (and no row ids are needed to agree).
+    left = (df.select(F.col(features).cast("array<double>").alias(features),
                       *[F.col(c).cast(label_type).alias(c) for c in labels])
               .withColumn("_rid", F.monotonically_increasing_id())
-              .withColumn("_blk", F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int")))
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    left = base.select(F.col("_blk").alias("lb"), blocks.alias("rb"), "_rid", features, *labels)
-    right = base.select(blocks.alias("lb"), F.col("_blk").alias("rb"), features, *labels)
+              .select(F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("lb"), blocks.alias("rb"),
+                      "_rid", features, *labels))
+    right = (df.select(F.col(features).cast("array<double>").alias(R_FEATURES),
+                       *[F.col(c).cast(label_type).alias(f"{R_LABEL}{j}") for j, c in enumerate(labels)])
+               .withColumn("_rid", F.monotonically_increasing_id())
+               .select(blocks.alias("lb"), F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("rb"),
+                       R_FEATURES, *[f"{R_LABEL}{j}" for j in range(len(labels))]))
     schema = f"rid bigint, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint"
     sums = (left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
                 .applyInArrow(_block_fn(features, labels, label_type), schema))

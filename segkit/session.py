@@ -35,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/segkit-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``segkit`` importable in executor Python workers (like ``--py-files``).
+
+    Task closures refer to functions of this package by module name, so workers
+    must be able to import it.  The package is zipped once per session and added
+    with ``SparkContext.addPyFile``; Spark distributes it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_segkit_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    path = os.path.join(tempfile.mkdtemp(prefix="segkit-pyfiles-"), "segkit.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._segkit_shipped = True
