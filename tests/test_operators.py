@@ -123,3 +123,27 @@ def test_two_pass_dedup_equals_single_pass_on_near_copies(spark):
     two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"]), ["id", "dob"])
     one = dedup.dedup_two_pass(df, ["id", "dob"], exclude=["label"])
     assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_residual_null_and_count_assertions(spark):
+    from segkit.operators.impute import assert_no_nulls
+    ok = spark.createDataFrame([("a", 1)], "c string, n int")
+    assert_no_nulls(ok)
+    with pytest.raises(AssertionError, match="c"):
+        assert_no_nulls(spark.createDataFrame([(None, 1)], "c string, n int"))
+    assert Q.assert_equal_counts(ok, ok) == 1
+    with pytest.raises(AssertionError):
+        Q.assert_equal_counts(ok, ok.union(ok))
+
+
+def test_load_models_skips_missing_artefacts(spark):
+    from segkit.operators.features import fit_features
+    from segkit.session import scratch_path
+    from segkit.sources.artifacts import load_models, save_models
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "c string, n double")
+    fm = fit_features(df, ["n"], ["c"])
+    path = scratch_path(spark, "partial-models")
+    save_models(spark, path, features=fm)
+    loaded = load_models(spark, path)
+    assert set(loaded) == {"features"} and loaded["features"].names == fm.names
+    assert load_models(spark, scratch_path(spark, "nothing-here")) == {}
