@@ -25,7 +25,9 @@ from segkit.operators.kmeans import _stack
 
 R_FEATURES, R_LABEL = "_r_features", "_r_label"
 BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)
-EXACT_MAX_ROWS = 200_000
+MAX_BLOCK_ROWS = 4096  # ... and never more than 4096² doubles (128 MiB)
+TARGET_BLOCKS = 25  # replication factor of the rows (each row is copied once per block)
+EXACT_MAX_ROWS = 100_000  # above this the exact O(n²) silhouette gives way to the linear one
 
 
 def _block_fn(features: str, labels: list, label_type: str):
@@ -85,6 +87,8 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str | None = None
     """
     labels = list(labels)
     n = n_rows if n_rows is not None else df.count()
+    # larger blocks on larger inputs keep the replication near TARGET_BLOCKS, within the memory cap
+    block_rows = min(max(block_rows, math.ceil(n / TARGET_BLOCKS)), max(block_rows, MAX_BLOCK_ROWS))
     nb = max(1, math.ceil(n / block_rows))
     integral = all(isinstance(df.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
                    for c in labels)
