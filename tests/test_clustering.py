@@ -156,3 +156,29 @@ def test_local_choice_matches_spark_operator(spark):
         assert {k: got[k] for k in ("k", "winner", "runner_up", "elbow_k", "decision")} == \
                {k: want[k] for k in ("k", "winner", "runner_up", "elbow_k", "decision")}
         assert abs(got["gap"] - want["gap"]) < 1e-12
+
+
+def test_stream_scorer_resumes_exactly_once(spark):
+    from segkit.plans.clean import clean_buyers, dedup_buyers, imputer_fill_dict
+    from segkit.plans.segmentation import encode
+    from segkit.session import scratch_path
+    from segkit.sources.fixtures import buyers_raw
+    from segkit.streaming.scoring import score_stream
+    raw = buyers_raw(spark, SF_SMALL)
+    clean = clean_buyers(raw)
+    fm, X = encode(clean.df)
+    X = X.persist()
+    run = KM.kmeans_multi(X, "features", "client_id", [3], n_init=2, max_iter=20)[3]
+    new_rows = dedup_buyers(raw)
+    first = new_rows.where(F.col("cohort_label") < "F")
+    second = new_rows.where(F.col("cohort_label") >= "F")
+    incoming, sink, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
+    first.write.mode("append").parquet(incoming)
+    q = score_stream(spark, incoming, new_rows.schema, fm, run, sink, ckpt, imputer_fill_dict(clean.imputer))
+    q.awaitTermination()
+    assert spark.read.parquet(sink).count() == first.count()
+    second.write.mode("append").parquet(incoming)
+    q = score_stream(spark, incoming, new_rows.schema, fm, run, sink, ckpt, imputer_fill_dict(clean.imputer))
+    q.awaitTermination()
+    out = spark.read.parquet(sink)
+    assert out.count() == new_rows.count() and out.select("client_id").distinct().count() == new_rows.count()
