@@ -7,12 +7,9 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from segkit.fixed_values import DAYS_PER_YEAR, REFERENCE_DATE
 from segkit.functions.hashing import _col
 
-# Fixed reference date for ages, so results do not depend on the run date.
-REFERENCE_DATE = "2024-01-01"
-DAYS_PER_YEAR = 365.25
-
 
 def indicator(c: Column | str, value) -> Column:
     """1 when ``c == value``, else 0 (null counts as 0)."""

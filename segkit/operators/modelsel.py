@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-DEFAULT_K = 4
-AMBIGUITY_GAP = 0.02
+from segkit.fixed_values import AMBIGUITY_GAP, DEFAULT_K
 
 
 def knee_point(kt: DataFrame, k: str = "k", y: str = "inertia", default_k: int = DEFAULT_K) -> DataFrame:

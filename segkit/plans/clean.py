@@ -16,18 +16,16 @@ from segkit.operators.dedup import dedup_two_pass
 from segkit.operators.impute import ConditionalMode, ImputeModel, Rule, fit_imputer
 from segkit.sources.tables import require_columns
 
-REQUIRED = ["client_id", "cohort_label", "client_type", "gender", "country", "region",
-            "date_of_birth", "acquisition_purpose", "loan_applied", "referral_channel",
-            "satisfaction_score"]
-DEDUP_KEYS = ["client_id", "date_of_birth"]
+from segkit.fixed_values import (DEDUP_KEYS, GENDER_MODE_TYPE, GENDER_RULE_TYPE, GENDER_RULE_VALUE,
+                                 MODE_COLUMNS, REQUIRED_COLUMNS as REQUIRED)
+
 LABEL = "cohort_label"
-MODE_COLUMNS = ["region", "referral_channel", "acquisition_purpose", "loan_applied"]
 
 
 def buyer_imputer_spec():
-    corporate = F.col("client_type") == "Corporate"
-    individual = F.col("client_type") == "Individual"
-    return dict(rules=[Rule("gender", corporate, "Not Applicable")],
+    corporate = F.col("client_type") == GENDER_RULE_TYPE
+    individual = F.col("client_type") == GENDER_MODE_TYPE
+    return dict(rules=[Rule("gender", corporate, GENDER_RULE_VALUE)],
                 conditional=[ConditionalMode("gender", individual)],
                 mode_columns=MODE_COLUMNS)
 

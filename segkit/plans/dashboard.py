@@ -16,10 +16,8 @@ from segkit.functions.scalar import indicator, map_values, prefixed_label
 from segkit.operators import profile as P
 from segkit.operators import slicing as SL
 
-# Fixed panel settings.
-TOP_N = 10
-SAMPLE_ROWS = 1500
-SCORE_THRESHOLD = 3.5
+from segkit.fixed_values import (AGE_SCALE, HISTOGRAM_BINS, SAMPLE_ROWS, SCORE_SCALE, SCORE_THRESHOLD,
+                                 TOP_N)
 
 
 @dataclass
@@ -83,13 +81,15 @@ class Dashboard:
     # tab 4: segment insights
     def insights(self, cohorts, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
-        radar = {"age_norm": (F.col("age") - 20) / 55.0, "score_norm": F.col("satisfaction_score") / 5.0,
+        (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
+        radar = {"age_norm": (F.col("age") - a0) / float(a1 - a0),
+                 "score_norm": (F.col("satisfaction_score") - s0) / float(s1 - s0),
                  "investor": F.col("is_investor"), "loan": F.col("has_loan"),
                  "individual": 1 - F.col("is_corporate")}
         return {"profile_top": P.profile_with_top(v, "cluster_name", "country"),
                 "cards": P.fixed_groups_stats(v, "cohort_label", list(cohorts)),
                 "radar": P.radar_long(SL.slice_rows(v, {"cohort_label": list(cohorts)}), "cohort_label", radar),
-                "score_histogram": P.histogram(v, "cohort_label", "satisfaction_score", 0.5, 1.0, 5),
+                "score_histogram": P.histogram(v, "cohort_label", "satisfaction_score", 0.5, 1.0, HISTOGRAM_BINS),
                 "score_band": v.groupBy("cluster_name").agg(F.avg("satisfaction_score").alias("avg_score"))
                                .withColumn("band", F.when(F.col("avg_score") > SCORE_THRESHOLD, "above")
                                            .otherwise("below"))}

@@ -27,9 +27,9 @@ from segkit.plans.clean import clean_buyers, dedup_buyers
 from segkit.session import ensure_checkpoint_dir
 from segkit.sources.fixtures import buyers_raw
 
-NUMERIC = ["age", "satisfaction_score"]
-CATEGORICAL = ["client_type", "acquisition_purpose", "loan_applied", "gender", "country", "region",
-               "referral_channel"]
+from segkit.fixed_values import (CATEGORICAL_FEATURES as CATEGORICAL, FINAL_MAX_ITER, FINAL_RESTARTS,
+                                 K_RANGE, NUMERIC_FEATURES as NUMERIC, RANDOM_SEED, SWEEP_MAX_ITER,
+                                 SWEEP_RESTARTS)
 KEY = "client_id"
 MICRO_MAX_ITER = 20  # micro-clusters only summarise rows for Ward
 LABEL = "cohort_label"
@@ -90,10 +90,10 @@ def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int =
 SPECULATE_CELLS = 50_000_000
 
 
-def segment(raw: DataFrame, ks=range(2, 9), n_init_sweep: int = 10, n_init_final: int = 20,
-            max_iter_sweep: int = 300, max_iter_final: int = 500, default_k: int = DEFAULT_K,
-            gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS, seed: int = 42,
-            with_ward: bool = True) -> Segmentation:
+def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_init_final: int = FINAL_RESTARTS,
+            max_iter_sweep: int = SWEEP_MAX_ITER, max_iter_final: int = FINAL_MAX_ITER,
+            default_k: int = DEFAULT_K, gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS,
+            seed: int = RANDOM_SEED, with_ward: bool = True) -> Segmentation:
     import time
     times = {}
     t0 = time.time()
