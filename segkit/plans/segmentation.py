@@ -58,14 +58,23 @@ def encode(df: DataFrame, model: FeatureModel | None = None):
     return fm, fm.transform(df)
 
 
-def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread rows evenly over the cluster's cores (round-robin, so a repeated key
-    cannot pile up in one partition; Spark sorts before a round-robin repartition,
-    so retries are deterministic), write a reliable checkpoint into the shared
-    folder (cuts lineage), and cache it for the iterative passes."""
+# Rows per partition of the encoded feature table (~1 GB of features at ~140 doubles a row).
+ROWS_PER_PARTITION = 1_000_000
+
+
+def materialise(df: DataFrame, partitions: int | None = None, rows: int | None = None) -> DataFrame:
+    """Spread rows evenly (round-robin, so a repeated key cannot pile up in one
+    partition; Spark sorts before a round-robin repartition, so retries are
+    deterministic), write a reliable checkpoint into the shared folder (cuts
+    lineage), and cache it for the iterative passes.
+
+    The partition count follows the data (``rows`` / ``ROWS_PER_PARTITION``) with
+    the cluster's cores as the floor."""
+    import math
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = partitions or spark.sparkContext.defaultParallelism
+    parts = partitions or max(spark.sparkContext.defaultParallelism,
+                              math.ceil((rows or 0) / ROWS_PER_PARTITION))
     return df.repartition(parts).checkpoint(eager=True).persist()
 
 
@@ -99,15 +108,16 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
     t0 = time.time()
     # the deduplicated table feeds three fit jobs and the feature write: compute it once
     deduped = dedup_buyers(raw).persist()
+    n_clean = deduped.count()
     clean = clean_buyers(raw, deduped=deduped)
     times["clean"] = time.time() - t0
     fm, X = encode(clean.df)
     times["encode"] = time.time() - t0 - sum(times.values())
-    X = materialise(X)
+    X = materialise(X, rows=n_clean)
     deduped.unpersist()
     times["materialise"] = time.time() - t0 - sum(times.values())
     ks = list(ks)
-    n_rows = X.count()
+    n_rows = n_clean
     # Ward's micro-clusters do not depend on the chosen k: they always share the sweep's passes
     extra = []
     if with_ward and n_rows > micro:
