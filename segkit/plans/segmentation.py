@@ -47,6 +47,10 @@ class Segmentation:
     imputer: object = None
     extra: dict = field(default_factory=dict)
 
+    def release(self) -> None:
+        """Drop the cached labelled table (the report, export and dashboard reuse it)."""
+        self.labelled.unpersist()
+
     def k_table_frame(self, spark) -> DataFrame:
         return spark.createDataFrame(
             [(int(k), float(s), float(i), int(n), m, int(k) == self.k) for k, s, i, n, m in self.k_table],
@@ -142,6 +146,7 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
         centers, sizes = micro_summary(X, "features", KEY, micro, run=fitted.get(("micro", micro)))
         ward = ward_from_micro(centers, sizes, k)
         labelled = ward.transform(labelled, "features", "agglomerative_cluster")
+    labelled = labelled.persist()  # reused by the report, the export and the dashboard
     times["ward"] = time.time() - t0 - sum(times.values())
     return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer,
                         extra={"seconds": times, "speculative_final": speculate})
