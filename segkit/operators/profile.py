@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from segkit.functions.scalar import fixed_round, indicator
-from segkit.operators.joins import bounded_broadcast, semi_join  # noqa: F401  (re-exported)
+from segkit.operators.joins import semi_join  # noqa: F401  (used by the dashboard via this module)
 
 N = "n"
 

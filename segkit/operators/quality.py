@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segkit.functions.scalar import fixed_round
-from segkit.sources.tables import require_columns  # noqa: F401  (Q1 lives with the loader)
 
 
 def domain_violations(df: DataFrame, domains: dict) -> DataFrame:

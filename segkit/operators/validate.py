@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segkit.operators.kmeans import _stack
 
 R_FEATURES, R_LABEL = "_r_features", "_r_label"
 BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)

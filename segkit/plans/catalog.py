@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segkit.functions import scalar as S
-from segkit.functions.hashing import hash_rank_key
 from segkit.operators import assign, dedup, profile as P, quality as Q, slicing as SL
 from segkit.operators.impute import fit_imputer, ConditionalMode, Rule
 from segkit.operators.joins import lookup_join

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from segkit.functions.scalar import fixed_round
 from segkit.operators.profile import cluster_sizes, purity
