@@ -182,3 +182,18 @@ def test_stream_scorer_resumes_exactly_once(spark):
     q.awaitTermination()
     out = spark.read.parquet(sink)
     assert out.count() == new_rows.count() and out.select("client_id").distinct().count() == new_rows.count()
+
+
+def test_lloyd_cost_never_increases(spark):
+    df = _emb(spark).persist()
+    costs = [KM.kmeans_multi(df, "v", "vec_id", [6], n_init=1, max_iter=it, seed=11)[6].cost for it in (1, 2, 4, 8)]
+    assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:])), costs
+
+
+def test_silhouette_singleton_cluster_scores_zero(spark):
+    rows = [(0, [0.0, 0.0], 0), (1, [0.1, 0.0], 0), (2, [5.0, 5.0], 1), (3, [9.0, 9.0], 2)]
+    df = spark.createDataFrame(rows, "id int, f array<double>, lab int")
+    X = np.array([r[1] for r in rows])
+    lab = np.array([r[2] for r in rows])
+    got = V.silhouette_exact(df, "f", ["lab"], "id", block_rows=2).first()["silhouette"]
+    assert abs(got - brute_silhouette(X, lab)) < 1e-12

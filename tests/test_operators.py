@@ -147,3 +147,12 @@ def test_load_models_skips_missing_artefacts(spark):
     loaded = load_models(spark, path)
     assert set(loaded) == {"features"} and loaded["features"].names == fm.names
     assert load_models(spark, scratch_path(spark, "nothing-here")) == {}
+
+
+def test_all_null_column_has_no_mode_and_stays_null(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b")], "c string, d string")
+    assert column_modes(df, ["c"]) == {"c": None}
+    m = fit_imputer(df, mode_columns=["c", "d"])
+    out = m.transform(df).collect()
+    assert all(r["c"] is None for r in out) and m.global_fills["d"] == "a"
+    assert ("c", 2, "mode", None) in m.report
