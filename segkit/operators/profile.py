@@ -198,15 +198,19 @@ def radar_long(df: DataFrame, group: str, metrics: dict) -> DataFrame:
     return wide.unpivot([group], list(metrics), "metric", "value")
 
 
-def fixed_groups_stats(df: DataFrame, group: str, groups, score: str = "satisfaction_score") -> DataFrame:
-    """Stats for a fixed list of groups; a group with no rows shows 0."""
+def fixed_groups_stats(df: DataFrame, group: str, groups, score: str = "satisfaction_score",
+                       flag_col: str = "acquisition_purpose", flag_value="Investment") -> DataFrame:
+    """Size, average score and flag share (%) for a fixed list of groups; a
+    group with no rows shows 0 everywhere."""
     spark = df.sparkSession
     dim = spark.createDataFrame([(g,) for g in groups], f"{group} string")
     stats = (df.where(F.col(group).isin(list(groups))).groupBy(group)
-               .agg(count_rows().alias(N), F.avg(score).alias("_avg")))
+               .agg(count_rows().alias(N), F.avg(score).alias("_avg"),
+                    F.avg(indicator(flag_col, flag_value)).alias("_flag")))
     return (dim.join(stats, on=group, how="left")
                .select(group, F.coalesce(F.col(N), F.lit(0)).cast("bigint").alias(N),
-                       F.coalesce(fixed_round(F.col("_avg"), 2), F.lit(0.0)).alias("avg_score")))
+                       F.coalesce(fixed_round(F.col("_avg"), 2), F.lit(0.0)).alias("avg_score"),
+                       F.coalesce(fixed_round(F.col("_flag") * 100, 1), F.lit(0.0)).alias("flag_pct")))
 
 
 def distinct_counts(df: DataFrame, cols, approx: bool = False) -> DataFrame:

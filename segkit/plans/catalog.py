@@ -496,48 +496,62 @@ def q_five_number(spark, sf):
     return P.five_number(B(spark, sf), "cohort_label", "age")
 
 
-@query("histogram", O.with_clean("""
+MAIN_SQL = "('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY')"
+
+
+@query("histogram", O.with_clean(f"""
 SELECT g.cohort_label, CAST(k.bin AS integer) AS bin, CAST(0.5 + k.bin AS double) AS bin_start,
        count(b.client_id) AS n
-FROM (SELECT DISTINCT cohort_label FROM b) g CROSS JOIN range(5) k(bin)
+FROM (SELECT DISTINCT cohort_label FROM b WHERE cohort_label IN {MAIN_SQL}) g CROSS JOIN range(5) k(bin)
 LEFT JOIN b ON b.cohort_label = g.cohort_label
            AND least(greatest(floor((b.satisfaction_score - 0.5) / 1.0), 0), 4) = k.bin
 GROUP BY g.cohort_label, k.bin"""))
 def q_histogram(spark, sf):
-    return P.histogram(B(spark, sf), "cohort_label", "satisfaction_score", 0.5, 1.0, 5)
+    """Satisfaction histogram (5 unit bins) of the main cohorts."""
+    from segkit.sources.fixtures import MAIN_COHORTS
+    b = SL.slice_rows(B(spark, sf), {"cohort_label": MAIN_COHORTS})
+    return P.histogram(b, "cohort_label", "satisfaction_score", 0.5, 1.0, 5)
 
 
 def radar_metrics():
+    """Five per-row expressions whose group means are the radar's 0-1 scores."""
+    from segkit.fixed_values import AGE_SCALE, SCORE_SCALE
+    (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
     return {
-    "age_norm": (F.col("age") - 20) / 55.0,
-    "score_norm": F.col("satisfaction_score") / 5.0,
-    "investor": S.indicator("acquisition_purpose", "Investment"),
-    "loan": S.indicator("loan_applied", "Yes"),
-    "individual": 1 - S.indicator("client_type", "Corporate"),
+        "satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
+        "investment_focus": S.indicator("acquisition_purpose", "Investment"),
+        "self_funded": 1 - S.indicator("loan_applied", "Yes"),
+        "corporate_presence": S.indicator("client_type", "Corporate"),
+        "seniority": (F.col("age") - a0) / float(a1 - a0),
     }
 
 
 RADAR_SQL = {
-    "age_norm": "(age - 20) / 55.0", "score_norm": "satisfaction_score / 5.0",
-    "investor": _ind("acquisition_purpose", "Investment"), "loan": _ind("loan_applied", "Yes"),
-    "individual": f"1 - {_ind('client_type', 'Corporate')}",
+    "satisfaction": "satisfaction_score / 5.0", "investment_focus": _ind("acquisition_purpose", "Investment"),
+    "self_funded": f"1 - {_ind('loan_applied', 'Yes')}", "corporate_presence": _ind("client_type", "Corporate"),
+    "seniority": "(age - 20) / 55.0",
 }
 
 
 @query("radar_long", O.with_clean(" UNION ALL ".join(
-    f"SELECT cohort_label, '{m}' AS metric, {O.rnd(f'avg({e})', 4)} AS value FROM b GROUP BY cohort_label"
-    for m, e in RADAR_SQL.items())))
+    f"SELECT cohort_label, '{m}' AS metric, {O.rnd(f'avg({e})', 4)} AS value FROM b "
+    f"WHERE cohort_label IN {MAIN_SQL} GROUP BY cohort_label" for m, e in RADAR_SQL.items())))
 def q_radar_long(spark, sf):
-    return P.radar_long(B(spark, sf), "cohort_label", radar_metrics())
+    """Radar scores of the main cohorts, long form."""
+    from segkit.sources.fixtures import MAIN_COHORTS
+    b = SL.slice_rows(B(spark, sf), {"cohort_label": MAIN_COHORTS})
+    return P.radar_long(b, "cohort_label", radar_metrics())
 
 
 FIXED_GROUPS = SEGMENTS + ["UNKNOWN"]
 
 
 @query("fixed_groups_zero", O.with_clean(f"""
-SELECT g.cohort_label, coalesce(s.n, 0) AS n, coalesce(s.avg_score, 0.0) AS avg_score
+SELECT g.cohort_label, coalesce(s.n, 0) AS n, coalesce(s.avg_score, 0.0) AS avg_score,
+       coalesce(s.flag_pct, 0.0) AS flag_pct
 FROM (VALUES {", ".join(f"('{g}')" for g in FIXED_GROUPS)}) g(cohort_label)
-LEFT JOIN (SELECT cohort_label, count(*) AS n, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score
+LEFT JOIN (SELECT cohort_label, count(*) AS n, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+                  {O.rnd(f"avg({_ind('acquisition_purpose', 'Investment')}) * 100", 1)} AS flag_pct
            FROM b GROUP BY cohort_label) s USING (cohort_label)"""))
 def q_fixed_groups_zero(spark, sf):
     return P.fixed_groups_stats(B(spark, sf), "cohort_label", FIXED_GROUPS)

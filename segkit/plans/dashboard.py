@@ -82,14 +82,15 @@ class Dashboard:
     def insights(self, cohorts, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
         (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
-        radar = {"age_norm": (F.col("age") - a0) / float(a1 - a0),
-                 "score_norm": (F.col("satisfaction_score") - s0) / float(s1 - s0),
-                 "investor": F.col("is_investor"), "loan": F.col("has_loan"),
-                 "individual": 1 - F.col("is_corporate")}
+        radar = {"satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
+                 "investment_focus": F.col("is_investor"), "self_funded": 1 - F.col("has_loan"),
+                 "corporate_presence": F.col("is_corporate"),
+                 "seniority": (F.col("age") - a0) / float(a1 - a0)}
         return {"profile_top": P.profile_with_top(v, "cluster_name", "country"),
                 "cards": P.fixed_groups_stats(v, "cohort_label", list(cohorts)),
                 "radar": P.radar_long(SL.slice_rows(v, {"cohort_label": list(cohorts)}), "cohort_label", radar),
-                "score_histogram": P.histogram(v, "cohort_label", "satisfaction_score", 0.5, 1.0, HISTOGRAM_BINS),
+                "score_histogram": P.histogram(SL.slice_rows(v, {"cohort_label": list(cohorts)}), "cohort_label",
+                                               "satisfaction_score", 0.5, 1.0, HISTOGRAM_BINS),
                 "score_band": v.groupBy("cluster_name").agg(F.avg("satisfaction_score").alias("avg_score"))
                                .withColumn("band", F.when(F.col("avg_score") > SCORE_THRESHOLD, "above")
                                            .otherwise("below"))}

@@ -33,6 +33,9 @@ NULL_RATE = 0.05
 DUP_RATE = 0.01
 DOB_START = "1950-01-01"
 
+# The four "main" cohorts of the fixture (FURNITURE plays the noise group).
+MAIN_COHORTS = ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]
+
 # Allowed values per column (Q2 domain rules).
 DOMAINS = {
     "client_type": ["Individual", "Corporate"],
