@@ -1059,6 +1059,7 @@ def q_cohort_size_total(spark, sf):
 
 @query("dashboard_kpi", O.with_clean(f"""
 SELECT count(*) AS rows, {O.rnd('avg(satisfaction_score)', 2)} AS avg_score,
+       CASE WHEN {O.rnd('avg(satisfaction_score)', 2)} > 3.5 THEN 'above' ELSE 'below' END AS score_band,
        {O.rnd(f"sum({_ind('loan_applied', 'Yes')}) * 100.0 / count(*)", 1)} AS flag_pct,
        (SELECT 'Segment ' || CAST(referral_channel_rank AS varchar) FROM (
            SELECT satisfaction_score AS referral_channel_rank, count(*) AS c FROM b

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segkit.functions.scalar import indicator, map_values, prefixed_label
+from segkit.functions.scalar import indicator, map_values, prefixed_label, threshold_flag
 from segkit.operators import profile as P
 from segkit.operators import slicing as SL
 
@@ -53,44 +53,46 @@ class Dashboard:
     # tab 1: overview
     def overview(self, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
-        return {"kpi": P.kpi_row(v, "cluster_name"),
-                "segment_share": P.share_total(v, "cluster_name"),
-                "channel_by_segment": P.crosstab(v, "cluster_name", "referral_channel"),
-                "profile": P.segment_profile(v, "cluster_name")}
+        kpi = P.kpi_row(v, "cluster_name")
+        return {"kpi": kpi.withColumn("score_band", threshold_flag("avg_score", SCORE_THRESHOLD)),
+                "cluster_share": P.share_total(v, "cluster_name"),
+                "cohort_counts": P.group_size(v, "cohort_display"),
+                "purpose_by_segment": P.crosstab(v, "cluster_name", "acquisition_purpose")}
 
     # tab 2: investor behaviour
     def investors(self, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
-        return {"investor_rate": P.indicator_rate(v, "cluster_name", "acquisition_purpose", "Investment"),
+        return {"loan_rate": P.indicator_rate(v, "cluster_name", "loan_applied", "Yes", alias="loan_rate_pct"),
+                "satisfaction": P.segment_profile(v, "cluster_name").select("cluster_name", "avg_score"),
                 "age_spread": P.five_number(v, "cluster_name", "age"),
                 "purpose_share": P.share_within(v, "cluster_name", "acquisition_purpose"),
-                "loan_by_segment": P.crosstab(v, "cluster_name", "loan_applied"),
+                "channel_mix": P.crosstab(v, "cluster_name", "referral_channel"),
                 "sample": P.fixed_sample(v.select("client_id", "age", "satisfaction_score", "cluster_name"),
                                          "client_id", SAMPLE_ROWS)}
 
     # tab 3: geography
     def geography(self, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
-        return {"by_country": P.sort_groups(v, "country"),
+        top = P.semi_join(v, P.top_values(v, "country", TOP_N).select("country"), on="country",
+                          known_rows=TOP_N)
+        return {"by_country": P.sort_groups(v, "country", descending=False),
                 "hierarchy": P.hierarchy_rollup(v, "country", "region"),
                 "heat": P.heat_topn(v, "country", "cluster_name", TOP_N),
-                "type_share_top": P.share_within(
-                    P.semi_join(v, P.top_values(v, "country", TOP_N).select("country"), on="country",
-                                known_rows=TOP_N), "country", "client_type")}
+                "purpose_top": P.crosstab(top, "country", "acquisition_purpose"),
+                "type_share_top": P.share_within(top, "country", "client_type")}
 
     # tab 4: segment insights
     def insights(self, cohorts, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
+        main = SL.slice_rows(v, {"cohort_label": list(cohorts)})
         (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
         radar = {"satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
                  "investment_focus": F.col("is_investor"), "self_funded": 1 - F.col("has_loan"),
                  "corporate_presence": F.col("is_corporate"),
                  "seniority": (F.col("age") - a0) / float(a1 - a0)}
-        return {"profile_top": P.profile_with_top(v, "cluster_name", "country"),
+        return {"profile_top": P.profile_with_top(v, "cluster_name", "country").orderBy(F.desc("size"),
+                                                                                          "cluster_name"),
                 "cards": P.fixed_groups_stats(v, "cohort_label", list(cohorts)),
-                "radar": P.radar_long(SL.slice_rows(v, {"cohort_label": list(cohorts)}), "cohort_label", radar),
-                "score_histogram": P.histogram(SL.slice_rows(v, {"cohort_label": list(cohorts)}), "cohort_label",
-                                               "satisfaction_score", 0.5, 1.0, HISTOGRAM_BINS),
-                "score_band": v.groupBy("cluster_name").agg(F.avg("satisfaction_score").alias("avg_score"))
-                               .withColumn("band", F.when(F.col("avg_score") > SCORE_THRESHOLD, "above")
-                                           .otherwise("below"))}
+                "radar": P.radar_long(main, "cohort_label", radar),
+                "score_histogram": P.histogram(main, "cohort_label", "satisfaction_score", 0.5, 1.0,
+                                               HISTOGRAM_BINS)}
