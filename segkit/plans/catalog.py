@@ -513,19 +513,6 @@ def q_histogram(spark, sf):
     return P.histogram(b, "cohort_label", "satisfaction_score", 0.5, 1.0, 5)
 
 
-def radar_metrics():
-    """Five per-row expressions whose group means are the radar's 0-1 scores."""
-    from segkit.fixed_values import AGE_SCALE, SCORE_SCALE
-    (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
-    return {
-        "satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
-        "investment_focus": S.indicator("acquisition_purpose", "Investment"),
-        "self_funded": 1 - S.indicator("loan_applied", "Yes"),
-        "corporate_presence": S.indicator("client_type", "Corporate"),
-        "seniority": (F.col("age") - a0) / float(a1 - a0),
-    }
-
-
 RADAR_SQL = {
     "satisfaction": "satisfaction_score / 5.0", "investment_focus": _ind("acquisition_purpose", "Investment"),
     "self_funded": f"1 - {_ind('loan_applied', 'Yes')}", "corporate_presence": _ind("client_type", "Corporate"),
@@ -538,6 +525,7 @@ RADAR_SQL = {
     f"WHERE cohort_label IN {MAIN_SQL} GROUP BY cohort_label" for m, e in RADAR_SQL.items())))
 def q_radar_long(spark, sf):
     """Radar scores of the main cohorts, long form."""
+    from segkit.plans.dashboard import radar_metrics
     from segkit.sources.fixtures import MAIN_COHORTS
     b = SL.slice_rows(B(spark, sf), {"cohort_label": MAIN_COHORTS})
     return P.radar_long(b, "cohort_label", radar_metrics())

@@ -20,6 +20,18 @@ from segkit.fixed_values import (AGE_SCALE, HISTOGRAM_BINS, SAMPLE_ROWS, SCORE_S
                                  TOP_N)
 
 
+def radar_metrics() -> dict:
+    """Five per-row expressions whose group means are the radar's 0-1 scores."""
+    (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
+    return {
+        "satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
+        "investment_focus": indicator("acquisition_purpose", "Investment"),
+        "self_funded": 1 - indicator("loan_applied", "Yes"),
+        "corporate_presence": indicator("client_type", "Corporate"),
+        "seniority": (F.col("age") - a0) / float(a1 - a0),
+    }
+
+
 @dataclass
 class Dashboard:
     table: DataFrame
@@ -85,14 +97,9 @@ class Dashboard:
     def insights(self, cohorts, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
         main = SL.slice_rows(v, {"cohort_label": list(cohorts)})
-        (a0, a1), (s0, s1) = AGE_SCALE, SCORE_SCALE
-        radar = {"satisfaction": (F.col("satisfaction_score") - s0) / float(s1 - s0),
-                 "investment_focus": F.col("is_investor"), "self_funded": 1 - F.col("has_loan"),
-                 "corporate_presence": F.col("is_corporate"),
-                 "seniority": (F.col("age") - a0) / float(a1 - a0)}
         return {"profile_top": P.profile_with_top(v, "cluster_name", "country").orderBy(F.desc("size"),
                                                                                           "cluster_name"),
                 "cards": P.fixed_groups_stats(v, "cohort_label", list(cohorts)),
-                "radar": P.radar_long(main, "cohort_label", radar),
+                "radar": P.radar_long(main, "cohort_label", radar_metrics()),
                 "score_histogram": P.histogram(main, "cohort_label", "satisfaction_score", 0.5, 1.0,
                                                HISTOGRAM_BINS)}
