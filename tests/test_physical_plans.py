@@ -36,3 +36,22 @@ def test_features_stay_in_codegen(spark):
 def test_rollup_is_one_expand_not_unions(spark):
     p = plan(spark, "hierarchy_rollup")
     assert "Expand" in p and "Union" not in p.split("Expand")[0]
+
+
+def test_broadcast_only_within_the_proven_bound(spark):
+    from segkit.operators.joins import lookup_join
+    from segkit.sources.tables import read_table
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hints may broadcast
+    try:
+        o = read_table(spark, SF_MID, "orders").select("o_custkey")
+        c = read_table(spark, SF_MID, "customer").select(
+            read_table(spark, SF_MID, "customer")["c_custkey"].alias("o_custkey"))
+        small = lookup_join(o, c, on="o_custkey", how="inner", max_rows=10_000)
+        big = lookup_join(o, c, on="o_custkey", how="inner", max_rows=100)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        p = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+        assert small.count() == big.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
