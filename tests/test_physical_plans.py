@@ -45,8 +45,7 @@ def test_broadcast_only_within_the_proven_bound(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hints may broadcast
     try:
         o = read_table(spark, SF_MID, "orders").select("o_custkey")
-        c = read_table(spark, SF_MID, "customer").select(
-            read_table(spark, SF_MID, "customer")["c_custkey"].alias("o_custkey"))
+        c = read_table(spark, SF_MID, "customer").selectExpr("c_custkey AS o_custkey")
         small = lookup_join(o, c, on="o_custkey", how="inner", max_rows=10_000)
         big = lookup_join(o, c, on="o_custkey", how="inner", max_rows=100)
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
