@@ -2,7 +2,7 @@
 
 Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task
 assigns its rows to the nearest centre of every active run (numpy on Arrow
-batches via ``mapInPandas``) and emits per-cluster partial sums — one row per
+batches via ``mapInArrow``) and emits per-cluster partial sums — one row per
 (run, cluster) per partition.  A hash aggregate reduces them to
 ``sum(k) x d`` numbers, which are the only thing the driver sees.  The number
 of passes over the data is the iteration count, not runs x k x iterations.

@@ -9,7 +9,7 @@ work is inherently O(n^2); ``silhouette_auto`` switches to the linear V2 above
 ``exact_max_rows`` and records which metric it used.
 
 V2 squared-Euclidean silhouette: Spark ML ``ClusteringEvaluator`` (linear).
-V3/V4 ARI and NMI from the contingency table (aggregates + scalar subqueries).
+V3/V4 ARI and NMI from one pass over the contingency table (windows on its small rows).
 """
 
 from __future__ import annotations
