@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 
 INIT_SAMPLE_ROWS = 20_000
+CHUNK_ROWS = 2048  # rows per distance block inside a task (memory ~ CHUNK_ROWS x total centres)
 EXPR_MAX_CELLS = 1024  # k*d above this → Arrow/numpy assignment instead of an expression
 
 
@@ -115,16 +116,18 @@ def _partial_sums_fn(run_centers: list, features: str, d: int):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            X = arrow_matrix(batch.column(0), d)
-            G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
-            n = X.shape[0]
-            rows = np.arange(n)
-            A = np.zeros((n, tot))
-            for _, lo, hi in bounds:
-                A[rows, lo + np.argmin(G[:, lo:hi], axis=1)] = 1.0
-            acc_n += A.sum(0).astype(np.int64)
-            acc_cost += (A * np.maximum(G, 0.0)).sum(0)
-            acc_s += A.T @ X
+            Xb = arrow_matrix(batch.column(0), d)
+            for start in range(0, Xb.shape[0], CHUNK_ROWS):  # bounds the n x sum(k) matrices
+                X = Xb[start:start + CHUNK_ROWS]
+                G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
+                n = X.shape[0]
+                rows = np.arange(n)
+                A = np.zeros((n, tot))
+                for _, lo, hi in bounds:
+                    A[rows, lo + np.argmin(G[:, lo:hi], axis=1)] = 1.0
+                acc_n += A.sum(0).astype(np.int64)
+                acc_cost += (A * np.maximum(G, 0.0)).sum(0)
+                acc_s += A.T @ X
         run_ids = np.concatenate([np.full(hi - lo, rid, dtype=np.int32) for rid, lo, hi in bounds])
         clusters = np.concatenate([np.arange(hi - lo, dtype=np.int32) for _, lo, hi in bounds])
         keep = acc_n > 0
