@@ -54,3 +54,25 @@ def test_broadcast_only_within_the_proven_bound(spark):
         assert small.count() == big.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_key_is_reduced_map_side(spark):
+    """One key holds a third of all rows: dedup and group-mode stay correct and
+    their plans aggregate partially before the shuffle."""
+    from pyspark.sql import functions as F
+    from segkit.operators import dedup, profile as P
+    n = 30_000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+         .alias("key"),
+        (F.col("id") % 7).cast("int").alias("seq"),
+        (F.col("id") % 5).cast("string").alias("v")).repartition(8))
+    kept = dedup.dedup_keep_first(df, ["key"], ["seq"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
+    hot = kept.where("key = 'HOT'").first()
+    assert hot["seq"] == 0 and hot["v"] == "0"        # smallest seq, then smallest v
+    assert kept.count() == 1 + (n - n // 3)
+    mode = P.group_mode(df, "key", "v")
+    assert "partial_count" in mode._jdf.queryExecution().executedPlan().toString()
+    assert mode.where("key = 'HOT'").first()["top_v"] == "0"   # ids 0,3,..: v = id % 5 spreads evenly; tie → "0"
