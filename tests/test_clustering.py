@@ -197,3 +197,24 @@ def test_silhouette_singleton_cluster_scores_zero(spark):
     lab = np.array([r[2] for r in rows])
     got = V.silhouette_exact(df, "f", ["lab"], "id", block_rows=2).first()["silhouette"]
     assert abs(got - brute_silhouette(X, lab)) < 1e-12
+
+
+def test_inertia_close_to_full_data_kmeanspp_baseline(spark):
+    """Sample-seeded, distributed best-of-R k-means vs a local full-data k-means++ Lloyd baseline."""
+    df = _emb(spark).persist()
+    X, _, _ = _np(df)
+
+    def lloyd(C, it=100):
+        for _ in range(it):
+            j = ((X[:, None, :] - C[None]) ** 2).sum(-1).argmin(1)
+            new = np.array([X[j == c].mean(0) if (j == c).any() else C[c] for c in range(len(C))])
+            done = ((new - C) ** 2).sum() < 1e-12
+            C = new
+            if done:
+                break
+        return ((X[:, None, :] - C[None]) ** 2).sum(-1).min(1).sum()
+
+    ours = KM.kmeans_multi(df, "v", "vec_id", [3, 6], n_init=5, max_iter=100)
+    for k in (3, 6):
+        base = min(lloyd(KM.kmeanspp(X, k, np.random.default_rng(50 + r))) for r in range(5))
+        assert ours[k].cost <= base * 1.02
