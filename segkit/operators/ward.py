@@ -1,10 +1,12 @@
 """Variance-minimising (Ward) hierarchical clustering at scale (K7, K8).
 
-1. Spark k-means summarises the rows into ``m`` weighted micro-clusters
-   (``m`` is bounded, default 512); with ``n <= m`` every distinct row is its
-   own micro-cluster and the result is exact Ward on the rows.
-2. Ward merges run over the ``m`` weighted centroids (Lance-Williams update,
-   O(m^2) memory) — the only driver-side work, bounded by ``m``.
+1. Inputs with at most ``EXACT_ROWS`` (4096) distinct rows: every distinct row
+   is its own weighted point and the result is exact Ward on the rows.  Larger
+   inputs: Spark k-means summarises the rows into ``m`` (default 512) weighted
+   micro-clusters.
+2. Ward merges run over those weighted points with the nearest-neighbour-chain
+   algorithm (Lance-Williams updates, O(m^2) time and memory) — the only
+   driver-side work, bounded by ``EXACT_ROWS``.
 3. The cut at ``k`` maps micro-cluster → cluster; rows get their cluster by
    nearest micro-centroid (a distributed, Arrow-batched assignment).
 
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from segkit.operators import kmeans as KM
 
 MICRO_CLUSTERS = 512
+EXACT_ROWS = 4096  # inputs with at most this many distinct rows get exact Ward on the rows
 
 
 @dataclass
@@ -43,37 +46,71 @@ class WardModel:
 
 
 def ward_merges(centers: np.ndarray, sizes: np.ndarray) -> list:
-    """Full Ward merge sequence over weighted points; ids follow the scipy convention."""
+    """Full Ward merge sequence over weighted points (ids follow the scipy convention).
+
+    Nearest-neighbour chain: Ward linkage is reducible, so following chains of
+    nearest neighbours until two clusters are mutual nearest neighbours yields the
+    same hierarchy as the greedy closest-pair loop, in O(m^2) instead of O(m^3).
+    Distances are updated with Lance-Williams; merges are sorted by distance and
+    relabelled at the end.
+    """
     m = centers.shape[0]
-    sizes = sizes.astype(np.float64).copy()
-    diff = centers[:, None, :] - centers[None, :, :]
-    sq = (diff ** 2).sum(-1)
-    w = 2.0 * sizes[:, None] * sizes[None, :] / (sizes[:, None] + sizes[None, :])
-    dist2 = w * sq                      # squared Ward distance
-    np.fill_diagonal(dist2, np.inf)
+    if m < 2:
+        return []
+    size = sizes.astype(np.float64).copy()
+    c = centers.astype(np.float64)
+    nrm = (c ** 2).sum(1)
+    sq = np.maximum(nrm[:, None] + nrm[None, :] - 2.0 * (c @ c.T), 0.0)
+    D = 2.0 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * sq   # squared Ward distance
+    np.fill_diagonal(D, np.inf)
     active = np.ones(m, dtype=bool)
-    ids = np.arange(m)
-    out = []
-    for step in range(m - 1):
-        flat = np.argmin(dist2)
-        i, j = divmod(int(flat), m)
-        if i > j:
-            i, j = j, i
-        d2 = dist2[i, j]
-        ni, nj = sizes[i], sizes[j]
-        nk = sizes
-        # Lance-Williams update for the squared Ward distance
-        new = ((ni + nk) * dist2[i] + (nj + nk) * dist2[j] - nk * d2) / (ni + nj + nk)
+    raw = []            # (slot a, slot b, squared distance, merged size); slot a keeps the merged cluster
+    chain: list = []
+    for _ in range(m - 1):
+        if not chain:
+            chain.append(int(np.flatnonzero(active)[0]))
+        while True:
+            a = chain[-1]
+            b = int(np.argmin(D[a]))
+            if len(chain) > 1 and D[a, chain[-2]] <= D[a, b]:
+                b = chain[-2]
+            if len(chain) > 1 and b == chain[-2]:
+                break
+            chain.append(b)
+        a = chain.pop()
+        b = chain.pop()
+        if a > b:
+            a, b = b, a
+        d2 = D[a, b]
+        na, nb = size[a], size[b]
+        new = ((na + size) * D[a] + (nb + size) * D[b] - size * d2) / (na + nb + size)
         new[~active] = np.inf
-        new[i] = np.inf
-        out.append((step, int(ids[i]), int(ids[j]), float(np.sqrt(max(d2, 0.0))), int(ni + nj)))
-        dist2[i, :] = new
-        dist2[:, i] = new
-        dist2[j, :] = np.inf
-        dist2[:, j] = np.inf
-        active[j] = False
-        sizes[i] = ni + nj
-        ids[i] = m + step
+        new[a] = np.inf
+        new[b] = np.inf
+        D[a, :] = new
+        D[:, a] = new
+        D[b, :] = np.inf
+        D[:, b] = np.inf
+        active[b] = False
+        size[a] = na + nb
+        raw.append((a, b, float(d2), int(na + nb)))
+    # sort by distance (stable) and give merged clusters scipy ids m, m+1, ...
+    order = sorted(range(len(raw)), key=lambda i: raw[i][2])
+    parent = list(range(m))
+    label = list(range(m))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    out = []
+    for step, i in enumerate(order):
+        a, b, d2, n = raw[i]
+        ra, rb = find(a), find(b)
+        out.append((step, min(label[ra], label[rb]), max(label[ra], label[rb]), float(np.sqrt(max(d2, 0.0))), n))
+        parent[rb] = ra
+        label[ra] = m + step
     return out
 
 
@@ -110,8 +147,9 @@ def micro_summary(df: DataFrame, features: str, key: str, micro: int = MICRO_CLU
     ``run`` may carry a micro-cluster k-means fitted elsewhere (e.g. in the same
     passes as another model); small inputs use their distinct rows exactly.
     """
-    n = df.limit(micro + 1).count()
-    if n <= micro:
+    bound = max(micro, EXACT_ROWS)
+    n = df.limit(bound + 1).count()
+    if n <= bound:  # bounded: exact Ward on the (weighted) distinct rows
         pts = df.groupBy(features).agg(F.count(F.lit(1)).alias("n")).collect()
         return (np.array([np.asarray(r[features], dtype=np.float64) for r in pts]),
                 np.array([r["n"] for r in pts], dtype=np.float64))

@@ -20,7 +20,7 @@ from segkit.operators.features import FeatureModel, fit_features
 from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k_local
 from segkit.operators.profile import profile_with_top
 from segkit.operators.validate import silhouette_auto
-from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
+from segkit.operators.ward import EXACT_ROWS, MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
 from segkit.plans.clean import clean_buyers, dedup_buyers
 from segkit.session import ensure_checkpoint_dir
 from segkit.sources.fixtures import buyers_raw
@@ -122,7 +122,7 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
     n_rows = n_clean
     # Ward's micro-clusters do not depend on the chosen k: they always share the sweep's passes
     extra = []
-    if with_ward and n_rows > micro:
+    if with_ward and n_rows > max(micro, EXACT_ROWS):
         extra.append((("micro", micro), micro, 1, MICRO_MAX_ITER, seed))
     speculate = n_rows * sum(ks) * n_init_final <= SPECULATE_CELLS
     if speculate:
