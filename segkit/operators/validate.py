@@ -140,11 +140,19 @@ def silhouette_squared(df: DataFrame, features: str, label: str) -> float:
 
 
 def silhouette_auto(df: DataFrame, features: str, labels, key: str, exact_max_rows: int = EXACT_MAX_ROWS,
-                    block_rows: int = BLOCK_ROWS) -> tuple[dict, str]:
-    """Exact V1 when the row count is within the bound, else V2; returns ({label: s}, metric)."""
-    n = df.limit(exact_max_rows + 1).count()
+                    block_rows: int = BLOCK_ROWS, metric: str = "auto") -> tuple[dict, str]:
+    """Silhouette of several labellings; returns ({label: s}, metric used).
+
+    ``metric``: "exact" (V1, O(n^2)), "squared" (V2, linear), or "auto" = exact when
+    the row count is within ``exact_max_rows``, else squared.
+    """
+    if metric not in ("auto", "exact", "squared"):
+        raise ValueError(f"unknown silhouette metric {metric!r}")
     labels = list(labels)
-    if n <= exact_max_rows:
+    if metric == "squared":
+        return {lab: silhouette_squared(df, features, lab) for lab in labels}, "squared_euclidean"
+    n = df.limit(exact_max_rows + 1).count() if metric == "auto" else df.count()
+    if metric == "exact" or n <= exact_max_rows:
         rows = silhouette_rows(df, features, labels, key, block_rows, n_rows=n)
         got = {r["j"]: r["s"] for r in rows.groupBy("j").agg(F.avg("s").alias("s")).collect()}
         return {labels[j]: float(v) for j, v in got.items()}, "euclidean"

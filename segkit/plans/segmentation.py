@@ -81,7 +81,7 @@ def materialise(df: DataFrame, partitions: int | None = None, rows: int | None =
 
 
 def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-            features: str = "features", key: str = KEY, extra_specs=()):
+            features: str = "features", key: str = KEY, extra_specs=(), silhouette: str = "auto"):
     """Fit every k (``n_init`` restarts each) plus any ``extra_specs`` in shared
     passes, then score the sweep's best runs with one silhouette job."""
     specs = [(("sweep", k), k, n_init, max_iter, seed) for k in ks] + list(extra_specs)
@@ -89,7 +89,7 @@ def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int =
     runs = {k: fitted[("sweep", k)] for k in ks}
     labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
                               features).persist()
-    sil, metric = silhouette_auto(labelled, features, [f"k{k}" for k in runs], key)
+    sil, metric = silhouette_auto(labelled, features, [f"k{k}" for k in runs], key, metric=silhouette)
     labelled.unpersist()
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
     extra = {t: r for t, r in fitted.items() if t[0] != "sweep"}
@@ -104,7 +104,9 @@ SPECULATE_CELLS = 50_000_000
 def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_init_final: int = FINAL_RESTARTS,
             max_iter_sweep: int = SWEEP_MAX_ITER, max_iter_final: int = FINAL_MAX_ITER,
             default_k: int = DEFAULT_K, gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS,
-            seed: int = RANDOM_SEED, with_ward: bool = True) -> Segmentation:
+            seed: int = RANDOM_SEED, with_ward: bool = True, silhouette: str = "auto") -> Segmentation:
+    """The whole modelling run.  ``silhouette`` picks the metric of the k choice
+    ("exact", "squared" or "auto"); the 0.02 gap rule was tuned for "exact"."""
     import time
     times = {}
     t0 = time.time()
@@ -127,7 +129,8 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
     speculate = n_rows * sum(ks) * n_init_final <= SPECULATE_CELLS
     if speculate:
         extra += [(("final", k), k, n_init_final, max_iter_final, seed + 7) for k in ks]
-    runs, table, fitted = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed, extra_specs=extra)
+    runs, table, fitted = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed, extra_specs=extra,
+                                  silhouette=silhouette)
     times["sweep"] = time.time() - t0 - sum(times.values())
     decision = choose_k_local([(k, s, i) for k, s, i, _, _ in table], default_k, gap)
     k = int(decision["k"])

@@ -218,3 +218,12 @@ def test_inertia_close_to_full_data_kmeanspp_baseline(spark):
     for k in (3, 6):
         base = min(lloyd(KM.kmeanspp(X, k, np.random.default_rng(50 + r))) for r in range(5))
         assert ours[k].cost <= base * 1.02
+
+
+def test_silhouette_metric_is_an_explicit_choice(spark):
+    df = _emb(spark)
+    exact, m1 = V.silhouette_auto(df, "v", ["label"], "vec_id", metric="exact")
+    sq, m2 = V.silhouette_auto(df, "v", ["label"], "vec_id", metric="squared")
+    auto, m3 = V.silhouette_auto(df, "v", ["label"], "vec_id", exact_max_rows=10)
+    assert (m1, m2, m3) == ("euclidean", "squared_euclidean", "squared_euclidean")
+    assert abs(auto["label"] - sq["label"]) < 1e-12 and abs(exact["label"] - sq["label"]) > 1e-6
