@@ -193,12 +193,16 @@ def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, m
 
 
 def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42,
-                 init_rows: int | None = None) -> dict:
+                 init_rows: int | None = None, early=None) -> dict:
     """Fit several models in the same passes over the data.
 
     ``specs`` items are ``(k, n_init, max_iter)`` (result keyed by k) or
     ``(tag, k, n_init, max_iter, seed)`` (result keyed by tag).  Returns the best
     run (lowest cost over its restarts) per key.
+
+    ``early = (predicate, callback)``: as soon as every run whose tag satisfies
+    ``predicate`` has finished, those runs are finalised and ``callback`` gets
+    their best runs (e.g. to start scoring them while the other runs go on).
     """
     norm = []
     for sp in specs:
@@ -228,9 +232,31 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
                              converged=False, max_iter=max_iter)
             rid += 1
     n_parts = df.rdd.getNumPartitions()
+    finished = {}   # run id -> (counts, costs) from a final pass
+
+    def done(v):
+        return v["converged"] or v["n_iter"] >= v["max_iter"]
+
+    def best_of(ids):
+        best = {}
+        for i in ids:
+            v = runs[i]
+            n, cost = finished[i]
+            cand = KMeansRun(v["k"], v["run"], v["centers"], float(cost.sum()), v["n_iter"],
+                             [int(x) for x in n], v["converged"])
+            if v["tag"] not in best or cand.cost < best[v["tag"]].cost:
+                best[v["tag"]] = cand
+        return {t: canonical(r) for t, r in best.items()}
+
+    early_ids = [i for i, v in runs.items() if early is not None and early[0](v["tag"])]
+    early_sent = not early_ids
     while True:
-        active = [(i, v["centers"]) for i, v in runs.items()
-                  if not v["converged"] and v["n_iter"] < v["max_iter"]]
+        if not early_sent and all(done(runs[i]) for i in early_ids):
+            res = lloyd_pass(df, features, [(i, runs[i]["centers"]) for i in early_ids], d, n_parts)
+            finished.update({i: (res[i][1], res[i][2]) for i in early_ids})
+            early[1](best_of(early_ids))
+            early_sent = True
+        active = [(i, v["centers"]) for i, v in runs.items() if not done(v)]
         if not active:
             break
         sums = lloyd_pass(df, features, active, d, n_parts)
@@ -245,16 +271,11 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
             runs[i]["n_iter"] += 1
             if shift <= tol_abs:
                 runs[i]["converged"] = True
-    final = lloyd_pass(df, features, [(i, v["centers"]) for i, v in runs.items()], d, n_parts)
-    best = {}
-    for i, v in runs.items():
-        _s, n, cost = final[i]
-        cost_total = float(cost.sum())
-        cand = KMeansRun(v["k"], v["run"], v["centers"], cost_total, v["n_iter"], [int(x) for x in n],
-                         v["converged"])
-        if v["tag"] not in best or cost_total < best[v["tag"]].cost:
-            best[v["tag"]] = cand
-    return {t: canonical(r) for t, r in best.items()}
+    rest = [i for i in runs if i not in finished]
+    if rest:
+        res = lloyd_pass(df, features, [(i, runs[i]["centers"]) for i in rest], d, n_parts)
+        finished.update({i: (res[i][1], res[i][2]) for i in rest})
+    return best_of(list(runs))
 
 
 def canonical(run: KMeansRun) -> KMeansRun:

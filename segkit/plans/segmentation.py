@@ -84,13 +84,28 @@ def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int =
             features: str = "features", key: str = KEY, extra_specs=(), silhouette: str = "auto"):
     """Fit every k (``n_init`` restarts each) plus any ``extra_specs`` in shared
     passes, then score the sweep's best runs with one silhouette job."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def score(best):
+        """Silhouettes of the sweep's best runs (one blocked distance job)."""
+        runs = {k: best[("sweep", k)] for k in ks}
+        labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
+                                  features).persist()
+        try:
+            return silhouette_auto(labelled, features, [f"k{k}" for k in runs], key, metric=silhouette)
+        finally:
+            labelled.unpersist()
+
     specs = [(("sweep", k), k, n_init, max_iter, seed) for k in ks] + list(extra_specs)
-    fitted = KM.kmeans_specs(X, features, key, specs)
+    # the silhouette job starts as soon as the sweep's runs are done, while the
+    # other runs (micro-clusters, speculative final fits) keep iterating
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        pending = {}
+        fitted = KM.kmeans_specs(X, features, key, specs,
+                                 early=(lambda tag: tag[0] == "sweep",
+                                        lambda best: pending.setdefault("f", pool.submit(score, best))))
+        sil, metric = pending["f"].result()
     runs = {k: fitted[("sweep", k)] for k in ks}
-    labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
-                              features).persist()
-    sil, metric = silhouette_auto(labelled, features, [f"k{k}" for k in runs], key, metric=silhouette)
-    labelled.unpersist()
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
     extra = {t: r for t, r in fitted.items() if t[0] != "sweep"}
     return runs, table, extra
