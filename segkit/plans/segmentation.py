@@ -29,7 +29,10 @@ from segkit.fixed_values import (CATEGORICAL_FEATURES as CATEGORICAL, FINAL_MAX_
                                  K_RANGE, NUMERIC_FEATURES as NUMERIC, RANDOM_SEED, SWEEP_MAX_ITER,
                                  SWEEP_RESTARTS)
 KEY = "client_id"
-MICRO_MAX_ITER = 20  # micro-clusters only summarise rows for Ward
+MICRO_MAX_ITER = 20
+# Start the sweep's silhouette job while other runs still iterate.  Measured no gain under the default FIFO
+# scheduler (the jobs compete for the same cores); worth enabling with spark.scheduler.mode=FAIR.
+EARLY_SILHOUETTE = False  # micro-clusters only summarise rows for Ward
 LABEL = "cohort_label"
 
 
@@ -97,13 +100,15 @@ def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int =
             labelled.unpersist()
 
     specs = [(("sweep", k), k, n_init, max_iter, seed) for k in ks] + list(extra_specs)
-    # the silhouette job starts as soon as the sweep's runs are done, while the
-    # other runs (micro-clusters, speculative final fits) keep iterating
+    # with EARLY_SILHOUETTE the silhouette job starts as soon as the sweep's runs are
+    # done, while the other runs (micro-clusters, speculative final fits) keep iterating
     with ThreadPoolExecutor(max_workers=1) as pool:
         pending = {}
-        fitted = KM.kmeans_specs(X, features, key, specs,
-                                 early=(lambda tag: tag[0] == "sweep",
-                                        lambda best: pending.setdefault("f", pool.submit(score, best))))
+        early = ((lambda tag: tag[0] == "sweep",
+                  lambda best: pending.setdefault("f", pool.submit(score, best))) if EARLY_SILHOUETTE else None)
+        fitted = KM.kmeans_specs(X, features, key, specs, early=early)
+        if "f" not in pending:
+            pending["f"] = pool.submit(score, {("sweep", k): fitted[("sweep", k)] for k in ks})
         sil, metric = pending["f"].result()
     runs = {k: fitted[("sweep", k)] for k in ks}
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
