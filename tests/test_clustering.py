@@ -227,3 +227,25 @@ def test_silhouette_metric_is_an_explicit_choice(spark):
     auto, m3 = V.silhouette_auto(df, "v", ["label"], "vec_id", exact_max_rows=10)
     assert (m1, m2, m3) == ("euclidean", "squared_euclidean", "squared_euclidean")
     assert abs(auto["label"] - sq["label"]) < 1e-12 and abs(exact["label"] - sq["label"]) > 1e-6
+
+
+def test_score_new_record_with_unseen_category_and_missing_fields(spark):
+    from segkit.plans.clean import clean_buyers, imputer_fill_dict
+    from segkit.plans.segmentation import encode
+    from segkit.sources.fixtures import buyers_raw
+    from segkit.streaming.scoring import score
+    clean = clean_buyers(buyers_raw(spark, SF_SMALL))
+    fm, X = encode(clean.df)
+    run = KM.kmeans_multi(X.persist(), "features", "client_id", [3], n_init=2, max_iter=20)[3]
+    new = spark.createDataFrame(
+        [("NEW_1", "Individual", None, "ATLANTIS", None, "1980-05-05", "Investment", None, "Digital", 4)],
+        "client_id string, client_type string, gender string, country string, region string, "
+        "date_of_birth string, acquisition_purpose string, loan_applied string, referral_channel string, "
+        "satisfaction_score int")
+    fills = imputer_fill_dict(clean.imputer)
+    out = score(new, fm, run, fills).first()
+    assert out["client_id"] == "NEW_1" and 0 <= out["cluster"] < 3
+    enc = fm.transform(new.fillna({k: v for k, v in fills.items() if k in new.columns}).withColumn(
+        "age", F.lit(43)), "f").first()["f"]
+    country_slots = [i for i, n in enumerate(fm.names) if n.startswith("country_")]
+    assert all(enc[i] == 0.0 for i in country_slots)     # unseen country → all zeros
