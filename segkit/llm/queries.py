@@ -18,6 +18,12 @@ def op3_jaccard_join(spark, sf_dir):
     return similar_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op4_decontaminate(spark, sf_dir):
+    """Words of documents inside 13-word windows of benchmark items."""
+    from segkit.llm.winnowing import digest
+    return digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_mix(spark, sf_dir):
     """Words of each document that the mix takes."""
     from segkit.llm.mixing import digest
@@ -30,5 +36,5 @@ def op10_shards(spark, sf_dir):
     return digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op7_mix, op10_shards)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op4_decontaminate, op7_mix, op10_shards)}
 ORACLE: dict[str, str] = {}

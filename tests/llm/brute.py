@@ -51,3 +51,29 @@ def awkward_documents(spark):
             (9, "x y z\x00q été", "fr", "s1"), (10, "A B  C\nD", None, "s1")]
     return spark.createDataFrame([(*r, len(r[1]) if r[1] is not None else None, 1, "x") for r in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long, size int, word string")
+
+
+def contamination(rows, items, span=13):
+    import hashlib
+    from collections import defaultdict
+    windows = defaultdict(set)
+    for item, text in items:
+        w = words(text, ALNUM)
+        if w and len(w) < span:
+            windows[tuple(w)].add(item)
+        for i in range(len(w) - span + 1):
+            windows[tuple(w[i:i + span])].add(item)
+    lengths = {len(k) for k in windows}
+    out = []
+    for doc, text in rows:
+        w = words(text, ALNUM)
+        hit, named = set(), set()
+        for m in lengths:
+            for i in range(len(w) - m + 1):
+                got = windows.get(tuple(w[i:i + m]))
+                if got:
+                    hit.update(range(i, i + m))
+                    named |= {x for x in got if x is not None}
+        out.append((doc, len(w), len(hit), len(named), hashlib.sha256(",".join(sorted(map(str, named))).encode()).hexdigest(),
+                    len(hit) > 0 and 20 * len(hit) >= len(w)))
+    return out
