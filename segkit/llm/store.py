@@ -54,20 +54,62 @@ def load(handle: str, name: str) -> np.ndarray:
     return np.load(f"{handle}/{name}.npy", mmap_mode="r")
 
 
-class SortedArrays:
-    """Sorted keys, cut by their top bits into ``ranges`` files, with value arrays beside them."""
-
-    def __init__(self, handle: str, table: str, ranges: int, values: list[str]):
-        self.keys = [load(handle, f"{table}-{r}-keys") for r in range(ranges)]
-        self.values = {v: [load(handle, f"{table}-{r}-{v}") for r in range(ranges)] for v in values}
-        self.first = np.concatenate([[0], np.cumsum([len(k) for k in self.keys])])
-        self.ranges = ranges
-
-    def find(self, sorted_keys: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, list]:
-        """For sorted distinct keys: found flags, and per range (slice of the queries, positions)."""
-        raise NotImplementedError
-
-
 def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     """Range of each hash: ranges cut the hash space evenly, so ids that follow the ranges follow the hashes."""
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+
+
+class SortedArrays:
+    """Keys sorted within ``ranges`` files (cut by ``range_of``), with value arrays beside them.
+
+    ``present`` lists the ranges that have a file; the rest is empty.
+    """
+
+    def __init__(self, handle: str, table: str, ranges: int, present: list[int], values: dict[str, type]):
+        self.ranges, self.kinds = ranges, values
+        self.keys = {r: load(handle, f"{table}-{r}-keys") for r in present}
+        self.values = {v: {r: load(handle, f"{table}-{r}-{v}") for r in present} for v in values}
+
+    def find(self, keys: np.ndarray, hashes: np.ndarray) -> dict[str, np.ndarray]:
+        """Values of sorted distinct keys (0 where a key is absent), and ``at``: range and position, or -1."""
+        part = range_of(hashes, self.ranges)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(self.ranges + 1))
+        out = {v: np.zeros(len(keys), kind) for v, kind in self.kinds.items()}
+        out["range"], out["at"] = part, np.full(len(keys), -1, np.int64)
+        for r, have in self.keys.items():
+            rows = order[cuts[r]:cuts[r + 1]]
+            if not len(rows) or not len(have):
+                continue
+            pos = np.searchsorted(have, keys[rows])
+            pos[pos == len(have)] = 0
+            hit = have[pos] == keys[rows]
+            rows, pos = rows[hit], pos[hit]
+            out["at"][rows] = pos
+            for v in self.kinds:
+                out[v][rows] = self.values[v][r][pos]
+        return out
+
+
+def save_table(folder: str, table: str, r: int, keys: np.ndarray, **values: np.ndarray) -> None:
+    save(folder, f"{table}-{r}-keys", keys)
+    for name, array in values.items():
+        save(folder, f"{table}-{r}-{name}", array)
+
+
+def planes(keys: np.ndarray) -> bytes:
+    """Sorted uint64 as differences, byte plane by byte plane: the zero planes vanish in Spark's compression."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(blob, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(raw).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, summed counts, index of a first occurrence)."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], (np.add.reduceat(counts, first) if len(first) else counts), order[first]
