@@ -12,6 +12,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark, sf_dir):
+    """Main text of every page."""
+    from segkit.llm.html_blocks import digest
+    return digest(_table(spark, sf_dir, "pages"))
+
+
+def op2_lm_score(spark, sf_dir):
+    """Bigram Kneser-Ney score of every document."""
+    from segkit.llm.kn_words import digest
+    return digest(_table(spark, sf_dir, "documents"), order=2)
+
+
 def op3_jaccard_join(spark, sf_dir):
     """Near-duplicate components of documents: 3-word shingles, Jaccard of 0.9 or more."""
     from segkit.llm.jaccard_rtree import similar_components
@@ -24,17 +36,42 @@ def op4_decontaminate(spark, sf_dir):
     return digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_language(spark, sf_dir):
+    """Predicted language of every document."""
+    from segkit.llm.kn_langid import digest
+    return digest(_table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprints(spark, sf_dir):
+    """Syncmer fingerprints of documents and of their edited texts."""
+    from segkit.llm.syncmers import digest
+    return digest(_table(spark, sf_dir, "documents"))
+
+
 def op7_mix(spark, sf_dir):
     """Words of each document that the mix takes."""
     from segkit.llm.mixing import digest
     return digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_training_order(spark, sf_dir):
+    """Token sequences of all documents in keyed random order, written as fixed-stride shards."""
+    from segkit.llm.materialise import digest
+    return digest(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    from segkit.llm.toxicity import digest
+    return digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_shards(spark, sf_dir):
     """Uniform shuffle of documents into 40 shards of exact row counts."""
     from segkit.llm.shard_shuffle import digest
     return digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op4_decontaminate, op7_mix, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_lm_score, op3_jaccard_join, op4_decontaminate, op5_language, op6_fingerprints,
+                                   op7_mix, op8_training_order, op9_toxicity, op10_shards)}
 ORACLE: dict[str, str] = {}
