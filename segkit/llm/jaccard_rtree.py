@@ -19,8 +19,8 @@ A band, class or group with a third of all rows costs rows, not pairs, in steps
 replicates a group's rows once per chunk of the group.
 
 Null, empty and blank texts have no n-grams and link with nothing; fewer words than n make one n-gram;
-repeated rows come out once each; a repeated doc_id counts as one document with all its links; a null
-doc_id has links, but a component's id is its smallest non-null doc_id.
+repeated rows come out once each; texts that share a doc_id have links of their own; a null doc_id has links, but a
+component's id is its smallest non-null doc_id; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -202,7 +202,7 @@ def link_chunk(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], points
 
 
 def set_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, size, k1, k2, sigs) per document row: (size, k1, k2) tell sets apart, sigs are its bands."""
+    """(doc_id, mark, size, k1, k2, sigs) per document row: (size, k1, k2) tell sets apart, sigs are its bands, mark hashes the text."""
     def run(batches):
         hasher = WordHasher(space_words())
         for batch in batches:
@@ -213,11 +213,12 @@ def set_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 order = np.argsort(of, kind="stable")
                 cut = np.searchsorted(of[order], np.arange(len(sizes) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(sizes.astype(np.int64)),
+                    part.column("doc_id"), part.column("mark"), pa.array(sizes.astype(np.int64)),
                     pa.array(signed(segment_sums(mix(h), offsets))), pa.array(signed(segment_sums(mix(h + GOLDEN), offsets))),
                     pa.ListArray.from_arrays(pa.array(cut), pa.array(signed(sig[order])))],
-                    names=["doc_id", "size", "k1", "k2", "sigs"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, size long, k1 long, k2 long, sigs array<long>")
+                    names=["doc_id", "mark", "size", "k1", "k2", "sigs"])
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
+        run, "doc_id long, mark long, size long, k1 long, k2 long, sigs array<long>")
 
 
 def grouped(batches, keys: list[str]):
@@ -242,7 +243,7 @@ def grouped(batches, keys: list[str]):
 
 
 def similar_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns doc_id long, text string)."""
+    """(doc_id, n_shingles, component_id, mark) for every row of ``docs`` (columns doc_id long, text string); mark hashes the text."""
     from math import gcd
     num, den = percent // gcd(percent, 100), 100 // gcd(percent, 100)
     sets = written(set_table(docs, n, num, den), "sets")
@@ -321,5 +322,23 @@ def similar_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         .select("size", "k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     plain = sets.drop("sigs")
     return (plain.where("size > 0").join(by_class, ["size", "k1", "k2"])
-            .select("doc_id", F.col("size").alias("n_shingles"), "component_id")
-            .unionByName(plain.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
+            .select("doc_id", F.col("size").alias("n_shingles"), "component_id", "mark")
+            .unionByName(plain.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"), "mark")))
+
+
+def first_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Rows that share this doc_id are one document: the one with the smallest text hash stays, of equal texts the row that is smallest
+    in the other columns.  Rows whose component has no doc_id at all are told apart by their text.
+    """
+    rows = similar_components(docs, n, percent).where("doc_id <=> component_id")
+    times = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("times"))
+    only = F.when(F.col("doc_id").isNull(), F.col("mark"))
+    chosen = (times.groupBy("doc_id", only.alias("_only")).agg(F.min(F.struct("mark", "times")).alias("_best"))
+              .select(F.col("doc_id").alias("_id"), F.col("_best.mark").alias("_mark"), F.col("_best.times").alias("_times")))
+    # the same plan at every size: texts are dealt by id and hash
+    kept = docs.join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark")))
+    names = docs.columns
+    again = (kept.where("_times > 1").groupBy("_id", "_mark").agg(F.min(F.struct(*names)).alias("_row")).select("_row.*"))
+    return kept.where("_times = 1").select(*names).unionByName(again.select(*names))

@@ -133,6 +133,6 @@ def mixed_documents(docs: DataFrame, seed: int = 11) -> DataFrame:
              .select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), F.round("_x").cast("int").alias("_times"))
              .where("_times > 0"))
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    return (docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
+    return (docs.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
             .select(*docs.columns))

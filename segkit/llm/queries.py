@@ -27,7 +27,7 @@ def op2_lm_score(spark, sf_dir):
 def op3_jaccard_join(spark, sf_dir):
     """Near-duplicate components of documents: 3-word shingles, Jaccard of 0.9 or more."""
     from segkit.llm.jaccard_rtree import similar_components
-    return similar_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return similar_components(_table(spark, sf_dir, "documents"), n=3, percent=90).drop("mark")
 
 
 def op4_decontaminate(spark, sf_dir):

@@ -199,4 +199,4 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = judged(docs, items).where("contaminated").select("_both").distinct()
-    return docs.join(bad, row_key() == F.col("_both"), "left_anti")
+    return docs.join(bad.hint("merge"), row_key() == F.col("_both"), "left_anti")
