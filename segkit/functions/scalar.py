@@ -38,10 +38,14 @@ def safe_date(c: Column | str) -> Column:
 
 
 def whole_years(d: Column | str, reference: str = REFERENCE_DATE,
-                days_per_year: float = DAYS_PER_YEAR) -> Column:
-    """Whole years between a date and the reference date, truncated toward 0."""
+                days_per_year: float = DAYS_PER_YEAR, strict: Column | str | None = None) -> Column:
+    """Whole years between a date and the reference date, truncated toward 0.
+
+    ``strict`` names what to report: a null date then stops the job with this text.
+    """
     days = F.datediff(F.lit(reference).cast("date"), _col(d))
-    return (days / F.lit(days_per_year)).cast("int")
+    years = (days / F.lit(days_per_year)).cast("int")
+    return years if strict is None else F.coalesce(years, F.raise_error(strict if isinstance(strict, Column) else F.lit(strict)).cast("int"))
 
 
 def formatted_key(prefix: str, n: Column | str, width: int = 5) -> Column:
@@ -60,13 +64,12 @@ def shift_days(d: Column | str, n: Column | int) -> Column:
 
 
 def fixed_round(c: Column | str, digits: int) -> Column:
-    """Decimal rounding as a DOUBLE.
+    """Half-even decimal rounding as a DOUBLE.
 
-    The value is first fixed to 6 decimals, then rounded half-up, so the result
-    does not depend on the last bits of a floating sum (summation order differs
-    between partitions and engines).
+    The value is first fixed to 6 decimals, so the result does not depend on the last bits of a floating sum (summation order
+    differs between partitions and engines).  Values up to 10^32 fit.
     """
-    return F.round(_col(c).cast("decimal(18,6)"), digits).cast("double")
+    return F.bround(_col(c).cast("decimal(38,6)"), digits).cast("double")
 
 
 def min_max_scaled(c: Column | str, lo: float, hi: float) -> Column:

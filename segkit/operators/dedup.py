@@ -11,53 +11,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_full(df: DataFrame, exclude=()) -> DataFrame:
-    """One row per distinct combination of all columns except ``exclude``.
+def dedup_full(df: DataFrame, exclude=(), order_by: str | None = None) -> DataFrame:
+    """One row per distinct combination of all columns except ``exclude`` and the order column.
 
-    Nulls compare equal.  Excluded columns (e.g. a truth label that must not take
-    part in the comparison) are carried: the smallest value of the group is kept.
+    Nulls compare equal.  The first row by ``order_by`` stays, with its own excluded columns (e.g. a truth label).  Without
+    excluded columns there is nothing to choose and no order is needed.
     """
-    compare = [c for c in df.columns if c not in set(exclude)]
-    carried = [c for c in df.columns if c in set(exclude)]
-    if not carried:
+    carried = {*exclude, *([order_by] if order_by else [])}
+    compare = [c for c in df.columns if c not in carried]
+    if len(compare) == len(df.columns):
         return df.dropDuplicates()
-    return (df.groupBy(*compare)
-              .agg(F.min(F.struct(*carried)).alias("_carried"))
-              .select(*compare, "_carried.*")
-              .select(*df.columns))
+    return first_rows(df, compare, order_by)
 
 
-def dedup_keep_first(df: DataFrame, keys, order_by=()) -> DataFrame:
-    """One row per key, the first by ``order_by``.
+def first_rows(df: DataFrame, keys, order_by: str | None) -> DataFrame:
+    """The row with the smallest ``order_by`` per key (null keys are equal); ``order_by`` is unique within a key.
 
-    Without an order column the remaining columns break ties, so the kept row is
-    still deterministic (``dropDuplicates`` would keep an arbitrary one).
-    The row is picked with ``min(struct(order..., rest...))``, a partial aggregate.
+    A hash aggregate of one number per key, reduced map-side, and a semi-join on key and number.
     """
-    keys = list(keys)
-    order = [c for c in order_by]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    if not order and not rest:
-        return df.dropDuplicates(keys)
-    return (df.groupBy(*keys)
-              .agg(F.min(F.struct(*order, *rest)).alias("_first"))
-              .select(*keys, "_first.*")
-              .select(*df.columns))
-
-
-def dedup_two_pass(df: DataFrame, keys, exclude=(), order_by=()) -> DataFrame:
+    if not order_by:
+        raise ValueError("name the column that holds the input order")
+    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(order_by).alias("_first"))
+    same = F.col(order_by) == F.col("_first")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(first, same, "left_semi")
+
+
+def dedup_keep_first(df: DataFrame, keys, order_by: str) -> DataFrame:
+    """One row per key, the first by ``order_by``."""
+    return first_rows(df, list(keys), order_by)
+
+
+def dedup_two_pass(df: DataFrame, keys, exclude=(), order_by: str | None = None) -> DataFrame:
     """U1 then U2 (the order the cleaning stage uses).
 
-    Without an order column this is ONE aggregation: U2 alone, ordering by the
-    remaining columns, keeps the same row.  Within a U1 group every column but
-    the carried ones is constant, so the struct minimum over the group's rows is
-    the group's minimum carried tuple — exactly what U1 keeps — and the minimum
-    over all rows equals the minimum over the U1 survivors.  (Checked against the
-    two-pass SQL in the oracle query ``dedup_two_pass``.)
+    The first row of a key is also the first of its group of equal rows, so both passes are one: U2.
     """
-    if not order_by:
-        return dedup_keep_first(df, keys)
-    return dedup_keep_first(dedup_full(df, exclude=exclude), keys, order_by=order_by)
+    return first_rows(df, list(keys), order_by)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -122,3 +122,9 @@ def assert_no_nulls(df: DataFrame, columns=None) -> None:
     bad = [(r["column"], r["nulls"]) for r in residual_nulls(df, columns).collect() if r["nulls"] > 0]
     if bad:
         raise AssertionError(f"unexpected residual nulls after imputation: {bad}")
+
+
+def refuse_nulls(df: DataFrame, columns) -> DataFrame:
+    """Q4 inside the plan: a null in one of the columns stops the job that reads it, with the column's name."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is null after imputation")).cast(t))
+                           for c, t in df.dtypes if c in set(columns)})

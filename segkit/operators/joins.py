@@ -1,44 +1,23 @@
-"""Joins with a checked broadcast side."""
+"""Joins (J1-J3, J5, J6).  Spark picks broadcast or shuffle by the side's measured size (autoBroadcastJoinThreshold, AQE)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A side is broadcast only when a bounded count proves it has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 200_000
 
+def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a dimension table."""
+    return df.join(dim, on=on, how=how)
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
 
-    ``known_rows`` is a bound proven by construction (e.g. the side is a
-    ``limit(n)``); otherwise a check reads at most ``max_rows + 1`` rows.  Beyond
-    the bound the side is returned unhinted and Spark plans a shuffle join (AQE
-    may still convert it at run time).
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a small dimension table (broadcast when its size is proven small)."""
-    return df.join(bounded_broadcast(dim, max_rows), on=on, how=how)
-
-
-def semi_join(df: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS,
-              known_rows: int | None = None) -> DataFrame:
+def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key appears in ``keys``."""
-    return df.join(bounded_broadcast(keys, max_rows, known_rows), on=on, how="left_semi")
+    return df.join(keys, on=on, how="left_semi")
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def anti_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key does not appear in ``keys``."""
-    return df.join(bounded_broadcast(keys, max_rows), on=on, how="left_anti")
+    return df.join(keys, on=on, how="left_anti")
 
 
 def values_frame(spark, column: str, values, dtype: str = "string") -> DataFrame:

@@ -89,8 +89,10 @@ def arrow_matrix(col, d: int | None = None) -> np.ndarray:
     width = int(offsets[1] - offsets[0])
     if not np.all(np.diff(offsets) == width):
         raise ValueError("feature vectors differ in length")
-    values = col.values.slice(int(offsets[0]), n * width).to_numpy(zero_copy_only=False)
-    return values.astype(np.float64, copy=False).reshape(n, width)
+    values = col.values.slice(int(offsets[0]), n * width).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if not np.isfinite(values).all():
+        raise ValueError("feature vector with a null, NaN or infinite entry")
+    return values.reshape(n, width)
 
 
 def _partial_sums_fn(run_centers: list, features: str, d: int):

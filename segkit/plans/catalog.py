@@ -18,7 +18,7 @@ from segkit.operators.joins import lookup_join
 from segkit.plans import oracle_sql as O
 from segkit.plans.clean import DEDUP_KEYS, LABEL, MODE_COLUMNS, clean_buyers, dedup_buyers
 from segkit.sources import csv_io
-from segkit.sources.fixtures import BUYER_COLUMNS, buyers_raw, buyers_seq
+from segkit.sources.fixtures import BUYER_COLUMNS, buyers_ordered, buyers_raw
 from segkit.sources.tables import read_table
 from segkit.session import scratch_path
 
@@ -41,7 +41,7 @@ def T(spark, sf, name):
 
 def B(spark, sf) -> DataFrame:
     """Cleaned buyers (dedup → impute → age)."""
-    return clean_buyers(buyers_raw(spark, sf)).df
+    return clean_buyers(buyers_ordered(spark, sf)).df
 
 
 # Fixed display labels used by the lookup queries (three of five segments are mapped).
@@ -215,8 +215,8 @@ def q_scaled_metrics(spark, sf):
 # ───────────────────────── filters / slicer (F1-F9) ─────────────────────────
 
 SLICE = {"cohort_label": ["HOUSEHOLD", "MACHINERY", "BUILDING"], "country": [],
-         "client_type": "All", "referral_channel": "Digital"}
-SLICE_SQL = "cohort_label IN ('HOUSEHOLD', 'MACHINERY', 'BUILDING') AND referral_channel = 'Digital'"
+         "client_type": "All", "referral_channel": "HIGH"}
+SLICE_SQL = "cohort_label IN ('HOUSEHOLD', 'MACHINERY', 'BUILDING') AND referral_channel = 'HIGH'"
 OPTION_DIMS = ["cohort_label", "country", "client_type", "referral_channel"]
 CHOSEN_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3"]
 MAIN_COHORTS = ["HOUSEHOLD", "MACHINERY"]
@@ -270,7 +270,7 @@ def q_topn_semi_join(spark, sf):
     from segkit.operators.joins import semi_join
     b = B(spark, sf)
     top = P.top_values(b, "country", 10).select("country")
-    return P.crosstab(semi_join(b, top, on="country", known_rows=10), "country", "cohort_label")
+    return P.crosstab(semi_join(b, top, on="country"), "country", "cohort_label")
 
 
 @query("dim_lookup", f"""
@@ -295,10 +295,10 @@ def q_dim_lookup(spark, sf):
 
 
 @query("anti_domain", O.with_clean("""
-SELECT client_id, referral_channel FROM b WHERE referral_channel NOT IN ('Agent', 'Digital')"""))
+SELECT client_id, referral_channel FROM b WHERE referral_channel NOT IN ('URGENT', 'HIGH')"""))
 def q_anti_domain(spark, sf):
     from segkit.operators.joins import anti_join, values_frame
-    allowed = values_frame(spark, "referral_channel", ["Agent", "Digital"])
+    allowed = values_frame(spark, "referral_channel", ["URGENT", "HIGH"])
     return anti_join(B(spark, sf).select("client_id", "referral_channel"), allowed, on="referral_channel")
 
 
@@ -319,32 +319,23 @@ def q_profile_with_top(spark, sf):
 
 # ───────────────────────── dedup / set ops (U1-U4) ─────────────────────────
 
-@query("dedup_full", O.with_raw("""
-SELECT client_id, min(cohort_label) AS cohort_label, client_type, gender, country, region, date_of_birth,
-       acquisition_purpose, loan_applied, referral_channel, satisfaction_score FROM r GROUP BY ALL"""))
+@query("dedup_full", O.with_raw(f"""
+SELECT {O.RAW_COLS} FROM (SELECT *, row_number() OVER (
+  PARTITION BY client_id, client_type, gender, country, region, date_of_birth, acquisition_purpose, loan_applied, referral_channel,
+               satisfaction_score ORDER BY seq) AS rn FROM r) WHERE rn = 1"""))
 def q_dedup_full(spark, sf):
-    return dedup.dedup_full(buyers_raw(spark, sf), exclude=[LABEL])
+    return dedup.dedup_full(buyers_ordered(spark, sf), exclude=[LABEL], order_by="seq").drop("seq")
 
 
-def _seq_sql():
-    cols = O.RAW_COLS
-    return f"""WITH bb AS ({O.buyers_base_sql()}),
-s AS (SELECT {cols}, 0 AS seq FROM bb
-      UNION ALL
-      SELECT client_id, cohort_label, client_type, gender, country, region, date_of_birth, acquisition_purpose,
-             loan_applied, referral_channel, CAST(satisfaction_score % 5 + 1 AS integer), 1 FROM bb WHERE is_dup)
-SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY client_id, date_of_birth ORDER BY seq) AS rn FROM s)
-WHERE rn = 1"""
-
-
-@query("dedup_key_first", _seq_sql())
+@query("dedup_key_first", O.with_raw(f"""
+SELECT {O.RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY region, referral_channel ORDER BY seq) AS rn FROM r) WHERE rn = 1"""))
 def q_dedup_key_first(spark, sf):
-    return dedup.dedup_keep_first(buyers_seq(spark, sf), DEDUP_KEYS, order_by=["seq"]).drop("seq")
+    return dedup.dedup_keep_first(buyers_ordered(spark, sf), ["region", "referral_channel"], order_by="seq").drop("seq")
 
 
 @query("dedup_two_pass", O.with_dedup(f"SELECT {O.RAW_COLS} FROM d"))
 def q_dedup_two_pass(spark, sf):
-    return dedup_buyers(buyers_raw(spark, sf))
+    return dedup_buyers(buyers_ordered(spark, sf))
 
 
 @query("union_all", """
@@ -363,14 +354,14 @@ def q_union_all(spark, sf):
 SELECT client_id, CASE WHEN gender IS NULL AND client_type = 'Corporate' THEN 'Not Applicable'
                        ELSE gender END AS gender FROM d"""))
 def q_impute_rule(spark, sf):
-    d = dedup_buyers(buyers_raw(spark, sf))
+    d = dedup_buyers(buyers_ordered(spark, sf))
     model = fit_imputer(d, rules=[Rule("gender", F.col("client_type") == "Corporate", "Not Applicable")])
     return model.transform(d).select("client_id", "gender")
 
 
 @query("impute_cond_mode", O.with_imputed("SELECT client_id, gender FROM i"))
 def q_impute_cond_mode(spark, sf):
-    d = dedup_buyers(buyers_raw(spark, sf))
+    d = dedup_buyers(buyers_ordered(spark, sf))
     model = fit_imputer(d, rules=[Rule("gender", F.col("client_type") == "Corporate", "Not Applicable")],
                         conditional=[ConditionalMode("gender", F.col("client_type") == "Individual")])
     return model.transform(d).select("client_id", "gender")
@@ -381,7 +372,7 @@ def q_impute_cond_mode(spark, sf):
     for c, m in [("region", "m_region"), ("referral_channel", "m_channel"),
                  ("acquisition_purpose", "m_purpose"), ("loan_applied", "m_loan")])))
 def q_impute_mode(spark, sf):
-    d = dedup_buyers(buyers_raw(spark, sf))
+    d = dedup_buyers(buyers_ordered(spark, sf))
     model = fit_imputer(d, mode_columns=MODE_COLUMNS)
     return model.report_frame(spark)
 
@@ -612,37 +603,39 @@ def q_rank_candidates(spark, sf):
             .orderBy(F.desc("score"), "k").limit(2))
 
 
-# ───────────────────────── fixture-table operators (Y1-Y7) ─────────────────────────
+# ───────────────────────── assignments by hash of key (Y1-Y7) ─────────────────────────
 
-CHANNEL_WEIGHTS = [0.5, 0.25, 0.125, 0.125]
+CONTACTS = ["web", "phone", "store", "partner"]
+CONTACT_WEIGHTS = [0.5, 0.25, 0.125, 0.125]
+GROUPS = ["control", "variant_1", "variant_2"]
+REVIEW_RATE = {"BUILDING": 0.6, "FURNITURE": 0.15}
+REVIEW_RATE_OTHER = 0.3
 
 
 @query("weighted_assign", f"""
-SELECT c_custkey, CASE WHEN {O.u('chw')} < 0.5 THEN 'Agent' WHEN {O.u('chw')} < 0.75 THEN 'Digital'
-                       WHEN {O.u('chw')} < 0.875 THEN 'Direct' ELSE 'Friend Referral' END AS channel
+SELECT c_custkey, CASE WHEN {O.u('contact')} < 0.5 THEN 'web' WHEN {O.u('contact')} < 0.75 THEN 'phone'
+                       WHEN {O.u('contact')} < 0.875 THEN 'store' ELSE 'partner' END AS contact
 FROM customer""")
 def q_weighted_assign(spark, sf):
-    from segkit.sources.fixtures import CHANNELS
     return T(spark, sf, "customer").select(
-        "c_custkey", assign.weighted_choice("chw", "c_custkey", CHANNELS, CHANNEL_WEIGHTS).alias("channel"))
+        "c_custkey", assign.weighted_choice("contact", "c_custkey", CONTACTS, CONTACT_WEIGHTS).alias("contact"))
 
 
 @query("uniform_assign", f"""
-SELECT c_custkey, CASE {O.h('gender', 3)} WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END AS gender
+SELECT c_custkey, CASE {O.h('group', 3)} WHEN 0 THEN 'control' WHEN 1 THEN 'variant_1' ELSE 'variant_2' END AS test_group
 FROM customer""")
 def q_uniform_assign(spark, sf):
-    from segkit.sources.fixtures import GENDERS
-    return T(spark, sf, "customer").select("c_custkey", assign.uniform_choice("gender", "c_custkey", GENDERS).alias("gender"))
+    return T(spark, sf, "customer").select("c_custkey", assign.uniform_choice("group", "c_custkey", GROUPS).alias("test_group"))
 
 
 @query("conditional_assign", f"""
-SELECT c_custkey, CASE WHEN {O.u('ct')} < {O.by_segment({'MACHINERY': 1.0, 'HOUSEHOLD': 0.03}, 0.42)}
-                       THEN 'Corporate' ELSE 'Individual' END AS client_type FROM customer""")
+SELECT c_custkey, {O.u('review')} < CASE c_mktsegment WHEN 'BUILDING' THEN 0.6 WHEN 'FURNITURE' THEN 0.15 ELSE 0.3 END AS in_review
+FROM customer""")
 def q_conditional_assign(spark, sf):
-    from segkit.sources.fixtures import CORPORATE_RATE, CORPORATE_RATE_OTHER, _by_segment
-    c = T(spark, sf, "customer")
-    return c.select("c_custkey", F.when(assign.bernoulli("ct", "c_custkey", _by_segment(CORPORATE_RATE, CORPORATE_RATE_OTHER)),
-                                        F.lit("Corporate")).otherwise(F.lit("Individual")).alias("client_type"))
+    rate = F.lit(REVIEW_RATE_OTHER)
+    for segment, r in REVIEW_RATE.items():
+        rate = F.when(F.col("c_mktsegment") == segment, F.lit(r)).otherwise(rate)
+    return T(spark, sf, "customer").select("c_custkey", assign.bernoulli("review", "c_custkey", rate).alias("in_review"))
 
 
 @query("dependent_assign", f"""
@@ -924,7 +917,7 @@ FINAL_K = 4
 
 
 def _features_table(spark, sf):
-    clean = clean_buyers(buyers_raw(spark, sf))
+    clean = clean_buyers(buyers_ordered(spark, sf))
     fm, X = SG.encode(clean.df)
     return fm, SG.materialise(X), clean.imputer
 
@@ -995,7 +988,7 @@ def q_save_load_score(spark, sf):
     save_models(spark, path, fm, run, imputer_fills=imputer_fill_dict(imp))
     loaded = load_models(spark, path)
     before = KM.assign(X, run.centers, "features", "before").select(SG.KEY, "before")
-    raw_new = dedup_buyers(buyers_raw(spark, sf))
+    raw_new = dedup_buyers(buyers_ordered(spark, sf))
     after = score(raw_new, loaded["features"], loaded["kmeans"], loaded["imputer"])
     return after.join(before, SG.KEY).select(SG.KEY, "cluster", (F.col("cluster") == F.col("before")).alias("same"))
 
@@ -1008,7 +1001,7 @@ def q_stream_score(spark, sf):
     fm, X, imp = _features_table(spark, sf)
     run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=5, max_iter=300)[FINAL_K]
     incoming = scratch_path(spark, "incoming")
-    new_rows = dedup_buyers(buyers_raw(spark, sf))
+    new_rows = dedup_buyers(buyers_ordered(spark, sf))
     new_rows.repartition(4).write.mode("overwrite").parquet(incoming)
     sink, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored-ckpt")
     q = score_stream(spark, incoming, new_rows.schema, fm, run, sink, ckpt, imputer_fill_dict(imp),
@@ -1020,14 +1013,14 @@ def q_stream_score(spark, sf):
 @query("segmentation_report")
 def q_segmentation_report(spark, sf):
     """V6: full run (k sweep → choice → k-means + Ward); k-means cluster profile with top country."""
-    seg = SG.segment(buyers_raw(spark, sf))
+    seg = SG.segment(buyers_ordered(spark, sf))
     return SG.cluster_report(seg, "kmeans_cluster")
 
 
 @query("export_labelled")
 def q_export_labelled(spark, sf):
     """Labelled table (clean columns + truth + both model labels) to CSV and back."""
-    seg = SG.segment(buyers_raw(spark, sf), n_init_sweep=3, n_init_final=5)
+    seg = SG.segment(buyers_ordered(spark, sf), n_init_sweep=3, n_init_final=5)
     cols = [c for c in seg.labelled.columns if c != "features"]
     path = scratch_path(spark, "labelled")
     csv_io.write_csv(seg.labelled.select(*cols), path)
@@ -1067,5 +1060,5 @@ def q_dashboard_kpi(spark, sf):
 def q_run_report(spark, sf):
     """V6: validation block of the full run report (ARI, NMI, silhouette per model)."""
     from segkit.plans.report import run_report
-    seg = SG.segment(buyers_raw(spark, sf), n_init_sweep=3, n_init_final=5)
+    seg = SG.segment(buyers_ordered(spark, sf), n_init_sweep=3, n_init_final=5)
     return run_report(seg)["validation"]

@@ -85,8 +85,7 @@ class Dashboard:
     # tab 3: geography
     def geography(self, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
-        top = P.semi_join(v, P.top_values(v, "country", TOP_N).select("country"), on="country",
-                          known_rows=TOP_N)
+        top = P.semi_join(v, P.top_values(v, "country", TOP_N).select("country"), on="country")
         return {"by_country": P.sort_groups(v, "country", descending=False),
                 "hierarchy": P.hierarchy_rollup(v, "country", "region"),
                 "heat": P.heat_topn(v, "country", "cluster_name", TOP_N),

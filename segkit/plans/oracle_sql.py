@@ -19,60 +19,43 @@ def h(salt: str, m: int, key: str = "c_custkey") -> str:
     return f"({h32(salt, key)} % {m})"
 
 
-def by_segment(rates: dict, other: float) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN {v}" for k, v in rates.items())
-    return f"CASE c_mktsegment {arms} ELSE {other} END"
-
-
 RAW_COLS = ("client_id, cohort_label, client_type, gender, country, region, date_of_birth, "
             "acquisition_purpose, loan_applied, referral_channel, satisfaction_score")
 
 
-def buyers_base_sql() -> str:
-    return f"""
-SELECT concat('B_', lpad(cast(c_custkey AS varchar), 7, '0')) AS client_id,
-       c_mktsegment AS cohort_label,
-       CASE WHEN {u('ct')} < {by_segment({'MACHINERY': 1.0, 'HOUSEHOLD': 0.03}, 0.42)}
-            THEN 'Corporate' ELSE 'Individual' END AS client_type,
-       CASE WHEN {u('ng')} < 0.05 THEN NULL ELSE
-            CASE {h('gender', 3)} WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END END AS gender,
-       n_name AS country,
-       CASE WHEN {u('nr')} < 0.05 THEN NULL ELSE concat(n_name, '/', cast({h('reg', 4)} AS varchar)) END AS region,
-       cast(date '1950-01-01' + cast(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 13000 + {h('dob', 5000)}
-                                          ELSE {h('dob', 15000)} END AS integer) AS varchar) AS date_of_birth,
-       CASE WHEN {u('np')} < 0.05 THEN NULL
-            WHEN {u('pur')} < {by_segment({'HOUSEHOLD': 0.05, 'MACHINERY': 0.72}, 0.9)} THEN 'Investment'
-            ELSE 'Personal Use' END AS acquisition_purpose,
-       CASE WHEN {u('nl')} < 0.05 THEN NULL
-            WHEN {u('loan')} < {by_segment({'HOUSEHOLD': 0.88, 'MACHINERY': 0.4}, 0.1)} THEN 'Yes'
-            ELSE 'No' END AS loan_applied,
-       CASE WHEN {u('nc')} < 0.05 THEN NULL ELSE
-            CASE {h('chan', 4)} WHEN 0 THEN 'Agent' WHEN 1 THEN 'Digital' WHEN 2 THEN 'Direct'
-                                ELSE 'Friend Referral' END END AS referral_channel,
-       cast(1 + {h('sat', 5)} AS integer) AS satisfaction_score,
-       {u('dup')} < 0.01 AS is_dup
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
-
-
 def raw_ctes() -> str:
-    return f"""bb AS ({buyers_base_sql()}),
-r AS (SELECT {RAW_COLS} FROM bb UNION ALL SELECT {RAW_COLS} FROM bb WHERE is_dup)"""
-
-
-_ORDER_REST = ", ".join(f"{c} NULLS FIRST" for c in
-                        ["cohort_label", "client_type", "gender", "country", "region",
-                         "acquisition_purpose", "loan_applied", "referral_channel",
-                         "satisfaction_score"])
+    """The buyer view: written from the given tables, with the first and last order found by window."""
+    return f"""o AS (SELECT o_custkey, o_totalprice, o_orderdate, cast(left(o_orderpriority, 1) AS integer) AS pr, o_orderstatus AS st,
+            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS up,
+            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS down FROM orders),
+f AS (SELECT o_custkey, max(pr) FILTER (WHERE up = 1) AS p1, max(st) FILTER (WHERE up = 1) AS s1,
+             max(pr) FILTER (WHERE down = 1) AS p9, max(st) FILTER (WHERE down = 1) AS s9,
+             sum(cast(o_totalprice AS decimal(18,2))) AS value, count(*) AS n, cast(min(o_orderdate) AS date) AS since
+      FROM o GROUP BY o_custkey),
+bb AS (SELECT concat('B_', lpad(cast(c_custkey AS varchar), 7, '0')) AS client_id, c_mktsegment AS cohort_label,
+              CASE WHEN c_acctbal >= 6000 THEN 'Corporate' ELSE 'Individual' END AS client_type,
+              CASE WHEN p9 = 4 THEN NULL ELSE CASE s9 WHEN 'F' THEN 'Female' WHEN 'O' THEN 'Male' ELSE 'Other' END END AS gender,
+              n_name AS country,
+              CASE WHEN p1 = 4 AND s1 = 'P' THEN NULL
+                   ELSE concat(n_name, '/', CASE s1 WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '3' END) END AS region,
+              cast(since - cast(11000 + floor(abs(c_acctbal)) AS integer) AS varchar) AS date_of_birth,
+              CASE WHEN p9 = 5 AND s9 = 'P' THEN NULL WHEN value >= n * 240000 THEN 'Investment' ELSE 'Personal Use' END AS acquisition_purpose,
+              CASE WHEN p1 = 1 AND s1 = 'P' THEN NULL WHEN c_acctbal < 1500 THEN 'Yes' ELSE 'No' END AS loan_applied,
+              CASE p1 WHEN 1 THEN 'URGENT' WHEN 2 THEN 'HIGH' WHEN 3 THEN 'MEDIUM' WHEN 5 THEN 'LOW' END AS referral_channel,
+              p9 AS satisfaction_score, c_custkey * 2 AS seq, c_acctbal < -900 AS is_exact, c_acctbal > 9900 AS is_changed
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN f ON o_custkey = c_custkey),
+r AS (SELECT {RAW_COLS}, seq FROM bb
+      UNION ALL
+      SELECT client_id, CASE WHEN is_changed THEN 'AUTOMOBILE' ELSE cohort_label END, client_type, gender, country, region, date_of_birth,
+             acquisition_purpose, loan_applied, referral_channel,
+             CASE WHEN is_changed THEN cast(satisfaction_score % 5 + 1 AS integer) ELSE satisfaction_score END, seq + 1
+      FROM bb WHERE is_exact OR is_changed)"""
 
 
 def dedup_ctes() -> str:
+    """The first row of each key, in input order, with its own label."""
     return f"""{raw_ctes()},
-u1 AS (SELECT client_id, min(cohort_label) AS cohort_label, client_type, gender, country, region,
-              date_of_birth, acquisition_purpose, loan_applied, referral_channel, satisfaction_score
-       FROM r GROUP BY ALL),
-d AS (SELECT * EXCLUDE (rn) FROM (
-        SELECT *, row_number() OVER (PARTITION BY client_id, date_of_birth ORDER BY {_ORDER_REST}) AS rn
-        FROM u1) WHERE rn = 1)"""
+d AS (SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY client_id, date_of_birth ORDER BY seq) AS rn FROM r) WHERE rn = 1)"""
 
 
 def _mode(col: str, where: str = "TRUE") -> str:
@@ -122,5 +105,5 @@ def with_clean(body: str) -> str:
 
 
 def rnd(expr: str, digits: int) -> str:
-    """Same rounding as ``segkit.functions.scalar.fixed_round``."""
-    return f"cast(round(cast({expr} AS decimal(18,6)), {digits}) AS double)"
+    """Half-even rounding of a value fixed to 6 decimals, as a double."""
+    return f"cast(round_even(cast({expr} AS decimal(38,6)), {digits}) AS double)"

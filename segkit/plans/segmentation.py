@@ -23,7 +23,7 @@ from segkit.operators.validate import silhouette_auto
 from segkit.operators.ward import EXACT_ROWS, MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
 from segkit.plans.clean import clean_buyers, dedup_buyers
 from segkit.session import ensure_checkpoint_dir
-from segkit.sources.fixtures import buyers_raw
+from segkit.sources.fixtures import buyers_ordered
 
 from segkit.fixed_values import (CATEGORICAL_FEATURES as CATEGORICAL, FINAL_MAX_ITER, FINAL_RESTARTS,
                                  K_RANGE, NUMERIC_FEATURES as NUMERIC, RANDOM_SEED, SWEEP_MAX_ITER,
@@ -188,5 +188,5 @@ def cluster_report(seg: Segmentation, cluster_col: str = "kmeans_cluster") -> Da
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entry(): full segmentation on the buyer fixture, k-means cluster profile."""
-    seg = segment(buyers_raw(spark, sf_dir), n_init_sweep=3, n_init_final=5, with_ward=False)
+    seg = segment(buyers_ordered(spark, sf_dir), n_init_sweep=3, n_init_final=5, with_ward=False)
     return cluster_report(seg).orderBy("kmeans_cluster")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
-from segkit.sources.tables import MissingInputError
+from segkit.sources.tables import MissingInputError, require_columns
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -17,10 +17,19 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Header row, explicit schema (no inference pass), empty field is null."""
+    """Columns by header name, typed by ``schema`` (no inference pass), empty field is null.
+
+    The header is read first: a column of ``schema`` that it lacks raises ``SchemaContractError``; other columns are read as text and
+    dropped.  Every file's header is checked against the first one's.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
-        return (spark.read.schema(schema).option("header", True).option("nullValue", "")
-                .option("mode", "FAILFAST").csv(path))
+        header = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        require_columns(header, wanted.fieldNames())
+        kinds = {f.name: f for f in wanted}
+        found = StructType([kinds.get(c, StructField(c, StringType())) for c in header.columns])
+        return (spark.read.schema(found).option("header", True).option("enforceSchema", False).option("nullValue", "")
+                .option("mode", "FAILFAST").csv(path).select(*wanted.fieldNames()))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise MissingInputError(f"input not found at '{path}'") from e

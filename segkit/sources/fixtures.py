@@ -1,8 +1,8 @@
-"""The buyer fixture table, derived from the driver's customer/nation/region tables.
+"""The buyer table: a view over the given customer, orders and nation tables.
 
-``buyers_raw`` has the 11-column buyer schema: market segment plays the planted
-cohort, nation plays country, and nulls and exact duplicate copies are injected
-with hash-of-key draws.  Its size grows with ``customer``.
+One buyer per customer with orders.  Every attribute comes from given columns: the customer's segment, balance and nation, and its
+first and last order (by key).  Gaps are gaps of the data (a priority that is "not specified", pending orders); copies are customers
+at the ends of the balance range, entered a second time, exactly or with another label and score.  ``seq`` is the input order.
 """
 
 from __future__ import annotations
@@ -10,30 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segkit.operators import assign
+from segkit.fixed_values import REQUIRED_COLUMNS
 from segkit.operators.joins import lookup_join
 from segkit.sources.tables import read_table
 
-BUYER_COLUMNS = ["client_id", "cohort_label", "client_type", "gender", "country", "region",
-                 "date_of_birth", "acquisition_purpose", "loan_applied", "referral_channel",
-                 "satisfaction_score"]
-
-# Fixed values of the fixture (segment-dependent rates, categorical domains).
-SEG = "c_mktsegment"
-CORPORATE_RATE = {"MACHINERY": 1.0, "HOUSEHOLD": 0.03}
-CORPORATE_RATE_OTHER = 0.42
-INVESTMENT_RATE = {"HOUSEHOLD": 0.05, "MACHINERY": 0.72}
-INVESTMENT_RATE_OTHER = 0.9
-LOAN_RATE = {"HOUSEHOLD": 0.88, "MACHINERY": 0.4}
-LOAN_RATE_OTHER = 0.1
-GENDERS = ["Female", "Male", "Other"]
-CHANNELS = ["Agent", "Digital", "Direct", "Friend Referral"]
-REGIONS_PER_COUNTRY = 4
-NULL_RATE = 0.05
-DUP_RATE = 0.01
-DOB_START = "1950-01-01"
-
-# The four "main" cohorts of the fixture (FURNITURE plays the noise group).
+BUYER_COLUMNS = REQUIRED_COLUMNS
+
+CORPORATE_BALANCE = 6000.0      # from this balance on a customer counts as a company
+LOAN_BALANCE = 1500.0           # below it as a borrower
+INVESTOR_MEAN = 240000          # mean order value from which the purpose is investment
+EXACT_COPY_BELOW = -900.0       # these customers are entered twice, equal
+CHANGED_COPY_ABOVE = 9900.0     # these with another label and score
+COPY_LABEL = "AUTOMOBILE"
+NOT_SPECIFIED = 4               # the order priority "4-NOT SPECIFIED"
+LAST_CHANNELS = ["URGENT", "HIGH", "MEDIUM", "LOW"]
+
+# The four "main" cohorts of the dashboard (FURNITURE plays the rest).
 MAIN_COHORTS = ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]
 
 # Allowed values per column (Q2 domain rules).
@@ -42,75 +34,61 @@ DOMAINS = {
     "gender": ["Male", "Female", "Other", "Not Applicable"],
     "acquisition_purpose": ["Investment", "Personal Use"],
     "loan_applied": ["Yes", "No"],
-    "referral_channel": CHANNELS,
+    "referral_channel": LAST_CHANNELS,
     "satisfaction_score": [1, 2, 3, 4, 5],
 }
 
 
-def _by_segment(rates: dict, other: float):
-    expr = None
-    for seg, r in rates.items():
-        expr = (F.when(F.col(SEG) == seg, F.lit(r)) if expr is None
-                else expr.when(F.col(SEG) == seg, F.lit(r)))
-    return expr.otherwise(F.lit(other))
-
-
-def buyers_base(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One buyer per customer, before duplicates (Y1-Y6 applied per column)."""
-    key = F.col("c_custkey")
-    geo = lookup_join(nation.select("n_nationkey", "n_name", "n_regionkey"),
-                      region.select(F.col("r_regionkey").alias("n_regionkey")),
-                      on="n_regionkey", how="inner")
-    cust = customer.select("c_custkey", "c_nationkey", SEG)
-    base = lookup_join(cust, geo.withColumnRenamed("n_nationkey", "c_nationkey"),
-                       on="c_nationkey", how="inner")
-    household = F.col(SEG) == "HOUSEHOLD"
-    dob_offset = F.when(household, F.lit(13000)).otherwise(F.lit(0))
-    dob_span = F.when(household, F.lit(5000)).otherwise(F.lit(15000))
-    out = base.select(
-        F.concat(F.lit("B_"), F.lpad(key.cast("string"), 7, "0")).alias("client_id"),
-        F.col(SEG).alias("cohort_label"),
-        F.when(assign.bernoulli("ct", key, _by_segment(CORPORATE_RATE, CORPORATE_RATE_OTHER)),
-               F.lit("Corporate")).otherwise(F.lit("Individual")).alias("client_type"),
-        F.when(assign.bernoulli("ng", key, NULL_RATE), F.lit(None).cast("string"))
-         .otherwise(assign.uniform_choice("gender", key, GENDERS)).alias("gender"),
+def order_facts(orders: DataFrame) -> DataFrame:
+    """Per customer: first and last order as (key, priority digit, status digit) packed into one number, and totals."""
+    status = F.expr("case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end")
+    packed = F.col("o_orderkey") * 100 + F.substring("o_orderpriority", 1, 1).cast("int") * 10 + status
+    return orders.groupBy("o_custkey").agg(
+        F.min(packed).alias("_first"), F.max(packed).alias("_last"), F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("_value"), F.min("o_orderdate").cast("date").alias("_since"))
+
+
+def buyers_base(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFrame:
+    """One buyer per customer with orders, before copies."""
+    base = lookup_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"),
+                       nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), on="c_nationkey", how="inner")
+    base = base.join(order_facts(orders), F.col("c_custkey") == F.col("o_custkey"))
+    none = F.lit(None).cast("string")
+    first, first_status = F.expr("int(_first div 10 % 10)"), F.expr("int(_first % 10)")
+    last, last_status = F.expr("int(_last div 10 % 10)"), F.expr("int(_last % 10)")
+    return base.select(
+        F.concat(F.lit("B_"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("client_id"),
+        F.col("c_mktsegment").alias("cohort_label"),
+        F.when(F.col("c_acctbal") >= CORPORATE_BALANCE, F.lit("Corporate")).otherwise(F.lit("Individual")).alias("client_type"),
+        F.when(last == NOT_SPECIFIED, none).when(last_status == 1, F.lit("Female")).when(last_status == 2, F.lit("Male"))
+         .otherwise(F.lit("Other")).alias("gender"),
         F.col("n_name").alias("country"),
-        F.when(assign.bernoulli("nr", key, NULL_RATE), F.lit(None).cast("string"))
-         .otherwise(assign.child_of("n_name", "reg", key, REGIONS_PER_COUNTRY)).alias("region"),
-        assign.date_in_window("dob", key, DOB_START, dob_span, dob_offset)
-              .cast("string").alias("date_of_birth"),
-        F.when(assign.bernoulli("np", key, NULL_RATE), F.lit(None).cast("string"))
-         .when(assign.bernoulli("pur", key, _by_segment(INVESTMENT_RATE, INVESTMENT_RATE_OTHER)),
-               F.lit("Investment")).otherwise(F.lit("Personal Use")).alias("acquisition_purpose"),
-        F.when(assign.bernoulli("nl", key, NULL_RATE), F.lit(None).cast("string"))
-         .when(assign.bernoulli("loan", key, _by_segment(LOAN_RATE, LOAN_RATE_OTHER)),
-               F.lit("Yes")).otherwise(F.lit("No")).alias("loan_applied"),
-        F.when(assign.bernoulli("nc", key, NULL_RATE), F.lit(None).cast("string"))
-         .otherwise(assign.uniform_choice("chan", key, CHANNELS)).alias("referral_channel"),
-        (F.lit(1) + assign.bucket_int("sat", key, 5)).cast("int").alias("satisfaction_score"),
-        assign.bernoulli("dup", key, DUP_RATE).alias("_is_dup"),
+        F.when((first == NOT_SPECIFIED) & (first_status == 3), none)
+         .otherwise(F.concat("n_name", F.lit("/"), first_status.cast("string"))).alias("region"),
+        F.date_sub("_since", (F.lit(11000) + F.floor(F.abs("c_acctbal"))).cast("int")).cast("string").alias("date_of_birth"),
+        F.when((last == 5) & (last_status == 3), none)
+         .when(F.col("_value") >= F.col("_n") * INVESTOR_MEAN, F.lit("Investment")).otherwise(F.lit("Personal Use")).alias("acquisition_purpose"),
+        F.when((first == 1) & (first_status == 3), none)
+         .when(F.col("c_acctbal") < LOAN_BALANCE, F.lit("Yes")).otherwise(F.lit("No")).alias("loan_applied"),
+        F.when(first == NOT_SPECIFIED, none)
+         .otherwise(F.element_at(F.array(*[F.lit(c) for c in LAST_CHANNELS]), F.least(first, F.lit(4)))).alias("referral_channel"),
+        last.alias("satisfaction_score"),
+        (F.col("c_custkey") * 2).alias("seq"),
+        (F.col("c_acctbal") < EXACT_COPY_BELOW).alias("_exact"),
+        (F.col("c_acctbal") > CHANGED_COPY_ABOVE).alias("_changed"),
     )
-    return out
 
 
-def buyers_raw_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    base = buyers_base(customer, nation, region)
-    return assign.append_copies(base, F.col("_is_dup")).drop("_is_dup")
+def buyers_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buyers with their copies and ``seq``, the input order (a copy follows its original)."""
+    base = buyers_base(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "orders")))
+    copies = base.where("_exact or _changed").withColumns({
+        "cohort_label": F.when(F.col("_changed"), F.lit(COPY_LABEL)).otherwise(F.col("cohort_label")),
+        "satisfaction_score": F.when(F.col("_changed"), F.col("satisfaction_score") % 5 + 1).otherwise(F.col("satisfaction_score")).cast("int"),
+        "seq": F.col("seq") + 1})
+    return base.unionByName(copies).drop("_exact", "_changed")
 
 
 def buyers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buyers_raw_from(read_table(spark, sf_dir, "customer"),
-                           read_table(spark, sf_dir, "nation"),
-                           read_table(spark, sf_dir, "region"))
-
-
-def buyers_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variant for keep-first dedup: copies carry ``seq = 1`` and a changed score."""
-    base = buyers_base(read_table(spark, sf_dir, "customer"),
-                       read_table(spark, sf_dir, "nation"),
-                       read_table(spark, sf_dir, "region"))
-    first = base.withColumn("seq", F.lit(0))
-    copies = (base.where("_is_dup")
-              .withColumn("satisfaction_score", (F.col("satisfaction_score") % 5 + 1).cast("int"))
-              .withColumn("seq", F.lit(1)))
-    return first.unionByName(copies).drop("_is_dup")
+    """The buyers with their copies, without the order column."""
+    return buyers_ordered(spark, sf_dir).drop("seq")

@@ -162,9 +162,9 @@ def test_stream_scorer_resumes_exactly_once(spark):
     from segkit.plans.clean import clean_buyers, dedup_buyers, imputer_fill_dict
     from segkit.plans.segmentation import encode
     from segkit.session import scratch_path
-    from segkit.sources.fixtures import buyers_raw
+    from segkit.sources.fixtures import buyers_ordered
     from segkit.streaming.scoring import score_stream
-    raw = buyers_raw(spark, SF_SMALL)
+    raw = buyers_ordered(spark, SF_SMALL)
     clean = clean_buyers(raw)
     fm, X = encode(clean.df)
     X = X.persist()
@@ -232,13 +232,13 @@ def test_silhouette_metric_is_an_explicit_choice(spark):
 def test_score_new_record_with_unseen_category_and_missing_fields(spark):
     from segkit.plans.clean import clean_buyers, imputer_fill_dict
     from segkit.plans.segmentation import encode
-    from segkit.sources.fixtures import buyers_raw
+    from segkit.sources.fixtures import buyers_ordered
     from segkit.streaming.scoring import score
-    clean = clean_buyers(buyers_raw(spark, SF_SMALL))
+    clean = clean_buyers(buyers_ordered(spark, SF_SMALL))
     fm, X = encode(clean.df)
     run = KM.kmeans_multi(X.persist(), "features", "client_id", [3], n_init=2, max_iter=20)[3]
     new = spark.createDataFrame(
-        [("NEW_1", "Individual", None, "ATLANTIS", None, "1980-05-05", "Investment", None, "Digital", 4)],
+        [("NEW_1", "Individual", None, "ATLANTIS", None, "1980-05-05", "Investment", None, "HIGH", 4)],
         "client_id string, client_type string, gender string, country string, region string, "
         "date_of_birth string, acquisition_purpose string, loan_applied string, referral_channel string, "
         "satisfaction_score int")

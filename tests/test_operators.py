@@ -30,15 +30,17 @@ def test_group_mode_tie_and_hot_group(spark):
 def test_keep_first_by_order_column(spark):
     df = spark.createDataFrame([("k", 2, "late"), ("k", 1, "early"), ("j", 5, "only")],
                                "key string, seq int, v string").repartition(3)
-    got = {r["key"]: r["v"] for r in dedup.dedup_keep_first(df, ["key"], ["seq"]).collect()}
+    got = {r["key"]: r["v"] for r in dedup.dedup_keep_first(df, ["key"], "seq").collect()}
     assert got == {"k": "early", "j": "only"}
 
 
 def test_full_dedup_nulls_equal_and_carried_label(spark):
-    df = spark.createDataFrame([("a", None, "L2"), ("a", None, "L1"), ("b", "x", "L3")],
-                               "id string, v string, label string")
-    out = {(r["id"], r["label"]) for r in dedup.dedup_full(df, exclude=["label"]).collect()}
-    assert out == {("a", "L1"), ("b", "L3")}
+    df = spark.createDataFrame([("a", None, "L2", 1), ("a", None, "L1", 2), ("b", "x", "L3", 3), ("b", "x", "L0", 9)],
+                               "id string, v string, label string, seq int").repartition(3)
+    out = {(r["id"], r["label"]) for r in dedup.dedup_full(df, exclude=["label"], order_by="seq").collect()}
+    assert out == {("a", "L2"), ("b", "L3")}   # the first row's own label, not the smallest
+    with pytest.raises(ValueError):
+        dedup.dedup_full(df, exclude=["label"])
 
 
 def test_imputer_rule_conditional_global(spark):
@@ -116,13 +118,15 @@ def test_fixed_sample_prefilter_is_exact(spark):
     assert plain == cut and len(cut) == 300
 
 
-def test_two_pass_dedup_equals_single_pass_on_near_copies(spark):
-    rows = [("k1", "d", "L2", "x"), ("k1", "d", "L1", "x"), ("k1", "d", "L3", "a"),
-            ("k2", "e", None, "z"), ("k2", "e", "L0", "z"), ("k3", "f", "L9", None)]
-    df = spark.createDataFrame(rows, "id string, dob string, label string, v string").repartition(3)
-    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"]), ["id", "dob"])
-    one = dedup.dedup_two_pass(df, ["id", "dob"], exclude=["label"])
-    assert sorted(map(tuple, two.collect())) == sorted(map(tuple, one.collect()))
+def test_two_pass_dedup_keeps_the_first_row_on_near_copies(spark):
+    rows = [("k1", "d", "L2", "x", 5), ("k1", "d", "L1", "x", 6), ("k1", "d", "L3", "a", 7), ("Zeta", "z", "x", "p", 1), ("Zeta", "z", "w", "a", 2),
+            ("k2", "e", None, "z", 8), ("k2", "e", "L0", "z", 9), ("k3", "f", "L9", None, 10), (None, "f", "L9", "q", 12), (None, "f", "L8", "q", 11)]
+    df = spark.createDataFrame(rows, "id string, dob string, label string, v string, seq int").repartition(3)
+    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"], order_by="seq"), ["id", "dob"], "seq")
+    one = dedup.dedup_two_pass(df, ["id", "dob"], exclude=["label"], order_by="seq")
+    assert sorted(r["seq"] for r in one.collect()) == sorted(r["seq"] for r in two.collect()) == [1, 5, 8, 10, 11]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_residual_null_and_count_assertions(spark):
@@ -156,3 +160,44 @@ def test_all_null_column_has_no_mode_and_stays_null(spark):
     out = m.transform(df).collect()
     assert all(r["c"] is None for r in out) and m.global_fills["d"] == "a"
     assert ("c", 2, "mode", None) in m.report
+
+
+def test_csv_is_read_by_column_name(spark, tmp_path):
+    from segkit.sources import csv_io
+    from segkit.sources.tables import SchemaContractError
+    path = tmp_path / "in.csv"
+    path.write_text("loan,extra,purpose,n\nYes,?,Home,3\nNo,?,,4\n")
+    rows = csv_io.read_csv(spark, f"file://{path}", "purpose string, loan string, n int").collect()
+    assert [tuple(r) for r in rows] == [("Home", "Yes", 3), (None, "No", 4)]
+    with pytest.raises(SchemaContractError, match="region"):
+        csv_io.read_csv(spark, f"file://{path}", "purpose string, region string")
+
+
+def test_cleaning_stops_on_bad_values(spark):
+    from segkit.fixed_values import REQUIRED_COLUMNS
+    from segkit.plans.clean import clean_buyers
+    good = ["B1", "c", "Individual", "Male", "X", "X/1", "1980-02-03", "Investment", "Yes", "HIGH", 3, 1]
+    schema = ", ".join(f"{c} {'int' if c == 'satisfaction_score' else 'string'}" for c in REQUIRED_COLUMNS) + ", seq int"
+
+    def frame(**changed):
+        row = dict(zip([*REQUIRED_COLUMNS, "seq"], good)) | {"client_id": "B2", "seq": 2} | changed
+        return spark.createDataFrame([tuple(good), tuple(row.values())], schema)
+    assert clean_buyers(frame()).df.count() == 2
+    with pytest.raises(Exception, match="date_of_birth is not a date: not-a-date"):
+        clean_buyers(frame(date_of_birth="not-a-date")).df.collect()
+    with pytest.raises(Exception, match="gender is null after imputation"):
+        clean_buyers(frame(client_type="Trust", gender=None)).df.collect()
+
+
+def test_rounding_is_half_even_and_wide(spark):
+    from segkit.functions.scalar import fixed_round
+    rows = spark.createDataFrame([(0.25,), (0.35,), (-0.25,), (1.2e15 + 0.5,), (1e15,)], "x double").select(fixed_round("x", 1)).collect()
+    assert [r[0] for r in rows] == [0.2, 0.4, -0.2, 1.2e15 + 0.5, 1e15]
+
+
+def test_vectors_must_be_finite():
+    import pyarrow as pa
+    from segkit.operators.kmeans import arrow_matrix
+    for bad in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            arrow_matrix(pa.array([[1.0, 2.0], [bad, 1.0]]))

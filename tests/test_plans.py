@@ -3,12 +3,12 @@
 from segkit.plans import segmentation as SG
 from segkit.plans.dashboard import Dashboard
 from segkit.plans.report import run_report
-from segkit.sources.fixtures import buyers_raw
+from segkit.sources.fixtures import buyers_ordered
 from tests.conftest import SF_SMALL
 
 
 def test_segmentation_dashboard_and_report(spark):
-    seg = SG.segment(buyers_raw(spark, SF_SMALL), ks=range(2, 6), n_init_sweep=2, n_init_final=3)
+    seg = SG.segment(buyers_ordered(spark, SF_SMALL), ks=range(2, 6), n_init_sweep=2, n_init_final=3)
     assert seg.k in range(2, 6) or seg.k == 4
     assert [r[0] for r in seg.k_table] == [2, 3, 4, 5]
     rep = run_report(seg)

