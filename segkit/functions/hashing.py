@@ -36,3 +36,12 @@ def bucket(salt: str, key: Column | str, m: int) -> Column:
 def hash_rank_key(salt: str, key: Column | str) -> Column:
     """Full md5 text used as a deterministic sort key (sampling, shuffles)."""
     return F.md5(F.concat(F.lit(f"{salt}:"), _col(key).cast("string")))
+
+
+def uniform_np(hashes, seed: int, turn: int):
+    """Numbers in [0, 1) from int64 hashes, one stream per (seed, turn), inside Arrow tasks."""
+    import numpy as np
+    x = hashes.view(np.uint64) + np.uint64((seed * 2654435761 + turn * 40503 + 12345) % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53

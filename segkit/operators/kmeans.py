@@ -1,15 +1,17 @@
 """Lloyd k-means with many restarts and many k at once (K1-K4, K9).
 
-Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task
-assigns its rows to the nearest centre of every active run (numpy on Arrow
-batches via ``mapInArrow``) and emits per-cluster partial sums — one row per
-(run, cluster) per partition.  A hash aggregate reduces them to
-``sum(k) x d`` numbers, which are the only thing the driver sees.  The number
-of passes over the data is the iteration count, not runs x k x iterations.
-
-Initial centres: k-means++ over a bounded, hash-seeded sample of rows.
-Converged runs drop out of later passes.  Empty clusters keep their centre.
-Cluster ids are canonicalised: size descending, then first coordinate.
+Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task assigns its rows to the nearest centre of every active
+run (numpy on Arrow batches via ``mapInArrow``) and emits per-cluster partial sums, one row per (run, cluster) per partition.  A
+shuffled hash aggregate reduces them to ``sum(k) x d`` numbers, which are the only thing the driver sees.  The number of passes over
+the data is the iteration count, not runs x k x iterations.
+
+Seeding is k-means||: starting from one row, every round draws rows from the WHOLE table with probability proportional to their squared
+distance from the candidates so far (by a hash of seed, round and key, so partitioning and companions in the call don't matter); the
+candidates, weighted by the rows nearest to them, are reduced to k by weighted k-means++ on the driver, once per restart.  A model's
+seeds depend on its own seed and k only.
+
+Converged runs drop out of later passes.  An empty cluster moves to the row that is farthest from its centre.  A k beyond the number of
+distinct rows gives one cluster per distinct row.  Cluster ids are canonical: size descending, then first coordinate.
 """
 
 from __future__ import annotations
@@ -17,15 +19,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-INIT_SAMPLE_ROWS = 20_000
-CHUNK_ROWS = 2048  # rows per distance block inside a task (memory ~ CHUNK_ROWS x total centres)
-EXPR_MAX_CELLS = 1024  # k*d above this → Arrow/numpy assignment instead of an expression
+SEED_ROUNDS = 2        # k-means|| rounds; more follow while there are fewer than k candidates
+OVERSAMPLING = 2.0     # expected candidates per round, as a multiple of k
+CHUNK_ROWS = 2048      # rows per distance block inside a task (memory ~ CHUNK_ROWS x total centres)
 
 
 @dataclass
@@ -39,45 +42,90 @@ class KMeansRun:
     converged: bool
 
 
-def _stack(series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series.values]) if len(series) else np.zeros((0, 0))
-
-
-def sample_rows(df: DataFrame, features: str, key: str, n: int = INIT_SAMPLE_ROWS, salt: str = "init",
-                total: int | None = None) -> np.ndarray:
-    """A bounded, deterministic sample of feature rows for seeding.
-
-    Bernoulli by hash of key at rate n/N (no global sort); ``limit(2n)`` bounds
-    what reaches the driver.
-    """
-    from segkit.functions.hashing import h32, uniform
-    N = total if total is not None else df.count()
-    src = df.select(features, key)
-    if N > n:
-        src = src.where(uniform(salt, key) < F.lit(n / N)).limit(2 * n)
-    rows = src.select(h32(salt, key).alias("_h"), F.col(key).cast("string").alias("_k"), features).collect()
-    rows.sort(key=lambda r: (r["_h"], r["_k"]))  # bounded (≤ 2n rows): order independent of partitioning
-    return np.array([np.asarray(r[features], dtype=np.float64) for r in rows])
-
-
-def kmeanspp(X: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding on a local (bounded) sample; distances via one mat-vec per step."""
-    n = X.shape[0]
+def weighted_kmeanspp(X: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ on weighted candidates; at most one centre per distinct candidate."""
     xn = (X ** 2).sum(1)
-    idx = [int(rng.integers(n))]
+
+    def draw(p):
+        return min(int(np.searchsorted(np.cumsum(p), rng.random() * p.sum())), len(p) - 1)
+    idx = [draw(w)]
     d2 = np.maximum(xn - 2.0 * (X @ X[idx[0]]) + xn[idx[0]], 0.0)
-    for _ in range(1, k):
-        total = d2.sum()
-        i = int(rng.integers(n)) if total <= 0 else int(np.searchsorted(np.cumsum(d2), rng.random() * total))
-        i = min(i, n - 1)
+    d2[idx[0]] = 0.0
+    for _ in range(1, min(k, len(X))):
+        left = d2 * w
+        i = draw(left) if left.sum() > 0 else next(j for j in range(len(X)) if j not in idx)
         idx.append(i)
         d2 = np.minimum(d2, np.maximum(xn - 2.0 * (X @ X[i]) + xn[i], 0.0))
+        d2[i] = 0.0
     return X[idx].copy()
 
 
+def _nearest_distance(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to its nearest centre, in blocks."""
+    cn = (C ** 2).sum(1)
+    out = np.empty(len(X))
+    for a in range(0, len(X), CHUNK_ROWS):
+        B = X[a:a + CHUNK_ROWS]
+        out[a:a + CHUNK_ROWS] = np.maximum((B ** 2).sum(1) + (cn[None, :] - 2.0 * (B @ C.T)).min(axis=1), 0.0)
+    return out
+
+
+def seed_candidates(df: DataFrame, features: str, key: str, models: list, d: int) -> dict:
+    """k-means|| for several models ``(tag, k, seed)`` in shared passes: {tag: (candidates, weights)}."""
+
+    from segkit.functions.hashing import uniform_np
+
+    rows = df.select(F.col(features).cast("array<double>").alias("_x"), F.xxhash64(key).alias("_h"))
+    first = rows.agg(*[F.min_by("_x", F.struct(F.xxhash64(F.lit(seed), "_h"), F.col("_h"))).alias(f"m{i}")
+                       for i, (_, _, seed) in enumerate(models)]).first()
+    sets = [np.array([first[f"m{i}"]], dtype=np.float64) for i in range(len(models))]
+
+    def costs(active):
+        def fn(batches):
+            total = {i: 0.0 for i in active}
+            for batch in batches:
+                if batch.num_rows:
+                    X = arrow_matrix(batch.column(0), d)
+                    for i in active:
+                        total[i] += float(_nearest_distance(X, sets[i]).sum())
+            yield pa.RecordBatch.from_pydict({"m": pa.array(list(total), pa.int32()), "cost": pa.array(list(total.values()), pa.float64())})
+        out = rows.mapInArrow(fn, "m int, cost double").groupBy("m").agg(F.sum("cost").alias("cost"))
+        return {r["m"]: r["cost"] for r in out.collect()}  # one row a model
+
+    def drawn(active, cost, turn):
+        def fn(batches):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                X, h = arrow_matrix(batch.column(0), d), batch.column(1).to_numpy()
+                for i in active:
+                    chance = OVERSAMPLING * models[i][1] * _nearest_distance(X, sets[i]) / cost[i]
+                    hit = np.flatnonzero(uniform_np(h, models[i][2], turn) < chance)
+                    if len(hit):
+                        yield pa.RecordBatch.from_pydict({"m": pa.array(np.full(len(hit), i, np.int32)), "x": pa.array(X[hit].tolist(), pa.list_(pa.float64()))})
+        got = rows.mapInArrow(fn, "m int, x array<double>").toArrow()  # about OVERSAMPLING x k rows a model
+        m = got.column("m").to_numpy()
+        X = arrow_matrix(got.column("x"), d)
+        return {i: X[m == i] for i in active}
+
+    # rounding in the expanded distance form leaves a little cost on rows that are candidates themselves
+    active, turn = list(range(len(models))), 0
+    scale = None
+    while active:
+        cost = costs(active)
+        scale = scale or max(cost.values()) or 1.0
+        active = [i for i in active if cost[i] > 1e-9 * scale and (turn < SEED_ROUNDS or len(sets[i]) < models[i][1])]
+        if not active:
+            break
+        for i, X in drawn(active, cost, turn).items():
+            sets[i] = np.unique(np.vstack([sets[i], X]), axis=0)
+        turn += 1
+    weights = lloyd_pass(df, features, [(i, c) for i, c in enumerate(sets)], d)
+    return {tag: (sets[i], np.maximum(weights[i][1], 1e-9).astype(float)) for i, (tag, _, _) in enumerate(models)}
+
+
 def arrow_matrix(col, d: int | None = None) -> np.ndarray:
     """(n, d) float64 matrix from an Arrow list<double/float> column (no per-row objects)."""
-    import pyarrow as pa
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
     n = len(col)
@@ -101,7 +149,6 @@ def _partial_sums_fn(run_centers: list, features: str, d: int):
     One distance matrix for all runs' centres, one 0/1 assignment matrix, one
     matrix product for the sums — the only Python loop is an argmin per run.
     """
-    import pyarrow as pa
 
     all_c = np.vstack([c for _, c in run_centers]) if run_centers else np.zeros((0, d))
     bounds, a = [], 0
@@ -147,64 +194,67 @@ def _partial_schema(d: int) -> T.StructType:
     return T.StructType(fields)
 
 
-# Partial rows (partitions x total k) up to this bound are reduced on the driver
-# directly (a one-level tree aggregate); beyond it a shuffle aggregate reduces them.
-DIRECT_REDUCE_ROWS = 50_000
-
-
-def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int, n_parts: int | None = None) -> dict:
+def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int) -> dict:
     """One distributed assignment pass: {run: (sums k×d, counts k, costs k)}."""
     partial = (df.select(F.col(features).cast("array<double>").alias(features))
                  .mapInArrow(_partial_sums_fn(run_centers, features, d), _partial_schema(d)))
     out = {rid: (np.zeros((c.shape[0], d)), np.zeros(c.shape[0], dtype=np.int64), np.zeros(c.shape[0]))
            for rid, c in run_centers}
-    total_k = sum(c.shape[0] for _, c in run_centers)
-    n_parts = n_parts if n_parts is not None else df.rdd.getNumPartitions()
-    if n_parts * total_k <= DIRECT_REDUCE_ROWS:
-        tbl = partial.toArrow()
-        run = tbl.column("run").to_numpy()
-        clus = tbl.column("cluster").to_numpy()
-        cnt = tbl.column("n").to_numpy()
-        cst = tbl.column("cost").to_numpy()
-        sums = np.stack([tbl.column(f"s{i}").to_numpy() for i in range(d)], axis=1) if tbl.num_rows else None
-        for r in range(tbl.num_rows):
-            s, n, cost = out[int(run[r])]
-            c = int(clus[r])
-            n[c] += cnt[r]
-            cost[c] += cst[r]
-            s[c] += sums[r]
+    tbl = partial.groupBy("run", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(d)]).toArrow()  # a row a centre
+    if not tbl.num_rows:
         return out
-    total = partial.groupBy("run", "cluster").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(d)])
-    for r in total.collect():
-        s, n, cost = out[r["run"]]
-        c = r["cluster"]
-        n[c] = r["n"]
-        cost[c] = r["cost"]
-        s[c] = [r[f"s{i}"] for i in range(d)]
+    run, clus = tbl.column("run").to_numpy(), tbl.column("cluster").to_numpy()
+    cnt, cst = tbl.column("n").to_numpy(), tbl.column("cost").to_numpy()
+    sums = np.stack([tbl.column(f"s{i}").to_numpy() for i in range(d)], axis=1)
+    for r in range(tbl.num_rows):
+        s, n, cost = out[int(run[r])]
+        s[clus[r]], n[clus[r]], cost[clus[r]] = sums[r], cnt[r], cst[r]
+    return out
+
+
+def farthest_rows(df: DataFrame, features: str, key: str, wanted: list, d: int) -> dict:
+    """{run: rows} with the largest distance to their centre, for ``wanted`` (run, centres, how many)."""
+
+    rows = df.select(F.col(features).cast("array<double>").alias("_x"), F.xxhash64(key).alias("_h"))
+
+    def fn(batches):
+        best = {rid: (np.zeros(0), np.zeros((0, d)), np.zeros(0, np.int64)) for rid, _, _ in wanted}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            X, h = arrow_matrix(batch.column(0), d), batch.column(1).to_numpy()
+            for rid, c, many in wanted:
+                d2 = np.concatenate([best[rid][0], _nearest_distance(X, c)])
+                keep = np.lexsort((np.concatenate([best[rid][2], h]), -d2))[:many]
+                best[rid] = (d2[keep], np.vstack([best[rid][1], X])[keep], np.concatenate([best[rid][2], h])[keep])
+        for rid, (d2, X, h) in best.items():
+            if len(d2):
+                yield pa.RecordBatch.from_pydict({"run": pa.array(np.full(len(d2), rid, np.int32)), "d2": pa.array(d2), "h": pa.array(h), "x": pa.array(X.tolist(), pa.list_(pa.float64()))})
+    most = {rid: many for rid, _, many in wanted}
+    ranked = rows.mapInArrow(fn, "run int, d2 double, h long, x array<double>").withColumn(
+        "_r", F.row_number().over(Window.partitionBy("run").orderBy(F.desc("d2"), "h"))).where(F.col("_r") <= max(most.values()))
+    out: dict = {rid: [] for rid in most}
+    for r in ranked.orderBy("run", "_r").collect():  # as many rows as there are empty clusters
+        if len(out[r["run"]]) < most[r["run"]] and r["d2"] > 0:
+            out[r["run"]].append(np.array(r["x"]))
     return out
 
 
 def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, max_iter: int = 300,
-                 tol: float = 1e-4, seed: int = 42, init_rows: int | None = None) -> dict:
+                 tol: float = 1e-4, seed: int = 42) -> dict:
     """Fit every k in ``ks`` with ``n_init`` restarts; return {k: best KMeansRun}.
 
     ``df`` should be persisted by the caller (it is scanned once per iteration).
     """
-    return kmeans_specs(df, features, key, [(k, n_init, max_iter) for k in ks], tol, seed, init_rows)
+    return kmeans_specs(df, features, key, [(k, n_init, max_iter) for k in ks], tol, seed)
 
 
-def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42,
-                 init_rows: int | None = None, early=None) -> dict:
+def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42) -> dict:
     """Fit several models in the same passes over the data.
 
-    ``specs`` items are ``(k, n_init, max_iter)`` (result keyed by k) or
-    ``(tag, k, n_init, max_iter, seed)`` (result keyed by tag).  Returns the best
-    run (lowest cost over its restarts) per key.
-
-    ``early = (predicate, callback)``: as soon as every run whose tag satisfies
-    ``predicate`` has finished, those runs are finalised and ``callback`` gets
-    their best runs (e.g. to start scoring them while the other runs go on).
+    ``specs`` items are ``(k, n_init, max_iter)`` (result keyed by k) or ``(tag, k, n_init, max_iter, seed)`` (result keyed by tag).
+    Returns the best run (lowest cost over its restarts) per key.  A model's result does not depend on the others.
     """
     norm = []
     for sp in specs:
@@ -214,70 +264,44 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
         else:
             tag, k, r, m, sd = sp
             norm.append((tag, int(k), int(r), int(m), int(sd)))
-    ks = [k for _, k, _, _, _ in norm]
-    total = df.count()
-    # k-means++ seeding sample: bounded; ~32 rows per centre for large k
-    init_rows = init_rows or min(INIT_SAMPLE_ROWS, max(4096, 32 * max(ks)))
-    sample = sample_rows(df, features, key, init_rows, total=total)
-    if sample.shape[0] == 0:
+    width = df.select(F.size(features).alias("d")).first()
+    if width is None:
         raise ValueError("no rows to cluster")
-    d = sample.shape[1]
-    tol_abs = tol * float(np.mean(np.var(sample, axis=0))) if sample.shape[0] > 1 else tol
+    d = int(width["d"])
+    (sums, n, square), = lloyd_pass(df, features, [(0, np.zeros((1, d)))], d).values()
+    total = max(int(n[0]), 1)
+    tol_abs = tol * max(float(square[0] / total - ((sums[0] / total) ** 2).sum()) / d, 0.0)  # tol x the mean variance of the columns
+    seeds = seed_candidates(df, features, key, [(tag, k, sd + 1000 * k) for tag, k, _, _, sd in norm], d)
     runs = {}
-    rid = 0
     for tag, k, n_init, max_iter, sd in norm:
-        if k > sample.shape[0]:
-            raise ValueError(f"k={k} exceeds the number of sampled rows")
+        candidates, weights = seeds[tag]
         for r in range(n_init):
             rng = np.random.default_rng(sd + 1000 * k + r)
-            runs[rid] = dict(tag=tag, k=k, run=r, centers=kmeanspp(sample, k, rng), n_iter=0,
-                             converged=False, max_iter=max_iter)
-            rid += 1
-    n_parts = df.rdd.getNumPartitions()
-    finished = {}   # run id -> (counts, costs) from a final pass
-
-    def done(v):
-        return v["converged"] or v["n_iter"] >= v["max_iter"]
-
-    def best_of(ids):
-        best = {}
-        for i in ids:
-            v = runs[i]
-            n, cost = finished[i]
-            cand = KMeansRun(v["k"], v["run"], v["centers"], float(cost.sum()), v["n_iter"],
-                             [int(x) for x in n], v["converged"])
-            if v["tag"] not in best or cand.cost < best[v["tag"]].cost:
-                best[v["tag"]] = cand
-        return {t: canonical(r) for t, r in best.items()}
-
-    early_ids = [i for i, v in runs.items() if early is not None and early[0](v["tag"])]
-    early_sent = not early_ids
+            centers = weighted_kmeanspp(candidates, weights, k, rng)
+            runs[len(runs)] = dict(tag=tag, k=len(centers), run=r, centers=centers, n_iter=0, converged=False, max_iter=max_iter)
     while True:
-        if not early_sent and all(done(runs[i]) for i in early_ids):
-            res = lloyd_pass(df, features, [(i, runs[i]["centers"]) for i in early_ids], d, n_parts)
-            finished.update({i: (res[i][1], res[i][2]) for i in early_ids})
-            early[1](best_of(early_ids))
-            early_sent = True
-        active = [(i, v["centers"]) for i, v in runs.items() if not done(v)]
+        active = {i: v for i, v in runs.items() if not (v["converged"] or v["n_iter"] >= v["max_iter"])}
         if not active:
             break
-        sums = lloyd_pass(df, features, active, d, n_parts)
-        for i, _c in active:
-            s, n, _cost = sums[i]
-            old = runs[i]["centers"]
-            new = old.copy()
-            nz = n > 0
-            new[nz] = s[nz] / n[nz][:, None]
-            shift = float(((new - old) ** 2).sum())
-            runs[i]["centers"] = new
-            runs[i]["n_iter"] += 1
-            if shift <= tol_abs:
-                runs[i]["converged"] = True
-    rest = [i for i in runs if i not in finished]
-    if rest:
-        res = lloyd_pass(df, features, [(i, runs[i]["centers"]) for i in rest], d, n_parts)
-        finished.update({i: (res[i][1], res[i][2]) for i in rest})
-    return best_of(list(runs))
+        sums = lloyd_pass(df, features, [(i, v["centers"]) for i, v in active.items()], d)
+        wanted = [(i, v["centers"], int((sums[i][1] == 0).sum())) for i, v in active.items() if (sums[i][1] == 0).any()]
+        moved = farthest_rows(df, features, key, wanted, d) if wanted else {}
+        for i, v in active.items():
+            s, n, _ = sums[i]
+            new = v["centers"].copy()
+            filled = n > 0
+            new[filled] = s[filled] / n[filled][:, None]
+            for c, x in zip(np.flatnonzero(~filled), moved.get(i, [])):
+                new[c] = x
+            shift = float(((new - v["centers"]) ** 2).sum())
+            v["centers"], v["n_iter"], v["converged"] = new, v["n_iter"] + 1, shift <= tol_abs
+    last = lloyd_pass(df, features, [(i, v["centers"]) for i, v in runs.items()], d)
+    best: dict = {}
+    for i, v in runs.items():
+        run = KMeansRun(v["k"], v["run"], v["centers"], float(last[i][2].sum()), v["n_iter"], [int(x) for x in last[i][1]], v["converged"])
+        if v["tag"] not in best or run.cost < best[v["tag"]].cost:
+            best[v["tag"]] = run
+    return {t: canonical(r) for t, r in best.items()}
 
 
 def canonical(run: KMeansRun) -> KMeansRun:
@@ -287,65 +311,46 @@ def canonical(run: KMeansRun) -> KMeansRun:
                      [run.sizes[c] for c in order], run.converged)
 
 
-def nearest_center_expr(centers: np.ndarray, features: str = "features") -> Column:
-    """K9 as a JVM expression: 0-based index of the nearest centre (first on ties)."""
-    dists = []
-    for c in centers:
-        lit = F.array(*[F.lit(float(v)) for v in c])
-        sq = F.aggregate(F.zip_with(F.col(features), lit, lambda a, b: (a - b) * (a - b)),
-                         F.lit(0.0), lambda acc, x: acc + x)
-        dists.append(sq)
-    arr = F.array(*dists)
-    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
-
-
-def nearest_center_udf(centers: np.ndarray):
-    """K9 for many centres: Arrow-batched numpy argmin (no per-row Python)."""
-    c = np.asarray(centers, dtype=np.float64)
-    cn = (c ** 2).sum(1)
-
-    @F.pandas_udf(T.IntegerType())
-    def nearest(col: pd.Series) -> pd.Series:
-        X = _stack(col)
-        if X.shape[0] == 0:
-            return pd.Series([], dtype="int32")
-        G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ c.T) + cn[None, :]
-        return pd.Series(np.argmin(G, axis=1).astype("int32"))
-    return nearest
+def _labels(col, all_c: np.ndarray, bounds) -> np.ndarray:
+    """Nearest centre of each row within each set of centres (n x sets); the first on ties."""
+    X = arrow_matrix(col, all_c.shape[1])
+    cn = (all_c ** 2).sum(1)
+    out = np.zeros((len(X), len(bounds) - 1), np.int32)
+    for a in range(0, len(X), CHUNK_ROWS):
+        G = cn[None, :] - 2.0 * (X[a:a + CHUNK_ROWS] @ all_c.T)
+        for j in range(len(bounds) - 1):
+            out[a:a + CHUNK_ROWS, j] = G[:, bounds[j]:bounds[j + 1]].argmin(axis=1)
+    return out
 
 
 def assign_many(df: DataFrame, center_sets: dict, features: str = "features") -> DataFrame:
-    """Label rows against several centre sets in ONE Arrow-batched pass.
+    """K9: label rows against one or more centre sets (output column → centres) in ONE Arrow-batched pass."""
 
-    ``center_sets`` maps output column → centres; the distances to all centres
-    come from a single matrix product per batch.
-    """
     names = list(center_sets)
     mats = [np.asarray(center_sets[n], dtype=np.float64) for n in names]
-    all_c = np.vstack(mats)
-    cn = (all_c ** 2).sum(1)
-    bounds = np.cumsum([0] + [m.shape[0] for m in mats])
+    all_c, bounds = np.vstack(mats), np.cumsum([0] + [m.shape[0] for m in mats])
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def nearest_all(col: pd.Series) -> pd.Series:
-        X = _stack(col)
-        if X.shape[0] == 0:
-            return pd.Series([], dtype=object)
-        G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
-        lab = np.stack([np.argmin(G[:, bounds[i]:bounds[i + 1]], axis=1) for i in range(len(names))], axis=1)
-        return pd.Series(list(lab.astype(np.int32)))
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def nearest_all(col: pa.Array) -> pa.Array:
+        labels = _labels(col, all_c, bounds)
+        ends = np.arange(len(labels) + 1, dtype=np.int32) * labels.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(labels.ravel()))
 
     tmp = "_labels"
-    out = df.withColumn(tmp, nearest_all(F.col(features)))
+    out = df.withColumn(tmp, nearest_all(F.col(features).cast("array<double>")))
     return out.withColumns({n: F.col(tmp)[i] for i, n in enumerate(names)}).drop(tmp)
 
 
 def assign(df: DataFrame, centers: np.ndarray, features: str = "features", output: str = "prediction") -> DataFrame:
     """Label each row with its nearest centre."""
-    c = np.asarray(centers)
-    if c.shape[0] * c.shape[1] <= EXPR_MAX_CELLS:
-        return df.withColumn(output, nearest_center_expr(c, features))
-    return df.withColumn(output, nearest_center_udf(c)(F.col(features)))
+    return assign_many(df, {output: centers}, features)
+
+
+def nearest_label(df: DataFrame, centers: DataFrame, features: str, output: str) -> DataFrame:
+    """K9 for centres that are a table (label, center), one row a label: the label of the nearest one, in the plan itself."""
+    table = centers.agg(F.sort_array(F.collect_list(F.struct(F.col(centers.columns[0]).alias("l"), F.col("center").alias("c"))))).scalar()
+    best = F.array_min(F.transform(table, lambda t: F.struct(squared_distance(F.col(features), t["c"]).alias("d"), t["l"].alias("l"))))
+    return df.withColumn(output, best["l"])
 
 
 def centers_frame(spark, centers: np.ndarray, names=None):
@@ -354,29 +359,12 @@ def centers_frame(spark, centers: np.ndarray, names=None):
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
-def array_mean_by(df: DataFrame, group: str, array_col: str) -> DataFrame:
-    """Element-wise mean of an array column per group, as (group, dim, value)."""
-    exploded = df.select(group, F.posexplode(array_col).alias("dim", "v"))
-    return exploded.groupBy(group, "dim").agg(F.avg(F.col("v").cast("double")).alias("value"))
-
-
-def collect_centers(df_long: DataFrame, group: str, max_groups: int = 10_000) -> tuple[list, np.ndarray]:
-    """(groups, matrix) from (group, dim, value) rows — bounded by ``max_groups``."""
-    rows = df_long.orderBy(group, "dim").limit(max_groups * 4096 + 1).collect()
-    groups, mat = [], {}
-    for r in rows:
-        mat.setdefault(r[group], {})[r["dim"]] = r["value"]
-    groups = sorted(mat)
-    if len(groups) > max_groups:
-        raise ValueError("too many centres")
-    d = max(len(v) for v in mat.values())
-    return groups, np.array([[mat[g][i] for i in range(d)] for g in groups])
-
-
-def center_arrays(long: DataFrame, group: str) -> DataFrame:
-    """(group, dim, value) → (group, center array) ordered by dim; one row per group."""
-    return long.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda s: s["value"]).alias("center"))
+def centers_by(df: DataFrame, group: str, array_col: str) -> DataFrame:
+    """(group, center): element-wise mean of an array column, one partial sum a task and group."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    vector = array_to_vector(F.col(array_col).cast("array<double>"))
+    return df.groupBy(group).agg(vector_to_array(Summarizer.mean(vector)).alias("center"))
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -386,9 +374,9 @@ def squared_distance(a: Column, b: Column) -> Column:
 def wcss_by_label(df: DataFrame, features: str, label: str) -> DataFrame:
     """K3 for given labels: centroid per label (Spark aggregate), then the sum of
     squared distances of each row to its own centroid.  Centroids are joined
-    back on the label (one row per label, broadcast when their count is small)."""
+    back on the label."""
     from segkit.operators.joins import lookup_join
-    cents = center_arrays(array_mean_by(df, label, features), label)
+    cents = centers_by(df, label, features)
     joined = lookup_join(df.select(label, F.col(features).cast("array<double>").alias(features)), cents, on=label)
     return joined.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
                                      F.sum(squared_distance(F.col(features), F.col("center"))).alias("wcss"))

@@ -252,33 +252,19 @@ def sort_groups(df: DataFrame, group: str, descending: bool = True) -> DataFrame
     return group_size(df, group).orderBy(*order)
 
 
-# Above this many rows, a fixed sample first keeps only rows under a hash threshold.
-SAMPLE_PREFILTER_ROWS = 1_000_000
+SAMPLE_BUCKETS = 256
 
 
-def fixed_sample(df: DataFrame, key: str, n: int = 1500, salt: str = "sample",
-                 prefilter_rows: int = SAMPLE_PREFILTER_ROWS) -> DataFrame:
+def fixed_sample(df: DataFrame, key: str, n: int = 1500, salt: str = "sample") -> DataFrame:
     """A fixed-size, seeded sample: the n rows with the smallest md5(salt:key).
 
-    Planned as ``TakeOrderedAndProject`` (each task keeps its own top n).  On large
-    inputs the rows are first cut to those whose first 32 hash bits lie under a
-    threshold that is checked to admit at least n rows, so only ~4n candidates
-    reach the final top-n, whatever the number of partitions.  The result is
-    exact: the n smallest hashes all lie under any threshold admitting n rows.
+    Two levels: the n smallest of each hash bucket (cut inside every task before the shuffle), then the n smallest of those, so the
+    last step sees ``SAMPLE_BUCKETS`` x n rows whatever the number of partitions.
     """
-    from segkit.functions.hashing import TWO_32, h32, hash_rank_key
-    src = df
-    big = df.limit(prefilter_rows + 1).count() > prefilter_rows
-    if big:
-        total = df.count()
-        p = min(1.0, 4.0 * n / max(total, 1))
-        while p < 1.0:
-            cand = df.where(h32(salt, key) < F.lit(int(p * TWO_32)))
-            if cand.count() >= n:
-                src = cand
-                break
-            p = min(1.0, p * 4)
-    return (src.withColumn("_h", hash_rank_key(salt, key)).orderBy("_h", key).limit(n).drop("_h"))
+    from segkit.functions.hashing import hash_rank_key
+    ranked = df.withColumn("_h", hash_rank_key(salt, key)).withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(SAMPLE_BUCKETS)))
+    first = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))).where(F.col("_r") <= n)
+    return first.orderBy("_h", key).limit(n).drop("_h", "_b", "_r")
 
 
 def hash_order(df: DataFrame, key: str, salt: str = "shuffle") -> DataFrame:

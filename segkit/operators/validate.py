@@ -5,8 +5,7 @@ blocks of ~``block_rows``; each (left block, right block) pair is one cogroup
 task that builds the block's distance matrix with numpy and emits only
 per-(row, cluster) distance sums, never pairs.  The distance matrix is shared
 by every labelling passed in, so a whole k sweep is scored in one job.  The
-work is inherently O(n^2); ``silhouette_auto`` switches to the linear V2 above
-``exact_max_rows`` and records which metric it used.
+work is inherently O(n^2), so it runs only where the caller names it.
 
 V2 squared-Euclidean silhouette: Spark ML ``ClusteringEvaluator`` (linear).
 V3/V4 ARI and NMI from one pass over the contingency table (windows on its small rows).
@@ -26,7 +25,6 @@ R_FEATURES, R_LABEL = "_r_features", "_r_label"
 BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)
 MAX_BLOCK_ROWS = 4096  # ... and never more than 4096² doubles (128 MiB)
 TARGET_BLOCKS = 25  # replication factor of the rows (each row is copied once per block)
-EXACT_MAX_ROWS = 100_000  # above this the exact O(n²) silhouette gives way to the linear one
 
 
 def _block_fn(features: str, labels: list, label_type: str):
@@ -75,14 +73,11 @@ def _block_fn(features: str, labels: list, label_type: str):
     return fn
 
 
-def silhouette_rows(df: DataFrame, features: str, labels, key: str | None = None,
+def silhouette_rows(df: DataFrame, features: str, labels, key: str,
                     block_rows: int = BLOCK_ROWS, n_rows: int | None = None) -> DataFrame:
     """Per-row exact silhouette for every labelling: (rid, j, s).
 
-    Every row gets an id before the block copies are made, and blocks are a hash
-    of that id, so blocks are even even when keys repeat.  Each side only needs
-    every row to sit in exactly one block; the two sides need not agree, so the
-    id may be recomputed per side.  ``key`` is accepted for API symmetry only.
+    ``key`` tells rows apart (rows are equal where it is); a row's id and block are hashes of it, so a repeated task makes the same copies.
     """
     labels = list(labels)
     n = n_rows if n_rows is not None else df.count()
@@ -96,13 +91,11 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str | None = None
     # The two sides are separate projections of ``df`` with distinct column names,
     # so the cogroup's children share no attributes (and no row ids are needed to agree).
     left = (df.select(F.col(features).cast("array<double>").alias(features),
-                      *[F.col(c).cast(label_type).alias(c) for c in labels])
-              .withColumn("_rid", F.monotonically_increasing_id())
+                      *[F.col(c).cast(label_type).alias(c) for c in labels], F.xxhash64(key).alias("_rid"))
               .select(F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("lb"), blocks.alias("rb"),
                       "_rid", features, *labels))
     right = (df.select(F.col(features).cast("array<double>").alias(R_FEATURES),
-                       *[F.col(c).cast(label_type).alias(f"{R_LABEL}{j}") for j, c in enumerate(labels)])
-               .withColumn("_rid", F.monotonically_increasing_id())
+                       *[F.col(c).cast(label_type).alias(f"{R_LABEL}{j}") for j, c in enumerate(labels)], F.xxhash64(key).alias("_rid"))
                .select(blocks.alias("lb"), F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("rb"),
                        R_FEATURES, *[f"{R_LABEL}{j}" for j in range(len(labels))]))
     schema = f"rid bigint, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint"
@@ -132,31 +125,27 @@ def silhouette_squared(df: DataFrame, features: str, label: str) -> float:
     """V2: Spark ML's linear-cost squared-Euclidean silhouette."""
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
-    data = df.select(array_to_vector(F.col(features).cast("array<double>")).alias("_v"),
-                     F.col(label).cast("double").alias("_p"))
+    known = df.where(F.col(label).isNotNull())
+    names = known.agg(F.sort_array(F.collect_set(F.col(label).cast("string")))).scalar()  # one entry a cluster
+    data = known.select(array_to_vector(F.col(features).cast("array<double>")).alias("_v"),
+                        F.array_position(names, F.col(label).cast("string")).cast("double").alias("_p"))
     ev = ClusteringEvaluator(featuresCol="_v", predictionCol="_p", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
     return float(ev.evaluate(data))
 
 
-def silhouette_auto(df: DataFrame, features: str, labels, key: str, exact_max_rows: int = EXACT_MAX_ROWS,
-                    block_rows: int = BLOCK_ROWS, metric: str = "auto") -> tuple[dict, str]:
-    """Silhouette of several labellings; returns ({label: s}, metric used).
+def silhouettes(df: DataFrame, features: str, labels, key: str, metric: str = "squared") -> tuple[dict, str]:
+    """Silhouette of several labellings; returns ({label: s}, metric's name).
 
-    ``metric``: "exact" (V1, O(n^2)), "squared" (V2, linear), or "auto" = exact when
-    the row count is within ``exact_max_rows``, else squared.
+    ``metric``: "squared" (V2, linear) or "exact" (V1, O(n^2)); the same at every number of rows.
     """
-    if metric not in ("auto", "exact", "squared"):
-        raise ValueError(f"unknown silhouette metric {metric!r}")
     labels = list(labels)
     if metric == "squared":
         return {lab: silhouette_squared(df, features, lab) for lab in labels}, "squared_euclidean"
-    n = df.limit(exact_max_rows + 1).count() if metric == "auto" else df.count()
-    if metric == "exact" or n <= exact_max_rows:
-        rows = silhouette_rows(df, features, labels, key, block_rows, n_rows=n)
-        got = {r["j"]: r["s"] for r in rows.groupBy("j").agg(F.avg("s").alias("s")).collect()}
-        return {labels[j]: float(v) for j, v in got.items()}, "euclidean"
-    return {lab: silhouette_squared(df, features, lab) for lab in labels}, "squared_euclidean"
+    if metric != "exact":
+        raise ValueError(f"unknown silhouette metric {metric!r}")
+    got = {r["labelling"]: r["silhouette"] for r in silhouette_exact(df, features, labels, key).collect()}  # one row a labelling
+    return {lab: float(got[lab]) for lab in labels}, "euclidean"
 
 
 def _comb2(c):

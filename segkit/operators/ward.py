@@ -1,12 +1,9 @@
 """Variance-minimising (Ward) hierarchical clustering at scale (K7, K8).
 
-1. Inputs with at most ``EXACT_ROWS`` (4096) distinct rows: every distinct row
-   is its own weighted point and the result is exact Ward on the rows.  Larger
-   inputs: Spark k-means summarises the rows into ``m`` (default 512) weighted
-   micro-clusters.
-2. Ward merges run over those weighted points with the nearest-neighbour-chain
-   algorithm (Lance-Williams updates, O(m^2) time and memory) — the only
-   driver-side work, bounded by ``EXACT_ROWS``.
+1. Spark k-means summarises the rows into at most ``m`` (default 512) weighted micro-clusters, whatever the number of rows; with no more
+   than ``m`` distinct rows every distinct row is its own micro-cluster, and the result is Ward on the rows.
+2. Ward merges run over those weighted points with the nearest-neighbour-chain algorithm (Lance-Williams updates, O(m^2) time and
+   memory) — the only driver-side work, bounded by ``m``.
 3. The cut at ``k`` maps micro-cluster → cluster; rows get their cluster by
    nearest micro-centroid (a distributed, Arrow-batched assignment).
 
@@ -24,7 +21,7 @@ from pyspark.sql import functions as F
 from segkit.operators import kmeans as KM
 
 MICRO_CLUSTERS = 512
-EXACT_ROWS = 4096  # inputs with at most this many distinct rows get exact Ward on the rows
+MICRO_MAX_ITER = 20  # micro-clusters only summarise rows for Ward
 
 
 @dataclass
@@ -134,27 +131,19 @@ def cut(linkage: list, m: int, k: int) -> np.ndarray:
 
 
 def fit_ward(df: DataFrame, features: str, key: str, k: int, micro: int = MICRO_CLUSTERS,
-             seed: int = 42, max_iter: int = 30) -> WardModel:
+             seed: int = 42, max_iter: int = MICRO_MAX_ITER) -> WardModel:
     """``max_iter`` bounds the micro-cluster k-means: it only summarises the rows."""
-    centers, sizes = micro_summary(df, features, key, micro, seed, max_iter)
-    return ward_from_micro(centers, sizes, k)
+    run = KM.kmeans_specs(df, features, key, [micro_spec(micro, seed, max_iter)])[("micro", micro)]
+    return ward_from_micro(*micro_summary(run), k)
 
 
-def micro_summary(df: DataFrame, features: str, key: str, micro: int = MICRO_CLUSTERS, seed: int = 42,
-                  max_iter: int = 30, run: KM.KMeansRun | None = None):
-    """(centres, sizes) of at most ``micro`` weighted micro-clusters.
+def micro_spec(micro: int = MICRO_CLUSTERS, seed: int = 42, max_iter: int = MICRO_MAX_ITER) -> tuple:
+    """The micro-cluster k-means as an entry of ``kmeans_specs``."""
+    return ("micro", micro), micro, 1, max_iter, seed
 
-    ``run`` may carry a micro-cluster k-means fitted elsewhere (e.g. in the same
-    passes as another model); small inputs use their distinct rows exactly.
-    """
-    bound = max(micro, EXACT_ROWS)
-    n = df.limit(bound + 1).count()
-    if n <= bound:  # bounded: exact Ward on the (weighted) distinct rows
-        pts = df.groupBy(features).agg(F.count(F.lit(1)).alias("n")).collect()
-        return (np.array([np.asarray(r[features], dtype=np.float64) for r in pts]),
-                np.array([r["n"] for r in pts], dtype=np.float64))
-    if run is None:
-        run = KM.kmeans_multi(df, features, key, [micro], n_init=1, max_iter=max_iter, seed=seed)[micro]
+
+def micro_summary(run: KM.KMeansRun):
+    """(centres, sizes) of the micro-clusters that hold rows."""
     keep = np.array(run.sizes) > 0
     return run.centers[keep], np.array(run.sizes, dtype=np.float64)[keep]
 

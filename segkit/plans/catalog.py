@@ -781,10 +781,7 @@ def _embeddings(spark, sf):
 
 def _nearest(spark, sf):
     e = _embeddings(spark, sf)
-    groups, centers = KM.collect_centers(KM.array_mean_by(e, "label", "v"), "label")
-    out = KM.assign(e, centers, "v", "_idx")
-    names = F.array(*[F.lit(g) for g in groups])
-    return out.withColumn("nearest_label", F.element_at(names, F.col("_idx") + 1)).drop("_idx")
+    return KM.nearest_label(e, KM.centers_by(e, "label", "v"), "v", "nearest_label")
 
 
 @query("nearest_centroid", f"WITH {EMB_CTES} SELECT vec_id, label, nearest_label FROM nn")
@@ -796,7 +793,7 @@ def q_nearest_centroid(spark, sf):
 SELECT nn.nearest_label AS nearest_label, ex.dim AS dim, {O.rnd('avg(ex.x)', 6)} AS value
 FROM ex JOIN nn USING (vec_id) GROUP BY nn.nearest_label, ex.dim""")
 def q_lloyd_step(spark, sf):
-    long = KM.array_mean_by(_nearest(spark, sf), "nearest_label", "v")
+    long = KM.centers_by(_nearest(spark, sf), "nearest_label", "v").select("nearest_label", F.posexplode("center").alias("dim", "value"))
     return long.select("nearest_label", F.col("dim").cast("bigint").alias("dim"), S.fixed_round("value", 6).alias("value"))
 
 
@@ -918,8 +915,8 @@ FINAL_K = 4
 
 def _features_table(spark, sf):
     clean = clean_buyers(buyers_ordered(spark, sf))
-    fm, X = SG.encode(clean.df)
-    return fm, SG.materialise(X), clean.imputer
+    fm = fit_features(clean.df, NUMERIC, CATEGORICAL)
+    return fm, SG.materialise(clean.df, fm, clean.df.count()), clean.imputer
 
 
 @query("kmeans_fit")
@@ -934,14 +931,14 @@ def q_kmeans_fit(spark, sf):
 def q_kmeans_convergence(spark, sf):
     """K4: iterations, cost and size per cluster of the chosen run."""
     _fm, X, _ = _features_table(spark, sf)
-    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=10, max_iter=500)[FINAL_K]
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=20, max_iter=500)[FINAL_K]
     rows = [(c, int(n), float(run.cost), int(run.n_iter), bool(run.converged)) for c, n in enumerate(run.sizes)]
     return spark.createDataFrame(rows, "cluster int, size bigint, cost double, n_iter int, converged boolean")
 
 
 @query("k_sweep")
 def q_k_sweep(spark, sf):
-    """K2 + V1: k = 2..8, 10 restarts each, exact silhouette for all k in one job."""
+    """K2 + V2: k = 2..8, 10 restarts each, linear silhouette of each k."""
     _fm, X, _ = _features_table(spark, sf)
     _runs, table, _ = SG.k_sweep(X, range(2, 9), n_init=10, max_iter=300)
     return spark.createDataFrame([(int(k), float(s), float(i), int(n), m) for k, s, i, n, m in table],
@@ -983,7 +980,7 @@ def q_save_load_score(spark, sf):
     from segkit.sources.artifacts import load_models, save_models
     from segkit.streaming.scoring import score
     fm, X, imp = _features_table(spark, sf)
-    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=5, max_iter=300)[FINAL_K]
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=20, max_iter=500)[FINAL_K]
     path = scratch_path(spark, "models")
     save_models(spark, path, fm, run, imputer_fills=imputer_fill_dict(imp))
     loaded = load_models(spark, path)
@@ -999,7 +996,7 @@ def q_stream_score(spark, sf):
     from segkit.plans.clean import imputer_fill_dict
     from segkit.streaming.scoring import score_stream
     fm, X, imp = _features_table(spark, sf)
-    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=5, max_iter=300)[FINAL_K]
+    run = KM.kmeans_multi(X, "features", SG.KEY, [FINAL_K], n_init=20, max_iter=500)[FINAL_K]
     incoming = scratch_path(spark, "incoming")
     new_rows = dedup_buyers(buyers_ordered(spark, sf))
     new_rows.repartition(4).write.mode("overwrite").parquet(incoming)
@@ -1020,7 +1017,7 @@ def q_segmentation_report(spark, sf):
 @query("export_labelled")
 def q_export_labelled(spark, sf):
     """Labelled table (clean columns + truth + both model labels) to CSV and back."""
-    seg = SG.segment(buyers_ordered(spark, sf), n_init_sweep=3, n_init_final=5)
+    seg = SG.segment(buyers_ordered(spark, sf))
     cols = [c for c in seg.labelled.columns if c != "features"]
     path = scratch_path(spark, "labelled")
     csv_io.write_csv(seg.labelled.select(*cols), path)
@@ -1060,5 +1057,5 @@ def q_dashboard_kpi(spark, sf):
 def q_run_report(spark, sf):
     """V6: validation block of the full run report (ARI, NMI, silhouette per model)."""
     from segkit.plans.report import run_report
-    seg = SG.segment(buyers_ordered(spark, sf), n_init_sweep=3, n_init_final=5)
+    seg = SG.segment(buyers_ordered(spark, sf))
     return run_report(seg)["validation"]

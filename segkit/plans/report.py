@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from segkit.functions.scalar import fixed_round
 from segkit.operators.profile import cluster_sizes, purity
-from segkit.operators.validate import model_comparison, silhouette_auto
+from segkit.operators.validate import model_comparison, silhouettes
 from segkit.plans.segmentation import KEY, LABEL, Segmentation, cluster_report
 
 
@@ -18,8 +18,8 @@ def run_report(seg: Segmentation) -> dict[str, DataFrame]:
     models = {"kmeans": "kmeans_cluster"}
     if "agglomerative_cluster" in seg.labelled.columns:
         models["agglomerative"] = "agglomerative_cluster"
-    sil, metric = silhouette_auto(seg.labelled.select(KEY, "features", *models.values()), "features",
-                                  list(models.values()), KEY)
+    sil, metric = silhouettes(seg.labelled.select(KEY, "features", *models.values()), "features", list(models.values()), KEY,
+                              "exact" if seg.k_table[0][4] == "euclidean" else "squared")
     sil_df = spark.createDataFrame([(m, float(sil[c]), metric) for m, c in models.items()],
                                    "model string, silhouette double, silhouette_metric string")
     validation = (model_comparison(seg.labelled, LABEL, models)

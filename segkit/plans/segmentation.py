@@ -5,7 +5,7 @@ Scale notes:
   shared ``spark.checkpoint.dir`` (cuts the dedup/impute lineage, survives lost
   executors) and cached for the iterative passes;
 - every Lloyd iteration is one job for all (k, restart) runs;
-- the silhouettes of the whole sweep share one blocked distance job;
+- k is chosen by the linear (squared Euclidean) silhouette at every size; the 0.02 gap rule applies to its values;
 - Ward runs on at most ``micro`` weighted centroids on the driver.
 """
 
@@ -19,8 +19,8 @@ from segkit.operators import kmeans as KM
 from segkit.operators.features import FeatureModel, fit_features
 from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k_local
 from segkit.operators.profile import profile_with_top
-from segkit.operators.validate import silhouette_auto
-from segkit.operators.ward import EXACT_ROWS, MICRO_CLUSTERS, WardModel, micro_summary, ward_from_micro
+from segkit.operators.validate import silhouettes
+from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_spec, micro_summary, ward_from_micro
 from segkit.plans.clean import clean_buyers, dedup_buyers
 from segkit.session import ensure_checkpoint_dir
 from segkit.sources.fixtures import buyers_ordered
@@ -29,10 +29,6 @@ from segkit.fixed_values import (CATEGORICAL_FEATURES as CATEGORICAL, FINAL_MAX_
                                  K_RANGE, NUMERIC_FEATURES as NUMERIC, RANDOM_SEED, SWEEP_MAX_ITER,
                                  SWEEP_RESTARTS)
 KEY = "client_id"
-MICRO_MAX_ITER = 20
-# Start the sweep's silhouette job while other runs still iterate.  Measured no gain under the default FIFO
-# scheduler (the jobs compete for the same cores); worth enabling with spark.scheduler.mode=FAIR.
-EARLY_SILHOUETTE = False  # micro-clusters only summarise rows for Ward
 LABEL = "cohort_label"
 
 
@@ -49,8 +45,9 @@ class Segmentation:
     extra: dict = field(default_factory=dict)
 
     def release(self) -> None:
-        """Drop the cached labelled table (the report, export and dashboard reuse it)."""
+        """Drop the cached labelled table (the report, export and dashboard reuse it) and the feature table below it."""
         self.labelled.unpersist()
+        self.extra["features_table"].unpersist()
 
     def k_table_frame(self, spark) -> DataFrame:
         return spark.createDataFrame(
@@ -67,110 +64,70 @@ def encode(df: DataFrame, model: FeatureModel | None = None):
 ROWS_PER_PARTITION = 1_000_000
 
 
-def materialise(df: DataFrame, partitions: int | None = None, rows: int | None = None) -> DataFrame:
-    """Spread rows evenly (round-robin, so a repeated key cannot pile up in one
-    partition; Spark sorts before a round-robin repartition, so retries are
-    deterministic), write a reliable checkpoint into the shared folder (cuts
-    lineage), and cache it for the iterative passes.
+def materialise(clean: DataFrame, model: FeatureModel, rows: int, partitions: int | None = None) -> DataFrame:
+    """Spread the narrow cleaned rows evenly (by hash of the key), encode them where they land, write a reliable checkpoint into
+    the shared folder (cuts lineage), and cache it for the iterative passes.
 
-    The partition count follows the data (``rows`` / ``ROWS_PER_PARTITION``) with
-    the cluster's cores as the floor."""
+    The partition count follows the data (``rows`` / ``ROWS_PER_PARTITION``) with the cluster's cores as the floor."""
     import math
-    spark = df.sparkSession
+    spark = clean.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = partitions or max(spark.sparkContext.defaultParallelism,
-                              math.ceil((rows or 0) / ROWS_PER_PARTITION))
-    return df.repartition(parts).checkpoint(eager=True).persist()
+    parts = partitions or max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_PARTITION))
+    return model.transform(clean.repartition(parts, KEY)).checkpoint(eager=True).persist()
 
 
 def k_sweep(X: DataFrame, ks, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-            features: str = "features", key: str = KEY, extra_specs=(), silhouette: str = "auto"):
-    """Fit every k (``n_init`` restarts each) plus any ``extra_specs`` in shared
-    passes, then score the sweep's best runs with one silhouette job."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    def score(best):
-        """Silhouettes of the sweep's best runs (one blocked distance job)."""
-        runs = {k: best[("sweep", k)] for k in ks}
-        labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()},
-                                  features).persist()
-        try:
-            return silhouette_auto(labelled, features, [f"k{k}" for k in runs], key, metric=silhouette)
-        finally:
-            labelled.unpersist()
-
+            features: str = "features", key: str = KEY, extra_specs=(), silhouette: str = "squared"):
+    """Fit every k (``n_init`` restarts each) plus any ``extra_specs`` in shared passes, then score the sweep's best runs."""
     specs = [(("sweep", k), k, n_init, max_iter, seed) for k in ks] + list(extra_specs)
-    # with EARLY_SILHOUETTE the silhouette job starts as soon as the sweep's runs are
-    # done, while the other runs (micro-clusters, speculative final fits) keep iterating
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        pending = {}
-        early = ((lambda tag: tag[0] == "sweep",
-                  lambda best: pending.setdefault("f", pool.submit(score, best))) if EARLY_SILHOUETTE else None)
-        fitted = KM.kmeans_specs(X, features, key, specs, early=early)
-        if "f" not in pending:
-            pending["f"] = pool.submit(score, {("sweep", k): fitted[("sweep", k)] for k in ks})
-        sil, metric = pending["f"].result()
+    fitted = KM.kmeans_specs(X, features, key, specs)
     runs = {k: fitted[("sweep", k)] for k in ks}
+    labelled = KM.assign_many(X.select(key, features), {f"k{k}": r.centers for k, r in runs.items()}, features).persist()
+    sil, metric = silhouettes(labelled, features, [f"k{k}" for k in runs], key, silhouette)
+    labelled.unpersist()
     table = [(k, sil[f"k{k}"], runs[k].cost, runs[k].n_iter, metric) for k in sorted(runs)]
-    extra = {t: r for t, r in fitted.items() if t[0] != "sweep"}
-    return runs, table, extra
-
-
-# When rows × centres of all speculative final fits is below this, per-job latency
-# dominates: the final restarts of every candidate k ride in the sweep's passes.
-SPECULATE_CELLS = 50_000_000
+    return runs, table, {t: r for t, r in fitted.items() if t[0] != "sweep"}
 
 
 def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_init_final: int = FINAL_RESTARTS,
             max_iter_sweep: int = SWEEP_MAX_ITER, max_iter_final: int = FINAL_MAX_ITER,
             default_k: int = DEFAULT_K, gap: float = AMBIGUITY_GAP, micro: int = MICRO_CLUSTERS,
-            seed: int = RANDOM_SEED, with_ward: bool = True, silhouette: str = "auto") -> Segmentation:
-    """The whole modelling run.  ``silhouette`` picks the metric of the k choice
-    ("exact", "squared" or "auto"); the 0.02 gap rule was tuned for "exact"."""
+            seed: int = RANDOM_SEED, with_ward: bool = True, silhouette: str = "squared", order_by: str = "seq") -> Segmentation:
+    """The whole modelling run over raw buyers with their order column.  ``silhouette`` names the metric of the k choice
+    ("squared", linear, or "exact")."""
     import time
     times = {}
     t0 = time.time()
-    # the deduplicated table feeds three fit jobs and the feature write: compute it once
-    deduped = dedup_buyers(raw).persist()
+
+    def lap(name):
+        times[name] = time.time() - t0 - sum(times.values())
+    # the deduplicated table feeds the fit jobs and the feature write: compute it once
+    deduped = dedup_buyers(raw, order_by).persist()
     n_clean = deduped.count()
     clean = clean_buyers(raw, deduped=deduped)
-    times["clean"] = time.time() - t0
-    fm, X = encode(clean.df)
-    times["encode"] = time.time() - t0 - sum(times.values())
-    X = materialise(X, rows=n_clean)
+    lap("clean")
+    fm = fit_features(clean.df, NUMERIC, CATEGORICAL)
+    lap("encode")
+    X = materialise(clean.df, fm, n_clean)
     deduped.unpersist()
-    times["materialise"] = time.time() - t0 - sum(times.values())
-    ks = list(ks)
-    n_rows = n_clean
-    # Ward's micro-clusters do not depend on the chosen k: they always share the sweep's passes
-    extra = []
-    if with_ward and n_rows > max(micro, EXACT_ROWS):
-        extra.append((("micro", micro), micro, 1, MICRO_MAX_ITER, seed))
-    speculate = n_rows * sum(ks) * n_init_final <= SPECULATE_CELLS
-    if speculate:
-        extra += [(("final", k), k, n_init_final, max_iter_final, seed + 7) for k in ks]
-    runs, table, fitted = k_sweep(X, ks, n_init_sweep, max_iter_sweep, seed, extra_specs=extra,
-                                  silhouette=silhouette)
-    times["sweep"] = time.time() - t0 - sum(times.values())
+    lap("materialise")
+    # Ward's micro-clusters do not depend on the chosen k: they share the sweep's passes
+    runs, table, fitted = k_sweep(X, list(ks), n_init_sweep, max_iter_sweep, seed,
+                                  extra_specs=[micro_spec(micro, seed)] if with_ward else [], silhouette=silhouette)
+    lap("sweep")
     decision = choose_k_local([(k, s, i) for k, s, i, _, _ in table], default_k, gap)
     k = int(decision["k"])
-    times["choose"] = time.time() - t0 - sum(times.values())
-    if ("final", k) in fitted:
-        final = fitted[("final", k)]
-    else:
-        final = KM.kmeans_specs(X, "features", KEY, [(("final", k), k, n_init_final, max_iter_final,
-                                                      seed + 7)])[("final", k)]
+    lap("choose")
+    final = KM.kmeans_specs(X, "features", KEY, [(("final", k), k, n_init_final, max_iter_final, seed + 7)])[("final", k)]
     labelled = KM.assign(X, final.centers, "features", "kmeans_cluster")
-    times["final"] = time.time() - t0 - sum(times.values())
+    lap("final")
     ward = None
     if with_ward:
-        centers, sizes = micro_summary(X, "features", KEY, micro, run=fitted.get(("micro", micro)))
-        ward = ward_from_micro(centers, sizes, k)
+        ward = ward_from_micro(*micro_summary(fitted[("micro", micro)]), k)
         labelled = ward.transform(labelled, "features", "agglomerative_cluster")
     labelled = labelled.persist()  # reused by the report, the export and the dashboard
-    times["ward"] = time.time() - t0 - sum(times.values())
-    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer,
-                        extra={"seconds": times, "speculative_final": speculate})
+    lap("ward")
+    return Segmentation(fm, k, decision, table, final, ward, labelled, clean.imputer, extra={"seconds": times, "features_table": X})
 
 
 def collect_all(frames: dict, threads: int = 4) -> dict:
@@ -188,5 +145,5 @@ def cluster_report(seg: Segmentation, cluster_col: str = "kmeans_cluster") -> Da
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entry(): full segmentation on the buyer fixture, k-means cluster profile."""
-    seg = segment(buyers_ordered(spark, sf_dir), n_init_sweep=3, n_init_final=5, with_ward=False)
+    seg = segment(buyers_ordered(spark, sf_dir))
     return cluster_report(seg).orderBy("kmeans_cluster")

@@ -216,17 +216,56 @@ def test_inertia_close_to_full_data_kmeanspp_baseline(spark):
 
     ours = KM.kmeans_multi(df, "v", "vec_id", [3, 6], n_init=5, max_iter=100)
     for k in (3, 6):
-        base = min(lloyd(KM.kmeanspp(X, k, np.random.default_rng(50 + r))) for r in range(5))
+        base = min(lloyd(KM.weighted_kmeanspp(X, np.ones(len(X)), k, np.random.default_rng(50 + r))) for r in range(5))
         assert ours[k].cost <= base * 1.02
 
 
 def test_silhouette_metric_is_an_explicit_choice(spark):
     df = _emb(spark)
-    exact, m1 = V.silhouette_auto(df, "v", ["label"], "vec_id", metric="exact")
-    sq, m2 = V.silhouette_auto(df, "v", ["label"], "vec_id", metric="squared")
-    auto, m3 = V.silhouette_auto(df, "v", ["label"], "vec_id", exact_max_rows=10)
-    assert (m1, m2, m3) == ("euclidean", "squared_euclidean", "squared_euclidean")
-    assert abs(auto["label"] - sq["label"]) < 1e-12 and abs(exact["label"] - sq["label"]) > 1e-6
+    exact, m1 = V.silhouettes(df, "v", ["label"], "vec_id", metric="exact")
+    sq, m2 = V.silhouettes(df, "v", ["label"], "vec_id")
+    assert (m1, m2) == ("euclidean", "squared_euclidean") and abs(exact["label"] - sq["label"]) > 1e-6
+    X, lab, _ = _np(df)
+    s = []
+    for i in range(len(X)):
+        mean = {c: ((X[lab == c] - X[i]) ** 2).sum(-1).sum() / max(1, (lab == c).sum() - (c == lab[i])) for c in set(lab)}
+        near = min(v for c, v in mean.items() if c != lab[i])
+        s.append(0.0 if (lab == lab[i]).sum() == 1 else (near - mean[lab[i]]) / max(near, mean[lab[i]]))
+    assert abs(sq["label"] - np.mean(s)) < 1e-9
+    named, _ = V.silhouettes(df.withColumn("label", F.concat(F.lit("c"), F.col("label").cast("string"))), "v", ["label"], "vec_id")
+    assert abs(named["label"] - sq["label"]) < 1e-12   # labels of any type
+
+
+def test_a_model_does_not_depend_on_its_companions(spark):
+    df = _emb(spark).persist()
+    alone = KM.kmeans_specs(df, "v", "vec_id", [(("a", 4), 4, 3, 40, 7)])[("a", 4)]
+    many = KM.kmeans_specs(df, "v", "vec_id", [(("x", 2), 2, 2, 40, 1), (("a", 4), 4, 3, 40, 7), ("micro", 64, 1, 10, 3)])
+    assert np.allclose(alone.centers, many[("a", 4)].centers) and alone.sizes == many[("a", 4)].sizes
+    assert len(many["micro"].centers) == 64
+
+
+def test_one_behaviour_above_and_below_the_old_limits(spark):
+    """Row counts on both sides of 4,096 and 20,000: the same steps, every row counted, near-optimal clusters."""
+    for n in (900, 25_000):
+        df = (spark.range(n).select("id", F.array((F.col("id") % 5).cast("double") * 10 + F.rand(1), F.rand(2), F.lit(1.0)).alias("f"))
+              .repartition(6, "id").persist())
+        run = KM.kmeans_multi(df, "f", "id", [5], n_init=2, max_iter=30)[5]
+        assert run.sizes == [n // 5] * 5 and run.cost < n * 0.5
+        model = fit_ward(df, "f", "id", 5, micro=40)
+        out = model.transform(df, "f", "c").groupBy("c").count().collect()
+        assert sorted(r["count"] for r in out) == [n // 5] * 5 and int(model.micro_sizes.sum()) == n
+        df.unpersist()
+
+
+def test_empty_clusters_move_to_far_rows(spark):
+    rows = [(i, [0.0, float(i % 2)]) for i in range(50)] + [(100, [90.0, 0.0]), (101, [0.0, 80.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>").persist()
+    far = KM.farthest_rows(df, "v", "id", [(0, np.array([[0.0, 0.5]]), 2)], 2)[0]
+    assert sorted(map(tuple, far)) == [(0.0, 80.0), (90.0, 0.0)]
+    run = KM.kmeans_multi(df, "v", "id", [4], n_init=1, max_iter=30)[4]
+    assert sorted(run.sizes) == [1, 1, 25, 25]
+    few = spark.createDataFrame([(i, [float(i % 3)]) for i in range(30)], "id int, v array<double>")
+    assert KM.kmeans_multi(few, "v", "id", [7], n_init=1)[7].sizes == [10, 10, 10]   # one cluster per distinct row
 
 
 def test_score_new_record_with_unseen_category_and_missing_fields(spark):

@@ -111,11 +111,12 @@ def test_fixed_sample_is_partition_independent(spark):
     assert a == b and len(a) == 100
 
 
-def test_fixed_sample_prefilter_is_exact(spark):
+def test_fixed_sample_is_the_smallest_hashes(spark):
+    import hashlib
     o = read_table(spark, "/root/testdata/sf0.01", "orders").select("o_orderkey")
-    plain = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300).collect()]
-    cut = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300, prefilter_rows=1000).collect()]
-    assert plain == cut and len(cut) == 300
+    got = [r[0] for r in P.fixed_sample(o, "o_orderkey", 300).collect()]
+    want = sorted((hashlib.md5(f"sample:{r[0]}".encode()).hexdigest(), r[0]) for r in o.collect())[:300]
+    assert got == [k for _, k in want]
 
 
 def test_two_pass_dedup_keeps_the_first_row_on_near_copies(spark):
