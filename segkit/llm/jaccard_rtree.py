@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segkit.llm import bitfilter
 from segkit.llm.components import components, written
 from segkit.llm.tokens import GOLDEN, WordHasher, mix, segment_sums, signed, slices, space_words
 
@@ -266,36 +267,29 @@ def similar_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
               .select("cid", "grp", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
                       F.expr("case when mine = other then 2 when mine < other then 0 else 1 end").alias("side")))
 
-    # the exact sets of the classes in candidate groups, from their representatives' texts
+    # the exact sets of the classes in candidate groups, from the texts; a fixed-size filter of their keys passes over the rest
+    wanted = bitfilter.build(member, "k1")
+
     def exact(batches):
-        hasher = WordHasher(space_words())
+        hasher, bits = WordHasher(space_words()), np.frombuffer(wanted, np.uint8)
         for batch in batches:
             for part in slices(batch, "text"):
                 h, offsets = shingle_sets(part.column("text"), hasher, n)
+                k1 = segment_sums(mix(h), offsets)
+                kept = np.flatnonzero(bitfilter.passes(bits, k1) & (np.diff(offsets) > 0))
+                if not len(kept):
+                    continue
                 points = count_points(h, offsets)
-                raw = pa.py_buffer(np.ascontiguousarray(h).tobytes())
                 yield pa.RecordBatch.from_arrays([
-                    part.column("cid"),
-                    pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets.astype(np.int64) * 8).tobytes()), raw]).cast(pa.binary()),
-                    pa.array([p.tobytes() for p in points], pa.binary())], names=["cid", "members", "point"])
-
-    wanted = member.select("cid", "rep", "size", "k1", "k2")
-    source = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-              .select("cid", "text", "size", "k1", "k2"))
-
-    def pick(batches):  # a doc_id with several texts: only the text with the class's set stays
-        hasher = WordHasher(space_words())
-        for batch in batches:
-            for part in slices(batch, "text"):
-                h, offsets = shingle_sets(part.column("text"), hasher, n)
-                same = ((signed(segment_sums(mix(h), offsets)) == part.column("k1").to_numpy())
-                        & (signed(segment_sums(mix(h + GOLDEN), offsets)) == part.column("k2").to_numpy())
-                        & (np.diff(offsets) == part.column("size").to_numpy()))
-                kept = part.filter(pa.array(same)) if not same.all() else part
-                if kept.num_rows:
-                    yield from exact([kept.select(["cid", "text"])])
-
-    exact_sets = source.mapInArrow(pick, "cid long, members binary, point binary")
+                    part.column("doc_id").take(pa.array(kept)), pa.array(np.diff(offsets)[kept].astype(np.int64)), pa.array(signed(k1[kept])),
+                    pa.array(signed(segment_sums(mix(h + GOLDEN), offsets)[kept])),
+                    pa.array([h[offsets[i]:offsets[i + 1]].tobytes() for i in kept], pa.binary()), pa.array([points[i].tobytes() for i in kept], pa.binary())],
+                    names=["doc_id", "size", "k1", "k2", "members", "point"])
+
+    found = docs.select("doc_id", "text").mapInArrow(exact, "doc_id long, size long, k1 long, k2 long, members binary, point binary")
+    exact_sets = (found.join(member.select("cid", "rep", F.col("size").alias("_size"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")),
+                             F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("size") == F.col("_size")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")))
+                  .select("cid", "members", "point"))
     tasks = (placed.join(exact_sets, "cid")
              .repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi", "cid"))
 
