@@ -65,6 +65,17 @@ class FeatureModel:
         exprs = self.numeric_exprs() + self.onehot_exprs()
         return df.select(*keep, *[e.alias(n) for e, n in zip(exprs, self.names)])
 
+    def long(self, df: DataFrame, keep=()) -> DataFrame:
+        """E1 in sparse form: one row (feature, value 1) per set indicator, from one array of (column, value) pairs per row.
+
+        A value that the model has not seen gives no row.
+        """
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in self.categorical]))
+        known = df.sparkSession.createDataFrame([(c, v, n) for c, v, n in self.onehot_slots()], "_c string, _v string, feature string")
+        rows = df.select(*keep, pairs.alias("_p"))
+        return (rows.join(known, (F.col("_p.c") == F.col("_c")) & (F.col("_p.v") == F.col("_v")))
+                .select(*keep, "feature", F.lit(1.0).alias("value")))
+
     def inventory(self, spark) -> DataFrame:
         """(column, n_categories, n_outputs) per encoded column."""
         rows = [(c, 0, 1) for c in self.numeric]

@@ -349,8 +349,8 @@ def assign(df: DataFrame, centers: np.ndarray, features: str = "features", outpu
 def nearest_label(df: DataFrame, centers: DataFrame, features: str, output: str) -> DataFrame:
     """K9 for centres that are a table (label, center), one row a label: the label of the nearest one, in the plan itself."""
     table = centers.agg(F.sort_array(F.collect_list(F.struct(F.col(centers.columns[0]).alias("l"), F.col("center").alias("c"))))).scalar()
-    best = F.array_min(F.transform(table, lambda t: F.struct(squared_distance(F.col(features), t["c"]).alias("d"), t["l"].alias("l"))))
-    return df.withColumn(output, best["l"])
+    best = F.array_min(F.transform(F.col("_centers"), lambda t: F.struct(squared_distance(F.col(features), t["c"]).alias("d"), t["l"].alias("l"))))
+    return df.withColumn("_centers", table).withColumn(output, best["l"]).drop("_centers")
 
 
 def centers_frame(spark, centers: np.ndarray, names=None):

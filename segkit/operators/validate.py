@@ -152,32 +152,30 @@ def _comb2(c):
     return c * (c - 1) / 2.0
 
 
-def pair_counts(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    """A20 contingency: (truth, pred, n) over rows with both labels."""
-    return (df.where(F.col(truth).isNotNull() & F.col(pred).isNotNull())
-              .groupBy(truth, pred).agg(F.count(F.lit(1)).alias("n")))
+def pair_counts(df: DataFrame, truth: str, models: dict) -> DataFrame:
+    """A20 contingency of several labellings in one pass: (model, truth, pred, n) over rows with both labels."""
+    named = F.array(*[F.struct(F.lit(name).alias("model"), F.col(c).cast("string").alias("pred")) for name, c in models.items()])
+    return (df.where(F.col(truth).isNotNull()).select(F.col(truth).cast("string").alias("truth"), F.explode(named).alias("_m"))
+              .select("_m.model", "truth", "_m.pred").where(F.col("pred").isNotNull())
+              .groupBy("model", "truth", "pred").agg(F.count(F.lit(1)).alias("n")))
 
 
-def ari_nmi(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    """V3 + V4 in one row: (ari, nmi), from one pass over the contingency table.
+def scores(df: DataFrame, truth: str, models: dict) -> DataFrame:
+    """V3 + V4 for several labellings: (model, ari, nmi).
 
-    Marginals come from windows over the (small) contingency rows; every class-
-    or cluster-level sum is rewritten as a sum over cells weighted by n/a or n/b,
-    so a single aggregate yields all terms:
-      A = sum_i C(a_i,2) = sum_cells C(a,2) n/a,   H(t) = ln N - (1/N) sum_cells n ln a,
+    Marginals are aggregates joined back to the contingency rows, and every sum is written over its cells:
+      ARI = (S - E) / ((A + B) / 2 - E),  E = A B / C(N, 2), with sums of C(n, 2) over cells and marginals;
       MI = (1/N) sum n ln n + ln N - (1/N) sum n ln a - (1/N) sum n ln b.
     """
-    from pyspark.sql import Window
-    cont = pair_counts(df, truth, pred)
-    cells = cont.select(truth, pred, F.col("n").cast("double").alias("n"),
-                        F.sum("n").over(Window.partitionBy(truth)).cast("double").alias("a"),
-                        F.sum("n").over(Window.partitionBy(pred)).cast("double").alias("b"))
+    cont = pair_counts(df, truth, models)
+    rows = cont.groupBy("model", "truth").agg(F.sum("n").cast("double").alias("a"))
+    cols = cont.groupBy("model", "pred").agg(F.sum("n").cast("double").alias("b"))
+    cells = cont.withColumn("n", F.col("n").cast("double")).join(rows, ["model", "truth"]).join(cols, ["model", "pred"])
     n, a, b = F.col("n"), F.col("a"), F.col("b")
-    t = cells.agg(F.sum(n).alias("N"), F.sum(_comb2(n)).alias("S"),
-                  F.sum(_comb2(a) * n / a).alias("A"), F.sum(_comb2(b) * n / b).alias("B"),
-                  F.sum(n * F.log(n)).alias("Ln"), F.sum(n * F.log(a)).alias("La"),
-                  F.sum(n * F.log(b)).alias("Lb"),
-                  F.count_distinct(truth).alias("kt"), F.count_distinct(pred).alias("kp"))
+    t = cells.groupBy("model").agg(F.sum(n).alias("N"), F.sum(_comb2(n)).alias("S"),
+                                   F.sum(_comb2(a) * n / a).alias("A"), F.sum(_comb2(b) * n / b).alias("B"),
+                                   F.sum(n * F.log(n)).alias("Ln"), F.sum(n * F.log(a)).alias("La"), F.sum(n * F.log(b)).alias("Lb"),
+                                   F.sum(n / a).alias("kt"), F.sum(n / b).alias("kp"))   # one per marginal: how many there are
     N = F.col("N")
     expected = F.col("A") * F.col("B") / _comb2(N)
     denom = (F.col("A") + F.col("B")) / 2.0 - expected
@@ -185,19 +183,18 @@ def ari_nmi(df: DataFrame, truth: str, pred: str) -> DataFrame:
     h_t = F.log(N) - F.col("La") / N
     h_p = F.log(N) - F.col("Lb") / N
     mi = F.col("Ln") / N + F.log(N) - F.col("La") / N - F.col("Lb") / N
-    nmi = (F.when((F.col("kt") == 1) & (F.col("kp") == 1), F.lit(1.0))
+    nmi = (F.when((F.col("kt") < 1.5) & (F.col("kp") < 1.5), F.lit(1.0))
             .when(F.abs(mi) <= F.lit(1e-15), F.lit(0.0))
             .otherwise(F.greatest(mi, F.lit(0.0)) / ((h_t + h_p) / 2.0)))
-    return t.select(ari.alias("ari"), nmi.alias("nmi"))
+    return t.select("model", ari.alias("ari"), nmi.alias("nmi"))
+
+
+def ari_nmi(df: DataFrame, truth: str, pred: str) -> DataFrame:
+    """V3 + V4 of one labelling: one row (ari, nmi)."""
+    return scores(df, truth, {"only": pred}).select("ari", "nmi")
 
 
 def model_comparison(df: DataFrame, truth: str, models: dict, digits: int = 6) -> DataFrame:
-    """V5: one row per model label column: (model, ari, nmi)."""
+    """V5: one row per model label column: (model, ari, nmi), in one pass over the rows."""
     from segkit.functions.scalar import fixed_round
-    out = None
-    for name, col in models.items():
-        r = ari_nmi(df, truth, col).select(F.lit(name).alias("model"),
-                                           fixed_round("ari", digits).alias("ari"),
-                                           fixed_round("nmi", digits).alias("nmi"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    return scores(df, truth, models).select("model", fixed_round("ari", digits).alias("ari"), fixed_round("nmi", digits).alias("nmi"))

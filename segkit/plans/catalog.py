@@ -707,9 +707,7 @@ def _onehot_sql():
 @query("onehot_long", _onehot_sql())
 def q_onehot_long(spark, sf):
     fm, b = _encoded(spark, sf)
-    names = [n for _, _, n in fm.onehot_slots()]
-    wide = fm.wide(b, keep=["client_id"]).select("client_id", *[F.col(f"`{n}`") for n in names])
-    return wide.unpivot(["client_id"], names, "feature", "value").where(F.col("value") != 0)
+    return fm.long(b, keep=["client_id"])
 
 
 @query("binary_encode", O.with_clean("""
@@ -1048,11 +1046,67 @@ FROM b WHERE country IN ('NATION_1','NATION_2','NATION_3','NATION_4','NATION_5',
 def q_dashboard_kpi(spark, sf):
     """S7 + F3 + A9: cached dashboard table, country selection, overview KPI (score bands as segments)."""
     from segkit.plans.dashboard import Dashboard
-    dash = Dashboard.load(B(spark, sf), cluster="satisfaction_score")
+    dash = Dashboard(B(spark, sf), "satisfaction_score").prepared()   # one panel: nothing to cache
     sel = {"country": [f"NATION_{i}" for i in range(1, 7)], "client_type": "All"}
     return dash.overview(sel)["kpi"]
 
 
+def _dashboard(spark, sf):
+    from segkit.plans.dashboard import Dashboard
+    return Dashboard(B(spark, sf), "satisfaction_score", SEGMENT_DISPLAY).prepared()
+
+
+IN_NATIONS = "country IN ('NATION_1', 'NATION_2', 'NATION_3')"
+NATIONS = {"country": ["NATION_1", "NATION_2", "NATION_3"], "acquisition_purpose": "All", "client_type": "All"}
+
+
+@query("dashboard_options", O.with_clean(f"""
+SELECT DISTINCT 'acquisition_purpose' AS dimension, acquisition_purpose AS value FROM b UNION ALL
+SELECT DISTINCT 'client_type', client_type FROM b UNION ALL SELECT DISTINCT 'country', country FROM b UNION ALL
+SELECT DISTINCT 'region', region FROM b WHERE {IN_NATIONS}"""))
+def q_dashboard_options(spark, sf):
+    """F6 + F7: the filter lists; regions only of the chosen countries."""
+    return _dashboard(spark, sf).options(NATIONS)
+
+
+@query("dashboard_satisfaction", O.with_clean(f"""
+SELECT 'Segment ' || CAST(age % 3 AS varchar) AS cluster_name, CAST(min(satisfaction_score) AS double) AS min_value,
+       {O.rnd('quantile_cont(satisfaction_score, 0.25)', 4)} AS q1, {O.rnd('quantile_cont(satisfaction_score, 0.5)', 4)} AS median,
+       {O.rnd('quantile_cont(satisfaction_score, 0.75)', 4)} AS q3, CAST(max(satisfaction_score) AS double) AS max_value, count(*) AS n
+FROM b WHERE {IN_NATIONS} GROUP BY 1"""))
+def q_dashboard_satisfaction(spark, sf):
+    """Spread of the satisfaction score per segment (ages modulo 3 as segments)."""
+    from segkit.plans.dashboard import Dashboard
+    b = B(spark, sf).withColumn("segment", F.col("age") % 3)
+    return Dashboard(b, "segment").prepared().investors(NATIONS)["satisfaction_spread"]
+
+
+@query("dashboard_cohort_profile", O.with_clean(f"""
+SELECT *, row_number() OVER (ORDER BY size DESC, cohort_display) AS place FROM (
+  SELECT {_map_sql('cohort_label', SEGMENT_DISPLAY, True)} AS cohort_display, count(*) AS size, {O.rnd('avg(age)', 1)} AS avg_age,
+         {O.rnd('avg(satisfaction_score)', 2)} AS avg_score, {O.rnd(f"avg({_ind('client_type', 'Corporate')}) * 100", 1)} AS corporate_pct,
+         {O.rnd(f"avg({_ind('acquisition_purpose', 'Investment')}) * 100", 1)} AS investment_pct,
+         {O.rnd(f"avg({_ind('loan_applied', 'Yes')}) * 100", 1)} AS loan_pct FROM b GROUP BY 1)"""))
+def q_dashboard_cohort_profile(spark, sf):
+    """A3 + O1: profile per display name, largest first (place tells the order)."""
+    return _dashboard(spark, sf).insights(["HOUSEHOLD"])["cohort_profile"]
+
+
+@query("dashboard_sample", O.with_clean("""
+SELECT client_id, age, satisfaction_score, 'Segment ' || CAST(satisfaction_score AS varchar) AS cluster_name, country, acquisition_purpose
+FROM b ORDER BY md5('sample:' || client_id), client_id LIMIT 1500"""))
+def q_dashboard_sample(spark, sf):
+    """The scatter panel's rows, with country and purpose."""
+    return _dashboard(spark, sf).investors()["sample"]
+
+
+@query("dashboard_model_info", O.with_clean(f"""
+SELECT (SELECT count(DISTINCT satisfaction_score) FROM b) AS clusters, count(*) AS rows, count(*) = 0 AS empty FROM b WHERE {IN_NATIONS}"""))
+def q_dashboard_model_info(spark, sf):
+    """A17 + F9: number of clusters in the table, rows of the selection, and whether it is empty."""
+    return _dashboard(spark, sf).info(NATIONS)
+
+
 @query("run_report")
 def q_run_report(spark, sf):
     """V6: validation block of the full run report (ARI, NMI, silhouette per model)."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segkit.functions.scalar import indicator, map_values, prefixed_label, threshold_flag
@@ -40,15 +40,20 @@ class Dashboard:
 
     @staticmethod
     def load(labelled: DataFrame, cluster: str = "kmeans_cluster", labels: dict | None = None) -> "Dashboard":
-        """Add display columns (P4-P6) and cache the table for repeated panels."""
-        t = labelled.withColumns({
-            "cluster_name": prefixed_label(cluster),
+        """Add display columns (P4-P6) and cache the table for repeated panels (S7); ``release`` it afterwards."""
+        dash = Dashboard(labelled, cluster, labels or {}).prepared()
+        dash.table.persist()
+        return dash
+
+    def prepared(self) -> "Dashboard":
+        """The table with its display columns."""
+        return Dashboard(self.table.withColumns({
+            "cluster_name": prefixed_label(self.cluster),
             "is_investor": indicator("acquisition_purpose", "Investment"),
             "has_loan": indicator("loan_applied", "Yes"),
             "is_corporate": indicator("client_type", "Corporate"),
-            "cohort_display": map_values("cohort_label", labels or {}, True),
-        }).persist()
-        return Dashboard(t, cluster, labels or {})
+            "cohort_display": map_values("cohort_label", self.labels, True),
+        }), self.cluster, self.labels)
 
     def release(self) -> None:
         self.table.unpersist()
@@ -56,8 +61,26 @@ class Dashboard:
     def view(self, selection: dict | None = None) -> DataFrame:
         return SL.slice_rows(self.table, selection or {})
 
-    def options(self, dims=("cluster_name", "country", "client_type", "referral_channel")) -> DataFrame:
-        return SL.filter_options(self.table, list(dims))
+    def options(self, selection: dict | None = None) -> DataFrame:
+        """The filter lists (dimension, value): country, purpose and client type, and the regions of the chosen countries."""
+        regions = SL.cascade_options(self.table, "country", "region", (selection or {}).get("country"))
+        return SL.filter_options(self.table, ["country", "acquisition_purpose", "client_type"]).unionByName(
+            regions.select(F.lit("region").alias("dimension"), F.col("region").alias("value")).distinct())
+
+    def empty(self, selection: dict | None = None) -> bool:
+        """whether the selection has no rows (panels are not asked for then)."""
+        return SL.is_empty(self.view(selection))
+
+    def info(self, selection: dict | None = None) -> DataFrame:
+        """(clusters, rows, empty): clusters of the whole table, rows of the selection."""
+        clusters = self.table.agg(F.count_distinct("cluster_name")).scalar()
+        return self.view(selection).agg(F.count(F.lit(1)).alias("rows")).select(
+            clusters.alias("clusters"), "rows", (F.col("rows") == 0).alias("empty"))
+
+    @staticmethod
+    def model_info(spark, k: int, inertia: float) -> DataFrame:
+        """k and inertia of the loaded model."""
+        return spark.createDataFrame([(int(k), float(inertia))], "k int, inertia double")
 
     def share(self, selection: dict) -> DataFrame:
         return SL.slice_share(self.table, selection)
@@ -76,10 +99,11 @@ class Dashboard:
         v = self.view(selection)
         return {"loan_rate": P.indicator_rate(v, "cluster_name", "loan_applied", "Yes", alias="loan_rate_pct"),
                 "satisfaction": P.segment_profile(v, "cluster_name").select("cluster_name", "avg_score"),
+                "satisfaction_spread": P.five_number(v, "cluster_name", "satisfaction_score"),
                 "age_spread": P.five_number(v, "cluster_name", "age"),
                 "purpose_share": P.share_within(v, "cluster_name", "acquisition_purpose"),
                 "channel_mix": P.crosstab(v, "cluster_name", "referral_channel"),
-                "sample": P.fixed_sample(v.select("client_id", "age", "satisfaction_score", "cluster_name"),
+                "sample": P.fixed_sample(v.select("client_id", "age", "satisfaction_score", "cluster_name", "country", "acquisition_purpose"),
                                          "client_id", SAMPLE_ROWS)}
 
     # tab 3: geography
@@ -96,7 +120,9 @@ class Dashboard:
     def insights(self, cohorts, selection: dict | None = None) -> dict[str, DataFrame]:
         v = self.view(selection)
         main = SL.slice_rows(v, {"cohort_label": list(cohorts)})
-        return {"profile_top": P.profile_with_top(v, "cluster_name", "country").orderBy(F.desc("size"),
+        ranked = P.segment_profile(v, "cohort_display").withColumn("place", F.row_number().over(Window.orderBy(F.desc("size"), "cohort_display")).cast("bigint"))
+        return {"cohort_profile": ranked,   # one row a display name: the window is over a handful of rows
+                "profile_top": P.profile_with_top(v, "cluster_name", "country").orderBy(F.desc("size"),
                                                                                           "cluster_name"),
                 "cards": P.fixed_groups_stats(v, "cohort_label", list(cohorts)),
                 "radar": P.radar_long(main, "cohort_label", radar_metrics()),
