@@ -62,17 +62,28 @@ class ImputeModel:
     global_fills: dict           # column -> value
     report: list = field(default_factory=list)  # (column, nulls, method, value)
 
+    def to_dict(self) -> dict:
+        """Plain values; every condition must be given as SQL text."""
+        rules = [(r.target, r.when, r.value) for r in self.rules] + [(t, w, v) for t, w, v in self.conditional if v is not None]
+        if not all(isinstance(w, str) for _, w, _ in rules):
+            raise ValueError("conditions must be SQL texts to be saved")
+        return {"rules": [list(r) for r in rules], "fills": dict(self.global_fills)}
+
+    @staticmethod
+    def from_dict(d: dict) -> "ImputeModel":
+        return ImputeModel([Rule(*r) for r in d.get("rules", [])], [], dict(d.get("fills", {})))
+
     def transform(self, df: DataFrame) -> DataFrame:
         exprs = {}
         for col in {r.target for r in self.rules} | {t for t, _, _ in self.conditional}:
             e = None
             for r in [r for r in self.rules if r.target == col]:
-                cond = F.col(col).isNull() & r.when
+                cond = F.col(col).isNull() & condition(r.when)
                 e = F.when(cond, F.lit(r.value)) if e is None else e.when(cond, F.lit(r.value))
             for t, w, v in [c for c in self.conditional if c[0] == col]:
                 if v is None:
                     continue
-                cond = F.col(col).isNull() & w
+                cond = F.col(col).isNull() & condition(w)
                 e = F.when(cond, F.lit(v)) if e is None else e.when(cond, F.lit(v))
             exprs[col] = F.col(col) if e is None else e.otherwise(F.col(col))
         for col, v in self.global_fills.items():
@@ -87,11 +98,15 @@ class ImputeModel:
             "column string, nulls bigint, method string, value string")
 
 
+def condition(when: Column | str) -> Column:
+    return F.expr(when) if isinstance(when, str) else when
+
+
 def fit_imputer(df: DataFrame, rules=(), conditional=(), mode_columns=()) -> ImputeModel:
     """I4: learn every fill value in one aggregate job."""
     targets = {}
     for i, c in enumerate(conditional):
-        targets[f"cond{i}:{c.target}"] = F.when(c.when, F.col(c.target))
+        targets[f"cond{i}:{c.target}"] = F.when(condition(c.when), F.col(c.target))
     for c in mode_columns:
         targets[f"mode:{c}"] = F.col(c)
     for c in {r.target for r in rules} | {c.target for c in conditional}:

@@ -51,26 +51,3 @@ def choose_k(kt: DataFrame, k: str = "k", score: str = "silhouette", y: str = "i
         F.col("winner").cast("int").alias("winner"), F.col("runner_up").cast("int").alias("runner_up"),
         g.alias("gap"), elbow.cast("int").alias("elbow_k"), decision.alias("decision"))
 
-
-def choose_k_local(rows, default_k: int = DEFAULT_K, gap: float = AMBIGUITY_GAP) -> dict:
-    """K5 + K6 on an already-collected k-table ``[(k, silhouette, inertia)]``.
-
-    Same rule as ``knee_point``/``choose_k``; used when the k-table is already on
-    the driver (it has one row per candidate k), to save Spark jobs.
-    """
-    rows = sorted((int(k), float(s), float(i)) for k, s, i in rows)
-    ks = [r[0] for r in rows]
-    if len(rows) < 4:
-        elbow = default_k
-    else:
-        norm = [r[2] / rows[0][2] for r in rows]
-        d1 = [None] + [norm[i] - norm[i - 1] for i in range(1, len(norm))]
-        d2 = [(d1[i] - d1[i - 1], ks[i]) for i in range(2, len(norm))]
-        elbow = min(d2, key=lambda t: (-t[0], t[1]))[1]
-    ranked = sorted(rows, key=lambda r: (-r[1], r[0]))
-    winner, runner = ranked[0], ranked[1] if len(ranked) > 1 else None
-    g = winner[1] - runner[1] if runner else None
-    ambiguous = g is not None and g < gap
-    decision = "ambiguous" if ambiguous else ("agree" if winner[0] == elbow else "silhouette")
-    return dict(k=default_k if ambiguous else winner[0], winner=winner[0],
-                runner_up=runner[0] if runner else None, gap=g, elbow_k=elbow, decision=decision)

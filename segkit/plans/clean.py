@@ -23,10 +23,8 @@ LABEL = "cohort_label"
 
 
 def buyer_imputer_spec():
-    corporate = F.col("client_type") == GENDER_RULE_TYPE
-    individual = F.col("client_type") == GENDER_MODE_TYPE
-    return dict(rules=[Rule("gender", corporate, GENDER_RULE_VALUE)],
-                conditional=[ConditionalMode("gender", individual)],
+    return dict(rules=[Rule("gender", f"client_type = '{GENDER_RULE_TYPE}'", GENDER_RULE_VALUE)],
+                conditional=[ConditionalMode("gender", f"client_type = '{GENDER_MODE_TYPE}'")],
                 mode_columns=MODE_COLUMNS)
 
 
@@ -62,12 +60,5 @@ def clean_buyers(raw: DataFrame, imputer: ImputeModel | None = None, order_by: s
 
 
 def imputer_fill_dict(model: ImputeModel) -> dict:
-    """Fitted fill values in a plain dict (for persistence and the streaming scorer)."""
-    out = dict(model.global_fills)
-    for r in model.rules:
-        if r.target == "gender":
-            out["gender_corporate"] = r.value
-    for target, _w, v in model.conditional:
-        if target == "gender":
-            out["gender_individual"] = v
-    return out
+    """The fitted imputer as plain values (for persistence and the streaming scorer); conditions are SQL texts."""
+    return model.to_dict()

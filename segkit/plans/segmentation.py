@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from segkit.operators import kmeans as KM
 from segkit.operators.features import FeatureModel, fit_features
-from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k_local
+from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k
 from segkit.operators.profile import profile_with_top
 from segkit.operators.validate import silhouettes
 from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_spec, micro_summary, ward_from_micro
@@ -115,7 +115,8 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
     runs, table, fitted = k_sweep(X, list(ks), n_init_sweep, max_iter_sweep, seed,
                                   extra_specs=[micro_spec(micro, seed)] if with_ward else [], silhouette=silhouette)
     lap("sweep")
-    decision = choose_k_local([(k, s, i) for k, s, i, _, _ in table], default_k, gap)
+    k_table = raw.sparkSession.createDataFrame([(int(k), float(s), float(i)) for k, s, i, _, _ in table], "k int, silhouette double, inertia double")
+    decision = choose_k(k_table, default_k=default_k, gap=gap).first().asDict()
     k = int(decision["k"])
     lap("choose")
     final = KM.kmeans_specs(X, "features", KEY, [(("final", k), k, n_init_final, max_iter_final, seed + 7)])[("final", k)]

@@ -10,9 +10,9 @@ exactly once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from segkit.operators.features import FeatureModel
+from segkit.operators.impute import ImputeModel
 from segkit.operators.kmeans import KMeansRun, assign
 from segkit.plans.clean import add_age
 
@@ -20,17 +20,7 @@ from segkit.plans.clean import add_age
 def score(df: DataFrame, features: FeatureModel, kmeans: KMeansRun, imputer_fills: dict | None = None,
           key: str = "client_id", output: str = "cluster") -> DataFrame:
     """Label new rows with the nearest k-means centre."""
-    src = df
-    fills = dict(imputer_fills or {})
-    rule = fills.pop("gender_corporate", None)
-    cond = fills.pop("gender_individual", None)
-    if rule is not None or cond is not None:
-        g = F.col("gender")
-        e = F.when(g.isNull() & (F.col("client_type") == "Corporate"), F.lit(rule))
-        e = e.when(g.isNull() & (F.col("client_type") == "Individual"), F.lit(cond))
-        src = src.withColumn("gender", e.otherwise(g))
-    if fills:
-        src = src.fillna(fills)
+    src = ImputeModel.from_dict(imputer_fills).transform(df) if imputer_fills else df
     if "date_of_birth" in src.columns and "age" not in src.columns:
         src = add_age(src)
     enc = features.transform(src, "_features")
