@@ -18,20 +18,16 @@ def running_total(df: DataFrame, groups: list[str], size: str, spread: Column, o
     """Adds ``out``: the sum of ``size`` over the rows of the group before this one.
 
     The order is (bucket of ``spread``, ``order``); equal keys in ``order`` may come either way.
-    Null groups are groups of their own.  An empty table stays empty.
+    Group columns have no nulls.  An empty table stays empty.
     """
     df = df.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
     keys = [*groups, "_bucket"]
     per = df.groupBy(*keys).agg(F.sum(size).alias("_sum"))
     before = Window.partitionBy(*[F.col(g) for g in groups]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = per.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                      F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    base = per.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumn("_local", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return (local.join(base, cond)
+    # joined on the window's own keys: the rows stay where the window has put them
+    return (local.join(base.hint("merge"), keys)
             .withColumn(out, (F.col("_base") + F.col("_local")).cast("long"))
-            .drop("_bucket", "_local", "_base", *[f"_k{i}" for i in range(len(keys))]))
+            .drop("_bucket", "_local", "_base"))
