@@ -161,7 +161,7 @@ def materialise(docs: DataFrame, folder: str | None = None, length: int = 1024,
     layout = {"folder": folder, "length": length, "per_shard": per_shard, "key": key, "sequences": sequences, "tokens": total}
 
     def cut(batches):
-        begin, order, packer = store.load(handle, "base"), Feistel(sequences, key), zstandard.ZstdCompressor(level=1)
+        begin, order, packer = store.load(handle, "base"), Feistel(sequences, key), zstandard.ZstdCompressor(level=5)
         for batch in batches:
             if not batch.num_rows:
                 continue
