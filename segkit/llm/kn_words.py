@@ -29,7 +29,7 @@ from segkit.llm.store import SortedArrays, merged, planes, range_of, save_table,
 from segkit.llm.tokens import GOLDEN, WordHasher, mix, segment_sums, slices, space_words
 
 END = np.uint64(0x656E64)  # hash of the end token; word hashes are 64-bit mixes
-HELD = 4_000_000           # n-grams that a task merges before it hands them on
+HELD = 1_500_000           # n-grams that a task merges before it hands them on
 ROW = "kind string, part int, n long, keys binary, counts binary, extra binary"
 _OPEN: dict = {}           # a worker's open models
 
