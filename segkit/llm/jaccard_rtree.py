@@ -287,10 +287,11 @@ def similar_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
                     names=["doc_id", "size", "k1", "k2", "members", "point"])
 
     found = docs.select("doc_id", "text").mapInArrow(exact, "doc_id long, size long, k1 long, k2 long, members binary, point binary")
-    exact_sets = (found.join(member.select("cid", "rep", F.col("size").alias("_size"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")),
+    # merge joins at every size, so that the plan doesn't change with it
+    exact_sets = (found.join(member.hint("merge").select("cid", "rep", F.col("size").alias("_size"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")),
                              F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("size") == F.col("_size")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")))
                   .select("cid", "members", "point"))
-    tasks = (placed.join(exact_sets, "cid")
+    tasks = (placed.join(exact_sets.hint("merge"), "cid")
              .repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi", "cid"))
 
     def search(batches):
