@@ -119,11 +119,11 @@ def fit(labelled: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAG
     if not found:
         return model
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    limits = spark.createDataFrame([(lang, i, int(1_000_000 * min(1.0, per_language / n))) for i, (lang, n) in enumerate(found)],
-                                   "_lang string, no int, most int")
-    sample = (rows.withColumn("_draw", draw).join(limits, F.col("lang") == F.col("_lang"))
-              .where(F.col("_draw") < F.col("most"))
-              .select("no", "text", (F.pmod(F.xxhash64("text"), F.lit(10)) == 0).alias("kept")))
+    # one number a language, looked up in the plan: no join, so no text is shuffled
+    number = F.array_position(F.array(*[F.lit(lang) for lang, _ in found]), F.col("lang")) - 1
+    most = F.get(F.array(*[F.lit(int(1_000_000 * min(1.0, per_language / n))) for _, n in found]), number.cast("int"))
+    sample = (rows.where(draw < most)
+              .select(number.cast("int").alias("no"), "text", (F.pmod(F.xxhash64("text"), F.lit(10)) == 0).alias("kept")))
 
     def letters(batches):
         for batch in batches:
