@@ -4,7 +4,8 @@ Words are hashed; an s-mer is ``s`` = 2 consecutive words, a k-mer ``k`` = 8.  A
 smallest of its k - s + 1 s-mer hashes is its first or its last: that depends on the k-mer's words alone,
 so a passage keeps its anchors wherever it stands (up to its first and last words), and two anchors are never
 far apart.  The fingerprint lists the anchors' 32-bit hashes in reading order, eight hexadecimal digits each;
-a text of fewer than k words has one anchor, its whole word sequence; a text without words has none.
+a text of fewer than k words has one anchor, its whole word sequence; a longer one in which no k-mer qualifies (that
+takes fewer than 2k - s - 1 words) has the k-mer with the smallest hash; a text without words has none.
 
 Likeness is the Jaccard index of the anchor sets (two empty ones are alike: 1).
 
@@ -34,7 +35,9 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         last = k - s
         inner = lambda i: F.least(*[F.get(m, i + j) for j in range(1, last)])
         chosen = F.filter(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.least(F.get(m, i), F.get(m, i + last)) <= inner(i))
-        return F.transform(chosen, lambda i: F.hash(*[F.get(h, i + j) for j in range(k)]))
+        kmer = lambda i: F.hash(*[F.get(h, i + j) for j in range(k)])
+        smallest = F.array_min(F.transform(F.sequence(F.lit(0), F.size(h) - k), kmer))
+        return get_first(F.transform(F.array(chosen), lambda c: F.when(F.size(c) > 0, F.transform(c, kmer)).otherwise(F.array(smallest))))
 
     with_h = lambda h: F.when(F.size(h) >= k, get_first(F.transform(F.array(smers(h)), lambda m: pick(h, m)))) \
         .when(F.size(h) > 0, F.array(F.hash(h))).otherwise(F.array().cast("array<int>"))

@@ -59,3 +59,31 @@ def test_anchor_rule(spark):
     picked = [i for i in range(60 - 8 + 1) if min(m[i], m[i + 6]) <= min(m[i + 1:i + 6])]
     got = spark.createDataFrame([(text,)], "text string").select(F.size(S.anchors(F.col("text")))).first()[0]
     assert got == len(picked)
+
+
+def test_only_texts_without_words_have_no_anchor(spark):
+    texts = [" ".join(f"t{n}x{v}w{i}" for i in range(n)) for n in range(1, 15) for v in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    marks = df.select(F.size(S.anchors(F.col("text")))).collect()
+    assert min(r[0] for r in marks) >= 1
+    rows = _rows(df)
+    assert all(len(r["fingerprint"]) >= 8 and len(r["edited_fingerprint"]) >= 8 for r in rows)
+    assert all(r["near_next"] == 0 for r in rows)  # no two of these texts share a word
+    blank = _rows(spark.createDataFrame([(1, " \t\n "), (2, ""), (3, None)], "doc_id long, text string"))
+    assert all(r["fingerprint"] == "" for r in blank)
+
+
+def test_smallest_kmer_where_none_qualifies(spark):
+    texts = [" ".join(f"f{n}x{v}w{i}" for i in range(n)) for n in range(8, 13) for v in range(20)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    kmers = spark.createDataFrame([(t, i, t.split()[i:i + 8]) for t in texts for i in range(len(t.split()) - 7)], "text string, i int, w array<string>")
+    h = [F.xxhash64(F.get("w", F.lit(j))) for j in range(8)]
+    hashes = {}
+    for text, _, *rest in kmers.select("text", "i", F.hash(*h), *[F.xxhash64(h[j], h[j + 1]) for j in range(7)]).orderBy("i").collect():
+        hashes.setdefault(text, []).append(rest)
+    fell_back = 0
+    for text, marks in df.select("text", S.anchors(F.col("text"))).collect():
+        picked = [r[0] for r in hashes[text] if min(r[1], r[7]) <= min(r[2:7])]
+        assert marks == (picked or [min(r[0] for r in hashes[text])])
+        fell_back += not picked
+    assert fell_back > 10
