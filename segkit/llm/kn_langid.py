@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segkit.llm import store
-from segkit.llm.kn_words import discounts, fold
+from segkit.llm.kn_words import DRAWS, discounts, draw_limit, fold
 from segkit.llm.store import SortedArrays, save_table
 from segkit.llm.tokens import mix, slices
 
@@ -118,10 +118,10 @@ def fit(labelled: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAG
     model = {"order": order, "languages": [lang for lang, _ in found], "codes": {}, "uniform": [], "calibration": [], "handle": None}
     if not found:
         return model
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS))
     # one number a language, looked up in the plan: no join, so no text is shuffled
     number = F.array_position(F.array(*[F.lit(lang) for lang, _ in found]), F.col("lang")) - 1
-    most = F.get(F.array(*[F.lit(int(1_000_000 * min(1.0, per_language / n))) for _, n in found]), number.cast("int"))
+    most = F.get(F.array(*[F.lit(draw_limit(per_language, n)).cast("long") for _, n in found]), number.cast("int"))
     sample = (rows.where(draw < most)
               .select(number.cast("int").alias("no"), "text", (F.pmod(F.xxhash64("text"), F.lit(10)) == 0).alias("kept")))
 

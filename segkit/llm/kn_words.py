@@ -39,6 +39,14 @@ def fold(modulus: int, id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")), F.lit(modulus))
 
 
+DRAWS = 2**62
+
+
+def draw_limit(wanted: int, n: int) -> int:
+    """Rows with a hash modulo ``DRAWS`` below this are ``wanted`` of ``n`` on average; above 0 for any n."""
+    return min(DRAWS, -(-DRAWS * wanted // max(n, 1)))
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     kind, part, n, keys, counts, extra = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(part, pa.int32()), pa.array(n, pa.int64()),

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segkit.llm.kn_words import fold
+from segkit.llm.kn_words import DRAWS, draw_limit, fold
 from segkit.llm.tokens import WordHasher, letter_digit_words, slices
 
 SAMPLE, TOP, CACHE = 10_000, 1_000, 500_000
@@ -149,9 +149,7 @@ def descend(rows, cols, vals, y: np.ndarray, pairs, width: int, ridge: float = 3
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = TOP, fairness: float = 1.0) -> dict:
     """Learns from texts of ``docs`` (doc_id, text) whose doc_id is in ``labels`` (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    n = known.count()
-    share = min(1.0, sample / max(n, 1))
-    drawn = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = known.where(F.pmod(F.xxhash64("_id"), F.lit(DRAWS)) < draw_limit(sample, known.count()))
     # about ``sample`` rows of two numbers, whatever the input: small enough to broadcast
     labelled = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("text", "toxic").persist()
     names = choose(labelled, top)

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from segkit.llm import kn_langid as L
+from segkit.llm.kn_words import DRAWS, draw_limit
 from tests.conftest import SF_MID
 from tests.llm import brute
 
@@ -66,3 +68,20 @@ def test_noise_is_rejected_and_awkward_rows(spark):
     unknown = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert L.digest(unknown).first()["lang_pred"] == "und"
     assert math.isclose(L.digest(unknown).first()["score"], 0.0)
+
+
+def test_a_language_with_very_many_rows_is_learned(spark):
+    """25 million rows a language, 20 wanted: a share below one in a million."""
+    rows = spark.range(50_000_000).select(
+        F.col("id").alias("doc_id"), F.expr("if(id % 2 = 0, 'the cat sat on the mat ', 'der hund und die katze ') || id").alias("text"),
+        F.expr("if(id % 2 = 0, 'en', 'de')").alias("lang"))
+    model = L.fit(rows, per_language=20)
+    assert sorted(model["uniform"]) == [0, 1]
+    probe = spark.createDataFrame([(1, "the cat on the mat"), (2, "die katze und der hund")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in L.predict(probe, model, ["doc_id"]).collect()} == {1: "en", 2: "de"}
+
+
+def test_draw_limit():
+    for n in (0, 1, 1999, 2000, 3000, 10**9, 2 * 10**9 + 1, 10**12, 10**17):
+        limit = draw_limit(2000, n)
+        assert limit == DRAWS if n <= 2000 else 0 < limit - DRAWS * 2000 / n + 1e4 < 2e4

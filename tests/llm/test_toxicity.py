@@ -66,3 +66,10 @@ def test_awkward_rows(spark):
     assert T.digest(docs.limit(0), labels).collect() == []
     assert T.digest(docs, labels.limit(0)).first()["score"] == pytest.approx(0.5)
     assert np.isfinite([r["score"] for r in rows]).all()
+
+
+def test_labels_are_drawn_from_very_many(spark):
+    """12 million labels, 10 wanted: a share below one in a million."""
+    docs = spark.range(12_000_000).selectExpr("id as doc_id", "'some words' as text")
+    model = T.fit(docs, docs.selectExpr("doc_id", "1 as toxic"), sample=10)
+    assert model["bias"] > 1
