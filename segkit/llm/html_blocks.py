@@ -1,7 +1,9 @@
 """Main text of web pages: a recurrent labeller over the sequence of text blocks.
 
 * A page becomes its leaf blocks: runs of text between block-level tags, with character references decoded, white space
-  joined, and the path of open elements.  Scripts, styles, templates, comments and the head are not text.
+  joined, and the path of open elements.  Scripts, styles, titles and text areas (which run to their end tag), comments, the head, and
+  hidden elements that have an end tag (templates, frames, drawings and so on) are not text.  A head ends where its end tag is left
+  out as in browsers, at the first element or text that cannot stand in it; the start tag of a hidden element without an end tag counts for nothing.
 * A block's vector holds its path (elements, classes, ids and roles, hashed with signs), its words (hashed), and its length,
   share of linked text and place.  A bidirectional LSTM (numpy) reads the page's blocks in order, so that each block is
   judged in the context of the whole page, and keeps or drops it.
@@ -34,9 +36,13 @@ WIDTH = PATHS + WORDS + 8
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
 NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp small span strike strong "
-                   "sub sup time tt u var wbr br label".split())
+                   "sub sup time tt u var wbr br label object canvas "
+                   "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover "
+                   "munderover mmultiscripts mprescripts none mtable mtr mtd".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math title textarea select object canvas".split())
+RAW = frozenset("script style title textarea".split())
+UNSEEN = frozenset("template noscript iframe svg select annotation annotation-xml".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CONTENT = frozenset("article main".split())
 FURNITURE_TAGS = frozenset("nav header footer aside form button dialog menu fieldset".split())
@@ -56,6 +62,37 @@ def _names(attributes: str) -> list[str]:
     return [w for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()) if w]
 
 
+def _raw_end(page: str, name: str, at: int) -> int | None:
+    """Where the end tag of a raw text element ends."""
+    end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
+    return end.end() if end else None
+
+
+def _hidden_ends(page: str) -> dict[int, int]:
+    """Where hidden elements end, by the end of their start tags; an end tag belongs to the last open start tag of its name."""
+    started: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    endless: set[str] = set()
+    at = 0
+    while (m := TAG.search(page, at)) is not None:
+        at = m.end()
+        name = (m[2] or m[5] or "").lower()
+        if m[1] or m[4]:
+            if started.get(name):
+                ends[started[name].pop()] = at
+        elif m[0].endswith("/>"):
+            continue
+        elif name in UNSEEN:
+            started.setdefault(name, []).append(at)
+        elif name in RAW and name not in endless:
+            end = _raw_end(page, name, at)
+            if end is None:
+                endless.add(name)
+            else:
+                at = end
+    return ends
+
+
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order; a path entry is an element and the words of its names, joined by dots."""
     page = page or ""
@@ -63,6 +100,7 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, str]] = []
     text: list[str] = []
     linked = at = 0
+    hidden_ends: dict[int, int] | None = None
 
     def flush():
         nonlocal linked
@@ -81,6 +119,8 @@ def blocks(page: str | None) -> list[Block]:
     def add(piece: str):
         nonlocal linked
         if piece:
+            if stack and stack[-1][0] == "head" and piece.strip():
+                close_to(len(stack) - 1)
             text.append(piece)
             if any(t == "a" for t, _ in stack):
                 linked += len(piece)
@@ -102,10 +142,19 @@ def blocks(page: str | None) -> list[Block]:
             elif name not in INLINE:
                 flush()
             continue
+        if name not in IN_HEAD:
+            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "head"), None)
+            if i is not None:
+                close_to(i)
         if name in RAW:
             if not m[0].endswith("/>"):
-                end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                at = _raw_end(page, name, at) or len(page)
+            continue
+        if name in UNSEEN:
+            if not m[0].endswith("/>"):
+                if hidden_ends is None:
+                    hidden_ends = _hidden_ends(page)
+                at = hidden_ends.get(at, at)
             continue
         if name in INLINE or name == "hr":
             if name in ("br", "hr"):

@@ -51,6 +51,29 @@ def test_blocks():
     assert H.blocks(None) == H.blocks("") == H.blocks("<p> </p>") == []
 
 
+def test_heads_without_an_end_tag():
+    for start in ("<html><head><title>t</title><meta charset=x><body>", "<head><script>a<b</script><link href=x>", "<head><style>p{}</style><noscript><link></noscript><body class=x>",
+                  "<head><title>t</title></head><body>", "<head><title>t</title><body></head>"):
+        got = H.blocks(start + "<article><p>One<p>two</article>")
+        assert [b.text for b in got] == ["One", "two"] and all(H.told(b) == 1 for b in got), start
+    assert [b.text for b in H.blocks("<head><meta x>\n<title>t</title> bare text <p>two")] == ["bare text", "two"]
+
+
+def test_hidden_elements():
+    for name in ("noscript", "svg", "select", "iframe", "template", "math", "object", "canvas"):
+        got = [b.text for b in H.blocks(f"<article><p>One</p><{name} x=y><p>two</p></article><p>three")]
+        assert got == ["One", "two", "three"], name
+    for name in ("noscript", "svg", "select", "iframe", "template"):
+        page = f"<p>One</p><{name}>no</{name}><p>two</p><{name}><p>three</p><{name}>no<{name}>no</{name}>no</{name}><p>four"
+        assert [b.text for b in H.blocks(page)] == ["One", "two", "three", "four"], name
+        script = f"<p>One</p><script>'<{name}>'</script><{name}><script>'</{name}>'</script>no</{name}><{name}/><p>two"
+        assert [b.text for b in H.blocks(script)] == ["One", "two"], name
+    page = ("<article><p>If <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=tex>x=2</annotation></semantics></math> then"
+            " <object data=a>a <b>plan</b></object> and <canvas>a chart</canvas> follow</p></article>")
+    assert [(b.text, b.path[-1]) for b in H.blocks(page)] == [("If x=2 then a plan and a chart follow", "p")]
+    assert len(H.blocks("<svg>" * 200_000 + "<p>end")) == 1
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     pages = [rng.standard_normal((n, H.WIDTH)).astype(np.float32) for n in (3, 5)]
