@@ -9,8 +9,8 @@ third.  All permutations are functions of (seed, doc_id, text), so a lost execut
 same rows again.
 
 Null texts have size ``overhead`` and a null crc; repeated rows are rows of their own; columns beyond
-id and text are ignored; an empty table gives an empty result.  Row counts of up to 10^9 per draw
-are exact (numpy's bound).
+id and text are ignored; an empty table gives an empty result.  Draws follow the law to double precision at
+any row count.
 """
 
 from __future__ import annotations
@@ -22,15 +22,39 @@ from pyspark.sql import functions as F
 from segkit.llm.ranks import running_total
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws from good + bad are good, by inversion over all values within 12 deviations of the mode.
+
+    What lies beyond has less weight than a double can tell from 0.  numpy's own draw refuses 10^9 and more.
+    """
+    low, high = max(0, n - bad), min(good, n)
+    if low == high:
+        return low
+    total = good + bad
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    reach = int(12 * (n * (good / total) * (bad / total) * ((total - n) / max(total - 1, 1))) ** 0.5) + 100
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    # log of p(k + 1) / p(k)
+    steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    weights = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(weights, rng.random() * weights[-1], side="right"))
+
+
 def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarray:
     """matrix[p, s]: rows that partition p sends to shard s; columns differ by one at most."""
     total = sum(counts)
-    free = np.array([total // shards + (s < total % shards) for s in range(shards)], dtype=np.int64)
+    free = [total // shards + (s < total % shards) for s in range(shards)]
     rng = np.random.default_rng(seed)
     out = np.zeros((len(counts), shards), dtype=np.int64)
     for p, n in enumerate(counts):
-        out[p] = rng.multivariate_hypergeometric(free, n, method="marginals")
-        free -= out[p]
+        rest = sum(free)
+        for s in range(shards):
+            rest -= free[s]
+            out[p, s] = took = hypergeometric(rng, free[s], rest, n)
+            free[s] -= took
+            n -= took
     return out
 
 

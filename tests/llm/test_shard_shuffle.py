@@ -43,6 +43,23 @@ def test_matrix_has_exact_margins_and_the_right_spread():
     assert abs(draws.mean() - 25) < 0.3 and abs(draws.var() - 50 * 0.25 * 50 / 99) < 0.7
 
 
+def test_matrix_beyond_a_billion_rows():
+    counts = [2 * 10**9 + i for i in range(6)]
+    m = S.communication_matrix(counts, 5, 3)
+    assert m.sum(axis=1).tolist() == counts and m.sum(axis=0).max() - m.sum(axis=0).min() <= 1
+    assert 0 < abs(m - 4 * 10**8).max() < 10 * (2e9 * 0.16) ** 0.5
+
+
+def test_draws_follow_the_law():
+    from math import comb
+    for good, bad, n in ((7, 9, 6), (3, 20, 20), (40, 2, 30)):
+        rng = np.random.default_rng(8)
+        got = Counter(S.hypergeometric(rng, good, bad, n) for _ in range(20_000))
+        p = {k: comb(good, k) * comb(bad, n - k) / comb(good + bad, n) for k in range(max(0, n - bad), min(good, n) + 1)}
+        assert set(got) <= set(p) and all(abs(got[k] / 20_000 - q) < 0.015 for k, q in p.items())
+    assert [S.hypergeometric(rng, *x) for x in ((0, 5, 3), (5, 0, 3), (4, 4, 8), (4, 4, 0))] == [0, 3, 4, 0]
+
+
 def test_shuffled_documents_keep_their_columns(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").withColumnRenamed("n_chars", "slot")
     out = S.shuffled_documents(docs)
