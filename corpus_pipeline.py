@@ -52,7 +52,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language ID", language), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", decontaminate),
           ("mixing sources", mix), ("sharding", shard)]
 
-#: SQL can't express the language model; tests/llm/test_pipeline.py checks the rows against plain Python.
+#: SQL can't express the language model; tests/llm/test_pipeline.py checks three stages' rows against plain Python, language ID and mixing by bounds.
 ORACLE_SQL = None
 
 
