@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segkit.llm import sql
 from segkit.session import ship_package
 
 
@@ -72,6 +73,24 @@ def op10_shards(spark, sf_dir):
     return digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark, sf_dir):
+    """Importance-resampled documents after the distribution of the benchmark's word n-grams."""
+    from segkit.llm.importance import digest
+    return digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark, sf_dir):
+    """Spelling variants of the documents' words: near words, form and root."""
+    from segkit.llm.spelling import digest
+    return digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_urls(spark, sf_dir):
+    """Host, path, rule and verdict of every page's url."""
+    from segkit.llm.url_trees import digest
+    return digest(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_lm_score, op3_jaccard_join, op4_decontaminate, op5_language, op6_fingerprints,
-                                   op7_mix, op8_training_order, op9_toxicity, op10_shards)}
-ORACLE: dict[str, str] = {}
+                                   op7_mix, op8_training_order, op9_toxicity, op10_shards, op11_importance, op12_spelling, op13_urls)}
+ORACLE: dict[str, str] = {"op11_importance": sql.IMPORTANCE, "op12_spelling": sql.SPELLING}

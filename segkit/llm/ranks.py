@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segkit.llm.components import written
+from segkit.llm.frames import columns, free_name
+
 BUCKETS = 1024
 
 
@@ -31,3 +34,23 @@ def running_total(df: DataFrame, groups: list[str], size: str, spread: Column, o
     return (local.join(base.hint("merge"), keys)
             .withColumn(out, (F.col("_base") + F.col("_local")).cast("long"))
             .drop("_bucket", "_local", "_base"))
+
+
+def ranked(rows: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
+    """``rows`` with ``out``: 1, 2, 3, ... by ``order`` over the whole table; rows equal in it come either way.
+
+    Range partitions are sorted where they land and written, so that the places stay as they are; the driver sees one
+    count per partition.
+    """
+    own, at = rows.columns, free_name(rows, "at")
+    placed = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright(F.col(at), 33)
+    counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # one row a partition
+    total, before = 0, []
+    for p, n in counts:
+        before.append((p, total))
+        total += n
+    part_name, base = free_name(rows, "part"), free_name(rows, "base")
+    bases = rows.sparkSession.createDataFrame(before, "part long, base long").toDF(part_name, base)
+    return (placed.withColumn(part_name, part).join(bases, part_name)
+            .select(*columns(own), (F.col(base) + F.col(at).bitwiseAND((1 << 33) - 1) + 1).alias(out)))
