@@ -62,7 +62,7 @@ def with_features(df):
 
 def test_held_out_accuracy_and_reruns(spark):
     rows = with_features(labelled(spark, 3000))
-    fold = F.pmod(F.col("page_id"), F.lit(4)) == 0
+    fold = F.pmod(F.crc32(F.col("page_id").cast("string")), F.lit(4)) == 0  # by hash: page_id itself decides what a url looks like
     model = url_trees.fit(rows.where(~fold))
     got = url_trees.scored(rows.where(fold), model).select("page_id", "label", "score").collect()
     right = sum((r["score"] >= 0.5) == bool(r["label"]) for r in got)
