@@ -27,3 +27,9 @@ def column(name: str) -> Column:
 
 def columns(names: list[str]) -> list[Column]:
     return [column(n) for n in names]
+
+
+def numbered(df: DataFrame, keep: list[str], *others: str) -> tuple[DataFrame, list[str]]:
+    """(columns ``keep`` under the names k0, k1, ... with ``others`` behind them, these names): mapInArrow takes no names with dots or quotes."""
+    names = [f"k{i}" for i in range(len(keep))]
+    return df.select(*[column(c).alias(n) for c, n in zip(keep, names)], *others), names

@@ -85,3 +85,73 @@ def test_draw_limit():
     for n in (0, 1, 1999, 2000, 3000, 10**9, 2 * 10**9 + 1, 10**12, 10**17):
         limit = draw_limit(2000, n)
         assert limit == DRAWS if n <= 2000 else 0 < limit - DRAWS * 2000 / n + 1e4 < 2e4
+
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def digest_of(spark, rows):
+    return {r["doc_id"]: r for r in L.digest(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def learned_ids():
+    return [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+
+
+def in_calibration(spark, text):
+    return spark.range(1).select(F.pmod(F.xxhash64(F.lit(text)), F.lit(10)) == 0).first()[0]
+
+
+def test_texts_without_letters_teach_nothing(spark):
+    a, b = learned_ids()[:2]
+    out = digest_of(spark, [(a, "123", "en"), (b, "abc", None)])
+    assert {r["lang_pred"] for r in out.values()} == {"und"} and all(r["rejected"] for r in out.values())
+    out = digest_of(spark, [(a, "123", "xx"), (b, "some words of text", "en")])
+    assert out[a]["lang_pred"] == "und" and out[b]["lang_pred"] == "en"
+
+
+def test_a_language_whose_texts_all_fall_into_the_calibration_tenth_is_learned(spark):
+    a, b, c = learned_ids()[:3]
+    text = next(t for t in (f"der hund und die katze {x}" for x in "abcdefghijklmnopqrstuvwxyzäöü") if in_calibration(spark, t))
+    out = digest_of(spark, [(a, text, "de"), (b, "the cat sat on the mat and the dog", "en"), (c, "the cat and the dog and the mat", "en")])
+    assert out[a]["lang_pred"] == "de" and not out[a]["rejected"] and out[b]["lang_pred"] == "en"
+    alone = digest_of(spark, [(a, text, "de")])
+    assert alone[a]["lang_pred"] == "de"
+
+
+def test_rare_letters_have_codes_of_their_own(monkeypatch):
+    monkeypatch.setattr(L, "PLAIN", 5)
+    codes = L.Codes([ord(c) for c in "abcdefghijklmnopqrstuvwxyz"])
+    points, offsets = L.code_points(pa.array(["ab cd", "zyx", "", "éa"]))
+    got, cut = codes.of(points, offsets)
+    words = [tuple(got[a:b].tolist()) for a, b in zip(cut[:-1], cut[1:])]
+    plain = lambda i: L.OTHER + 1 + i
+    assert words == [(plain(0), plain(1), L.BLANK, plain(2), plain(3)), (65531, plain(0), 65532, plain(4), 65532, plain(3)), (), (L.OTHER, plain(0))]
+    single = {tuple(codes.of(np.array([ord(c)], np.uint32), np.array([0, 1]))[0].tolist()) for c in "abcdefghijklmnopqrstuvwxyz"}
+    assert len(single) == 26
+
+
+def test_pieces_give_the_same_codes_and_ngrams(monkeypatch):
+    long = "Ab  c, d! éÉ 12 \n xyz " * 50
+    whole = L.code_points(pa.array([long]))
+    codes = L.Codes([ord(c) for c in "abcdéxyz"])
+    texts = pa.array(["ab", long, "", "x"])
+    keys = L.packed(*codes.of(*L.code_points(texts)), 4)
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(L, "SLICE", size)
+        assert L.code_points(pa.array([long]))[0].tolist() == whole[0].tolist()
+        monkeypatch.setattr(L, "SLICE", 1 << 19)
+        c, offsets = codes.of(*L.code_points(texts))
+        monkeypatch.setattr(L, "SLICE", size)
+        pieces = list(L.packed_pieces(c, offsets, 4))
+        assert np.concatenate([k for k, _ in pieces]).tolist() == keys.tolist()
+        assert np.concatenate([d for _, d in pieces]).tolist() == np.repeat(np.arange(4), np.diff(offsets)).tolist()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(60)
+    odd = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(["score", "rejected", "lang_pred", "a b", "c.d", "e`f"])])
+    kept = L.identified_documents(odd)
+    assert kept.columns == odd.columns and sorted(map(str, kept.collect())) == sorted(str(r) for r in odd.collect() if r["doc_id"] in {k["doc_id"] for k in kept.collect()})
+    model = L.fit(docs)
+    assert L.predict(odd, model, odd.columns).columns == [c for c in odd.columns if c not in ("score", "rejected", "lang_pred")] + ["lang_pred", "score", "rejected"]
