@@ -36,31 +36,62 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 # Fixed value: how the ranks' tokenizer splits a text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 400_000
+BLANKS = frozenset((9, 10, 11, 12, 13, 32))
+END_BYTES = np.uint16(END).tobytes()
+CACHE = 200_000  # chunks in each of the two generations that a worker remembers
 _ENCODERS: dict = {}
 
 
 class Encoder:
     """Token ids of texts; blank runs with the word after them are encoded once and remembered.
 
-    The pattern never joins a word with the ASCII blank after it, so a text may be cut there.
+    The pattern never joins a word with the ASCII blank after it, so a text may be cut there, and chunks that begin with a blank and
+    end without one may be strung together: what a slice has new is encoded in one call.
     """
 
     def __init__(self, ranks: bytes):
         import tiktoken
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
-        self.known: dict[bytes, np.ndarray] = {}
+        self.width = np.zeros(max(merges.values()) + 1, np.int64)  # bytes of each id
+        for token, i in merges.items():
+            self.width[i] = len(token)
+        self.young: dict[bytes, bytes] = {b"": END_BYTES}  # chunk: its ids, two bytes each
+        self.old: dict[bytes, bytes] = {}
         self.blank = np.zeros(256, bool)
-        self.blank[[9, 10, 11, 12, 13, 32]] = True
-
-    def _ids(self, chunk: bytes) -> np.ndarray:
-        ids = self.known.get(chunk)
-        if ids is None:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            ids = self.known[chunk] = np.array(self.encoding.encode_ordinary(chunk.decode("utf-8")), np.uint16)
-        return ids
+        self.blank[list(BLANKS)] = True
+
+    def _encoded(self, data: bytes) -> np.ndarray:
+        return np.array(self.encoding.encode_ordinary(data.decode("utf-8")), np.uint16)
+
+    def _strung(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks that begin with a blank and end without one."""
+        ids = self._encoded(b"".join(chunks))
+        ends = np.cumsum([len(c) for c in chunks])
+        cuts = [0, *(2 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")).tolist()]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        young, old = self.young, self.old
+        found = list(map(young.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        plain = []
+        for i in new:
+            c = chunks[i]
+            ids = found[i] = old.get(c)
+            if ids is None:
+                if c[0] in BLANKS and c[-1] not in BLANKS:
+                    plain.append(i)
+                else:  # a text's first word, or blanks at its end
+                    found[i] = self._encoded(c).tobytes()
+        if plain:
+            for i, ids in zip(plain, self._strung([chunks[i] for i in plain])):
+                found[i] = ids
+        if len(young) + len(new) > CACHE:
+            self.old, self.young = young, {b"": END_BYTES}
+        self.young.update((chunks[i], found[i]) for i in new)
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids with an end id after each text, offsets)."""
@@ -70,19 +101,18 @@ class Encoder:
         data = np.frombuffer(col.buffers()[2], np.uint8)[bounds[0]:bounds[-1]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
         blank = self.blank[data]
-        cut = np.union1d(np.flatnonzero(blank[1:] & ~blank[:-1]) + 1, bounds)
+        first = np.zeros(len(data) + 1, bool)
+        first[1:len(data)] = blank[1:] & ~blank[:-1]
+        first[bounds] = False
+        # a chunk begins at every text (unless empty) and at every run of blanks, and an empty one, which stands for the end id, behind every text
+        cut = np.sort(np.concatenate([np.flatnonzero(first), bounds[:-1][np.diff(bounds) > 0], bounds[1:]]), kind="stable")
+        cut = np.append(cut, len(data))
         chunks = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut.astype(np.int64).tobytes()), pa.py_buffer(data)])
         coded = chunks.dictionary_encode()
-        ids = [self._ids(c) for c in coded.dictionary.to_pylist()]
-        size = np.array([len(i) for i in ids], np.int64)
-        start = np.concatenate([[0], np.cumsum(size)])
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint16)
-        which = coded.indices.to_numpy()
-        lengths = size[which]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        tokens = flat[np.arange(ends[-1]) + np.repeat(start[which] - ends[:-1], lengths)] if len(which) else flat
-        offsets = ends[np.searchsorted(cut, bounds)] if len(cut) > 1 else np.zeros(n + 1, np.int64)
-        return np.insert(tokens, offsets[1:], np.uint16(END)), offsets + np.arange(n + 1)
+        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) // 2
+        tokens = np.frombuffer(ids.buffers()[2], np.uint16, ends[-1])
+        return tokens, np.concatenate([[0], ends[1:][np.diff(cut) == 0]])
 
 
 class Feistel:
@@ -215,9 +245,7 @@ def materialise(docs: DataFrame, folder: str | None = None, length: int = 1024,
                          "doc_ids": pa.ListArray.from_arrays(pa.array(np.append(first, head.shape[1]).astype(np.int32)), ids)})
 
     packed = table.mapInArrow(cut, "shard int, n int, blob binary")
-    shards = -(-sequences // per_shard)
-    placed = packed.repartitionByRange(max(1, min(shards, 4096)), "shard") if shards > 1 else packed
-    return placed.groupBy("shard").applyInArrow(write, "slot long, shard int, byte_offset long, sequence long, n_tokens long, tokens_crc32 long, doc_ids array<long>"), layout
+    return packed.groupBy("shard").applyInArrow(write, "slot long, shard int, byte_offset long, sequence long, n_tokens long, tokens_crc32 long, doc_ids array<long>"), layout
 
 
 def save_shard(folder: str, shard: int, tokens: np.ndarray) -> None:
