@@ -70,6 +70,9 @@ class SortedArrays:
         self.keys = {r: load(handle, f"{table}-{r}-keys") for r in present}
         self.values = {v: {r: load(handle, f"{table}-{r}-{v}") for r in present} for v in values}
 
+    def _of(self, v: str, r: int, pos: np.ndarray) -> np.ndarray:
+        return self.values[v][r][pos]
+
     def find(self, keys: np.ndarray, hashes: np.ndarray) -> dict[str, np.ndarray]:
         """Values of sorted distinct keys (0 where a key is absent), and ``at``: range and position, or -1."""
         part = range_of(hashes, self.ranges)
@@ -87,7 +90,25 @@ class SortedArrays:
             rows, pos = rows[hit], pos[hit]
             out["at"][rows] = pos
             for v in self.kinds:
-                out[v][rows] = self.values[v][r][pos]
+                out[v][rows] = self._of(v, r, pos)
+        return out
+
+
+class SortedCounts(SortedArrays):
+    """SortedArrays of whole numbers from 0 on: one byte each, and a sorted list of the places with ``LARGE`` or more."""
+
+    LARGE = 255
+
+    def __init__(self, handle: str, table: str, ranges: int, present: list[int], values: list[str]):
+        super().__init__(handle, table, ranges, present, {v: np.int64 for v in values})
+        self.places = {v: {r: load(handle, f"{table}-{r}-{v}-places") for r in present} for v in values}
+        self.large = {v: {r: load(handle, f"{table}-{r}-{v}-large") for r in present} for v in values}
+
+    def _of(self, v: str, r: int, pos: np.ndarray) -> np.ndarray:
+        out = self.values[v][r][pos].astype(np.int64)
+        beyond = np.flatnonzero(out == self.LARGE)
+        if len(beyond):
+            out[beyond] = self.large[v][r][np.searchsorted(self.places[v][r], pos[beyond])]
         return out
 
 
@@ -97,6 +118,15 @@ def save_table(folder: str, table: str, r: int, keys: np.ndarray, **values: np.n
         save(folder, f"{table}-{r}-{name}", array)
 
 
+def save_counts(folder: str, table: str, r: int, keys: np.ndarray, **counts: np.ndarray) -> None:
+    """What ``SortedCounts`` opens."""
+    for name, array in list(counts.items()):
+        places = np.flatnonzero(array >= SortedCounts.LARGE)
+        counts[name] = np.minimum(array, SortedCounts.LARGE).astype(np.uint8)
+        counts |= {f"{name}-places": places, f"{name}-large": array[places].astype(np.int64)}
+    save_table(folder, table, r, keys, **counts)
+
+
 def planes(keys: np.ndarray) -> bytes:
     """Sorted uint64 as differences, byte plane by byte plane: the zero planes vanish in Spark's compression."""
     return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
