@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,3 +35,19 @@ def numbered(df: DataFrame, keep: list[str], *others: str) -> tuple[DataFrame, l
     """(columns ``keep`` under the names k0, k1, ... with ``others`` behind them, these names): mapInArrow takes no names with dots or quotes."""
     names = [f"k{i}" for i in range(len(keep))]
     return df.select(*[column(c).alias(n) for c, n in zip(keep, names)], *others), names
+
+
+def plainly(df: DataFrame, *known: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(``df`` with all columns but ``known`` named k0, k1, ..., what gives a frame the old columns and names again, others dropped)."""
+    names = [c if c in known else f"k{i}" for i, c in enumerate(df.columns)]
+    old = df.columns
+    return df.toDF(*names), lambda out: out.select(*[F.col(n).alias(c) for n, c in zip(names, old)])
+
+
+def free_prefix(df: DataFrame) -> str:
+    """Underscores, more than any column of ``df`` begins with: no helper name with this prefix clashes.
+
+    Where rows are told by a hash of all columns, helpers get such names; renaming the columns instead (``plainly``) would let the optimizer
+    rewrite that hash in all combinations of old and new names.
+    """
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in df.columns), default=0))

@@ -20,7 +20,8 @@ replicates a group's rows once per chunk of the group.
 
 Null, empty and blank texts have no n-grams and link with nothing; fewer words than n make one n-gram;
 repeated rows come out once each; texts that share a doc_id have links of their own; a null doc_id has links, but a
-component's id is its smallest non-null doc_id; extra columns are ignored; an empty table gives an empty result.
+component's id is its smallest non-null doc_id; doc_ids are whole numbers; extra columns are ignored by the join and kept by
+``first_documents``, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from segkit.llm import bitfilter
 from segkit.llm.components import components, written
+from segkit.llm.frames import plainly
 from segkit.llm.tokens import GOLDEN, WordHasher, mix, segment_sums, signed, slices, space_words
 
 GROUPS = 128
@@ -327,6 +329,7 @@ def first_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     Rows that share this doc_id are one document: the one with the smallest text hash stays, of equal texts the row that is smallest
     in the other columns.  Rows whose component has no doc_id at all are told apart by their text.
     """
+    docs, restored = plainly(docs, "doc_id", "text")
     rows = similar_components(docs, n, percent).where("doc_id <=> component_id")
     times = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("times"))
     only = F.when(F.col("doc_id").isNull(), F.col("mark"))
@@ -336,4 +339,4 @@ def first_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     kept = docs.join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark")))
     names = docs.columns
     again = (kept.where("_times > 1").groupBy("_id", "_mark").agg(F.min(F.struct(*names)).alias("_row")).select("_row.*"))
-    return kept.where("_times = 1").select(*names).unionByName(again.select(*names))
+    return restored(kept.where("_times = 1").select(*names).unionByName(again.select(*names)))

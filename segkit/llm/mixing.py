@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segkit.llm.frames import plainly
 from segkit.llm.ranks import running_total
 
 GOLDEN = 2654435769  # 2^32 divided by the golden ratio, rounded to an odd number
@@ -128,11 +129,11 @@ def mixed_documents(docs: DataFrame, seed: int = 11) -> DataFrame:
 
     Copies are told by (doc_id, text); documents without words are not part of a mix of words.
     """
+    docs, restored = plainly(docs, "doc_id", "text", "source")
     times = (mix(docs, seed=seed).groupBy("doc_id", "crc")
              .agg((F.sum("taken") / F.sum("size")).alias("_x")).where(F.col("_x") > 0)
              .select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), F.round("_x").cast("int").alias("_times"))
              .where("_times > 0"))
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    return (docs.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*docs.columns))
+    return restored(docs.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
+                    .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segkit.llm.components import written
-from segkit.llm.frames import columns, free_name
+from segkit.llm.frames import columns, free_name, free_prefix
 
 BUCKETS = 1024
 
@@ -23,17 +23,19 @@ def running_total(df: DataFrame, groups: list[str], size: str, spread: Column, o
     The order is (bucket of ``spread``, ``order``); equal keys in ``order`` may come either way.
     Group columns have no nulls.  An empty table stays empty.
     """
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
-    keys = [*groups, "_bucket"]
-    per = df.groupBy(*keys).agg(F.sum(size).alias("_sum"))
-    before = Window.partitionBy(*[F.col(g) for g in groups]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = per.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    u = free_prefix(df)
+    bucket, total, base, local = (u + name for name in ("bucket", "total", "base", "local"))
+    df = df.withColumn(bucket, F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
+    keys = [*groups, bucket]
+    per = df.groupBy(*keys).agg(F.sum(size).alias(total))
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    bases = per.select(*keys, F.coalesce(F.sum(total).over(before), F.lit(0)).alias(base))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("_local", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    placed = df.withColumn(local, F.coalesce(F.sum(size).over(inside), F.lit(0)))
     # joined on the window's own keys: the rows stay where the window has put them
-    return (local.join(base.hint("merge"), keys)
-            .withColumn(out, (F.col("_base") + F.col("_local")).cast("long"))
-            .drop("_bucket", "_local", "_base"))
+    own = columns([c for c in df.columns if c != bucket])
+    return (placed.join(bases.hint("merge"), keys)
+            .select(*own, (F.col(base) + F.col(local)).cast("long").alias(out)))
 
 
 def ranked(rows: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:

@@ -18,7 +18,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from segkit.llm.frames import column, columns, free_prefix
 from segkit.llm.ranks import running_total
 
 
@@ -63,21 +65,21 @@ def shard_rows(rows: DataFrame, keys: list[str], shards: int = 40, parts: int =
 
     ``keys`` decide every draw; rows that agree in them are interchangeable.
     """
-    spark = rows.sparkSession
-    key = [F.col(k) for k in keys]
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(parts)).cast("int"))
-    found = {r["_part"]: r["n"] for r in dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # parts rows at most
-    counts = [found.get(p, 0) for p in range(parts)]
-    ends = communication_matrix(counts, shards, seed).cumsum(axis=1)
-    plan = spark.createDataFrame([(p, [int(x) for x in ends[p]]) for p in range(parts)], "_p int, _ends array<bigint>")
-    local = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed + 1), *key), *key)
-    sent = (dealt.withColumn("_rank", F.row_number().over(local) - 1)
-            .join(plan, F.col("_part") == F.col("_p"))
-            .withColumn("shard", F.expr("size(filter(_ends, e -> e <= _rank))"))
-            .drop("_part", "_p", "_ends", "_rank")
-            .withColumn("_one", F.lit(1)))
+    spark, key = rows.sparkSession, [F.col(k) for k in keys]
+    u = free_prefix(rows)
+    part, at, ends, rank, one = (u + name for name in ("part", "at", "ends", "rank", "one"))
+    dealt = rows.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(parts)).cast("int"))
+    found = {r["part"]: r["n"] for r in dealt.groupBy(F.col(part).alias("part")).agg(F.count("*").alias("n")).collect()}  # parts rows at most
+    matrix = communication_matrix([found.get(p, 0) for p in range(parts)], shards, seed).cumsum(axis=1)
+    plan = spark.createDataFrame([(p, [int(x) for x in matrix[p]]) for p in range(parts)], f"{at} int, {ends} array<bigint>")
+    local = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), *key), *key)
+    sent = (dealt.withColumn(rank, F.row_number().over(local) - 1)
+            .join(plan, F.col(part) == F.col(at))
+            .withColumn("shard", F.size(F.filter(ends, lambda e: e <= F.col(rank))))
+            .drop(part, at, ends, rank)
+            .withColumn(one, F.lit(1)))
     again = F.xxhash64(F.lit(seed + 2), *key)
-    return running_total(sent, ["shard"], "_one", again, [F.xxhash64(F.lit(seed + 3), *key), *key], out="slot", buckets=64).drop("_one")
+    return running_total(sent, ["shard"], one, again, [F.xxhash64(F.lit(seed + 3), *key), *key], out="slot", buckets=64).drop(one)
 
 
 def digest(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
@@ -90,6 +92,11 @@ def digest(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
 
 
 def shuffled_documents(docs: DataFrame, shards: int = 40, seed: int = 20) -> DataFrame:
-    """The documents with ``shard`` and ``slot``; columns of the same names are replaced."""
-    docs = docs.drop("shard", "slot").withColumn("_crc", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
-    return shard_rows(docs, ["doc_id", "_crc"], shards, seed=seed).drop("_crc")
+    """The documents with ``shard`` and ``slot``; columns of these two names are replaced, all others kept.
+
+    Rows are told by all their columns, so that a repeated task gives each row the place it had.
+    """
+    kept = docs.select(*columns([c for c in docs.columns if c.lower() not in ("shard", "slot")]))
+    row = free_prefix(kept) + "row"
+    told = [column(f.name) for f in kept.schema.fields if not isinstance(f.dataType, T.MapType)]  # Spark hashes no maps
+    return shard_rows(kept.withColumn(row, F.xxhash64(*told)), ["doc_id", row], shards, seed=seed).drop(row)

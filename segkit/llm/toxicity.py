@@ -16,17 +16,21 @@ score is the smoothed share of label 1.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from segkit.llm.frames import extended, numbered
 from segkit.llm.kn_words import DRAWS, draw_limit, fold
 from segkit.llm.tokens import WordHasher, letter_digit_words, slices
 
 SAMPLE, TOP, CACHE = 10_000, 1_000, 500_000
+PAIRS = 4096  # sentence pairs looked at together
 #: Names of groups of people; a name is swapped for the next one of its kind.
 KINDS = (("women", "men"), ("woman", "man"), ("girls", "boys"), ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
          ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"), ("black", "white", "asian", "latino", "arab"),
@@ -96,6 +100,24 @@ def sentence_pairs(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def pair_rows(features: Features, texts: list[str | None], top: int):
+    """(columns, differences) of each sentence that names a group and its swapped one; work in proportion to the sentences' length."""
+    found = (p for t in texts for p in sentence_pairs(t))
+    while some := list(islice(found, PAIRS)):
+        sides = []
+        for side in zip(*some):
+            rows, cols, counts, words = features.counts(pa.array(side, pa.string()))
+            sides.append(values(rows, cols, counts, words, top))
+        (r1, c1, v1), (r2, c2, v2) = sides
+        key = np.concatenate([r1, r2]) * (2 * top) + np.concatenate([c1, c2])
+        distinct, where = np.unique(key, return_inverse=True)
+        change = np.bincount(where, np.concatenate([v1, -v2]), len(distinct))
+        distinct, change = distinct[change != 0], change[change != 0]
+        cuts = np.searchsorted(distinct, np.arange(len(some) + 1) * (2 * top))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield (distinct[a:b] % (2 * top)).tolist(), change[a:b].tolist()
+
+
 def choose(labelled: DataFrame, top: int) -> list[str]:
     """The features that tell label 1 best by chi-squared, over ``labelled`` (text, toxic)."""
     totals = labelled.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
@@ -168,21 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = TOP
                     a, z = cut[i], cut[i + 1]
                     _, col, val = values(np.zeros(z - a, np.int64), f[a:z], c[a:z], words[i:i + 1], len(names))
                     out.append(("text", int(toxic[i]), col.tolist(), val.tolist()))
-                pairs = [p for t in texts.to_pylist() for p in sentence_pairs(t)]
-                if pairs and names:
-                    sides = []
-                    for texts2 in zip(*pairs):
-                        r, f, c, words = features.counts(pa.array(texts2, pa.string()))
-                        rr, cc, vv = values(r, f, c, words, len(names))
-                        sides.append(dict(zip(zip(rr.tolist(), cc.tolist()), vv.tolist())))
-                    for i in range(len(pairs)):
-                        d = {}
-                        for side, sign in zip(sides, (1.0, -1.0)):
-                            for (row, col), val in side.items():
-                                if row == i:
-                                    d[col] = d.get(col, 0.0) + sign * val
-                        d = {k: x for k, x in d.items() if x}
-                        out.append(("pair", 0, list(d), list(d.values())))
+                if names:
+                    out += [("pair", 0, cols, vals) for cols, vals in pair_rows(features, texts.to_pylist(), len(names))]
                 kind, y, cols, vals = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(y, pa.int32()), pa.array(cols, pa.list_(pa.int64())),
                                                   pa.array(vals, pa.list_(pa.float64()))], names=["kind", "y", "cols", "vals"])
@@ -205,16 +214,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = TOP
 
 
 def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """``keep`` columns and score (0 to 1) of every text."""
+    """``keep`` columns and score (0 to 1) of every text; a kept column of that name is replaced."""
+    keep = [c for c in keep if c.lower() != "score"]
+    schema = extended(docs, keep, score=T.DoubleType())
+    plain, kept = numbered(docs, keep, "text")
+
     def run(batches):
         features, top = Features(model["index"]), len(model["index"])
         for batch in batches:
             for part in slices(batch, "text"):
                 rows, cols, vals = values(*features.counts(part.column("text")), top)
                 logit = np.bincount(rows, vals * model["weights"][cols], part.num_rows) + model["bias"]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-logit)))], names=[*keep, "score"])
-    kinds = dict(docs.dtypes)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", score double")
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(1 / (1 + np.exp(-logit)))], names=schema.names)
+    return plain.mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

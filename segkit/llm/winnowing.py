@@ -17,7 +17,7 @@ distinct per (hash, context), and adaptive execution splits a skewed key.
 
 Null and empty texts have no words and are clean; items without words are ignored; repeated document rows
 count as one document each with equal results; a repeated item_id contributes all its texts' windows; null
-item_ids match but are not named.  An empty benchmark leaves every document clean.
+item_ids match but are not named; ``clean_documents`` keeps extra columns, whatever their names.  An empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from segkit.llm import bitfilter
 from segkit.llm.components import written
+from segkit.llm.frames import plainly
 from segkit.llm.tokens import GOLDEN, WordHasher, letter_digit_words, mix, signed, slices
 
 
@@ -198,5 +199,6 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
+    docs, restored = plainly(docs, "doc_id", "text")
     bad = judged(docs, items).where("contaminated").select("_both").distinct()
-    return docs.join(bad.hint("merge"), row_key() == F.col("_both"), "left_anti")
+    return restored(docs.join(bad.hint("merge"), row_key() == F.col("_both"), "left_anti"))

@@ -73,3 +73,42 @@ def test_labels_are_drawn_from_very_many(spark):
     docs = spark.range(12_000_000).selectExpr("id as doc_id", "'some words' as text")
     model = T.fit(docs, docs.selectExpr("doc_id", "1 as toxic"), sample=10)
     assert model["bias"] > 1
+
+
+def test_pairs_equal_a_plain_version():
+    index = {f: i for i, f in enumerate(["w:women", "w:men", "p:wom", "w:the", "p:chr", "w:jews", "w:muslims"])}
+    texts = ["The women and the men. Nothing here. Christians, muslims and jews!", None, "women women men\nthe jews"] * 3
+    got = [dict(zip(c, v)) for c, v in T.pair_rows(T.Features(index), texts, len(index))]
+    want = []
+    for text in texts:
+        for pair in T.sentence_pairs(text):
+            sides = []
+            for s in pair:
+                words = brute.words(s, brute.ALNUM)
+                n = {}
+                for w in words:
+                    for f in T.word_features(w):
+                        if f in index:
+                            n[index[f]] = n.get(index[f], 0) + 1
+                sides.append({**{k: 1.0 for k in n}, **{k + len(index): min(2.0, 30.0 * c / len(words)) for k, c in n.items()}})
+            diff = {k: sides[0].get(k, 0.0) - sides[1].get(k, 0.0) for k in {*sides[0], *sides[1]}}
+            want.append({k: v for k, v in diff.items() if v})
+    assert len(got) == len(want) and all(g == pytest.approx(w) for g, w in zip(got, want))
+
+
+def test_many_naming_sentences_are_learned_from_in_linear_time(spark):
+    import time
+    text = " ".join(f"the women number{i} live here." for i in range(20_000))
+    rows = [(0, text)] + [(i, f"{'awful insult' if i % 3 == 0 else 'kind word'} filler{i % 20}") for i in range(1, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    start = time.time()
+    model = T.fit(docs, labels)
+    assert time.time() - start < 60 and len(model["index"]) > 0  # 20 s on an idle machine
+
+
+def test_score_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, 2, 3)], "doc_id long, text string, `a b` int, score int, `c.d` int")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    out = T.score(docs, T.fit(docs, labels), docs.columns)
+    assert out.columns == ["doc_id", "text", "a b", "c.d", "score"] and out.first()["c.d"] == 3
