@@ -1,22 +1,24 @@
 """Lloyd k-means with many restarts and many k at once (K1-K4, K9).
 
-Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task assigns its rows to the nearest centre of every active
-run (numpy on Arrow batches via ``mapInArrow``) and emits per-cluster partial sums, one row per (run, cluster) per partition.  A
-shuffled hash aggregate reduces them to ``sum(k) x d`` numbers, which are the only thing the driver sees.  The number of passes over
-the data is the iteration count, not runs x k x iterations.
+The rows are packed once into blocks: one binary matrix of up to ``BLOCK_ROWS`` feature rows with their key hashes, cached for the run.
+Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task assigns its blocks' rows to the nearest centre of every active
+run (numpy) and emits per-cluster partial sums, one row per (run, cluster) per partition, the sums as one array.  A shuffled aggregate
+(``Summarizer``, one vector a group) reduces them to ``sum(k) x d`` numbers, which are the only thing the driver sees.  The number of passes
+over the data is the iteration count, not runs x k x iterations.
 
 Seeding is k-means||: starting from one row, every round draws rows from the WHOLE table with probability proportional to their squared
 distance from the candidates so far (by a hash of seed, round and key, so partitioning and companions in the call don't matter); the
 candidates, weighted by the rows nearest to them, are reduced to k by weighted k-means++ on the driver, once per restart.  A model's
-seeds depend on its own seed and k only.
+seeds depend on its own seed and k only.  Start centres may be given instead.
 
 Converged runs drop out of later passes.  An empty cluster moves to the row that is farthest from its centre.  A k beyond the number of
-distinct rows gives one cluster per distinct row.  Cluster ids are canonical: size descending, then first coordinate.
+distinct rows gives one cluster per distinct row.  Cluster ids are canonical: size descending, then first coordinate.  Every run keeps a log
+of its passes: cost, moved centres and shift.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 SEED_ROUNDS = 2        # k-means|| rounds; more follow while there are fewer than k candidates
 OVERSAMPLING = 2.0     # expected candidates per round, as a multiple of k
 CHUNK_ROWS = 2048      # rows per distance block inside a task (memory ~ CHUNK_ROWS x total centres)
+BLOCK_ROWS = 8192      # rows of a packed block (about 8 MB at 128 features)
 
 
 @dataclass
@@ -40,6 +42,7 @@ class KMeansRun:
     n_iter: int
     sizes: list
     converged: bool
+    log: list = field(default_factory=list)   # per pass: (cost before the move, centres that moved, summed squared shift)
 
 
 def weighted_kmeanspp(X: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -70,40 +73,69 @@ def _nearest_distance(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return out
 
 
-def seed_candidates(df: DataFrame, features: str, key: str, models: list, d: int) -> dict:
+def packed(df: DataFrame, features: str, key: str, d: int) -> DataFrame:
+    """(n, x, h): blocks of rows as binary matrices (n x d doubles) with the keys' hashes."""
+
+    def fn(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(a, BLOCK_ROWS)
+                yield pa.RecordBatch.from_pydict({"n": pa.array([part.num_rows], pa.int32()),
+                                                  "x": pa.array([arrow_matrix(part.column(0), d).tobytes()], pa.binary()),
+                                                  "h": pa.array([part.column(1).to_numpy().tobytes()], pa.binary())})
+    return df.select(F.col(features).cast("array<double>").alias("x"), F.xxhash64(key).alias("h")).mapInArrow(fn, "n int, x binary, h binary")
+
+
+def _chunks(batches, d: int):
+    """(rows, hashes) of packed blocks, ``CHUNK_ROWS`` at a time: bounds the n x centres matrices."""
+    for batch in batches:
+        for n, x, h in zip(*(batch.column(c).to_pylist() for c in ("n", "x", "h"))):
+            X, H = np.frombuffer(x, np.float64).reshape(n, d), np.frombuffer(h, np.int64)
+            for a in range(0, n, CHUNK_ROWS):
+                yield X[a:a + CHUNK_ROWS], H[a:a + CHUNK_ROWS]
+
+
+def seed_candidates(blocks: DataFrame, models: list, d: int) -> dict:
     """k-means|| for several models ``(tag, k, seed)`` in shared passes: {tag: (candidates, weights)}."""
 
     from segkit.functions.hashing import uniform_np
 
-    rows = df.select(F.col(features).cast("array<double>").alias("_x"), F.xxhash64(key).alias("_h"))
-    first = rows.agg(*[F.min_by("_x", F.struct(F.xxhash64(F.lit(seed), "_h"), F.col("_h"))).alias(f"m{i}")
-                       for i, (_, _, seed) in enumerate(models)]).first()
-    sets = [np.array([first[f"m{i}"]], dtype=np.float64) for i in range(len(models))]
+    def start(batches):
+        best: dict = {}
+        for X, h in _chunks(batches, d):
+            for i, (_, _, seed) in enumerate(models):
+                u = uniform_np(h, seed, -1)
+                j = int(np.lexsort((h, u))[0])
+                if i not in best or (u[j], h[j]) < best[i][:2]:
+                    best[i] = (float(u[j]), int(h[j]), X[j])
+        if best:
+            yield pa.RecordBatch.from_pydict({"m": pa.array(list(best), pa.int32()), "u": pa.array([v[0] for v in best.values()]),
+                                              "h": pa.array([v[1] for v in best.values()], pa.int64()), "x": pa.array([v[2].tolist() for v in best.values()], pa.list_(pa.float64()))})
+    first = (blocks.mapInArrow(start, "m int, u double, h long, x array<double>").groupBy("m")
+             .agg(F.min_by("x", F.struct("u", "h")).alias("x")).collect())  # one row a model
+    sets: list = [None] * len(models)
+    for r in first:
+        sets[r["m"]] = np.array([r["x"]], dtype=np.float64)
 
     def costs(active):
         def fn(batches):
             total = {i: 0.0 for i in active}
-            for batch in batches:
-                if batch.num_rows:
-                    X = arrow_matrix(batch.column(0), d)
-                    for i in active:
-                        total[i] += float(_nearest_distance(X, sets[i]).sum())
+            for X, _ in _chunks(batches, d):
+                for i in active:
+                    total[i] += float(_nearest_distance(X, sets[i]).sum())
             yield pa.RecordBatch.from_pydict({"m": pa.array(list(total), pa.int32()), "cost": pa.array(list(total.values()), pa.float64())})
-        out = rows.mapInArrow(fn, "m int, cost double").groupBy("m").agg(F.sum("cost").alias("cost"))
+        out = blocks.mapInArrow(fn, "m int, cost double").groupBy("m").agg(F.sum("cost").alias("cost"))
         return {r["m"]: r["cost"] for r in out.collect()}  # one row a model
 
     def drawn(active, cost, turn):
         def fn(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                X, h = arrow_matrix(batch.column(0), d), batch.column(1).to_numpy()
+            for X, h in _chunks(batches, d):
                 for i in active:
                     chance = OVERSAMPLING * models[i][1] * _nearest_distance(X, sets[i]) / cost[i]
                     hit = np.flatnonzero(uniform_np(h, models[i][2], turn) < chance)
                     if len(hit):
                         yield pa.RecordBatch.from_pydict({"m": pa.array(np.full(len(hit), i, np.int32)), "x": pa.array(X[hit].tolist(), pa.list_(pa.float64()))})
-        got = rows.mapInArrow(fn, "m int, x array<double>").toArrow()  # about OVERSAMPLING x k rows a model
+        got = blocks.mapInArrow(fn, "m int, x array<double>").toArrow()  # about OVERSAMPLING x k rows a model
         m = got.column("m").to_numpy()
         X = arrow_matrix(got.column("x"), d)
         return {i: X[m == i] for i in active}
@@ -120,7 +152,7 @@ def seed_candidates(df: DataFrame, features: str, key: str, models: list, d: int
         for i, X in drawn(active, cost, turn).items():
             sets[i] = np.unique(np.vstack([sets[i], X]), axis=0)
         turn += 1
-    weights = lloyd_pass(df, features, [(i, c) for i, c in enumerate(sets)], d)
+    weights = lloyd_pass(blocks, [(i, c) for i, c in enumerate(sets)], d)
     return {tag: (sets[i], np.maximum(weights[i][1], 1e-9).astype(float)) for i, (tag, _, _) in enumerate(models)}
 
 
@@ -143,87 +175,69 @@ def arrow_matrix(col, d: int | None = None) -> np.ndarray:
     return values.reshape(n, width)
 
 
-def _partial_sums_fn(run_centers: list, features: str, d: int):
+def _partial_sums_fn(run_centers: list, d: int):
     """mapInArrow body: per-partition (run, cluster) sums, counts and costs.
 
     One distance matrix for all runs' centres, one 0/1 assignment matrix, one
     matrix product for the sums — the only Python loop is an argmin per run.
     """
 
-    all_c = np.vstack([c for _, c in run_centers]) if run_centers else np.zeros((0, d))
-    bounds, a = [], 0
-    for rid, c in run_centers:
-        bounds.append((rid, a, a + c.shape[0]))
-        a += c.shape[0]
+    all_c = np.vstack([c for _, c in run_centers])
+    sizes = [len(c) for _, c in run_centers]
+    lo = np.concatenate([[0], np.cumsum(sizes)])
     cn = (all_c ** 2).sum(1)
 
     def fn(batches):
-        tot = all_c.shape[0]
-        acc_s = np.zeros((tot, d))
-        acc_n = np.zeros(tot, dtype=np.int64)
-        acc_cost = np.zeros(tot)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            Xb = arrow_matrix(batch.column(0), d)
-            for start in range(0, Xb.shape[0], CHUNK_ROWS):  # bounds the n x sum(k) matrices
-                X = Xb[start:start + CHUNK_ROWS]
-                G = (X ** 2).sum(1)[:, None] - 2.0 * (X @ all_c.T) + cn[None, :]
-                n = X.shape[0]
-                rows = np.arange(n)
-                A = np.zeros((n, tot))
-                for _, lo, hi in bounds:
-                    A[rows, lo + np.argmin(G[:, lo:hi], axis=1)] = 1.0
-                acc_n += A.sum(0).astype(np.int64)
-                acc_cost += (A * np.maximum(G, 0.0)).sum(0)
-                acc_s += A.T @ X
-        run_ids = np.concatenate([np.full(hi - lo, rid, dtype=np.int32) for rid, lo, hi in bounds])
-        clusters = np.concatenate([np.arange(hi - lo, dtype=np.int32) for _, lo, hi in bounds])
-        keep = acc_n > 0
-        cols = {"run": run_ids[keep], "cluster": clusters[keep], "n": acc_n[keep], "cost": acc_cost[keep]}
-        cols.update({f"s{i}": acc_s[keep, i] for i in range(d)})
-        if keep.any():
-            yield pa.RecordBatch.from_pydict(cols)
+        tot = len(all_c)
+        acc_s, acc_n, acc_cost = np.zeros((tot, d)), np.zeros(tot, np.int64), np.zeros(tot)
+        for X, _ in _chunks(batches, d):
+            rows, xn = np.arange(len(X)), (X ** 2).sum(1)
+            G = cn[None, :] - 2.0 * (X @ all_c.T)
+            A = np.zeros((len(X), tot))
+            for a, b in zip(lo[:-1], lo[1:]):
+                own = np.argmin(G[:, a:b], axis=1)
+                A[rows, a + own] = 1.0
+                acc_cost[a:b] += np.bincount(own, np.maximum(G[rows, a + own] + xn, 0.0), b - a)
+                acc_n[a:b] += np.bincount(own, minlength=b - a)
+            acc_s += A.T @ X
+        keep = np.flatnonzero(acc_n)
+        if len(keep):
+            run_ids = np.repeat(np.array([rid for rid, _ in run_centers], np.int32), sizes)
+            clusters = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+            ends = np.arange(len(keep) + 1, dtype=np.int32) * d
+            yield pa.RecordBatch.from_pydict({"run": run_ids[keep], "cluster": clusters[keep], "n": acc_n[keep], "cost": acc_cost[keep],
+                                              "s": pa.ListArray.from_arrays(pa.array(ends), pa.array(acc_s[keep].ravel()))})
     return fn
 
 
-def _partial_schema(d: int) -> T.StructType:
-    fields = [T.StructField("run", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
-              T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType())]
-    fields += [T.StructField(f"s{i}", T.DoubleType()) for i in range(d)]
-    return T.StructType(fields)
-
-
-def lloyd_pass(df: DataFrame, features: str, run_centers: list, d: int) -> dict:
-    """One distributed assignment pass: {run: (sums k×d, counts k, costs k)}."""
-    partial = (df.select(F.col(features).cast("array<double>").alias(features))
-                 .mapInArrow(_partial_sums_fn(run_centers, features, d), _partial_schema(d)))
+def lloyd_pass(blocks: DataFrame, run_centers: list, d: int) -> dict:
+    """One distributed assignment pass over packed rows: {run: (sums k×d, counts k, costs k)}."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    partial = blocks.mapInArrow(_partial_sums_fn(run_centers, d), "run int, cluster int, n long, cost double, s array<double>")
     out = {rid: (np.zeros((c.shape[0], d)), np.zeros(c.shape[0], dtype=np.int64), np.zeros(c.shape[0]))
            for rid, c in run_centers}
-    tbl = partial.groupBy("run", "cluster").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(d)]).toArrow()  # a row a centre
+    tbl = partial.groupBy("run", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                                vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s")).toArrow()  # a row a centre
     if not tbl.num_rows:
         return out
-    run, clus = tbl.column("run").to_numpy(), tbl.column("cluster").to_numpy()
-    cnt, cst = tbl.column("n").to_numpy(), tbl.column("cost").to_numpy()
-    sums = np.stack([tbl.column(f"s{i}").to_numpy() for i in range(d)], axis=1)
-    for r in range(tbl.num_rows):
-        s, n, cost = out[int(run[r])]
-        s[clus[r]], n[clus[r]], cost[clus[r]] = sums[r], cnt[r], cst[r]
+    sums = arrow_matrix(tbl.column("s"), d)
+    for r, (run, cluster, n, cost) in enumerate(zip(*(tbl.column(c).to_pylist() for c in ("run", "cluster", "n", "cost")))):
+        s, ns, costs = out[run]
+        s[cluster], ns[cluster], costs[cluster] = sums[r], n, cost
     return out
 
 
 def farthest_rows(df: DataFrame, features: str, key: str, wanted: list, d: int) -> dict:
     """{run: rows} with the largest distance to their centre, for ``wanted`` (run, centres, how many)."""
 
-    rows = df.select(F.col(features).cast("array<double>").alias("_x"), F.xxhash64(key).alias("_h"))
+    return _farthest(packed(df, features, key, d), wanted, d)
 
+
+def _farthest(blocks: DataFrame, wanted: list, d: int) -> dict:
     def fn(batches):
         best = {rid: (np.zeros(0), np.zeros((0, d)), np.zeros(0, np.int64)) for rid, _, _ in wanted}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            X, h = arrow_matrix(batch.column(0), d), batch.column(1).to_numpy()
+        for X, h in _chunks(batches, d):
             for rid, c, many in wanted:
                 d2 = np.concatenate([best[rid][0], _nearest_distance(X, c)])
                 keep = np.lexsort((np.concatenate([best[rid][2], h]), -d2))[:many]
@@ -232,7 +246,7 @@ def farthest_rows(df: DataFrame, features: str, key: str, wanted: list, d: int)
             if len(d2):
                 yield pa.RecordBatch.from_pydict({"run": pa.array(np.full(len(d2), rid, np.int32)), "d2": pa.array(d2), "h": pa.array(h), "x": pa.array(X.tolist(), pa.list_(pa.float64()))})
     most = {rid: many for rid, _, many in wanted}
-    ranked = rows.mapInArrow(fn, "run int, d2 double, h long, x array<double>").withColumn(
+    ranked = blocks.mapInArrow(fn, "run int, d2 double, h long, x array<double>").withColumn(
         "_r", F.row_number().over(Window.partitionBy("run").orderBy(F.desc("d2"), "h"))).where(F.col("_r") <= max(most.values()))
     out: dict = {rid: [] for rid in most}
     for r in ranked.orderBy("run", "_r").collect():  # as many rows as there are empty clusters
@@ -250,13 +264,14 @@ def kmeans_multi(df: DataFrame, features: str, key: str, ks, n_init: int = 10, m
     return kmeans_specs(df, features, key, [(k, n_init, max_iter) for k in ks], tol, seed)
 
 
-def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42) -> dict:
+def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-4, seed: int = 42, start: dict | None = None) -> dict:
     """Fit several models in the same passes over the data.
 
     ``specs`` items are ``(k, n_init, max_iter)`` (result keyed by k) or ``(tag, k, n_init, max_iter, seed)`` (result keyed by tag).
+    ``start`` gives a tag's start centres (one run); a negative ``tol`` keeps a run going until ``max_iter``.
     Returns the best run (lowest cost over its restarts) per key.  A model's result does not depend on the others.
     """
-    norm = []
+    norm, start = [], start or {}
     for sp in specs:
         if len(sp) == 3:
             k, r, m = sp
@@ -268,37 +283,45 @@ def kmeans_specs(df: DataFrame, features: str, key: str, specs, tol: float = 1e-
     if width is None:
         raise ValueError("no rows to cluster")
     d = int(width["d"])
-    (sums, n, square), = lloyd_pass(df, features, [(0, np.zeros((1, d)))], d).values()
+    blocks = packed(df, features, key, d).persist()
+    try:
+        return _fitted(blocks, d, norm, tol, start)
+    finally:
+        blocks.unpersist()
+
+
+def _fitted(blocks: DataFrame, d: int, norm: list, tol: float, start: dict) -> dict:
+    (sums, n, square), = lloyd_pass(blocks, [(0, np.zeros((1, d)))], d).values()
     total = max(int(n[0]), 1)
     tol_abs = tol * max(float(square[0] / total - ((sums[0] / total) ** 2).sum()) / d, 0.0)  # tol x the mean variance of the columns
-    seeds = seed_candidates(df, features, key, [(tag, k, sd + 1000 * k) for tag, k, _, _, sd in norm], d)
+    open_ = [(tag, k, sd + 1000 * k) for tag, k, _, _, sd in norm if tag not in start]
+    seeds = seed_candidates(blocks, open_, d) if open_ else {}
     runs = {}
     for tag, k, n_init, max_iter, sd in norm:
-        candidates, weights = seeds[tag]
-        for r in range(n_init):
-            rng = np.random.default_rng(sd + 1000 * k + r)
-            centers = weighted_kmeanspp(candidates, weights, k, rng)
-            runs[len(runs)] = dict(tag=tag, k=len(centers), run=r, centers=centers, n_iter=0, converged=False, max_iter=max_iter)
+        for r in range(1 if tag in start else n_init):
+            centers = np.array(start[tag], np.float64) if tag in start else weighted_kmeanspp(*seeds[tag], k, np.random.default_rng(sd + 1000 * k + r))
+            runs[len(runs)] = dict(tag=tag, k=len(centers), run=r, centers=centers, n_iter=0, converged=False, max_iter=max_iter, log=[])
     while True:
         active = {i: v for i, v in runs.items() if not (v["converged"] or v["n_iter"] >= v["max_iter"])}
         if not active:
             break
-        sums = lloyd_pass(df, features, [(i, v["centers"]) for i, v in active.items()], d)
+        sums = lloyd_pass(blocks, [(i, v["centers"]) for i, v in active.items()], d)
         wanted = [(i, v["centers"], int((sums[i][1] == 0).sum())) for i, v in active.items() if (sums[i][1] == 0).any()]
-        moved = farthest_rows(df, features, key, wanted, d) if wanted else {}
+        moved = _farthest(blocks, wanted, d) if wanted else {}
         for i, v in active.items():
-            s, n, _ = sums[i]
+            s, n, cost = sums[i]
             new = v["centers"].copy()
             filled = n > 0
             new[filled] = s[filled] / n[filled][:, None]
             for c, x in zip(np.flatnonzero(~filled), moved.get(i, [])):
                 new[c] = x
-            shift = float(((new - v["centers"]) ** 2).sum())
-            v["centers"], v["n_iter"], v["converged"] = new, v["n_iter"] + 1, shift <= tol_abs
-    last = lloyd_pass(df, features, [(i, v["centers"]) for i, v in runs.items()], d)
+            change = ((new - v["centers"]) ** 2).sum(1)
+            v["log"].append((float(cost.sum()), int((change > 0).sum()), float(change.sum())))
+            v["centers"], v["n_iter"], v["converged"] = new, v["n_iter"] + 1, float(change.sum()) <= tol_abs
+    last = lloyd_pass(blocks, [(i, v["centers"]) for i, v in runs.items()], d)
     best: dict = {}
     for i, v in runs.items():
-        run = KMeansRun(v["k"], v["run"], v["centers"], float(last[i][2].sum()), v["n_iter"], [int(x) for x in last[i][1]], v["converged"])
+        run = KMeansRun(v["k"], v["run"], v["centers"], float(last[i][2].sum()), v["n_iter"], [int(x) for x in last[i][1]], v["converged"], v["log"])
         if v["tag"] not in best or run.cost < best[v["tag"]].cost:
             best[v["tag"]] = run
     return {t: canonical(r) for t, r in best.items()}
@@ -308,7 +331,7 @@ def canonical(run: KMeansRun) -> KMeansRun:
     """Relabel clusters by size (descending), then by first coordinate, then old id."""
     order = sorted(range(run.k), key=lambda c: (-run.sizes[c], float(run.centers[c][0]), c))
     return KMeansRun(run.k, run.run, run.centers[order], run.cost, run.n_iter,
-                     [run.sizes[c] for c in order], run.converged)
+                     [run.sizes[c] for c in order], run.converged, run.log)
 
 
 def _labels(col, all_c: np.ndarray, bounds) -> np.ndarray:
