@@ -23,7 +23,6 @@ kept by ``identified_documents``, whatever their names; an empty table gives an
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -273,7 +272,8 @@ class Scorer:
         n = np.diff(offsets)
         out = {no: np.zeros(len(n)) for no in self.tables}
         for keys, doc in packed_pieces(codes, offsets, self.m["order"]):
-            where, distinct = pd.factorize(keys)
+            coded = pa.array(keys).dictionary_encode()
+            where, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy()
             for no, h in out.items():
                 h -= np.bincount(doc, self._log(no, distinct)[where], len(n))
         return {no: h / np.maximum(n, 1) for no, h in out.items()}, n

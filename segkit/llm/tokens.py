@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 21
+PIECE = 1 << 18
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +121,7 @@ class WordHasher:
         return hashes, np.searchsorted(starts, bounds), starts, ends, data
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Cuts a batch into slices whose texts hold about ``limit`` bytes (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total, first = 0, 0
