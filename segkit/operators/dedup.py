@@ -60,10 +60,18 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, keys, exclude=()) -> DataFrame:
-    """Q10: rows before, after full-row dedup, after key dedup, removed (one pass)."""
+    """Q10: rows before, after full-row dedup, after key dedup, removed.
+
+    Equal rows are counted first and their keys after that, two plain aggregates; ``keys`` are among the compared columns.
+    """
     compare = [c for c in df.columns if c not in set(exclude)]
-    return df.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_distinct(F.struct(*compare)).alias("rows_after_full"),
-        F.count_distinct(F.struct(*keys)).alias("rows_after"),
+    if set(keys) - set(compare):
+        raise ValueError(f"keys {sorted(set(keys) - set(compare))} are not compared")
+    rows = df.groupBy(*compare).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = rows.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_full"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return per_key.agg(
+        zero(F.sum("_n")).alias("rows_before"),
+        zero(F.sum("_full")).alias("rows_after_full"),
+        F.count(F.lit(1)).alias("rows_after"),
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))

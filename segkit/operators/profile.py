@@ -89,10 +89,14 @@ def indicator_rate(df: DataFrame, group: str, col: str, value, alias="rate_pct",
 
 
 def share_within(df: DataFrame, group: str, col: str, digits: int = 1) -> DataFrame:
-    """Count of each value inside its group and its share of the group (%)."""
+    """Count of each value inside its group and its share of the group (%).
+
+    Totals are an aggregate joined back, so a group with many values is never one task's window.
+    """
     counts = crosstab(df, group, col)
-    w = Window.partitionBy(group)
-    return counts.withColumn("share_pct", fixed_round(F.col(N) * 100.0 / F.sum(N).over(w), digits))
+    totals = counts.groupBy(group).agg(F.sum(N).alias("_total"))
+    return (counts.join(totals, on=group)
+            .select(group, col, N, fixed_round(F.col(N) * 100.0 / F.col("_total"), digits).alias("share_pct")))
 
 
 def share_total(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -123,13 +127,9 @@ def kpi_row(df: DataFrame, segment: str, score: str = "satisfaction_score",
         fixed_round(F.col("_dn") * 100.0 / F.col("rows"), 1).alias("dominant_pct"))
 
 
-def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """Sorted distinct non-null values, bounded (used for pivot columns and options)."""
-    vals = (df.where(F.col(col).isNotNull()).select(col).distinct()
-              .orderBy(col).limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} distinct values")
-    return [r[0] for r in vals]
+def distinct_values(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-null values, on the driver (they become column names)."""
+    return [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
 
 
 def pivot_zero(df: DataFrame, row: str, col: str, values=None) -> DataFrame:
@@ -160,21 +160,51 @@ def hierarchy_rollup(df: DataFrame, parent: str, child: str) -> DataFrame:
                .select(parent, child, F.when(F.col("level") == 0, 2).otherwise(1).alias("depth"), N))
 
 
+def value_places(df: DataFrame, group: str, x: str) -> DataFrame:
+    """(group, x, n, before, total): distinct values with their count, the number of smaller rows of the group, and the group's rows.
+
+    (group, value) counts are cut into ranges, written, and summed up inside each (range, group); what precedes a range is a sum over the
+    group's ranges.  A group with a third of all values is thus spread over its ranges.  Null values count nowhere.
+    """
+    from segkit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.where(F.col(x).isNotNull()).groupBy(group, x).agg(count_rows().alias(N))
+    cut = counts.repartitionByRange(F.col(group), F.col(x)).withColumn("_range", F.spark_partition_id()).checkpoint()
+    inside = Window.partitionBy(group, "_range").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = cut.groupBy(group, "_range").agg(F.sum(N).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranges.select(group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
+                          F.sum("_n").over(Window.partitionBy(group)).alias("total"))
+    return (cut.withColumn("_local", F.coalesce(F.sum(N).over(inside), F.lit(0))).join(bases, [group, "_range"])
+            .select(group, x, N, (F.col("_base") + F.col("_local")).alias("before"), "total"))
+
+
 def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: int = 4) -> DataFrame:
     """Min, quartiles (linear interpolation) and max per group.
 
-    ``exact=False`` uses ``percentile_approx`` (bounded memory for continuous values).
+    The exact form picks the values at the quartiles' ranks (``value_places``); ``exact=False`` uses ``percentile_approx``.
     """
-    if exact:
-        q = [F.percentile(F.col(x), p) for p in (0.25, 0.5, 0.75)]
-    else:
-        q = [F.percentile_approx(F.col(x), p, 10_000) for p in (0.25, 0.5, 0.75)]
     src = _drop_null_keys(df, [group], False)
-    return src.groupBy(group).agg(
-        F.min(x).cast("double").alias("min_value"),
-        fixed_round(q[0], digits).alias("q1"), fixed_round(q[1], digits).alias("median"),
-        fixed_round(q[2], digits).alias("q3"), F.max(x).cast("double").alias("max_value"),
-        count_rows().alias(N))
+    if not exact:
+        q = [F.percentile_approx(F.col(x), p, 10_000) for p in (0.25, 0.5, 0.75)]
+        return src.groupBy(group).agg(
+            F.min(x).cast("double").alias("min_value"),
+            fixed_round(q[0], digits).alias("q1"), fixed_round(q[1], digits).alias("median"),
+            fixed_round(q[2], digits).alias("q3"), F.max(x).cast("double").alias("max_value"),
+            count_rows().alias(N))
+    places = value_places(src, group, x)
+
+    def at(rank):  # the value whose rows hold this rank (from 0)
+        return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col(N)), F.col(x))).cast("double")
+    picked = []
+    for p in (0.25, 0.5, 0.75):
+        place = p * (F.col("total") - 1)
+        picked += [at(F.floor(place)).alias(f"_lo{p}"), at(F.ceil(place)).alias(f"_hi{p}"), F.max(place - F.floor(place)).alias(f"_part{p}")]
+    wide = places.groupBy(group).agg(F.min(x).cast("double").alias("min_value"), F.max(x).cast("double").alias("max_value"), *picked)
+    quartile = lambda p: fixed_round(F.col(f"`_lo{p}`") + F.col(f"`_part{p}`") * (F.col(f"`_hi{p}`") - F.col(f"`_lo{p}`")), digits)
+    rows = src.groupBy(group).agg(count_rows().alias(N))  # rows without a value count, and a group of them has no quartiles
+    return rows.join(wide, on=group, how="left").select(
+        group, "min_value", quartile(0.25).alias("q1"), quartile(0.5).alias("median"), quartile(0.75).alias("q3"), "max_value", N)
 
 
 def histogram(df: DataFrame, group: str, x: str, lo: float, width: float, bins: int) -> DataFrame:
@@ -214,10 +244,18 @@ def fixed_groups_stats(df: DataFrame, group: str, groups, score: str = "satisfac
 
 
 def distinct_counts(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """Number of distinct non-null values per column."""
-    f = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    wide = df.agg(*[f(c).alias(c) for c in cols])
-    return wide.unpivot([], list(cols), "column", "distinct_values")
+    """Number of distinct non-null values per column.
+
+    Exact: (column, value) pairs are made distinct by one aggregate that combines in every task, then counted per column; no
+    aggregate holds a column's values.  ``approx`` takes mergeable HyperLogLog sketches.
+    """
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
+        return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in cols])).alias("r")).select("r.*")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])).alias("r"))
+    counts = pairs.where(F.col("r.value").isNotNull()).groupBy("r.i", "r.value").agg(F.lit(1).alias("one")).groupBy("i").agg(count_rows().alias(N))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, column string")
+    return names.join(counts, "i", "left").select("column", F.coalesce(F.col(N), F.lit(0)).cast("bigint").alias("distinct_values"))
 
 
 def cluster_sizes(df: DataFrame, pred: str, k: int) -> DataFrame:
@@ -230,20 +268,15 @@ def cluster_sizes(df: DataFrame, pred: str, k: int) -> DataFrame:
 
 
 def purity(df: DataFrame, cluster: str, truth: str, digits: int = 4) -> DataFrame:
-    """Per cluster: size, dominant class and purity, runner-up and its share."""
+    """Per cluster: size, dominant class and purity, runner-up and its share (aggregates joined back, no window over a cluster)."""
     cont = crosstab(df, cluster, truth)
-    w = Window.partitionBy(cluster).orderBy(F.desc(N), F.asc(truth))
-    ranked = cont.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
-    per = ranked.groupBy(cluster).agg(
-        F.max(F.when(F.col("_r") == 1, F.col(truth))).alias("dominant"),
-        F.max(F.when(F.col("_r") == 1, F.col(N))).alias("_n1"),
-        F.max(F.when(F.col("_r") == 2, F.col(truth))).alias("runner_up"),
-        F.max(F.when(F.col("_r") == 2, F.col(N))).alias("_n2"))
-    sizes = cont.groupBy(cluster).agg(F.sum(N).alias("size"))
-    return per.join(sizes, on=cluster).select(
-        cluster, F.col("size").cast("bigint").alias("size"), "dominant",
-        fixed_round(F.col("_n1") / F.col("size"), digits).alias("purity"),
-        "runner_up", fixed_round(F.col("_n2") / F.col("size"), digits).alias("runner_up_share"))
+    best = F.min(F.struct((-F.col(N)).alias("less"), F.col(truth).alias("name")))
+    first = cont.groupBy(cluster).agg(F.sum(N).alias("size"), best.alias("_first"))
+    second = (cont.join(first, on=cluster).where(F.col(truth) != F.col("_first.name")).groupBy(cluster).agg(best.alias("_second")))
+    share = lambda c: fixed_round(-F.col(f"{c}.less") / F.col("size"), digits)
+    return first.join(second, on=cluster, how="left").select(
+        cluster, F.col("size").cast("bigint").alias("size"), F.col("_first.name").alias("dominant"), share("_first").alias("purity"),
+        F.col("_second.name").alias("runner_up"), share("_second").alias("runner_up_share"))
 
 
 def sort_groups(df: DataFrame, group: str, descending: bool = True) -> DataFrame:
