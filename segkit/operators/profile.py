@@ -161,22 +161,22 @@ def hierarchy_rollup(df: DataFrame, parent: str, child: str) -> DataFrame:
 
 
 def value_places(df: DataFrame, group: str, x: str) -> DataFrame:
-    """(group, x, n, before, total): distinct values with their count, the number of smaller rows of the group, and the group's rows.
+    """(group, x, _rows, before, total): distinct values with their count, the number of smaller rows of the group, and the group's rows.
 
     (group, value) counts are cut into ranges, written, and summed up inside each (range, group); what precedes a range is a sum over the
     group's ranges.  A group with a third of all values is thus spread over its ranges.  Null values count nowhere.
     """
     from segkit.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    counts = df.where(F.col(x).isNotNull()).groupBy(group, x).agg(count_rows().alias(N))
+    counts = df.where(F.col(x).isNotNull()).groupBy(group, x).agg(count_rows().alias("_rows"))
     cut = counts.repartitionByRange(F.col(group), F.col(x)).withColumn("_range", F.spark_partition_id()).checkpoint()
     inside = Window.partitionBy(group, "_range").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = cut.groupBy(group, "_range").agg(F.sum(N).alias("_n"))
+    ranges = cut.groupBy(group, "_range").agg(F.sum("_rows").alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = ranges.select(group, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
                           F.sum("_n").over(Window.partitionBy(group)).alias("total"))
-    return (cut.withColumn("_local", F.coalesce(F.sum(N).over(inside), F.lit(0))).join(bases, [group, "_range"])
-            .select(group, x, N, (F.col("_base") + F.col("_local")).alias("before"), "total"))
+    return (cut.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(bases, [group, "_range"])
+            .select(group, x, "_rows", (F.col("_base") + F.col("_local")).alias("before"), "total"))
 
 
 def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: int = 4) -> DataFrame:
@@ -195,7 +195,7 @@ def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: i
     places = value_places(src, group, x)
 
     def at(rank):  # the value whose rows hold this rank (from 0)
-        return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col(N)), F.col(x))).cast("double")
+        return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("_rows")), F.col(x))).cast("double")
     picked = []
     for p in (0.25, 0.5, 0.75):
         place = p * (F.col("total") - 1)
