@@ -327,6 +327,13 @@ def _fitted(blocks: DataFrame, d: int, norm: list, tol: float, start: dict) -> d
     return {t: canonical(r) for t, r in best.items()}
 
 
+def start_rows(df: DataFrame, features: str, key: str, k: int, salt: str = "start") -> np.ndarray:
+    """Start centres that depend on the keys alone: the k rows with the smallest md5(salt:key)."""
+    from segkit.functions.hashing import hash_rank_key
+    order = [hash_rank_key(salt, key), F.col(key)]
+    return np.array([r[0] for r in df.orderBy(*order).limit(k).select(F.col(features).cast("array<double>")).collect()])
+
+
 def canonical(run: KMeansRun) -> KMeansRun:
     """Relabel clusters by size (descending), then by first coordinate, then old id."""
     order = sorted(range(run.k), key=lambda c: (-run.sizes[c], float(run.centers[c][0]), c))

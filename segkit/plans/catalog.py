@@ -960,15 +960,148 @@ def q_linkage(spark, sf):
     return fit_ward(X, "features", SG.KEY, FINAL_K).linkage_frame(spark)
 
 
-@query("bisecting")
-def q_bisecting(spark, sf):
-    """Pure-ML divisive alternative: Spark ML BisectingKMeans at k=4."""
-    from pyspark.ml.clustering import BisectingKMeans
-    from segkit.operators.features import to_vector
-    _fm, X, _ = _features_table(spark, sf)
-    vec = to_vector(X, "features", "fv")
-    model = BisectingKMeans(k=FINAL_K, seed=42, featuresCol="fv", predictionCol="bisecting_cluster").fit(vec)
-    return model.transform(vec).select(SG.KEY, SG.LABEL, "bisecting_cluster")
+GIVEN_PASSES = 3
+
+
+def _given_ctes(k: int) -> str:
+    """c0 .. c3: centres after each pass from the k rows with the smallest md5; a0 .. a3: each row's nearest centre and its squared distance."""
+    ctes = [f"""ex{k} AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim
+    FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))""",
+            f"""s{k} AS (SELECT vec_id, row_number() OVER (ORDER BY md5('start:' || CAST(vec_id AS varchar)), vec_id) - 1 AS cl FROM embeddings
+    ORDER BY md5('start:' || CAST(vec_id AS varchar)), vec_id LIMIT {k})""",
+            f"c{k}_0 AS MATERIALIZED (SELECT cl, dim, x AS cx FROM ex{k} JOIN s{k} USING (vec_id))"]
+    for p in range(GIVEN_PASSES + 1):
+        ctes.append(f"""a{k}_{p} AS MATERIALIZED (SELECT vec_id, arg_min(cl, (d2, cl)) AS cl, min(d2) AS d2 FROM (
+        SELECT vec_id, cl, sum((x - cx) * (x - cx)) AS d2 FROM ex{k} JOIN c{k}_{p} USING (dim) GROUP BY vec_id, cl) GROUP BY vec_id)""")
+        if p < GIVEN_PASSES:
+            ctes.append(f"c{k}_{p + 1} AS MATERIALIZED (SELECT cl, dim, avg(x) AS cx FROM ex{k} JOIN a{k}_{p} USING (vec_id) GROUP BY cl, dim)")
+    return ",\n".join(ctes)
+
+
+def _given(spark, sf, ks):
+    """Lloyd passes on the embeddings from given start rows, all k in the same passes."""
+    e = _embeddings(spark, sf).persist()
+    start = {k: KM.start_rows(e, "v", "vec_id", k) for k in ks}
+    runs = KM.kmeans_specs(e, "v", "vec_id", [(k, k, 1, GIVEN_PASSES, 0) for k in ks], tol=-1.0, start=start)
+    e.unpersist()
+    return runs
+
+
+@query("kmeans_given", f"""WITH {_given_ctes(FINAL_K)},
+z AS (SELECT cl, count(*) AS n FROM a{FINAL_K}_{GIVEN_PASSES} GROUP BY cl),
+o AS (SELECT z.cl, CAST(row_number() OVER (ORDER BY z.n DESC, c.cx, z.cl) - 1 AS integer) AS cluster
+      FROM z JOIN c{FINAL_K}_{GIVEN_PASSES} c ON c.cl = z.cl AND c.dim = 0)
+SELECT vec_id, cluster FROM a{FINAL_K}_{GIVEN_PASSES} JOIN o USING (cl)""")
+def q_kmeans_given(spark, sf):
+    """K1 with given start centres: labels after three passes."""
+    run = _given(spark, sf, [FINAL_K])[FINAL_K]
+    return KM.assign(_embeddings(spark, sf), run.centers, "v", "cluster").select("vec_id", "cluster")
+
+
+@query("kmeans_passes", f"WITH {_given_ctes(FINAL_K)}\n" + " UNION ALL ".join(
+    f"SELECT {p} AS pass, {O.rnd(f'(SELECT sum(d2) FROM a{FINAL_K}_{p})', 4)} AS cost, {O.rnd('sum((n.cx - o.cx) * (n.cx - o.cx))', 4)} AS shift "
+    f"FROM c{FINAL_K}_{p} o JOIN c{FINAL_K}_{p + 1} n USING (cl, dim)" for p in range(GIVEN_PASSES)))
+def q_kmeans_passes(spark, sf):
+    """K4: cost and shift of the centres, pass by pass."""
+    log = _given(spark, sf, [FINAL_K])[FINAL_K].log
+    rows = spark.createDataFrame([(p, cost, shift) for p, (cost, _, shift) in enumerate(log)], "pass int, cost double, shift double")
+    return rows.select("pass", S.fixed_round("cost", 4).alias("cost"), S.fixed_round("shift", 4).alias("shift"))
+
+
+GIVEN_KS = (2, 3, 4)
+
+
+@query("k_sweep_given", "WITH " + ",\n".join(_given_ctes(k) for k in GIVEN_KS) + "\n" + " UNION ALL ".join(
+    f"SELECT {k} AS k, {O.rnd('sum(d2)', 4)} AS inertia FROM a{k}_{GIVEN_PASSES}" for k in GIVEN_KS))
+def q_k_sweep_given(spark, sf):
+    """K2 with given start centres: inertia of each k after three shared passes."""
+    rows = spark.createDataFrame([(k, run.cost) for k, run in _given(spark, sf, GIVEN_KS).items()], "k int, inertia double")
+    return rows.select("k", S.fixed_round("inertia", 4).alias("inertia"))
+
+
+@query("ward_tree", f"""WITH ex AS (SELECT unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
+SELECT (SELECT count(DISTINCT embedding) FROM embeddings) - 1 AS merges, (SELECT count(*) FROM embeddings) AS root_size,
+       {O.rnd('sum(ss)', 3)} AS between FROM (SELECT var_pop(x) * count(*) AS ss FROM ex GROUP BY dim)""")
+def q_ward_tree(spark, sf):
+    """K7 + K8 on the rows: merges, size of the last, and half the squared heights, which is the rows' sum of squares about their mean."""
+    from segkit.operators.ward_rows import ward_rows
+    _, merges = ward_rows(_embeddings(spark, sf), "v", finish=128)
+    out = merges.agg(F.count(F.lit(1)).alias("merges"), F.max("size").alias("root_size"), (F.sum(F.col("distance") * F.col("distance")) / 2).alias("ss"))
+    return out.select("merges", "root_size", S.fixed_round("ss", 3).alias("between"))
+
+
+def _scored_ctes() -> str:
+    """best: each cleaned buyer's nearest cohort centroid in the encoded space, by the norms and products of sparse rows."""
+    ones = [f"SELECT client_id, cohort_label, '{c}_' || {c} AS feature, 1.0::DOUBLE AS value FROM b WHERE {c} = (SELECT max({c}) FROM b)" for c in BINARY]
+    ones += [f"SELECT client_id, cohort_label, '{c}_' || {c}, 1.0::DOUBLE FROM b WHERE {c} IS NOT NULL" for c in MULTI]
+    ones += [f"SELECT client_id, cohort_label, '{c}', (({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ())::DOUBLE FROM b" for c in NUMERIC]
+    return O.clean_ctes() + f""",
+lf AS MATERIALIZED ({" UNION ALL ".join(ones)}),
+sz AS (SELECT cohort_label, count(*) AS n FROM b GROUP BY cohort_label),
+ce AS MATERIALIZED (SELECT cohort_label AS cl, feature, sum(value) / any_value(n) AS c FROM lf JOIN sz USING (cohort_label) GROUP BY cohort_label, feature),
+qn AS (SELECT cl, sum(c * c) AS q FROM ce GROUP BY cl),
+pr AS (SELECT client_id, cl, sum(value * c) AS p FROM lf JOIN ce USING (feature) GROUP BY client_id, cl),
+nu AS (SELECT cl, CAST(row_number() OVER (ORDER BY cl) - 1 AS integer) AS cluster FROM qn),
+best AS (SELECT client_id, arg_min(cluster, (q - 2 * p, cluster)) AS cluster FROM pr JOIN qn USING (cl) JOIN nu USING (cl) GROUP BY client_id)"""
+
+
+def _cohort_model(spark, sf):
+    """Encoded buyers and a model whose centres are the cohorts' centroids, in the cohorts' order."""
+    import numpy as np
+    fm, X, imp = _features_table(spark, sf)
+    rows = KM.centers_by(X, SG.LABEL, "features").orderBy(SG.LABEL).collect()  # one row a cohort
+    centers = np.array([r["center"] for r in rows])
+    return fm, X, imp, KM.KMeansRun(len(rows), 0, centers, 0.0, 0, [], True)
+
+
+@query("save_load_given", f"WITH {_scored_ctes()}\nSELECT client_id, cluster FROM best")
+def q_save_load_given(spark, sf):
+    """S5 + S6 + K9 with the cohorts' centroids: saved, loaded, and new records scored."""
+    from segkit.plans.clean import imputer_fill_dict
+    from segkit.sources.artifacts import load_models, save_models
+    from segkit.streaming.scoring import score
+    fm, X, imp, run = _cohort_model(spark, sf)
+    path = scratch_path(spark, "models")
+    save_models(spark, path, fm, run, imputer_fills=imputer_fill_dict(imp))
+    X.unpersist()
+    loaded = load_models(spark, path)
+    return score(dedup_buyers(buyers_ordered(spark, sf)), loaded["features"], loaded["kmeans"], loaded["imputer"]).select("client_id", "cluster")
+
+
+@query("stream_given", f"WITH {_scored_ctes()}\nSELECT client_id, cluster FROM best")
+def q_stream_given(spark, sf):
+    """K10 with the cohorts' centroids: files of new records scored by a stream that is stopped and started again."""
+    from segkit.plans.clean import imputer_fill_dict
+    from segkit.streaming.scoring import score_stream
+    fm, X, imp, run = _cohort_model(spark, sf)
+    X.unpersist()
+    new_rows = dedup_buyers(buyers_ordered(spark, sf))
+    incoming, sink, ckpt = (scratch_path(spark, n) for n in ("incoming", "scored", "scored-ckpt"))
+    half = F.pmod(F.xxhash64("client_id"), F.lit(2))
+    for part in (0, 1):
+        new_rows.where(half == part).repartition(2).write.mode("append").parquet(incoming)
+        score_stream(spark, incoming, new_rows.schema, fm, run, sink, ckpt, imputer_fill_dict(imp)).awaitTermination()
+    return spark.read.parquet(sink).select("client_id", "cluster")
+
+
+@query("export_given", f"WITH {_scored_ctes()}\nSELECT b.client_id, b.cohort_label, best.cluster, b.age, b.country FROM b JOIN best USING (client_id)")
+def q_export_given(spark, sf):
+    """S4 with the cohorts' centroids: the labelled table as CSV and back."""
+    _fm, X, _, run = _cohort_model(spark, sf)
+    labelled = KM.assign(X, run.centers, "features", "cluster").select("client_id", "cohort_label", "cluster", "age", "country")
+    path = scratch_path(spark, "labelled-given")
+    csv_io.write_csv(labelled, path)
+    X.unpersist()
+    return csv_io.read_csv(spark, path, labelled.schema)
+
+
+@query("csv_inferred", """SELECT p_partkey, p_name, p_brand, CAST(p_size AS bigint) AS p_size, p_retailprice, CAST(p_size > 25 AS boolean) AS large,
+       date '2024-01-01' + CAST(p_size AS integer) AS listed, CAST(NULL AS varchar) AS nothing FROM part""")
+def q_csv_inferred(spark, sf):
+    """A CSV table read back with the types of its values."""
+    part = T(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice", (F.col("p_size") > 25).alias("large"),
+                                       F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).alias("listed"), F.lit(None).cast("string").alias("nothing"))
+    return csv_io.read_csv_inferred(spark, csv_io.write_csv(part, scratch_path(spark, "csv-inferred")))
 
 
 @query("save_load_score")
