@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segkit.llm import sql
 from segkit.session import ship_package
@@ -91,6 +92,24 @@ def op13_urls(spark, sf_dir):
     return digest(_table(spark, sf_dir, "pages"))
 
 
+def edited_texts(spark, sf_dir):
+    """What op6 compares each document with: its length, and the hash of its edited text."""
+    return op6_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def mix_targets(spark, sf_dir):
+    """What op7 aims at: each document's words, its source's words and target."""
+    return op7_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+def shard_slots(spark, sf_dir):
+    """What op10 promises: rows of each shard, and its slots from the first to the last."""
+    return op10_shards(spark, sf_dir).groupBy("shard").agg(
+        F.count("*").alias("rows"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count_distinct("slot").alias("slots"))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_lm_score, op3_jaccard_join, op4_decontaminate, op5_language, op6_fingerprints,
-                                   op7_mix, op8_training_order, op9_toxicity, op10_shards, op11_importance, op12_spelling, op13_urls)}
-ORACLE: dict[str, str] = {"op11_importance": sql.IMPORTANCE, "op12_spelling": sql.SPELLING}
+                                   op7_mix, op8_training_order, op9_toxicity, op10_shards, op11_importance, op12_spelling, op13_urls,
+                                   edited_texts, mix_targets, shard_slots)}
+ORACLE: dict[str, str] = {"op4_decontaminate": sql.CONTAMINATION, "op11_importance": sql.IMPORTANCE, "op12_spelling": sql.SPELLING,
+                          "edited_texts": sql.EDITED, "mix_targets": sql.MIX_TARGETS, "shard_slots": sql.SHARD_SLOTS}

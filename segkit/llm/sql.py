@@ -69,3 +69,47 @@ chain AS (
 ends AS (SELECT chain.word, chain.root FROM chain JOIN table1 ON table1.word = chain.root WHERE table1.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM table1 JOIN ends USING (word)
 """
+
+CONTAMINATION = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS no, doc_id, {WORDS} AS w FROM documents),
+b AS MATERIALIZED (SELECT item_id, {WORDS} AS w FROM benchmark),
+windows AS MATERIALIZED (
+    SELECT DISTINCT item_id, least(len(w), 13) AS m, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+spans AS (SELECT DISTINCT m FROM windows),
+grams AS (
+    SELECT no, m, i, array_to_string(list_slice(w, i, i + m - 1), ' ') AS g
+    FROM (SELECT no, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, spans WHERE len(w) >= m)),
+hits AS MATERIALIZED (SELECT no, grams.m AS m, i, item_id FROM grams JOIN windows ON windows.m = grams.m AND windows.g = grams.g),
+covered AS (SELECT no, count(DISTINCT place) AS n_hit FROM (SELECT no, unnest(range(i, i + m)) AS place FROM hits) GROUP BY no),
+named AS (SELECT no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT no, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY no)
+SELECT doc_id::BIGINT AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (no) LEFT JOIN named USING (no)
+"""
+
+EDITED = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+    first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS following FROM documents)
+SELECT doc_id::BIGINT AS doc_id, length(text)::BIGINT AS n_chars,
+    sha256(substr(text, 1, length(text) - length(text) // 2) || substr(following, 1, length(text) // 2)) AS edited_sha256 FROM t
+"""
+
+#: A source stops at twice its words: in rising order of (twice the words) / weight, the first j are full where the level of the rest stays below the next.
+MIX_TARGETS = r"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+    FROM sized GROUP BY source),
+filled AS (SELECT *, sum(2 * source_size) OVER w - 2 * source_size AS before, sum(weight) OVER () - sum(weight) OVER w + weight AS open_weight,
+    1.5 * sum(source_size) OVER () AS goal FROM sources WINDOW w AS (ORDER BY 2.0 * source_size / weight, source ROWS UNBOUNDED PRECEDING)),
+level AS (SELECT max((goal - before) / open_weight) FILTER (WHERE weight * (goal - before) / open_weight <= 2 * source_size) AS level FROM filled)
+SELECT doc_id::BIGINT AS doc_id, size, source_size, round(least(2.0 * source_size, weight * coalesce(level, 1e300)), 3)::DOUBLE AS target
+FROM sized JOIN filled ON sized.source IS NOT DISTINCT FROM filled.source, level
+"""
+
+SHARD_SLOTS = """
+SELECT s::INT AS shard, n::BIGINT AS rows, 0::BIGINT AS first_slot, (n - 1)::BIGINT AS last_slot, n::BIGINT AS slots
+FROM (SELECT s, (SELECT count(*) FROM documents) // 40 + CASE WHEN s < (SELECT count(*) FROM documents) % 40 THEN 1 ELSE 0 END AS n FROM range(40) t(s))
+WHERE n > 0
+"""
