@@ -33,7 +33,7 @@ from segkit.llm.store import SortedCounts, merged, planes, range_of, save_counts
 from segkit.llm.tokens import GOLDEN, WordHasher, mix, segment_sums, slices, space_words
 
 END = np.uint64(0x656E64)  # hash of the end token; word hashes are 64-bit mixes
-HELD = 1_500_000           # n-grams that a task merges before it hands them on
+HELD = 700_000             # n-grams that a task merges before it hands them on
 RANGE_BYTES = 16 << 20     # bytes of text for each range of keys; at most one n-gram for every two of them
 ROW = "kind string, part int, n long, keys binary, counts binary, extra binary"
 TOTALS = ("total", "one", "two", "three")  # of a context: all counts, and how many n-grams have count 1, 2, 3 and more
