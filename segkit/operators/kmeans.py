@@ -2,9 +2,9 @@
 
 The rows are packed once into blocks: one binary matrix of up to ``BLOCK_ROWS`` feature rows with their key hashes, cached for the run.
 Each Lloyd iteration is ONE Spark job for all (k, restart) runs: every task assigns its blocks' rows to the nearest centre of every active
-run (numpy) and emits per-cluster partial sums, one row per (run, cluster) per partition, the sums as one array.  A shuffled aggregate
-(``Summarizer``, one vector a group) reduces them to ``sum(k) x d`` numbers, which are the only thing the driver sees.  The number of passes
-over the data is the iteration count, not runs x k x iterations.
+run (numpy) and emits its counts, costs and sums as one vector.  About sqrt(cores) tasks add the vectors up (``summed``), so the driver
+sees that many of ``sum(k) x (d + 2)`` numbers and nothing is planned or compiled per pass.  The number of passes over the data is the
+iteration count, not runs x k x iterations.
 
 Seeding is k-means||: starting from one row, every round draws rows from the WHOLE table with probability proportional to their squared
 distance from the candidates so far (by a hash of seed, round and key, so partitioning and companions in the call don't matter); the
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -175,8 +177,38 @@ def arrow_matrix(col, d: int | None = None) -> np.ndarray:
     return values.reshape(n, width)
 
 
+def summed(partial: DataFrame) -> np.ndarray | None:
+    """The sum of the vectors of ``partial`` (part int, v binary: doubles, one row a task, all of one length); None without rows.
+
+    About sqrt(cores) tasks add up what the first tasks send, and the driver adds up theirs, in the order of ``part``: no place sees
+    more than its share of the tasks, nothing is planned per component, and a rerun adds in the same order.
+    """
+    fan = max(1, math.isqrt(partial.sparkSession.sparkContext.defaultParallelism))
+
+    def add(batches):
+        total, first = None, 0
+        for batch in batches:
+            for part, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(v.as_buffer(), np.float64)
+                if total is None:
+                    total, first = x.copy(), part
+                else:
+                    total += x
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([first], pa.int32()), "v": pa.array([total.tobytes()], pa.binary())})
+    out = partial.repartition(fan, "part").sortWithinPartitions("part").mapInArrow(add, "part int, v binary").toArrow()  # ``fan`` rows at most
+    vectors = [np.frombuffer(v, np.float64) for _, v in sorted(zip(out.column("part").to_pylist(), out.column("v").to_pylist()))]
+    return np.sum(vectors, axis=0) if vectors else None
+
+
+def task_vector(v: np.ndarray) -> pa.RecordBatch:
+    """A task's row for ``summed``."""
+    from pyspark import TaskContext
+    return pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "v": pa.array([v.tobytes()], pa.binary())})
+
+
 def _partial_sums_fn(run_centers: list, d: int):
-    """mapInArrow body: per-partition (run, cluster) sums, counts and costs.
+    """mapInArrow body: a task's counts, costs and sums of all runs' clusters, in one vector.
 
     One distance matrix for all runs' centres, one 0/1 assignment matrix, one
     matrix product for the sums — the only Python loop is an argmin per run.
@@ -189,7 +221,7 @@ def _partial_sums_fn(run_centers: list, d: int):
 
     def fn(batches):
         tot = len(all_c)
-        acc_s, acc_n, acc_cost = np.zeros((tot, d)), np.zeros(tot, np.int64), np.zeros(tot)
+        acc_s, acc_n, acc_cost = np.zeros((tot, d)), np.zeros(tot), np.zeros(tot)
         for X, _ in _chunks(batches, d):
             rows, xn = np.arange(len(X)), (X ** 2).sum(1)
             G = cn[None, :] - 2.0 * (X @ all_c.T)
@@ -200,32 +232,20 @@ def _partial_sums_fn(run_centers: list, d: int):
                 acc_cost[a:b] += np.bincount(own, np.maximum(G[rows, a + own] + xn, 0.0), b - a)
                 acc_n[a:b] += np.bincount(own, minlength=b - a)
             acc_s += A.T @ X
-        keep = np.flatnonzero(acc_n)
-        if len(keep):
-            run_ids = np.repeat(np.array([rid for rid, _ in run_centers], np.int32), sizes)
-            clusters = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
-            ends = np.arange(len(keep) + 1, dtype=np.int32) * d
-            yield pa.RecordBatch.from_pydict({"run": run_ids[keep], "cluster": clusters[keep], "n": acc_n[keep], "cost": acc_cost[keep],
-                                              "s": pa.ListArray.from_arrays(pa.array(ends), pa.array(acc_s[keep].ravel()))})
+        if acc_n.any():
+            yield task_vector(np.concatenate([acc_n, acc_cost, acc_s.ravel()]))
     return fn
 
 
 def lloyd_pass(blocks: DataFrame, run_centers: list, d: int) -> dict:
     """One distributed assignment pass over packed rows: {run: (sums k×d, counts k, costs k)}."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    partial = blocks.mapInArrow(_partial_sums_fn(run_centers, d), "run int, cluster int, n long, cost double, s array<double>")
-    out = {rid: (np.zeros((c.shape[0], d)), np.zeros(c.shape[0], dtype=np.int64), np.zeros(c.shape[0]))
-           for rid, c in run_centers}
-    tbl = partial.groupBy("run", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                                                vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s")).toArrow()  # a row a centre
-    if not tbl.num_rows:
-        return out
-    sums = arrow_matrix(tbl.column("s"), d)
-    for r, (run, cluster, n, cost) in enumerate(zip(*(tbl.column(c).to_pylist() for c in ("run", "cluster", "n", "cost")))):
-        s, ns, costs = out[run]
-        s[cluster], ns[cluster], costs[cluster] = sums[r], n, cost
-    return out
+    ends = np.concatenate([[0], np.cumsum([len(c) for _, c in run_centers])])
+    total = summed(blocks.mapInArrow(_partial_sums_fn(run_centers, d), "part int, v binary"))
+    if total is None:
+        total = np.zeros(int(ends[-1]) * (d + 2))
+    n, cost, sums = total[:ends[-1]], total[ends[-1]:2 * ends[-1]], total[2 * ends[-1]:].reshape(-1, d)
+    # counts are whole numbers, exact in a double up to 2^53
+    return {rid: (sums[a:b].copy(), n[a:b].astype(np.int64), cost[a:b].copy()) for (rid, _), a, b in zip(run_centers, ends[:-1], ends[1:])}
 
 
 def farthest_rows(df: DataFrame, features: str, key: str, wanted: list, d: int) -> dict:

@@ -134,6 +134,64 @@ def silhouette_squared(df: DataFrame, features: str, label: str) -> float:
     return float(ev.evaluate(data))
 
 
+def silhouettes_squared(df: DataFrame, features: str, labels) -> dict:
+    """V2 for several labellings in two passes over the rows: {labelling: silhouette}, the same values as ``silhouette_squared``.
+
+    The first pass adds up per cluster its rows, their squared norms and their vectors, the second each row's silhouette from these; a null
+    label leaves its row out of that labelling, and a labelling of fewer than two clusters has 0.
+    """
+    from segkit.operators.kmeans import arrow_matrix, summed, task_vector
+    labels = list(labels)
+    sets = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"_{j}") for j, c in enumerate(labels)]).first()  # one entry a cluster
+    sizes = [len(s) for s in sets]
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+    codes = [F.coalesce(F.array_position(F.array(*[F.lit(v) for v in s]).cast("array<string>"), F.col(c).cast("string")) - 1, F.lit(-1)).cast("int")
+             for s, c in zip(sets, labels)]
+    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.array(*codes).alias("c"))
+
+    def matrices(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(a, BLOCK_ROWS)
+                yield arrow_matrix(part.column(0)), arrow_matrix(part.column(1)).astype(np.int64)
+
+    def states(batches):
+        total = 0.0
+        for X, C in matrices(batches):
+            A = np.zeros((len(X), ends[-1] + 1))
+            for j, first in enumerate(ends[:-1]):
+                A[np.arange(len(X)), np.where(C[:, j] < 0, ends[-1], first + C[:, j])] = 1.0
+            A = A[:, :-1]
+            total = total + np.hstack([A.sum(0)[:, None], (A.T @ (X ** 2).sum(1))[:, None], A.T @ X])
+        if not np.isscalar(total):
+            yield task_vector(total.ravel())
+    state = summed(rows.mapInArrow(states, "part int, v binary"))
+    if state is None or not ends[-1]:
+        return {c: 0.0 for c in labels}
+    state = state.reshape(ends[-1], -1)
+    n, square, vector = state[:, 0], state[:, 1], state[:, 2:]
+
+    def values(batches):
+        total = np.zeros(2 * len(labels))
+        for X, C in matrices(batches):
+            mean = np.maximum((X ** 2).sum(1)[:, None] + (square / n)[None, :] - 2.0 * (X @ (vector / n[:, None]).T), 0.0)
+            for j, (first, last) in enumerate(zip(ends[:-1], ends[1:])):
+                known = np.flatnonzero(C[:, j] >= 0)
+                total[2 * j] += len(known)
+                if last - first < 2 or not len(known):
+                    continue
+                own, at = C[known, j], np.arange(len(known))
+                m, size = mean[known, first:last].copy(), n[first:last][own]
+                a = m[at, own] * size / np.maximum(size - 1, 1)
+                m[at, own] = np.inf
+                b = m.min(axis=1)
+                most = np.maximum(a, b)
+                total[2 * j + 1] += float(np.where((size > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1.0), 0.0).sum())
+        yield task_vector(total)
+    total = summed(rows.mapInArrow(values, "part int, v binary"))
+    return {c: float(total[2 * j + 1] / max(total[2 * j], 1.0)) for j, c in enumerate(labels)}
+
+
 def silhouettes(df: DataFrame, features: str, labels, key: str, metric: str = "squared") -> tuple[dict, str]:
     """Silhouette of several labellings; returns ({label: s}, metric's name).
 
@@ -141,7 +199,7 @@ def silhouettes(df: DataFrame, features: str, labels, key: str, metric: str = "s
     """
     labels = list(labels)
     if metric == "squared":
-        return {lab: silhouette_squared(df, features, lab) for lab in labels}, "squared_euclidean"
+        return silhouettes_squared(df, features, labels), "squared_euclidean"
     if metric != "exact":
         raise ValueError(f"unknown silhouette metric {metric!r}")
     got = {r["labelling"]: r["silhouette"] for r in silhouette_exact(df, features, labels, key).collect()}  # one row a labelling

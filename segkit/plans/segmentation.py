@@ -19,6 +19,7 @@ from segkit.operators import kmeans as KM
 from segkit.operators.features import FeatureModel, fit_features
 from segkit.operators.modelsel import AMBIGUITY_GAP, DEFAULT_K, choose_k
 from segkit.operators.profile import profile_with_top
+from segkit.operators.quality import same_counts
 from segkit.operators.validate import silhouettes
 from segkit.operators.ward import MICRO_CLUSTERS, WardModel, micro_spec, micro_summary, ward_from_micro
 from segkit.plans.clean import clean_buyers, dedup_buyers
@@ -120,6 +121,7 @@ def segment(raw: DataFrame, ks=K_RANGE, n_init_sweep: int = SWEEP_RESTARTS, n_in
     k = int(decision["k"])
     lap("choose")
     final = KM.kmeans_specs(X, "features", KEY, [(("final", k), k, n_init_final, max_iter_final, seed + 7)])[("final", k)]
+    same_counts(n_clean, sum(final.sizes))  # Q5: every cleaned row has its label
     labelled = KM.assign(X, final.centers, "features", "kmeans_cluster")
     lap("final")
     ward = None
