@@ -29,19 +29,20 @@ def _drop_null_keys(df: DataFrame, keys, keep_null: bool) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
-def count_rows() -> Column:
-    return F.count(F.lit(1))
+def count_rows(weight: str | None = None) -> Column:
+    """Rows; for a table of counted cells, the sum of their counts ``weight``."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
 
 
-def group_size(df: DataFrame, keys, keep_null=False) -> DataFrame:
+def group_size(df: DataFrame, keys, keep_null=False, weight: str | None = None) -> DataFrame:
     """A1/A2: rows per group (only observed combinations)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return _drop_null_keys(df, keys, keep_null).groupBy(*keys).agg(count_rows().alias(N))
+    return _drop_null_keys(df, keys, keep_null).groupBy(*keys).agg(count_rows(weight).alias(N))
 
 
-def crosstab(df: DataFrame, a: str, b: str, keep_null=False) -> DataFrame:
+def crosstab(df: DataFrame, a: str, b: str, keep_null=False, weight: str | None = None) -> DataFrame:
     """Long-form contingency table."""
-    return group_size(df, [a, b], keep_null)
+    return group_size(df, [a, b], keep_null, weight)
 
 
 def segment_profile(df: DataFrame, group: str, age: str = "age", score: str = "satisfaction_score",
@@ -61,7 +62,7 @@ def segment_profile(df: DataFrame, group: str, age: str = "age", score: str = "s
 
 
 def group_mode(df: DataFrame, group: str, col: str, alias: str | None = None,
-               keep_null=False) -> DataFrame:
+               keep_null=False, weight: str | None = None) -> DataFrame:
     """A4: most frequent ``col`` per group; ties go to the smallest value.
 
     Two aggregation levels (value counts, then arg-max per group), both partial,
@@ -69,7 +70,7 @@ def group_mode(df: DataFrame, group: str, col: str, alias: str | None = None,
     """
     alias = alias or f"top_{col}"
     counts = (_drop_null_keys(df, [group], keep_null).where(F.col(col).isNotNull())
-              .groupBy(group, col).agg(count_rows().alias(N)))
+              .groupBy(group, col).agg(count_rows(weight).alias(N)))
     return counts.groupBy(group).agg(
         F.min_by(F.col(col), F.struct(-F.col(N), F.col(col))).alias(alias),
         F.max(N).alias(f"{alias}_n"))
@@ -88,20 +89,20 @@ def indicator_rate(df: DataFrame, group: str, col: str, value, alias="rate_pct",
             .agg(fixed_round(F.avg(indicator(col, value)) * 100, digits).alias(alias)))
 
 
-def share_within(df: DataFrame, group: str, col: str, digits: int = 1) -> DataFrame:
+def share_within(df: DataFrame, group: str, col: str, digits: int = 1, weight: str | None = None) -> DataFrame:
     """Count of each value inside its group and its share of the group (%).
 
     Totals are an aggregate joined back, so a group with many values is never one task's window.
     """
-    counts = crosstab(df, group, col)
+    counts = crosstab(df, group, col, weight=weight)
     totals = counts.groupBy(group).agg(F.sum(N).alias("_total"))
     return (counts.join(totals, on=group)
             .select(group, col, N, fixed_round(F.col(N) * 100.0 / F.col("_total"), digits).alias("share_pct")))
 
 
-def share_total(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
+def share_total(df: DataFrame, col: str, digits: int = 1, weight: str | None = None) -> DataFrame:
     """Count of each value and its share of all (non-null) rows (%)."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(count_rows().alias(N))
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(count_rows(weight).alias(N))
     total = counts.select(F.sum(N)).scalar()  # same shuffle as ``counts``: AQE reuses it
     return counts.withColumn("share_pct", fixed_round(F.col(N) * 100.0 / total, digits))
 
@@ -114,6 +115,11 @@ def kpi_row(df: DataFrame, segment: str, score: str = "satisfaction_score",
     """
     per = df.groupBy(segment).agg(count_rows().alias(N), F.sum(score).alias("_s"),
                                   F.sum(indicator(flag_col, flag_value)).alias("_f"))
+    return kpi_of(per, segment)
+
+
+def kpi_of(per: DataFrame, segment: str) -> DataFrame:
+    """A9 from per-segment states: rows ``n``, sum of scores ``_s``, flagged rows ``_f``."""
     named = F.col(segment).isNotNull()
     out = per.agg(
         F.sum(N).alias("rows"), F.sum("_s").alias("_s"), F.sum("_f").alias("_f"),
@@ -132,35 +138,35 @@ def distinct_values(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
 
 
-def pivot_zero(df: DataFrame, row: str, col: str, values=None) -> DataFrame:
+def pivot_zero(df: DataFrame, row: str, col: str, values=None, weight: str | None = None) -> DataFrame:
     """A10: wide count matrix, missing cells are 0.  Explicit ``values`` skip a job."""
     values = values if values is not None else distinct_values(df, col)
     src = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    wide = src.groupBy(row).pivot(col, values).agg(count_rows())
+    wide = src.groupBy(row).pivot(col, values).agg(count_rows(weight))
     return wide.fillna(0, subset=[str(v) for v in values])
 
 
-def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+def top_values(df: DataFrame, col: str, n: int = 10, weight: str | None = None) -> DataFrame:
     """O3: the n most frequent values (ties: smaller value first)."""
-    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(count_rows().alias(N))
+    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(count_rows(weight).alias(N))
               .orderBy(F.desc(N), F.asc(col)).limit(n))
 
 
-def heat_topn(df: DataFrame, row: str, col: str, n: int = 10, values=None) -> DataFrame:
+def heat_topn(df: DataFrame, row: str, col: str, n: int = 10, values=None, weight: str | None = None) -> DataFrame:
     """Restrict to the top-n ``row`` values (J1 semi-join), then pivot against ``col``."""
-    top = top_values(df, row, n).select(row)
-    return pivot_zero(semi_join(df, top, on=row), row, col, values)
+    top = top_values(df, row, n, weight).select(row)
+    return pivot_zero(semi_join(df, top, on=row), row, col, values, weight)
 
 
-def hierarchy_rollup(df: DataFrame, parent: str, child: str) -> DataFrame:
+def hierarchy_rollup(df: DataFrame, parent: str, child: str, weight: str | None = None) -> DataFrame:
     """Counts at parent and parent+child level (grand total dropped)."""
     src = df.where(F.col(parent).isNotNull() & F.col(child).isNotNull())
-    return (src.rollup(parent, child).agg(count_rows().alias(N), F.grouping_id().alias("level"))
+    return (src.rollup(parent, child).agg(count_rows(weight).alias(N), F.grouping_id().alias("level"))
                .where(F.col(parent).isNotNull())
                .select(parent, child, F.when(F.col("level") == 0, 2).otherwise(1).alias("depth"), N))
 
 
-def value_places(df: DataFrame, group: str, x: str) -> DataFrame:
+def value_places(df: DataFrame, group: str, x: str, weight: str | None = None) -> DataFrame:
     """(group, x, _rows, before, total): distinct values with their count, the number of smaller rows of the group, and the group's rows.
 
     (group, value) counts are cut into ranges, written, and summed up inside each (range, group); what precedes a range is a sum over the
@@ -168,7 +174,7 @@ def value_places(df: DataFrame, group: str, x: str) -> DataFrame:
     """
     from segkit.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    counts = df.where(F.col(x).isNotNull()).groupBy(group, x).agg(count_rows().alias("_rows"))
+    counts = df.where(F.col(x).isNotNull()).groupBy(group, x).agg(count_rows(weight).alias("_rows"))
     cut = counts.repartitionByRange(F.col(group), F.col(x)).withColumn("_range", F.spark_partition_id()).checkpoint()
     inside = Window.partitionBy(group, "_range").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
     ranges = cut.groupBy(group, "_range").agg(F.sum("_rows").alias("_n"))
@@ -179,7 +185,7 @@ def value_places(df: DataFrame, group: str, x: str) -> DataFrame:
             .select(group, x, "_rows", (F.col("_base") + F.col("_local")).alias("before"), "total"))
 
 
-def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: int = 4) -> DataFrame:
+def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: int = 4, weight: str | None = None) -> DataFrame:
     """Min, quartiles (linear interpolation) and max per group.
 
     The exact form picks the values at the quartiles' ranks (``value_places``); ``exact=False`` uses ``percentile_approx``.
@@ -192,7 +198,7 @@ def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: i
             fixed_round(q[0], digits).alias("q1"), fixed_round(q[1], digits).alias("median"),
             fixed_round(q[2], digits).alias("q3"), F.max(x).cast("double").alias("max_value"),
             count_rows().alias(N))
-    places = value_places(src, group, x)
+    places = value_places(src, group, x, weight)
 
     def at(rank):  # the value whose rows hold this rank (from 0)
         return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("_rows")), F.col(x))).cast("double")
@@ -202,12 +208,12 @@ def five_number(df: DataFrame, group: str, x: str, exact: bool = True, digits: i
         picked += [at(F.floor(place)).alias(f"_lo{p}"), at(F.ceil(place)).alias(f"_hi{p}"), F.max(place - F.floor(place)).alias(f"_part{p}")]
     wide = places.groupBy(group).agg(F.min(x).cast("double").alias("min_value"), F.max(x).cast("double").alias("max_value"), *picked)
     quartile = lambda p: fixed_round(F.col(f"`_lo{p}`") + F.col(f"`_part{p}`") * (F.col(f"`_hi{p}`") - F.col(f"`_lo{p}`")), digits)
-    rows = src.groupBy(group).agg(count_rows().alias(N))  # rows without a value count, and a group of them has no quartiles
+    rows = src.groupBy(group).agg(count_rows(weight).alias(N))  # rows without a value count, and a group of them has no quartiles
     return rows.join(wide, on=group, how="left").select(
         group, "min_value", quartile(0.25).alias("q1"), quartile(0.5).alias("median"), quartile(0.75).alias("q3"), "max_value", N)
 
 
-def histogram(df: DataFrame, group: str, x: str, lo: float, width: float, bins: int) -> DataFrame:
+def histogram(df: DataFrame, group: str, x: str, lo: float, width: float, bins: int, weight: str | None = None) -> DataFrame:
     """Counts per (group, bin) including empty bins, without a cross join.
 
     Each group aggregates a fixed-length vector of bin counts in one pass; the
@@ -216,7 +222,7 @@ def histogram(df: DataFrame, group: str, x: str, lo: float, width: float, bins:
     b = F.floor((F.col(x) - F.lit(lo)) / F.lit(width)).cast("int")
     b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))  # right edge is inclusive
     src = _drop_null_keys(df, [group], False).where(F.col(x).isNotNull())
-    per = src.groupBy(group).agg(*[F.sum((b == i).cast("bigint")).alias(f"b{i}") for i in range(bins)])
+    per = src.groupBy(group).agg(*[F.sum((b == i).cast("bigint") * (F.lit(1) if weight is None else F.col(weight))).alias(f"b{i}") for i in range(bins)])
     return (per.select(group, F.posexplode(F.array(*[F.col(f"b{i}") for i in range(bins)])).alias("bin", N))
                .select(group, "bin", (F.lit(lo) + F.col("bin") * F.lit(width)).cast("double").alias("bin_start"), N))
 
@@ -279,10 +285,10 @@ def purity(df: DataFrame, cluster: str, truth: str, digits: int = 4) -> DataFram
         F.col("_second.name").alias("runner_up"), share("_second").alias("runner_up_share"))
 
 
-def sort_groups(df: DataFrame, group: str, descending: bool = True) -> DataFrame:
+def sort_groups(df: DataFrame, group: str, descending: bool = True, weight: str | None = None) -> DataFrame:
     """O1: groups ordered by size, key as tie-break."""
     order = [F.desc(N) if descending else F.asc(N), F.asc(group)]
-    return group_size(df, group).orderBy(*order)
+    return group_size(df, group, weight=weight).orderBy(*order)
 
 
 SAMPLE_BUCKETS = 256
@@ -304,3 +310,24 @@ def hash_order(df: DataFrame, key: str, salt: str = "shuffle") -> DataFrame:
     """Seeded full shuffle of rows: a range-partitioned sort on md5(salt:key)."""
     from segkit.functions.hashing import hash_rank_key
     return df.withColumn("sort_key", hash_rank_key(salt, key)).orderBy("sort_key", key)
+
+
+def with_places(df: DataFrame, order: list[Column], out: str = "place") -> DataFrame:
+    """Rows with their place (1, 2, 3, ...) in a total order, as a column, so that an order outlives the next shuffle.
+
+    Range partitions are sorted where they land and written; the places of a partition begin behind the rows of those before it (the
+    driver sees one count a partition), and no window spans the table.
+    """
+    from segkit.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_at", 33)
+    counts = sorted((r["part"], r[N]) for r in cut.groupBy(part.alias("part")).agg(count_rows().alias(N)).collect())  # one row a partition
+    bases, before = [], 0
+    for p, n in counts:
+        bases.append((p, before))
+        before += n
+    base = spark.createDataFrame(bases, "_part bigint, _base bigint")
+    return (cut.withColumn("_part", part).join(base, "_part")
+            .withColumn(out, F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_base", "_at"))

@@ -859,6 +859,23 @@ def q_silhouette_exact(spark, sf):
     return s.select("labelling", S.fixed_round("silhouette", 6).alias("silhouette"))
 
 
+SAMPLED_ROWS = 16
+
+
+@query("silhouette_sampled", f"""WITH e AS (SELECT vec_id, CAST(label AS varchar) AS label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('silhouette:' || CAST(vec_id AS varchar))) AS place FROM e) WHERE place <= {SAMPLED_ROWS}),
+sz AS (SELECT label, count(*) AS size FROM e GROUP BY label),
+p AS (SELECT a.vec_id, a.label AS own, w.label AS cl, sum(list_distance(a.v, w.v)) AS dsum, count(*) AS cnt
+      FROM e a CROSS JOIN w WHERE a.vec_id <> w.vec_id GROUP BY a.vec_id, a.label, w.label),
+s AS (SELECT vec_id, any_value(own) AS own, max(CASE WHEN cl = own THEN dsum / cnt END) AS a, min(CASE WHEN cl <> own THEN dsum / cnt END) AS b FROM p GROUP BY vec_id)
+SELECT 'label' AS labelling, {O.rnd('avg(CASE WHEN size <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 6)} AS silhouette FROM s JOIN sz ON sz.label = s.own""")
+def q_silhouette_sampled(spark, sf):
+    """V1 in linear time: every row against a hash sample of each cluster."""
+    from segkit.operators.sampled_silhouette import silhouette_sampled
+    s = silhouette_sampled(T(spark, sf, "embeddings"), "embedding", "label", "vec_id", per_cluster=SAMPLED_ROWS)
+    return s.select("labelling", S.fixed_round("silhouette", 6).alias("silhouette"))
+
+
 @query("silhouette_sq", _sil_sql(True))
 def q_silhouette_sq(spark, sf):
     val = V.silhouette_squared(T(spark, sf, "embeddings"), "embedding", "label")
@@ -1084,6 +1101,26 @@ def q_stream_given(spark, sf):
     return spark.read.parquet(sink).select("client_id", "cluster")
 
 
+@query("stream_drift", f"""WITH {_scored_ctes()},
+j AS (SELECT best.cluster, age, satisfaction_score FROM b JOIN best USING (client_id))
+""" + " UNION ALL ".join(f"""SELECT cluster, count(*) AS n, '{c}' AS "column", {O.rnd(f'avg({c})', 4)} AS mean, {O.rnd(f'stddev_pop({c})', 4)} AS deviation,
+       {O.rnd(f'(avg({c}) - (SELECT avg({c}) FROM b)) / (SELECT stddev_pop({c}) FROM b)', 4)} AS drift FROM j GROUP BY cluster""" for c in NUMERIC))
+def q_stream_drift(spark, sf):
+    """Running segment sizes and feature drift in the state store, over a stream that is stopped and started again."""
+    from segkit.plans.clean import imputer_fill_dict
+    from segkit.streaming.scoring import latest_totals, segment_drift, stream_totals
+    fm, X, imp, run = _cohort_model(spark, sf)
+    X.unpersist()
+    new_rows = dedup_buyers(buyers_ordered(spark, sf))
+    incoming, totals, ckpt = (scratch_path(spark, n) for n in ("incoming", "totals", "totals-ckpt"))
+    half = F.pmod(F.xxhash64("client_id"), F.lit(2))
+    for part in (0, 1):
+        new_rows.where(half == part).repartition(2).write.mode("append").parquet(incoming)
+        stream_totals(spark, incoming, new_rows.schema, fm, run, totals, ckpt, imputer_fill_dict(imp)).awaitTermination()
+    out = segment_drift(latest_totals(spark, totals, fm), fm)
+    return out.select("cluster", "n", "column", *[S.fixed_round(c, 4).alias(c) for c in ("mean", "deviation", "drift")])
+
+
 @query("export_given", f"WITH {_scored_ctes()}\nSELECT b.client_id, b.cohort_label, best.cluster, b.age, b.country FROM b JOIN best USING (client_id)")
 def q_export_given(spark, sf):
     """S4 with the cohorts' centroids: the labelled table as CSV and back."""
@@ -1233,6 +1270,37 @@ def q_dashboard_sample(spark, sf):
     return _dashboard(spark, sf).investors()["sample"]
 
 
+@query("cube_satisfaction", ORACLE["dashboard_satisfaction"])
+def q_cube_satisfaction(spark, sf):
+    """S7 + A13 from the cube: the satisfaction panel without the rows."""
+    from segkit.plans.cube import DashboardCube
+    from segkit.plans.dashboard import Dashboard
+    dash = Dashboard(B(spark, sf).withColumn("segment", F.col("age") % 3), "segment").prepared()
+    return DashboardCube.build(dash).investors(NATIONS)["satisfaction_spread"]
+
+
+@query("cube_kpi", ORACLE["dashboard_kpi"])
+def q_cube_kpi(spark, sf):
+    """S7 + F3 + A9 from the cube."""
+    from segkit.plans.cube import DashboardCube
+    sel = {"country": [f"NATION_{i}" for i in range(1, 7)], "client_type": "All"}
+    return DashboardCube.build(_dashboard(spark, sf)).overview(sel)["kpi"]
+
+
+@query("cube_cohort_profile", ORACLE["dashboard_cohort_profile"])
+def q_cube_cohort_profile(spark, sf):
+    """S7 + A3 from the cube."""
+    from segkit.plans.cube import DashboardCube
+    return DashboardCube.build(_dashboard(spark, sf)).insights(["HOUSEHOLD"])["cohort_profile"]
+
+
+@query("cube_sample", ORACLE["dashboard_sample"])
+def q_cube_sample(spark, sf):
+    """S7 + O5 from the cube."""
+    from segkit.plans.cube import DashboardCube
+    return DashboardCube.build(_dashboard(spark, sf)).investors()["sample"]
+
+
 @query("dashboard_model_info", O.with_clean(f"""
 SELECT (SELECT count(DISTINCT satisfaction_score) FROM b) AS clusters, count(*) AS rows, count(*) = 0 AS empty FROM b WHERE {IN_NATIONS}"""))
 def q_dashboard_model_info(spark, sf):
@@ -1240,6 +1308,29 @@ def q_dashboard_model_info(spark, sf):
     return _dashboard(spark, sf).info(NATIONS)
 
 
+@query("sort_groups_places", O.with_clean("""
+SELECT cohort_label, n, row_number() OVER (ORDER BY n DESC, cohort_label) AS place FROM (SELECT cohort_label, count(*) AS n FROM b GROUP BY cohort_label)"""))
+def q_sort_groups_places(spark, sf):
+    """O1 with the order as a column."""
+    return P.with_places(P.group_size(B(spark, sf), "cohort_label"), [F.desc("n"), F.asc("cohort_label")])
+
+
+@query("score_distribution_places", O.with_clean("""
+SELECT satisfaction_score, n, row_number() OVER (ORDER BY satisfaction_score) AS place
+FROM (SELECT satisfaction_score, count(*) AS n FROM b GROUP BY satisfaction_score)"""))
+def q_score_distribution_places(spark, sf):
+    """O2 with the order as a column."""
+    counts = B(spark, sf).groupBy("satisfaction_score").agg(F.count(F.lit(1)).alias("n"))
+    return P.with_places(counts, [F.asc("satisfaction_score")])
+
+
+@query("hash_shuffle_places", """SELECT c_custkey, row_number() OVER (ORDER BY md5('shuffle:' || CAST(c_custkey AS varchar)), c_custkey) AS place FROM customer""")
+def q_hash_shuffle_places(spark, sf):
+    """O6 with the order as a column."""
+    from segkit.functions.hashing import hash_rank_key
+    return P.with_places(T(spark, sf, "customer").select("c_custkey"), [hash_rank_key("shuffle", "c_custkey"), F.asc("c_custkey")])
+
+
 @query("run_report")
 def q_run_report(spark, sf):
     """V6: validation block of the full run report (ARI, NMI, silhouette per model)."""
