@@ -87,3 +87,18 @@ def test_smallest_kmer_where_none_qualifies(spark):
         assert marks == (picked or [min(r[0] for r in hashes[text])])
         fell_back += not picked
     assert fell_back > 10
+
+
+def test_next_row_at_any_number_of_segments(spark):
+    keys = [None] * 300 + list(range(400)) + [7] * 30 + [2**62, -2**63]
+    df = spark.createDataFrame([(k, f"text {i * 37 % 211}") for i, k in enumerate(keys)], "key long, text string").repartition(5)
+    hashes = [(r[0], r[1], r[2]) for r in df.select("key", "text", F.xxhash64("text")).collect()]
+    order = sorted(hashes, key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    want = sorted(((r[0], r[1], order[(i + 1) % len(order)][1]) for i, r in enumerate(order)), key=str)
+    for segments in (1, 2, 7, 64, 500):
+        got = S.with_next(df, "key", ["text"], [F.xxhash64("text")], F.octet_length("text"), segments)
+        assert sorted(((r["key"], r["text"], r["next_text"]) for r in got.collect()), key=str) == want, segments
+    some, none = df.where("key is not null"), df.where("key is null")
+    for part in (some, none):
+        got = S.with_next(part, "key", ["text"], [F.xxhash64("text")], F.octet_length("text"), 9).collect()
+        assert len(got) == part.count() and all(r["next_text"] is not None for r in got)
