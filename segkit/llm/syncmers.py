@@ -90,7 +90,7 @@ def with_next(rows: DataFrame, key: str, carried: list[str], order: list[Column]
     shares = [i / segments for i in range(1, segments)]
     sides = {side: F.when(cond, place) for side, cond in (("none", ~known), ("some", known))}
     found = rows.agg(*[F.percentile_approx(value, shares, max(10_000, 4 * segments)).alias(side) for side, value in sides.items()]).first()
-    # percentiles are doubles; the cuts are the largest values below them that occur
+    # percentiles are doubles; the cuts are the largest values up to them that occur
     rough = {side: sorted({min(int(v), 2**63 - 1) for v in found[side] or ()} | {2**63 - 1}) for side in sides}
     segment = F.when(known, cut_of(place, rough["some"])[0]).otherwise(cut_of(place, rough["none"])[0])
     tops = rows.groupBy(known.alias("known"), segment.alias("segment")).agg(F.max(place).alias("top")).collect()  # two rows a segment at most
