@@ -4,76 +4,76 @@ Ward linkage is reducible: a merge never brings two other clusters closer than t
 other's nearest neighbour may be merged in the same round, and the merges are those of the greedy closest-pair loop, in another order.
 
 1. Equal rows are one weighted point.
-2. Each round, points are dealt to blocks by hash; a task compares one block with another and gives each point its nearest neighbour there
-   (numpy on packed matrices), and an aggregate keeps the nearest of all.  Pairs are ordered by (distance, smaller id, larger id), so the
+2. Each round, points are packed into blocks; every pair of blocks meets once (``pairs``: nothing is replicated), a task keeps each point's
+   nearest neighbour among the blocks it sees (numpy on packed matrices), and an aggregate keeps the nearest of all.  Pairs are ordered by (distance, smaller id, larger id), so the
    closest pair of all is always reciprocal and every round ends with fewer clusters, ties or not.
 3. When at most ``finish`` clusters are left, the driver ends the tree with the nearest-neighbour chain of ``ward.ward_merges``.
 
-Comparing all pairs is what the exact tree costs: (points ^ 2) per round, spread over blocks, each task bounded by ``block_rows`` ^ 2.  For more
-rows than that allows, ``ward.fit_ward`` works on summaries.  The tree is a table of merges; ``cut_rows`` cuts it by pointer jumping in Spark.
+Comparing all pairs is what the exact tree costs: (points ^ 2) / 2 per round, spread over tasks of bounded memory; what a round shuffles and
+writes grows with its points.  For more rows than that allows, ``ward.fit_ward`` works on summaries.  The tree is a table of merges; ``cut_rows`` cuts it by pointer jumping in Spark.
 
 No rows give no merges.  Rows with null or infinite features raise.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segkit.operators.kmeans import arrow_matrix
+from segkit.operators.pairs import block_pairs, longs, matrix, packed_blocks, records, squares, written
 from segkit.operators.ward import ward_merges
-from segkit.session import scratch_path
 
 BLOCK_ROWS = 2048
 FINISH = 1024
 MERGES = "a long, b long, distance double, size long"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The table, written to the shared folder and read again.  A checkpoint would carry the plan's constraints into the next round, where they
-    multiply."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def points(df: DataFrame, features: str) -> DataFrame:
     """(id, size, x): distinct feature rows with their number, under ids of no meaning."""
     rows = df.select(F.col(features).cast("array<double>").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("size"))
     return written(rows.withColumn("id", F.monotonically_increasing_id()).select("id", "size", "x"), "ward-points")
 
 
-def nearest(clusters: DataFrame, blocks: int, d: int) -> DataFrame:
-    """(id, other, d2): each cluster's nearest neighbour by (d2, smaller id, larger id); d2 is the squared Ward distance."""
-    mine = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = clusters.select(mine.alias("lb"), others.alias("rb"), "id", "size", "x")
-    right = clusters.select(others.alias("lb"), mine.alias("rb"), F.col("id").alias("rid"), F.col("size").alias("rsize"), F.col("x").alias("rx"))
-
-    def fn(_key, own: pa.Table, far: pa.Table) -> pa.Table:
-        if not own.num_rows or not far.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "d2": pa.array([], pa.float64())})
-        X, Y = arrow_matrix(own.column("x"), d), arrow_matrix(far.column("rx"), d)
-        n, m = own.column("size").to_numpy().astype(float), far.column("rsize").to_numpy().astype(float)
-        a, b = own.column("id").to_numpy(), far.column("rid").to_numpy()
-        sq = np.maximum((X ** 2).sum(1)[:, None] + (Y ** 2).sum(1)[None, :] - 2.0 * (X @ Y.T), 0.0)
-        D = 2.0 * n[:, None] * m[None, :] / (n[:, None] + m[None, :]) * sq
-        D[a[:, None] == b[None, :]] = np.inf
-        low = D.min(axis=1)
-        # of equally near clusters the one whose pair of ids is smallest
-        tied = D == low[:, None]
-        first = np.where(tied, np.minimum(a[:, None], b[None, :]), np.iinfo(np.int64).max)
-        tied &= first == first.min(axis=1)[:, None]
-        best = np.where(tied, np.maximum(a[:, None], b[None, :]), np.iinfo(np.int64).max).argmin(axis=1)
-        keep = np.isfinite(low)
-        return pa.table({"id": a[keep], "other": b[best][keep], "d2": low[keep]})
-    found = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInArrow(fn, "id long, other long, d2 double")
-    best = F.min(F.struct("d2", F.least("id", "other").alias("lo"), F.greatest("id", "other").alias("hi"), "other")).alias("best")
-    return found.groupBy("id").agg(best).select("id", "best.other", "best.d2")
+def nearest(clusters: DataFrame, left: int, d: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, other, d2) for ``left`` clusters: each one's nearest neighbour by (d2, smaller id, larger id); d2 is the squared Ward distance.
+
+    Of a cluster's equally near neighbours that is the one with the smallest id.  A pair's distance is computed once, for both.
+    """
+    blocks = packed_blocks(clusters, "x", "id", ["size"], left, d, block_rows)
+
+    def fn(batches):
+        best: dict = {}   # block: (ids, d2, other) of its rows so far; a task sees the blocks of two partitions
+
+        def lower(block, at, d2, other):
+            _, old, to = best[block]
+            old, to = old[at], to[at]   # views
+            less = (d2 < old) | ((d2 == old) & (other < to))
+            old[less], to[less] = d2[less], other[less]
+        for r in records(batches):
+            one, two = r["l_b"].as_py(), r["r_b"].as_py()
+            X, Y, a, b = matrix(r["l_x"], d), matrix(r["r_x"], d), longs(r["l_id"]), longs(r["r_id"])
+            n, m = 1.0 / longs(r["l_size"]), 1.0 / longs(r["r_size"])
+            for block, ids in ((one, a), (two, b)):
+                if block not in best:
+                    best[block] = ids.copy(), np.full(len(ids), np.inf), np.full(len(ids), np.iinfo(np.int64).max)
+            for at, D in squares(X, Y):
+                rows = slice(at, at + len(D))
+                D /= n[rows, None] + m[None, :]
+                D *= 2.0
+                if one == two:   # each pair once, none with itself
+                    D[np.arange(len(b))[None, :] <= np.arange(at, at + len(D))[:, None]] = np.inf
+                # ids rise within a block, so the first of equal distances has the smallest
+                to, back = D.argmin(axis=1), D.argmin(axis=0)
+                lower(one, rows, D[np.arange(len(D)), to], b[to])
+                lower(two, slice(None), D[back, np.arange(len(b))], a[rows][back])
+        for ids, d2, other in best.values():
+            keep = np.isfinite(d2)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids[keep]), "other": pa.array(other[keep]), "d2": pa.array(d2[keep])})
+    found = block_pairs(blocks, True, ["x", "id", "size"], ["x", "id", "size"]).mapInArrow(fn, "id long, other long, d2 double")
+    return found.groupBy("id").agg(F.min(F.struct("d2", "other")).alias("best")).select("id", "best.other", "best.d2")
 
 
 def ward_rows(df: DataFrame, features: str, block_rows: int = BLOCK_ROWS, finish: int = FINISH) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +84,7 @@ def ward_rows(df: DataFrame, features: str, block_rows: int = BLOCK_ROWS, finish
     first = leaves.select(F.size("x").alias("d")).first()
     d, left = (first["d"] if first else 0), leaves.count()
     while left > max(finish, 1):
-        pairs = written(nearest(now, max(1, math.ceil(left / block_rows)), d), "ward-pairs")
+        pairs = written(nearest(now, left, d, block_rows), "ward-pairs")
         back = pairs.select(F.col("id").alias("other"), F.col("other").alias("id"))
         merged = pairs.join(back, ["id", "other"]).where("id < other")
         # names of their own: inside the lambda, "size" would be the new column

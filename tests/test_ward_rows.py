@@ -50,3 +50,15 @@ def test_one_row_and_no_rows(spark):
     assert none.count() == 0 and merges.count() == 0
     with pytest.raises(ValueError):
         W.cut_rows(leaves, merges, 2)
+
+
+def test_a_round_replicates_no_rows(spark):
+    X = np.random.default_rng(1).normal(size=(300, 5))
+    now = W.points(table(spark, X), "f")
+    found = W.nearest(now, 300, 5, block_rows=32)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join Inner" in plan
+    leaves = {r["id"]: np.array(r["x"]) for r in now.collect()}
+    for r in found.collect():
+        d2 = {i: ((leaves[r["id"]] - x) ** 2).sum() for i, x in leaves.items() if i != r["id"]}
+        assert r["other"] == min(d2, key=lambda i: (d2[i], i)) and r["d2"] == pytest.approx(d2[r["other"]])
