@@ -1,9 +1,9 @@
 """Cluster validation (V1-V5).
 
-V1 exact Euclidean silhouette, distributed by blocks: rows are hashed into B
-blocks of ~``block_rows``; each (left block, right block) pair is one cogroup
-task that builds the block's distance matrix with numpy and emits only
-per-(row, cluster) distance sums, never pairs.  The distance matrix is shared
+V1 exact Euclidean silhouette, distributed by blocks: rows are packed into
+blocks of ~``block_rows``, every block meets every block (``pairs``: nothing is
+replicated), a task makes distances slice by slice with numpy and emits only
+per-(row, cluster) distance sums, never pairs.  The distances are shared
 by every labelling passed in, so a whole k sweep is scored in one job.  The
 work is inherently O(n^2), so it runs only where the caller names it.
 
@@ -16,60 +16,56 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-R_FEATURES, R_LABEL = "_r_features", "_r_label"
-BLOCK_ROWS = 2048  # a block pair's distance matrix is at most 2048² doubles (32 MiB)
-MAX_BLOCK_ROWS = 4096  # ... and never more than 4096² doubles (128 MiB)
-TARGET_BLOCKS = 25  # replication factor of the rows (each row is copied once per block)
-
-
-def _block_fn(features: str, labels: list, label_type: str):
-    """Cogroup body (Arrow tables in/out) for one (left block, right block) pair."""
-    import pyarrow as pa
-
-    from segkit.operators.kmeans import arrow_matrix
-
-    ltype = pa.int64() if label_type == "bigint" else pa.string()
-
-    def labels_np(tbl, lab):
-        col = tbl.column(lab)
-        return col.to_numpy() if label_type == "bigint" else np.asarray(col.to_pylist(), dtype=object)
-
-    def fn(_key_vals, left: pa.Table, right: pa.Table):
-        if right.num_rows and R_FEATURES not in right.schema.names:
-            raise RuntimeError(f"cogroup right side lost its columns: {right.schema.names}")
-        if left.num_rows == 0 or right.num_rows == 0:
-            return pa.table({"rid": pa.array([], pa.int64()), "j": pa.array([], pa.int32()),
-                             "cluster": pa.array([], ltype), "own": pa.array([], ltype),
-                             "dsum": pa.array([], pa.float64()), "cnt": pa.array([], pa.int64())})
-        XL, XR = arrow_matrix(left.column(features)), arrow_matrix(right.column(R_FEATURES))
-        g = (XL ** 2).sum(1)[:, None] + (XR ** 2).sum(1)[None, :] - 2.0 * (XL @ XR.T)
-        D = np.sqrt(np.clip(g, 0.0, None))
-        nl = XL.shape[0]
-        rid = left.column("_rid").to_numpy()
-        cols = {"rid": [], "j": [], "cluster": [], "own": [], "dsum": [], "cnt": []}
-        for j, lab in enumerate(labels):
-            rl = labels_np(right, f"{R_LABEL}{j}")
-            uniq, inv = np.unique(rl, return_inverse=True)
-            onehot = np.zeros((len(rl), len(uniq)))
-            onehot[np.arange(len(rl)), inv] = 1.0
-            sums = D @ onehot
-            u = len(uniq)
-            cols["rid"].append(np.repeat(rid, u))
-            cols["j"].append(np.full(nl * u, j, dtype=np.int32))
-            cols["cluster"].append(np.tile(uniq, nl))
-            cols["own"].append(np.repeat(labels_np(left, lab), u))
-            cols["dsum"].append(sums.reshape(-1))
-            cols["cnt"].append(np.tile(onehot.sum(0).astype(np.int64), nl))
-        out = {c: np.concatenate(v) for c, v in cols.items()}
-        if label_type != "bigint":
-            out["cluster"] = pa.array(out["cluster"].tolist(), pa.string())
-            out["own"] = pa.array(out["own"].tolist(), pa.string())
-        return pa.table(out)
+from segkit.operators.pairs import block_pairs, longs, matrix, packed_blocks, records, squares
+
+BLOCK_ROWS = 2048
+MAX_BLOCK_ROWS = 4096  # distances are made in slices (``pairs.SLICE_ROWS``), so a block's size only bounds its matrix
+TARGET_BLOCKS = 25
+
+
+def _sums_fn(labels: list, label_type: str, d: int):
+    """mapInArrow body over pairs of blocks: the distance sums of a left block's rows to each cluster, over all right blocks of the task."""
+    kind = pa.int64() if label_type == "bigint" else pa.string()
+
+    def flushed(left, sums):
+        rid, own = left
+        for j, of in enumerate(sums):
+            for cluster, (dsum, cnt) in of.items():
+                n = len(rid)
+                yield pa.RecordBatch.from_pydict({
+                    "rid": pa.array(rid), "j": pa.array(np.full(n, j, np.int32)), "cluster": pa.array([cluster] * n, kind),
+                    "own": own[j], "dsum": pa.array(dsum), "cnt": pa.array(np.full(n, cnt, np.int64))})
+
+    def fn(batches):
+        block, left, sums = None, None, None
+        for r in records(batches):
+            if r["l_b"].as_py() != block:
+                if left:
+                    yield from flushed(left, sums)
+                block, sums = r["l_b"].as_py(), [{} for _ in labels]
+                own = [r[f"l_l{j}_v"].values.take(pa.array(longs(r[f"l_l{j}_c"]))) for j in range(len(labels))]
+                left = longs(r["l__rid"]).copy(), own
+            X, Y = matrix(r["l_x"], d), matrix(r["r_x"], d)
+            values = [r[f"r_l{j}_v"].as_py() for j in range(len(labels))]
+            ends = np.cumsum([0, *map(len, values)])
+            member = np.zeros((len(Y), ends[-1]))
+            for j, first in enumerate(ends[:-1]):
+                member[np.arange(len(Y)), first + longs(r[f"r_l{j}_c"])] = 1.0
+            dsum = np.empty((len(X), ends[-1]))
+            for at, D in squares(X, Y):
+                dsum[at:at + len(D)] = np.sqrt(D, out=D) @ member
+            cnt = member.sum(0).astype(np.int64)
+            for j, first in enumerate(ends[:-1]):
+                for i, cluster in enumerate(values[j], first):
+                    known = sums[j].get(cluster)
+                    sums[j][cluster] = (dsum[:, i].copy(), cnt[i]) if known is None else (known[0] + dsum[:, i], known[1] + cnt[i])
+        if left:
+            yield from flushed(left, sums)
     return fn
 
 
@@ -77,30 +73,23 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str,
                     block_rows: int = BLOCK_ROWS, n_rows: int | None = None) -> DataFrame:
     """Per-row exact silhouette for every labelling: (rid, j, s).
 
-    ``key`` tells rows apart (rows are equal where it is); a row's id and block are hashes of it, so a repeated task makes the same copies.
+    ``key`` tells rows apart (rows are equal where it is); a row's id is a hash of it, so a repeated task makes the same rows.
     """
     labels = list(labels)
     n = n_rows if n_rows is not None else df.count()
-    # larger blocks on larger inputs keep the replication near TARGET_BLOCKS, within the memory cap
+    width = df.select(F.size(features).alias("d")).where("d >= 0").first()
+    d = int(width["d"]) if width else 0
+    # larger blocks on larger inputs, within the memory cap
     block_rows = min(max(block_rows, math.ceil(n / TARGET_BLOCKS)), max(block_rows, MAX_BLOCK_ROWS))
-    nb = max(1, math.ceil(n / block_rows))
     integral = all(isinstance(df.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
                    for c in labels)
     label_type = "bigint" if integral else "string"
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    # The two sides are separate projections of ``df`` with distinct column names,
-    # so the cogroup's children share no attributes (and no row ids are needed to agree).
-    left = (df.select(F.col(features).cast("array<double>").alias(features),
-                      *[F.col(c).cast(label_type).alias(c) for c in labels], F.xxhash64(key).alias("_rid"))
-              .select(F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("lb"), blocks.alias("rb"),
-                      "_rid", features, *labels))
-    right = (df.select(F.col(features).cast("array<double>").alias(R_FEATURES),
-                       *[F.col(c).cast(label_type).alias(f"{R_LABEL}{j}") for j, c in enumerate(labels)], F.xxhash64(key).alias("_rid"))
-               .select(blocks.alias("lb"), F.pmod(F.xxhash64("_rid"), F.lit(nb)).cast("int").alias("rb"),
-                       R_FEATURES, *[f"{R_LABEL}{j}" for j in range(len(labels))]))
+    coded = {f"l{j}": label_type for j in range(len(labels))}
+    rows = df.select(F.col(features).alias("x"), F.xxhash64(key).alias("_rid"), *[F.col(c).cast(label_type).alias(f"l{j}") for j, c in enumerate(labels)])
+    blocks = packed_blocks(rows, "x", "_rid", [], n, d, block_rows, coded)
+    codes = [f"{c}_{part}" for c in coded for part in "vc"]
     schema = f"rid bigint, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint"
-    sums = (left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
-                .applyInArrow(_block_fn(features, labels, label_type), schema))
+    sums = block_pairs(blocks, False, ["x", "_rid", *codes], ["x", *codes]).mapInArrow(_sums_fn(labels, label_type, d), schema)
     per = sums.groupBy("rid", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("cluster") == F.col("own")
     pt = per.groupBy("rid", "j").agg(

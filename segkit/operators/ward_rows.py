@@ -5,12 +5,13 @@ other's nearest neighbour may be merged in the same round, and the merges are th
 
 1. Equal rows are one weighted point.
 2. Each round, points are packed into blocks; every pair of blocks meets once (``pairs``: nothing is replicated), a task keeps each point's
-   nearest neighbour among the blocks it sees (numpy on packed matrices), and an aggregate keeps the nearest of all.  Pairs are ordered by (distance, smaller id, larger id), so the
-   closest pair of all is always reciprocal and every round ends with fewer clusters, ties or not.
+   nearest neighbour among the blocks it sees (numpy on packed matrices), and an aggregate keeps the nearest of all.  Pairs are ordered by
+   (distance, smaller id, larger id), so the closest pair of all is always reciprocal and every round ends with fewer clusters, ties or not.
 3. When at most ``finish`` clusters are left, the driver ends the tree with the nearest-neighbour chain of ``ward.ward_merges``.
 
 Comparing all pairs is what the exact tree costs: (points ^ 2) / 2 per round, spread over tasks of bounded memory; what a round shuffles and
-writes grows with its points.  For more rows than that allows, ``ward.fit_ward`` works on summaries.  The tree is a table of merges; ``cut_rows`` cuts it by pointer jumping in Spark.
+writes grows with its points.  For more rows than that allows, ``ward.fit_ward`` works on summaries.  The tree is a table of merges;
+``cut_rows`` cuts it by pointer jumping in Spark.
 
 No rows give no merges.  Rows with null or infinite features raise.
 """

@@ -292,3 +292,15 @@ def test_score_new_record_with_unseen_category_and_missing_fields(spark):
         "age", F.lit(43)), "f").first()["f"]
     country_slots = [i for i, n in enumerate(fm.names) if n.startswith("country_")]
     assert all(enc[i] == 0.0 for i in country_slots)     # unseen country → all zeros
+
+
+def test_exact_silhouette_replicates_no_rows_and_slices_its_distances(spark):
+    from segkit.operators import pairs
+    rng = np.random.default_rng(8)
+    X, lab = rng.normal(size=(120, 4)), rng.integers(0, 3, 120)
+    df = spark.createDataFrame([(i, [float(v) for v in x], f"c{c}", int(c) % 2) for i, (x, c) in enumerate(zip(X, lab))], "id long, f array<double>, a string, b int")
+    rows = V.silhouette_rows(df, "f", ["a", "b"], "id", block_rows=16)
+    assert "Generate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["labelling"]: r["silhouette"] for r in V.silhouette_exact(df, "f", ["a", "b"], "id", block_rows=16).collect()}
+    assert got["a"] == pytest.approx(brute_silhouette(X, lab)) and got["b"] == pytest.approx(brute_silhouette(X, lab % 2))
+    assert all(len(D) <= pairs.SLICE_ROWS for _, D in pairs.squares(np.zeros((1000, 4)), np.zeros((10, 4))))
