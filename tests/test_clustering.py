@@ -304,3 +304,19 @@ def test_exact_silhouette_replicates_no_rows_and_slices_its_distances(spark):
     got = {r["labelling"]: r["silhouette"] for r in V.silhouette_exact(df, "f", ["a", "b"], "id", block_rows=16).collect()}
     assert got["a"] == pytest.approx(brute_silhouette(X, lab)) and got["b"] == pytest.approx(brute_silhouette(X, lab % 2))
     assert all(len(D) <= pairs.SLICE_ROWS for _, D in pairs.squares(np.zeros((1000, 4)), np.zeros((10, 4))))
+
+
+def test_packed_blocks_are_read_in_place():
+    import tracemalloc
+
+    import pyarrow as pa
+    from segkit.operators import kmeans as KM
+    assert KM.BLOCK_ROWS * 8 * 128 <= 4 << 20
+    x = np.zeros((KM.BLOCK_ROWS, 100)).tobytes()
+    batch = pa.RecordBatch.from_pydict({"n": pa.array([KM.BLOCK_ROWS] * 20, pa.int32()), "x": pa.array([x] * 20, pa.binary()),
+                                        "h": pa.array([np.arange(KM.BLOCK_ROWS).tobytes()] * 20, pa.binary())})
+    tracemalloc.start()
+    rows = sum(len(X) for X, _ in KM._chunks([batch], 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 20 * KM.BLOCK_ROWS and peak < len(x)
