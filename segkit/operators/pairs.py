@@ -69,18 +69,11 @@ def packed_blocks(rows: DataFrame, features: str, key: str, longs: list, n: int,
     return written(spread.mapInArrow(fn, schema).withColumn("b", F.monotonically_increasing_id()), "pair-blocks")
 
 
-def block_pairs(blocks: DataFrame, once: bool, left: list, right: list) -> DataFrame:
-    """(l_b, r_b, l_*, r_*): every block with every block, or (``once``) every unordered pair of blocks once, a block with itself included.
-
-    Which of the two orders stays is drawn by hash, so that the pairs are spread evenly over the tasks.
-    """
+def block_pairs(blocks: DataFrame, left: list, right: list, others: DataFrame | None = None) -> DataFrame:
+    """(l_b, r_b, l_*, r_*): every block with every block, or with every block of ``others``."""
     mine = blocks.select(*[F.col(c).alias(f"l_{c}") for c in ["b", *left]])
-    other = blocks.select(*[F.col(c).alias(f"r_{c}") for c in ["b", *right]]).hint("shuffle_replicate_nl")
-    if not once:
-        return mine.crossJoin(other)
-    l, r = F.col("l_b"), F.col("r_b")
-    rising = F.pmod(F.xxhash64(F.least(l, r), F.greatest(l, r)), F.lit(2)) == 0
-    return mine.join(other, (l == r) | ((l < r) == rising))
+    others = blocks if others is None else others
+    return mine.join(others.select(*[F.col(c).alias(f"r_{c}") for c in ["b", *right]]).hint("shuffle_replicate_nl"))
 
 
 def records(batches) -> Iterator[dict]:

@@ -89,7 +89,7 @@ def silhouette_rows(df: DataFrame, features: str, labels, key: str,
     blocks = packed_blocks(rows, "x", "_rid", [], n, d, block_rows, coded)
     codes = [f"{c}_{part}" for c in coded for part in "vc"]
     schema = f"rid bigint, j int, cluster {label_type}, own {label_type}, dsum double, cnt bigint"
-    sums = block_pairs(blocks, False, ["x", "_rid", *codes], ["x", *codes]).mapInArrow(_sums_fn(labels, label_type, d), schema)
+    sums = block_pairs(blocks, ["x", "_rid", *codes], ["x", *codes]).mapInArrow(_sums_fn(labels, label_type, d), schema)
     per = sums.groupBy("rid", "j", "cluster", "own").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("cluster") == F.col("own")
     pt = per.groupBy("rid", "j").agg(

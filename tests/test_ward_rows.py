@@ -62,3 +62,56 @@ def test_a_round_replicates_no_rows(spark):
     for r in found.collect():
         d2 = {i: ((leaves[r["id"]] - x) ** 2).sum() for i, x in leaves.items() if i != r["id"]}
         assert r["other"] == min(d2, key=lambda i: (d2[i], i)) and r["d2"] == pytest.approx(d2[r["other"]])
+
+
+def true_lists(clusters):
+    """{id: {other: squared Ward distance}} of (id, size, x)."""
+    return {i: {j: 2 * n * m / (n + m) * ((x - y) ** 2).sum() for j, (m, y) in clusters.items() if j != i} for i, (n, x) in clusters.items()}
+
+
+def test_lists_hold_after_every_round(spark, monkeypatch):
+    """Known distances are right and nobody else is nearer than ``far``; later rounds seek neighbours only for those that lost theirs."""
+    seen, sought = [], []
+    written, nearest = W.written, W.nearest
+
+    def keep(df, name):
+        out = written(df, name)
+        if name == "ward-clusters":
+            seen.append(out.collect())
+        return out
+
+    def count(*a):
+        sought.append((a[1], a[5] if len(a) > 5 else a[1]))
+        return nearest(*a)
+    monkeypatch.setattr(W, "written", keep)
+    monkeypatch.setattr(W, "nearest", count)
+    X = np.random.default_rng(3).normal(size=(160, 3))
+    W.ward_rows(table(spark, X), "f", 24, 4)
+    assert len(seen) > 2 and any(r["near"] for r in seen[-2])
+    for rows in seen:
+        true = true_lists({r["id"]: (r["size"], np.array(r["x"])) for r in rows})
+        for r in rows:
+            near = {e["other"]: e["d2"] for e in r["near"] or []}
+            assert all(d2 == pytest.approx(true[r["id"]][other]) for other, d2 in near.items())
+            assert r["far"] is None or all(d2 >= r["far"] * (1 - 1e-9) for other, d2 in true[r["id"]].items() if other not in near)
+    assert sum(n for _, n in sought[1:]) < 0.6 * sum(left for left, _ in sought[1:])
+
+
+def test_equal_distances_end(spark):
+    X = np.eye(14)   # all pairs are equally far apart
+    leaves, merges = W.ward_rows(table(spark, X), "f", 4, 2)
+    rows = merges.collect()
+    assert len(rows) == 13 and max(r["size"] for r in rows) == 14
+    assert sum(r["distance"] ** 2 / 2 for r in rows) == pytest.approx(((X - X.mean(0)) ** 2).sum())
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e5])   # near the origin candidates come from single precision, far from it from double
+def test_neighbours_in_blocks(spark, offset):
+    X = np.random.default_rng(7).normal(size=(330, 4)) + offset
+    now = W.points(table(spark, X), "f")
+    true = true_lists({r["id"]: (r["size"], np.array(r["x"])) for r in now.collect()})
+    for r in W.nearest(now, 330, 4, 50, now.where("id % 3 = 0"), 110).collect():
+        want = sorted((d2, other) for other, d2 in true[r["id"]].items())
+        assert [e["other"] for e in r["near"]] == [other for _, other in want[:W.NEAR]]
+        assert [e["d2"] for e in r["near"]] == pytest.approx([d2 for d2, _ in want[:W.NEAR]])
+        assert r["far"] == pytest.approx(want[W.NEAR][0])
