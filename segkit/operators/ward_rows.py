@@ -9,8 +9,8 @@ other's nearest neighbour may be merged in the same round, and the merges are th
 3. Each round, clusters without such a first (merged ones, and those whose list is used up) are packed into blocks that meet the blocks of all
    clusters (``pairs``: nothing is replicated); a task keeps the nearest of each row among the blocks it sees (numpy on packed matrices), and
    an aggregate keeps the nearest of all.  Then all reciprocal pairs merge.  Should rounding leave none, the closest pair of all merges.
-4. ``TASK_ROWS`` clusters (or the caller's block, if smaller) are merged by one task down to ``finish``, and the driver ends the tree, both with
-   the nearest-neighbour chain of ``ward.ward_merges``.
+4. When one block holds them, the clusters are merged by one task down to ``finish``, and the driver ends the tree, both with the
+   nearest-neighbour chain of ``ward.ward_merges``.
 
 Comparing all pairs is what the exact tree costs: points ^ 2 in the first round, later rounds the clusters that seek times those left, spread
 over tasks of bounded memory; what a round shuffles and writes grows with its clusters.  For more rows than that allows, ``ward.fit_ward`` works
@@ -30,8 +30,7 @@ from segkit.operators.kmeans import arrow_matrix
 from segkit.operators.pairs import BLOCK_BYTES, SLICE_ROWS, block_pairs, longs, matrix, packed_blocks, records, written
 from segkit.operators.ward import ward_merges
 
-BLOCK_ROWS = 4096
-TASK_ROWS = 2048          # clusters that one task merges: their distance matrix is 32 MB
+BLOCK_ROWS = 4096         # and the clusters that one task merges: their distance matrix is 128 MB
 FINISH = 1024
 NEAR = 15                 # neighbours a cluster knows
 CANDIDATES = 1 << 16      # distances a task looks at in one step
@@ -48,7 +47,7 @@ def points(df: DataFrame, features: str) -> DataFrame:
 
 
 def nearest(clusters: DataFrame, left: int, d: int, block_rows: int = BLOCK_ROWS, some: DataFrame | None = None, n_some: int = 0) -> DataFrame:
-    """(id, other, d2, near, far) of ``some`` (``n_some``; all without it) among ``left`` clusters, by squared Ward distance.
+    """(id, size, other, d2, near, far) of ``some`` (``n_some``; all without it) among ``left`` clusters, by squared Ward distance.
 
     ``near`` is up to ``NEAR`` clusters (d2, other) by (d2, other), the first of them as other and d2; no other cluster is nearer than ``far``.
     Distances in ``near`` are sums of squared differences, the same for both clusters of a pair; a matrix product only finds the candidates.
@@ -58,11 +57,11 @@ def nearest(clusters: DataFrame, left: int, d: int, block_rows: int = BLOCK_ROWS
     keep = NEAR + 1
 
     def fn(batches):
-        best: dict = {}   # block: (ids, d2, other) of its rows so far, nearest first; a task sees the blocks of two partitions
+        best: dict = {}   # block: (ids, sizes, d2, other) of its rows so far, nearest first; a task sees the blocks of two partitions
         for r in records(batches):
             X, Y, a, b = matrix(r["l_x"], d), matrix(r["r_x"], d), longs(r["l_id"]), longs(r["r_id"])
             n, m = 1.0 / longs(r["l_size"]), 1.0 / longs(r["r_size"])
-            _, near, other = best.setdefault(r["l_b"].as_py(), (a.copy(), np.full((len(a), keep), np.inf), np.full((len(a), keep), NOBODY)))
+            *_, near, other = best.setdefault(r["l_b"].as_py(), (a.copy(), longs(r["l_size"]).copy(), np.full((len(a), keep), np.inf), np.full((len(a), keep), NOBODY)))
             # squared Ward distance < t  <=>  |y|^2 - 2 xy - t/2 m < t/2 n - |x|^2: one product and one comparison
             yn = (Y ** 2).sum(1)
             right = np.concatenate([-2.0 * Y, yn[:, None], m[:, None]], axis=1).T
@@ -90,14 +89,14 @@ def nearest(clusters: DataFrame, left: int, d: int, block_rows: int = BLOCK_ROWS
                     i, j = at + row[k:k + CANDIDATES], col[k:k + CANDIDATES]
                     i, j = i[a[i] != b[j]], j[a[i] != b[j]]
                     closer(near, other, i, b[j], ((X[i] - Y[j]) ** 2).sum(1) * (2.0 / (n[i] + m[j])))
-        for ids, near, other in best.values():
+        for ids, sizes, near, other in best.values():
             found = other != NOBODY
             ends = np.concatenate([[0], found.sum(1).cumsum()])
             pairs = pa.StructArray.from_arrays([pa.array(near[found]), pa.array(other[found])], ["d2", "other"])
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "near": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)})
-    found = block_pairs(mine, ["x", "id", "size"], ["x", "id", "size"], blocks).mapInArrow(fn, f"id long, near {NEAR_TYPE}")
-    best = found.groupBy("id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, keep).alias("near"))
-    return best.select("id", F.col("near")[0]["other"].alias("other"), F.col("near")[0]["d2"].alias("d2"), F.slice("near", 1, NEAR).alias("near"),
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "size": pa.array(sizes), "near": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)})
+    found = block_pairs(mine, ["x", "id", "size"], ["x", "id", "size"], blocks).mapInArrow(fn, f"id long, size long, near {NEAR_TYPE}")
+    best = found.groupBy("id").agg(F.first("size").alias("size"), F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, keep).alias("near"))
+    return best.select("id", "size", F.col("near")[0]["other"].alias("other"), F.col("near")[0]["d2"].alias("d2"), F.slice("near", 1, NEAR).alias("near"),
                        F.coalesce(F.get("near", F.lit(NEAR))["d2"], F.lit(float("inf"))).alias("far"))
 
 
@@ -178,12 +177,11 @@ def ward_rows(df: DataFrame, features: str, block_rows: int = BLOCK_ROWS, finish
     d = first["d"] if first else 0
     known = F.coalesce(F.get("near", F.lit(0))["d2"] < F.col("far"), F.lit(False))
     left, n_some = counted(now, known)
-    while left > max(finish, min(block_rows, TASK_ROWS, BLOCK_BYTES // (8 * max(d, 1)))):
+    while left > max(finish, min(block_rows, BLOCK_BYTES // (8 * max(d, 1)))):
         lists = now.where(known).select("id", "size", "near", "far")
         if n_some:
             found = nearest(now, left, d, block_rows, *((now.where(~known), n_some) if n_some < left else ()))
-            found = written(found.join(now.select("id", "size"), "id").select("id", "size", "near", "far"), "ward-near")
-            lists = lists.unionByName(found)
+            lists = lists.unionByName(written(found.select("id", "size", "near", "far"), "ward-near"))
         pairs = lists.select("id", F.col("near")[0]["other"].alias("other"), F.col("near")[0]["d2"].alias("d2"))
         pairs = pairs.groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).agg(
             F.min("d2").alias("d2"), F.count(F.lit(1)).alias("sides"))
